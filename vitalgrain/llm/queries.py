@@ -10,12 +10,16 @@ from . import op6_exact_dedup as op6
 from .op1_token_counts import op1_token_counts
 from .op2_bpe_codec import op2_bpe_codec
 from .op3_packing import op3_packing
+from .op4_fingerprints import op4_fingerprints
+from .op5_language import op5_language
 from .op7_sharding import op7_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_codec": op2_bpe_codec,
     "op3_packing": op3_packing,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_language": op5_language,
     "op6_exact_dedup": op6.op6_exact_dedup,
     "op7_sharding": op7_sharding,
 }
