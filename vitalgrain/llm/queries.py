@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import op6_exact_dedup as op6
+from . import op10_warc as op10
 from .op1_token_counts import op1_token_counts
 from .op2_bpe_codec import op2_bpe_codec
 from .op3_packing import op3_packing
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language": op5_language,
     "op6_exact_dedup": op6.op6_exact_dedup,
     "op7_sharding": op7_sharding,
+    "op10_warc": op10.op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": op6.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": op6.ORACLE, "op10_warc": op10.ORACLE}
