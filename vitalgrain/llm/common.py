@@ -5,8 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,3 +109,67 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total
     many = rows.join(F.broadcast(hot), key, "inner")
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, "left")
     return many.unionByName(rest)
+
+
+def word_units(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The units between ASCII white space, each distinct one once, and where each text's units begin."""
+    units = pc.ascii_split_whitespace(texts)
+    starts = units.offsets.to_numpy()
+    return starts - starts[0], units.flatten().dictionary_encode()
+
+
+def slices(texts: pa.Array, size: int = 8 << 20) -> Iterator[pa.Array]:
+    """Runs of texts of about `size` bytes, one text at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right"))
+        yield texts.slice(at, max(1, upto - at))
+        at = max(upto, at + 1)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words between SPACES, A-Z lower-cased, and the index of each text's first word (and the end)."""
+    starts, units = word_units(pc.ascii_lower(texts))
+    words = units.dictionary
+    each = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
+    empty = pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    index = units.indices.to_numpy(zero_copy_only=False)
+    if empty.any():  # leading and trailing separators
+        keep = ~empty[index]
+        upto = np.concatenate([[0], np.cumsum(keep)])
+        return upto[starts], each[index[keep]]
+    return starts.astype(np.int64), each[index]
+
+
+#: Bound of each filter table's cells; a 64-bit word of them is broadcast only if one of its cells is set.
+FILTER_BITS = 1 << 26
+
+
+def member_filter(ids: DataFrame, column: str, total: int, bound: int = FILTER_BITS) -> tuple[DataFrame, int]:
+    """A Bloom filter of the ids as (word, bits), two cells an id; at most 2 * bound cells."""
+    cells = 1 << 10
+    while cells < min(bound, 16 * total):
+        cells *= 2
+    hits = ids.select(F.explode(F.array(*filter_cells(column, cells))).alias("cell"))
+    return filter_words(hits), cells
+
+
+def filter_cells(column: str, cells: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(column, F.lit(i)), F.lit(cells)) + i * cells for i in range(2)]
+
+
+def filter_words(hits: DataFrame) -> DataFrame:
+    words = hits.groupBy(F.shiftright("cell", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits"))
+    return materialise(words, "filter")
+
+
+def filter_test(rows: DataFrame, column: str, words: DataFrame, cells: int) -> DataFrame:
+    """Adds the boolean `__maybe`: false only where the filter lacks the value. `words` has 2 * cells bits at most."""
+    out = rows
+    for i, cell in enumerate(filter_cells(column, cells)):
+        table = words.select(F.col("word").alias(f"__word{i}"), F.col("bits").alias(f"__bits{i}"))
+        out = out.withColumn(f"__cell{i}", cell)
+        out = out.join(F.broadcast(table), F.shiftright(f"__cell{i}", 6) == F.col(f"__word{i}"), "left")
+    hit = [F.expr(f"coalesce((shiftrightunsigned(__bits{i}, cast(__cell{i} & 63 as int)) & 1) = 1, false)") for i in range(2)]
+    return out.select(*rows.columns, (hit[0] & hit[1]).alias("__maybe"))

@@ -17,10 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import attach_groups, materialise, text_or_empty
+from .common import FILTER_BITS, attach_groups, filter_cells, filter_test, filter_words, materialise, text_or_empty
 
-#: Bound of each table's cells; a 64-bit word of them is broadcast only if one of its cells is hit twice.
-FILTER_BITS = 1 << 26
 CELLS_A_ROW = 16
 
 
@@ -33,28 +31,12 @@ def repeat_filter(digests: DataFrame, digest: str, total: int, bound: int = FILT
     cells = 1 << 10
     while cells < min(bound, CELLS_A_ROW * total):
         cells *= 2
-    hits = digests.select(F.explode(F.array(*_cells(digest, cells))).alias("cell")).groupBy("cell").agg(F.count("*").alias("hits"))
-    words = (
-        hits.where("hits > 1")
-        .groupBy(F.shiftright("cell", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits"))
-    )
-    return materialise(words, "filter"), cells
-
-
-def _cells(digest: str, cells: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(digest, F.lit(i)), F.lit(cells)) + i * cells for i in range(2)]
+    hits = digests.select(F.explode(F.array(*filter_cells(digest, cells))).alias("cell")).groupBy("cell").agg(F.count("*").alias("hits"))
+    return filter_words(hits.where("hits > 1")), cells
 
 
-def possibly_repeated(rows: DataFrame, digest: str, words: DataFrame, cells: int) -> DataFrame:
-    """Pass two: adds the boolean `__maybe`, false only where no other row has the same digest."""
-    out = rows
-    for i, cell in enumerate(_cells(digest, cells)):
-        table = words.select(F.col("word").alias(f"__word{i}"), F.col("bits").alias(f"__bits{i}"))
-        out = out.withColumn(f"__cell{i}", cell)
-        out = out.join(F.broadcast(table), F.shiftright(f"__cell{i}", 6) == F.col(f"__word{i}"), "left")
-    hit = [F.expr(f"coalesce((shiftrightunsigned(__bits{i}, cast(__cell{i} & 63 as int)) & 1) = 1, false)") for i in range(2)]
-    return out.select(*rows.columns, (hit[0] & hit[1]).alias("__maybe"))
+#: Pass two: adds the boolean `__maybe`, false only where no other row has the same digest.
+possibly_repeated = filter_test
 
 
 def _sha(text: str) -> Column:
