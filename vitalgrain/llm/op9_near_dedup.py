@@ -11,9 +11,9 @@ eight nodes with probability 1 - 0.25 ** 8.
 Small nodes are compared exhaustively. Large nodes are compared with PIVOTS members drawn anew on
 each level. A class that is linked to a pivot is settled: it is in the pivot's component, and what
 matters is only whether it connects others. A node with few unsettled classes compares those with
-all its members and ends; another one branches on. So a group of a third of all rows costs a
-number of comparisons in proportion to its size, and no more than NODE_ROWS pairs a row are made
-in any node. Every link is confirmed on the full shingle sets before it counts; candidates between
+all its members, in cells of bounded size from which only links come, and ends; another one
+branches on. So a group of a third of all rows costs comparisons in proportion to its size. Every
+link is confirmed on the full shingle sets before it counts; candidates between
 classes already connected are left out, as they can't change a component.
 
 Defined cases: null texts, empty texts and texts without words have no shingles, are linked with
@@ -40,10 +40,13 @@ SHINGLE_WORDS = 5
 LEAST_PERCENT = 75
 SIGNATURE = 128
 TREES = 4
-#: A node of up to so many classes is compared exhaustively; so is a large node's rest of so many unsettled classes.
+#: A node of up to so many classes is compared exhaustively.
 NODE_ROWS = 24
 PIVOTS = 4
-LEVELS = 10
+LEVELS = 8
+#: A large node ends with at most so many unsettled classes, each compared with all its members; on the last level any number is.
+REST_ROWS = 512
+MEMBER_ROWS = 1024
 #: Pairs whose signatures agree less than this are not looked at: 4.4 standard deviations below 0.75.
 LEAST_ESTIMATE = 0.58
 #: Sets that may be broadcast at once to join hot pivots.
@@ -237,17 +240,42 @@ def _exhaustive(members: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_node_pairs, "a long, b long").distinct()
 
 
-def _rest_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of the few unsettled classes of large nodes with all members of their node."""
-    few = members.where("open").select("key", F.col("node").alias("x"))
-    few = few.join(sets.select(F.col("node").alias("x"), F.col("sig").alias("sig_x")), "x")
-    few = few.groupBy("key").agg(F.collect_list(F.struct("x", "sig_x")).alias("few"), F.count("*").alias("n"))  # at most NODE_ROWS of a key
-    sizes = members.select("key", "size").distinct()
-    few = few.join(sizes, "key").select("key", "few", F.col("size").alias("many"))
-    rows = members.select("key", "node").join(sets.select("node", "sig"), "node")
-    joined = attach_groups(rows, few, "key", "many", max(1, members.count()), HOT_SETS)
-    pairs = joined.where("few is not null").select("node", "sig", F.explode("few").alias("f")).where(F.col("f.x") != F.col("node"))
-    return pairs.where(_alike("sig", F.col("f.sig_x"))).select(F.least("node", F.col("f.x")).alias("a"), F.greatest("node", F.col("f.x")).alias("b")).distinct()
+def _rest_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of the unsettled classes of large nodes with all members of their node, on their full sets.
+
+    The members are dealt over cells of about MEMBER_ROWS rows, and a copy of the unsettled ones, in
+    parts of about REST_ROWS, goes to each cell; only links leave it.
+    """
+    rows = members.join(sets, "node").select("key", "node", "open", "label", "sig", "items", F.ceil(F.col("unsettled") / REST_ROWS).cast("int").alias("f"), F.ceil(F.col("size") / MEMBER_ROWS).cast("int").alias("m"))
+    part, cell = F.pmod(F.xxhash64("node", F.lit("part")), "f").cast("int"), F.pmod(F.xxhash64("node", F.lit("cell")), "m").cast("int")
+    every = F.transform(F.sequence(F.lit(0), F.col("f") - 1), lambda x: F.struct(x.alias("f"), cell.alias("m"), F.lit(False).alias("rest")))
+    rest = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda x: F.struct(part.alias("f"), x.alias("m"), F.lit(True).alias("rest")))
+    dealt = rows.select("key", "node", "label", "sig", "items", F.explode(F.when(F.col("open"), F.concat(every, rest)).otherwise(every)).alias("to"))
+    dealt = dealt.select(F.xxhash64("key", "to.f", "to.m").alias("cell"), "to.rest", "node", "label", "sig", "items").repartition("cell")
+    return dealt.sortWithinPartitions("cell", F.col("rest").desc(), "node").mapInArrow(_cell_links, "a long, b long").distinct()
+
+
+def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """By cell first the unsettled classes, then the members: a link of each to every label it is similar enough to."""
+    cell, rest, done = None, [], []
+    for batch in batches:
+        out = []
+        for key, is_rest, node, label, sig, items in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            if key != cell:
+                cell, rest, done, table = key, [], [], None
+            if is_rest:
+                rest.append((node, sig, items))
+                done.append(set())
+                continue
+            if table is None:
+                table = np.frombuffer(b"".join(r[1] for r in rest), np.uint32).reshape(-1, SIGNATURE)
+            alike = (table == np.frombuffer(sig, np.uint32)).sum(axis=1) >= LEAST_ESTIMATE * SIGNATURE
+            for i in np.flatnonzero(alike).tolist():
+                if rest[i][0] != node and label not in done[i] and linked(rest[i][2], items):
+                    done[i].add(label)
+                    out.append((min(node, rest[i][0]), max(node, rest[i][0])))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=_PAIRS)
 
 
 def _pivot_links(members: DataFrame, sets: DataFrame, level: int) -> DataFrame:
@@ -307,15 +335,17 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
             break
         links = _pivot_links(large, sets, level)
         settled_links.append(links)
-        settled = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("settled", F.lit(True))
-        now = large.select("key", "node", "open", "size").join(settled, "node", "left").withColumn("open", F.col("open") & F.col("settled").isNull()).drop("settled")
+        ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        settled = ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
+        now = large.select("key", "node", "open", "size").join(settled, "node", "left")
+        now = now.withColumn("open", F.col("open") & F.col("label").isNull()).withColumn("label", F.coalesce("label", "node"))
         left = now.groupBy("key").agg(F.count_if("open").alias("unsettled"), F.count("*").alias("many"))
-        now = materialise(attach_groups(now, left, "key", "many", max(1, large.count())).select("key", "node", "open", "size", "unsettled"), "large")
+        now = materialise(attach_groups(now, left, "key", "many", max(1, large.count())).select("key", "node", "open", "label", "size", "unsettled"), "large")
         last = level == LEVELS
-        few = now.where("unsettled > 0" if last else f"unsettled between 1 and {NODE_ROWS}")
+        few = now.where("unsettled > 0" if last else f"unsettled between 1 and {REST_ROWS}")
         if not few.isEmpty():
-            candidates.append(materialise(_rest_pairs(few, sets), "pairs"))
-        more = now.where(f"unsettled > {NODE_ROWS}")
+            settled_links.append(materialise(_rest_links(few, sets), "links"))
+        more = now.where(f"unsettled > {REST_ROWS}")
         if last or more.isEmpty():
             break
         branched = more.join(sets.select("node", "sig"), "node").select("node", "open", F.explode(F.array(*_children(F.col("key")))).alias("key"))
