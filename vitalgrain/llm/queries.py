@@ -14,6 +14,7 @@ from .op3_packing import op3_packing
 from .op4_fingerprints import op4_fingerprints
 from .op5_language import op5_language
 from .op7_sharding import op7_sharding
+from .op8_lm_scoring import op8_lm_scoring
 from .op9_near_dedup import op9_near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language": op5_language,
     "op6_exact_dedup": op6.op6_exact_dedup,
     "op7_sharding": op7_sharding,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_near_dedup": op9_near_dedup,
     "op10_warc": op10.op10_warc,
 }
