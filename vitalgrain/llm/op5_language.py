@@ -17,6 +17,7 @@ same answer; an empty table stays empty; all other columns of `with_language` pa
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -166,15 +167,24 @@ def fit(rows: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "
     return Model([tuple(r) for r in counts.collect()])
 
 
+_LAST: dict[str, Predictor] = {}
+
+
+def _predictor(name: str, model: Model) -> Predictor:
+    """Built once in each worker process; only the last model is kept."""
+    if name not in _LAST:
+        _LAST.clear()
+        _LAST[name] = Predictor(model)
+    return _LAST[name]
+
+
 def language(model: Model, spark: SparkSession, text: str | Column = "text") -> Column:
     """struct(lang_pred, score) of a text."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, model))
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
-    own: dict[str, Predictor] = {}
-
     @F.arrow_udf("lang_pred string, score double")
     def predicted(texts: pa.Array) -> pa.Array:
-        predict = own.setdefault("it", Predictor(shared.value)) if "it" not in own else own["it"]
+        predict = _predictor(*shared.value)
         return pa.array([dict(zip(("lang_pred", "score"), predict(x.as_py()))) for x in texts], kind)
 
     return predicted(F.col(text) if isinstance(text, str) else text)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import materialise, slices, text_or_empty, word_units
 from .op5_language import fold
 
-ORDER = 4
+ORDER = 5
 MAX_GRAMS = 4_000_000
 HEAD_WORDS = 400_000
 #: The end of a text; no word holds it.
