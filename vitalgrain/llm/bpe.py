@@ -7,13 +7,18 @@ BPE whose words end in a suffix and whose white space is dropped.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from array import array
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-from .common import RecentCache
+from .common import RecentCache, slices, word_units
 
 #: The White_Space characters of Unicode, which the patterns' \s stands for.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -22,6 +27,8 @@ _INK = f"[^{WHITE}]"
 
 #: A piece of this many symbols or more goes to the heap, as the scan for the minimum is quadratic.
 LONG_PIECE = 200
+#: Bytes of text whose distinct words are encoded together.
+SLICE_BYTES = 24 << 20
 _NONE = 1 << 60
 
 
@@ -123,6 +130,76 @@ class Merges:
         return parts
 
 
+class BatchMerger:
+    """Merges many pieces at once: one merge of the least-ranked pair, leftmost first, for each piece a round."""
+
+    def __init__(self, merges: Merges):
+        self.merges = merges
+        pairs = np.fromiter(merges.rank, np.int64, len(merges.rank))
+        order = np.argsort(pairs)
+        self.pairs = pairs[order]
+        self.ranks = np.fromiter(merges.rank.values(), np.int32, len(pairs))[order]
+        self.made = np.array(merges.made, np.int32)
+        self.first, self.last = np.array(merges.first, np.int32), np.array(merges.last, np.int32)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left.astype(np.int64) << 20 | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.ranks[at], _FAR)
+
+    def encode(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of each piece; none is empty."""
+        raws = [p.encode("utf-8", "surrogatepass") for p in pieces]
+        out: list[bytes] = [b""] * len(raws)
+        long = [i for i, r in enumerate(raws) if len(r) >= LONG_PIECE]
+        for i in long:
+            out[i] = array("I", self.merges.encode_piece(pieces[i])).tobytes()
+        of = np.array([i for i, r in enumerate(raws) if len(r) < LONG_PIECE], np.int64)
+        if not len(of):
+            return out
+        size = np.fromiter((len(raws[i]) for i in of), np.int64, len(of))
+        raw = np.frombuffer(b"".join(raws[i] for i in of), np.uint8)
+        end = np.cumsum(size) - 1
+        sym = self.first[raw]
+        sym[end] = self.last[raw[end]]
+        rank = np.full(len(sym), _FAR, np.int32)
+        rank[:-1] = self._rank(sym[:-1], sym[1:])
+        rank[end] = _FAR
+        while len(size):
+            start = np.cumsum(size) - size
+            least = np.minimum.reduceat(rank, start)
+            going = least < _FAR
+            if not going.all():
+                whole = np.repeat(going, size)
+                rest = sym[~whole].astype(np.uint32).tobytes()
+                at = 0
+                for i, n in zip(of[~going].tolist(), (4 * size[~going]).tolist()):
+                    out[i] = rest[at : at + n]
+                    at += n
+                sym, rank, size, of, least = sym[whole], rank[whole], size[going], of[going], least[going]
+                if not len(size):
+                    break
+            piece = np.repeat(np.arange(len(size)), size)
+            at = np.flatnonzero(rank == np.repeat(least, size))
+            at = at[np.concatenate([[True], piece[at[1:]] != piece[at[:-1]]])]
+            sym[at] = self.made[least]
+            stays = np.ones(len(sym), bool)
+            stays[at + 1] = False
+            ends = at + 1 == np.cumsum(size) - 1  # the part merged away was the last
+            sym, rank, size = sym[stays], rank[stays], size - 1
+            at = at - np.arange(len(at))
+            open_ = at[~ends]
+            rank[at[ends]] = _FAR
+            rank[open_] = self._rank(sym[open_], sym[open_ + 1])
+            before = at[at > np.cumsum(size) - size]
+            rank[before - 1] = self._rank(sym[before - 1], sym[before])
+        return out
+
+
+_FAR = np.int32(2**31 - 1)
+_STOPS = frozenset(".,;:!?")
+
+
 def _lower(text: str) -> str:
     """Lower case of each character by itself: no rule for a final sigma."""
     return text.lower() if "\u03a3" not in text else "".join(c.lower() for c in text)
@@ -146,8 +223,17 @@ class _Splitter:
             if not unit.isascii():
                 unit = unicodedata.normalize("NFC", unit)
             unit = _lower(unit)
+            if unit.isalpha():
+                return [unit]
+            if unit[-1:] in _STOPS and unit[:-1].isalpha():
+                return [unit[:-1], unit[-1]]
         return self.pieces.findall(unit)
 
+    def odd_texts(self, texts: pa.Array) -> list[int]:
+        """Those with special strings or control characters that only some splitters part at."""
+        pattern = "|".join([r"[\x1c-\x1f]", *map(re.escape, self.merges.special)])
+        return np.flatnonzero(pc.match_substring_regex(texts, pattern).fill_null(True).to_numpy(zero_copy_only=False)).tolist()
+
     def of(self, text: str) -> list[str]:
         """White space parts the units of either kind; str.split() also parts at four control characters."""
         if self.merges.suffix and not self.odd.search(text):
@@ -175,6 +261,22 @@ class TokenCounter:
             return sum(1 if i % 2 else self._plain(x) for i, x in enumerate(parts))
         return self._plain(text)
 
+    def count_all(self, texts: pa.Array) -> list[int]:
+        """Counts of many texts; each distinct unit of a slice is looked up once."""
+        if not self.merges.suffix:
+            return [self.count(x.as_py()) for x in texts]
+        out: list[int] = []
+        for part in slices(texts):
+            odd = self.split.odd_texts(part)
+            starts, units = word_units(part)
+            each = np.fromiter(map(self.unit.__getitem__, units.dictionary.to_pylist()), np.int64, len(units.dictionary))
+            upto = np.concatenate([[0], np.cumsum(each[units.indices.to_numpy()])])
+            counts = (upto[starts[1:]] - upto[starts[:-1]]).tolist()
+            for i in odd:
+                counts[i] = self.count(part[i].as_py())
+            out += counts
+        return out
+
 
 class Encoder:
     """Encodes whole texts into packed little-endian 32-bit ids and back."""
@@ -185,6 +287,7 @@ class Encoder:
         self.piece = RecentCache(lambda p: array("I", self.merges.encode_piece(p)).tobytes(), limit)
         self.unit = RecentCache(lambda u: b"".join(map(self.piece.__getitem__, self.split.unit_pieces(u))), limit)
         self.table = self.merges.bytes_of
+        self.batch = BatchMerger(self.merges)
 
     def _plain(self, text: str) -> bytes:
         return b"".join(map(self.unit.__getitem__, self.split.of(text)))
@@ -198,11 +301,46 @@ class Encoder:
             return b"".join(array("I", [m.special[x]]).tobytes() if i % 2 else self._plain(x) for i, x in enumerate(parts))
         return self._plain(text)
 
+    def _units(self, units: list[str]) -> pa.LargeBinaryArray:
+        """Ids of distinct units; each distinct piece of theirs is merged once."""
+        index: dict[str, int] = {}
+        flat: list[int] = []
+        ends: list[int] = [0]
+        split, known = self.split.unit_pieces, index.setdefault
+        for u in units:
+            lower = u.lower()
+            if lower.isalpha() and u.isascii():
+                flat.append(known(lower, len(index)))
+            elif u:
+                flat += [known(p, len(index)) for p in split(u)]
+            ends.append(len(flat))
+        pieces = pa.array(self.batch.encode(list(index)), pa.large_binary()).take(pa.array(flat, pa.int64()))
+        offsets = _offsets(pieces)[np.array(ends, np.int64)]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(units), [None, pa.py_buffer(offsets), pieces.buffers()[2]])
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of many texts, in their order. Each distinct unit of a slice is encoded once, and no cache outlives it."""
+        if not self.merges.suffix:
+            yield from (self.encode(x.as_py()) for x in texts)
+            return
+        for part in slices(texts, SLICE_BYTES):
+            odd = set(self.split.odd_texts(part))
+            starts, units = word_units(part)
+            ids = self._units(units.dictionary.to_pylist()).take(units.indices)
+            data = memoryview(ids.buffers()[2] or b"")
+            bounds = _offsets(ids)[starts].tolist()
+            for i in range(len(part)):
+                yield self.encode(part[i].as_py()) if i in odd else bytes(data[bounds[i] : bounds[i + 1]])
+
     def decode(self, ids: bytes) -> str:
         """The text of packed ids; only a vocabulary without word ends can be undone exactly."""
         return b"".join(map(self.table.__getitem__, array("I", ids))).decode("utf-8", "replace")
 
 
+def _offsets(column: pa.LargeBinaryArray) -> np.ndarray:
+    return np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset) if len(column) else np.zeros(1, np.int64)
+
+
 _COUNTERS: dict[tuple, TokenCounter] = {}
 _ENCODERS: dict[tuple, Encoder] = {}
 

@@ -69,14 +69,14 @@ def cuts(capacity: int = CAPACITY, classes: int = CLASSES, waste: float = WASTE)
 
 def _tokenised_pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, plan, end = bpe.encoder(path).encode, cuts(capacity), array("I", [END_ID]).tobytes()
+        encode, plan, end = bpe.encoder(path).encode_all, cuts(capacity), array("I", [END_ID]).tobytes()
         worker = TaskContext.get().partitionId()
         open_bins: dict[int, list[list]] = {}
         made = 0
         for batch in batches:
             rows: list[list] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py()) + end
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
+                ids += end
                 n, start = len(ids) // 4, 0
                 for cls, length in [(1, capacity)] * (n // capacity) + list(plan[n % capacity]):
                     row = [doc, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n, cls, worker, None, None, None]
@@ -145,7 +145,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
         .withColumn("sequence_id", F.lit(_ROUND_2) + F.col("cls").cast("long") * (1 << 40) + F.col("bin"))
     )
     # below CLASSES ** 2 / 2 rows, for any input
-    third = ranked.where(~fits).select(*left.columns).coalesce(1).mapInArrow(_first_fit(capacity), _SPARK)
+    third = ranked.where(~fits).select(*left.columns).repartition(1).mapInArrow(_first_fit(capacity), _SPARK)
     keep = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     return done.select(keep).unionByName(second.select(keep)).unionByName(third.select(keep))
 
