@@ -1,10 +1,374 @@
-"""Queries over the sample tables, one for each operator, and the SQL that checks them."""
+"""Queries over the sample tables, one or more for each operator, and the SQL that checks them.
+
+The sample tables hold no clinical columns and no missing values, so each query maps columns and
+injects missing values by a rule that its SQL repeats.
+"""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.expressions import age_years, missing_normalised, normalised_gender, parsed_birth_date, parsed_float, to_number
+from ..operators import profile, records, rules
+from ..sources.tables import ROW_ID, read_csv, read_parquet, with_row_id
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# ---- frames -------------------------------------------------------------------------------------
+
+
+def _gappy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "events").select(F.nullif("event_type", F.lit("error")).alias("event_type"), F.when(F.col("value") >= 20, F.col("value")).alias("value"), "user_id")
+
+
+_GAPPY = """
+with d as (select nullif(event_type, 'error') as a, case when value >= 20 then value end as b, user_id as c from events),
+n as (select count(*) as n, count(a) as a, count(b) as b, count(c) as c from d),
+m as (select 0 as position, 'event_type' as column_name, n - a as missing_count, n from n
+      union all select 1, 'value', n - b, n from n union all select 2, 'user_id', n - c, n from n)
+"""
+
+
+def _vital_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """patient_id, timestamp and four signs, two of them with gaps and one as text."""
+    e = _table(spark, sf_dir, "events")
+    return e.select(
+        F.col("event_id").alias(ROW_ID), F.nullif(F.col("user_id") % 50, F.lit(7)).alias("patient_id"), F.col("ts").alias("timestamp"),
+        F.col("value").alias("systolic_bp"), F.when(F.col("event_id") % 11 != 0, F.col("event_id") % 97).alias("heart_rate"),
+        F.when(F.col("event_id") % 13 == 0, "n/a").otherwise((F.col("event_id") % 7 + 35).cast("string")).alias("temperature"),
+        F.nullif(F.col("value"), F.col("value")).alias("spo2"),
+    )
+
+
+_SPIKES = """
+with v as (select event_id as row_id, nullif(user_id % 50, 7) as p, ts, value as a, case when event_id % 11 <> 0 then event_id % 97 end as b,
+                  case when event_id % 13 <> 0 then event_id % 7 + 35 end as c from events),
+l as (select row_id, a, b, c, lag(a) over w as pa, lag(b) over w as pb, lag(c) over w as pc from v where p is not null window w as (partition by p order by ts, row_id)),
+f as (select row_id, coalesce(pa <> 0 and abs((a - pa) / pa) * 100 > 50, false) as sa, coalesce(pb <> 0 and abs((b - pb) / cast(pb as double)) * 100 > 50, false) as sb,
+             coalesce(abs((c - pc) / cast(pc as double)) * 100 > 50, false) as sc from l)
+"""
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as patients with birth dates, labs and vital signs."""
+    c = _table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select(
+        k.alias(ROW_ID), F.nullif(k, F.lit(17)).alias("patient_nbr"),
+        F.when(k % 5 == 0, " Male ").when(k % 5 == 1, "FEMALE").when(k % 5 == 2, "M").when(k % 5 == 3, F.lit(None).cast("string")).otherwise("other").alias("gender"),
+        F.when(k % 9 == 0, "2999-01-01").when(k % 9 == 1, "2020-02-30").when(k % 9 == 2, "1980-03-05 00:00:00").when(k % 9 == 3, F.lit(None).cast("string")).otherwise("1990-12-31").alias("birthDate"),
+        F.when(k % 4 == 0, ">200").when(k % 4 == 1, "7.1").when(k % 4 == 2, "1_000").otherwise(F.lit(None).cast("string")).alias("max_glu_serum"),
+        F.col("c_acctbal").alias("systolic_bp"), (k % 900).cast("double").alias("heart_rate"), F.when(k % 3 != 0, (k % 12 + 33).cast("double")).alias("temperature"),
+        F.when(k % 6 == 0, "x").otherwise((k % 60 + 45).cast("string")).alias("spo2"),
+    )
+
+
+_RECORDS = """
+with r as (select c_custkey as k, c_acctbal as bal from customer),
+e as (
+  select 'patient' as kind, k as row_id, cast(null as varchar) as code,
+         case when k % 9 = 0 then 'future_birth_date' when k % 9 = 1 then 'bad_birth_date' end as error_code from r
+  union all select 'obs', k, 'max_glu_serum', case when k % 4 = 0 then 'non_numeric' end from r where k % 4 < 3
+  union all select 'vital', k, 'systolic_bp', case when bal < 50 or bal > 250 then 'out_of_range' end from r
+  union all select 'vital', k, 'heart_rate', null from r
+  union all select 'vital', k, 'temperature', case when k % 12 + 33 < 35 or k % 12 + 33 > 42 then 'out_of_range' end from r where k % 3 <> 0
+  union all select 'vital', k, 'spo2', case when k % 6 = 0 then 'non_numeric' when k % 60 + 45 < 50 or k % 60 + 45 > 100 then 'out_of_range' end from r
+)
+"""
+
+
+def _labs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as patients: age, glucose and creatinine, the latter two as text."""
+    p = _table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias(ROW_ID), (F.col("p_size") * 2).alias("age"), F.when(F.col("p_size") % 7 == 0, F.col("p_brand")).otherwise((F.col("p_retailprice") / 4).cast("string")).alias("glucose"), (F.col("p_partkey") % 5).cast("string").alias("creatinine"))
+
+
+_COHERENCE = """
+select p_partkey as row_id from part
+where (p_size * 2 < 12 and p_size % 7 <> 0 and p_retailprice / 4 > 300) or (p_size * 2 >= 65 and p_partkey % 5 > 2)
+"""
+
+
+# ---- profile ------------------------------------------------------------------------------------
+
+
+def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.overview(_table(spark, sf_dir, "customer"))
+
+
+def missing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = profile.missing_summary(_gappy_events(spark, sf_dir))
+    return rows.select("position", "column_name", "missing_count", F.round("missing_ratio", 6).alias("missing_ratio"))
+
+
+def max_ratio_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.worst_column(profile.missing_summary(_gappy_events(spark, sf_dir))).select("column_name", F.round("missing_ratio", 6).alias("missing_ratio"))
+
+
+def exclusion_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.exclusion_candidates(profile.missing_summary(_gappy_events(spark, sf_dir)), 0.3).select("column_name", "missing_count")
+
+
+def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.completeness(profile.missing_summary(_gappy_events(spark, sf_dir)))
+
+
+def missing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.missing_report(profile.missing_summary(_gappy_events(spark, sf_dir))).withColumn("missing_pct", F.round("missing_pct", 4))
+
+
+def chart_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.top_missing(profile.missing_summary(_gappy_events(spark, sf_dir)), 10)
+
+
+def numeric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    rows = profile.numeric_summary(_table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"))
+    return rows.select("column_name", "count", *(F.round(n, 4).alias(n) for n in names))
+
+
+def numeric_summary_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same result by the way for columns with very many values."""
+    names = ["p25", "p50", "p75"]
+    rows = profile.numeric_summary(_table(spark, sf_dir, "orders").select("o_totalprice"), exact_distinct=10)
+    return rows.select("column_name", "count", *(F.round(n, 4).alias(n) for n in names))
+
+
+def _numeric_sql(table: str, names: list[str], columns: str) -> str:
+    one = "select '{n}' as column_name, count({n}) as count, {c} from {t}"
+    return " union all ".join(one.format(n=n, t=table, c=columns.replace("?", f"cast({n} as double)")) for n in names)
+
+
+_QUARTILES = ", ".join(f"round(quantile_cont(?, {q}), 4) as p{int(q * 100)}" for q in (0.25, 0.5, 0.75))
+
+
+def categorical_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _table(spark, sf_dir, "orders").select(F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"), "o_orderpriority")
+    return profile.categorical_summary(o, 3).select("column_name", "value", "count", "rank")
+
+
+def categorical_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _table(spark, sf_dir, "orders").select(F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"), "o_orderpriority")
+    return profile.distinct_counts(o).select("column_name", "distinct_values")
+
+
+# ---- rules --------------------------------------------------------------------------------------
+
+
+def sex_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("patient_id"), F.nullif("o_orderstatus", F.lit("P")).alias("sex"))
+    return rules.SexConsistency().check(o)
+
+
+def age_plausibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.AgePlausibility(low=0, high=9000).check(_table(spark, sf_dir, "customer").select(F.col("c_acctbal").alias("age"))).drop("message")
+
+
+def age_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias(ROW_ID), F.col("c_acctbal").alias("age"))
+    return rules.AgePlausibility(low=0, high=9000).violations(c)
+
+
+def age_lab_coherence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.AgeLabCoherence().violations(_labs(spark, sf_dir)).select("row_id")
+
+
+def vital_spike(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.VitalSpikes().violations(_vital_events(spark, sf_dir)).select("row_id")
+
+
+def vital_spike_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.VitalSpikes().spikes(_vital_events(spark, sf_dir)).select("row_id", "systolic_bp", "heart_rate", "temperature")
+
+
+def missing_threshold_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    limits = rules.MissingThresholds({"event_type": 30.0, "value": 30.0})
+    return limits.details(_gappy_events(spark, sf_dir)).select("column_name", "missing_pct", "threshold_pct", "exceeds")
+
+
+def rule_runner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("patient_id"), F.col("o_orderstatus").alias("sex"))
+    return rules.RuleRunner([rules.SexConsistency(), rules.AgePlausibility()]).run(o).drop("message")
+
+
+def rule_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _vital_events(spark, sf_dir).withColumns({"age": (F.col(ROW_ID) % 100), "glucose": F.col("systolic_bp").cast("string"), "creatinine": (F.col(ROW_ID) % 4).cast("string")})
+    return rules.RuleRunner(rules.clinical_suite()).run(v).select("ordinal", "rule", "severity", "affected_rows")
+
+
+def first_20_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.first_violations(rules.VitalSpikes().violations(_vital_events(spark, sf_dir)), 20).select("rule", "row_id", "rank")
+
+
+# ---- records and expressions --------------------------------------------------------------------
+
+
+def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.summary(records.validated(_records(spark, sf_dir), today=F.lit("2026-01-01").cast("date"))).drop("example")
+
+
+def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.errors(records.validated(_records(spark, sf_dir), today=F.lit("2026-01-01").cast("date"))).select("kind", "row_id", "code", "error_code")
+
+
+def patient_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.patients(_records(spark, sf_dir), today=F.lit("2026-01-01").cast("date")).select("row_id", "id", "gender", "error_code", "null_id")
+
+
+def lab_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias(ROW_ID), F.col("p_partkey").alias("patient_nbr"), F.when(F.col("p_size") % 7 == 0, F.col("p_brand")).otherwise(F.col("p_size").cast("string")).alias("A1Cresult"))
+    return records.lab_observations(p).select("row_id", "id", "value", "unit", "error_code")
+
+
+def vital_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _table(spark, sf_dir, "events").select(F.col("event_id").alias(ROW_ID), F.col("user_id").alias("patient_nbr"), F.col("value").alias("systolic_bp"))
+    return records.vital_observations(e).groupBy("code").agg(F.count_if(F.col("error_code").isNotNull()).alias("errors"), F.count_if(F.col("error_code").isNull()).alias("valid"))
+
+
+def gender_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _records(spark, sf_dir).select(normalised_gender("gender").alias("gender"))
+    return c.groupBy("gender").agg(F.count("*").alias("records"))
+
+
+def age_in_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("birth"))
+    return o.select("o_orderkey", age_years("birth", F.lit("2024-02-29").cast("date")).cast("int").alias("age"))
+
+
+def birth_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _records(spark, sf_dir).select("row_id", parsed_birth_date("birthDate").alias("birth"))
+
+
+def numeric_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    text = F.when(k % 6 == 0, "1.5d").when(k % 6 == 1, F.concat(F.lit(" "), k.cast("string"), F.lit(".5 "))).when(k % 6 == 2, "1_000").when(k % 6 == 3, "-inf").when(k % 6 == 4, "nan").otherwise("0x1p3")
+    return _table(spark, sf_dir, "customer").select("c_custkey", text.alias("t")).select("c_custkey", to_number("t").alias("coerced"), F.nanvl(parsed_float("t"), F.lit(-1.0)).alias("strict"))
+
+
+def nan_as_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 4 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+    return missing_normalised(e).where(F.col("value") > 300).agg(F.count("*").alias("above"))
+
+
+# ---- sources ------------------------------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A folder that all executors share where a cluster names one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    path = f"{(named or 'file://' + tempfile.gettempdir()).rstrip('/')}/table-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes customers as CSV with missing tokens and reads them with inferred types."""
+    path = _scratch(spark)
+    c = _table(spark, sf_dir, "customer")
+    token = F.when(F.col("c_custkey") % 10 == 0, "NA").when(F.col("c_custkey") % 10 == 1, "?").otherwise(F.col("c_mktsegment"))
+    out = c.select("c_custkey", "c_name", F.when(F.col("c_custkey") % 7 == 0, "n/a").otherwise(F.col("c_nationkey").cast("string")).alias("c_nationkey"), "c_acctbal", token.alias("c_mktsegment"), (F.col("c_custkey") % 2 == 0).alias("even"))
+    out.write.option("header", True).csv(path)
+    return read_csv(spark, path)
+
+
+def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_parquet(spark, f"{sf_dir}/supplier.parquet")
+
+
+def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense numbers in the order of the file, which is that of the key."""
+    return with_row_id(_table(spark, sf_dir, "nation")).select("n_nationkey", ROW_ID)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        overview, missing_summary, max_ratio_column, exclusion_candidates, completeness, missing_report, chart_top10,
+        numeric_summary, numeric_summary_binned, categorical_summary, categorical_cardinality,
+        sex_consistency, age_plausibility, age_violations, age_lab_coherence, vital_spike, vital_spike_signs, missing_threshold_rule, rule_runner, rule_suite, first_20_violations,
+        validation_summary, validation_errors, patient_records, lab_observation, vital_range, gender_normalise, age_in_years, birth_dates, numeric_casts, nan_as_missing,
+        csv_round_trip, parquet_scan, row_numbers,
+    )
+}
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "overview": """
+        select * from (values (0, 'c_custkey', 'bigint'), (1, 'c_name', 'string'), (2, 'c_nationkey', 'int'), (3, 'c_acctbal', 'double'), (4, 'c_mktsegment', 'string')) as v(position, column_name, dtype),
+        (select count(*) as rows from customer) as n""",
+    "missing_summary": _GAPPY + "select position, column_name, missing_count, round(cast(missing_count as double) / n, 6) as missing_ratio from m",
+    "max_ratio_column": _GAPPY + "select column_name, round(cast(missing_count as double) / n, 6) as missing_ratio from m order by missing_count desc, position limit 1",
+    "exclusion_candidates": _GAPPY + "select column_name, missing_count from m where cast(missing_count as double) / n >= 0.3",
+    "completeness": _GAPPY + "select round_even((1 - cast(sum(missing_count) as double) / cast(sum(n) as double)) * 100, 2) as completeness_pct from m",
+    "missing_report": _GAPPY + """
+        , p as (select *, cast(missing_count as double) / n * 100 as pct from m)
+        select position, column_name, missing_count, round(pct, 4) as missing_pct, case when pct > 30 then 'HIGH' when pct > 10 then 'MODERATE' else 'LOW' end as status from p""",
+    "chart_top10": _GAPPY + "select position, column_name, missing_count from m order by missing_count desc, position limit 10",
+    "numeric_summary": _numeric_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"], f"round(avg(?), 4) as mean, round(stddev_samp(?), 4) as std, round(min(?), 4) as min, {_QUARTILES}, round(max(?), 4) as max"),
+    "numeric_summary_binned": _numeric_sql("orders", ["o_totalprice"], _QUARTILES),
+    "categorical_summary": """
+        with v as (select 'o_orderstatus' as column_name, nullif(o_orderstatus, 'P') as value from orders union all select 'o_orderpriority', o_orderpriority from orders),
+        c as (select column_name, value, count(*) as count from v group by all)
+        select column_name, value, count, cast(rank as int) as rank from (select *, row_number() over (partition by column_name order by count desc, value nulls last) as rank from c) where rank <= 3""",
+    "categorical_cardinality": """
+        with v as (select 'o_orderstatus' as column_name, nullif(o_orderstatus, 'P') as value from orders union all select 'o_orderpriority', o_orderpriority from orders)
+        select column_name, count(*) as distinct_values from (select distinct column_name, value from v) group by 1""",
+    "sex_consistency": """
+        with g as (select o_custkey, count(distinct nullif(o_orderstatus, 'P')) as k from orders where o_custkey is not null group by 1), c as (select * from g where k > 1)
+        select 'patient_sex_consistency' as rule, case when count(*) = 0 then 'OK' else 'ERROR' end as severity,
+               case when count(*) = 0 then 'Each patient has one sex' else 'Patients have several sexes over their records' end as message,
+               cast(coalesce(sum(k), 0) as bigint) as affected_rows, count(*) as affected_groups from c""",
+    "age_plausibility": """
+        select 'age_plausibility' as rule, case when count(*) = 0 then 'OK' else 'WARNING' end as severity, count(*) as affected_rows, cast(null as bigint) as affected_groups
+        from customer where c_acctbal < 0 or c_acctbal > 9000""",
+    "age_violations": "select 'age_plausibility' as rule, c_custkey as row_id, 'age' as column_name from customer where c_acctbal < 0 or c_acctbal > 9000",
+    "age_lab_coherence": _COHERENCE,
+    "vital_spike": _SPIKES + "select row_id from f where sa or sb or sc",
+    "vital_spike_signs": _SPIKES + "select row_id, sa as systolic_bp, sb as heart_rate, sc as temperature from f",
+    "missing_threshold_rule": _GAPPY + """
+        , p as (select *, cast(missing_count as double) / n * 100 as pct, case when column_name = 'user_id' then 50.0 else 30.0 end as t from m)
+        select column_name, round_even(pct, 2) as missing_pct, cast(t as double) as threshold_pct, pct > t as exceeds from p""",
+    "rule_runner": """
+        with c as (select count(distinct o_orderstatus) as k from orders where o_custkey is not null group by o_custkey having count(distinct o_orderstatus) > 1)
+        select cast(0 as int) as ordinal, 'patient_sex_consistency' as rule, case when count(*) = 0 then 'OK' else 'ERROR' end as severity, cast(coalesce(sum(k), 0) as bigint) as affected_rows, count(*) as affected_groups from c
+        union all select 1, 'age_plausibility', 'WARNING', null, null""",
+    "rule_suite": _SPIKES + """
+        , g as (select count(*) as n from events where (event_id % 100 < 12 and value > 300) or (event_id % 100 >= 65 and event_id % 4 > 2)),
+        m as (select cast(count(*) filter (user_id % 50 = 7) > 0 as int) + cast(count(*) filter (event_id % 11 = 0) * 100.0 / count(*) > 30 as int) + 1 as n from events)
+        select cast(0 as int) as ordinal, 'ClinicalCoherenceRule' as rule, 'WARNING' as severity, n as affected_rows from g
+        union all select 1, 'VitalSignAnomalyRule', 'WARNING', (select count(*) from f where sa or sb or sc)
+        union all select 2, 'MissingDataThresholdRule', 'WARNING', cast(n as bigint) from m""",
+    "first_20_violations": _SPIKES + "select 'VitalSignAnomalyRule' as rule, row_id, cast(row_number() over (order by row_id) as int) as rank from f where sa or sb or sc order by row_id limit 20",
+    "validation_summary": _RECORDS + """
+        select count(*) filter (kind = 'patient' and error_code is null) as patients_validated, count(*) filter (kind = 'patient' and error_code is not null) as patient_errors,
+               count(*) filter (kind <> 'patient' and error_code is null) as observations_validated, count(*) filter (kind <> 'patient' and error_code is not null) as observation_errors from e""",
+    "validation_errors": _RECORDS + "select kind, row_id, code, error_code from e where error_code is not null",
+    "patient_records": """
+        select c_custkey as row_id, cast(nullif(c_custkey, 17) as varchar) as id, case c_custkey % 5 when 0 then 'male' when 1 then 'female' when 4 then 'other' else 'unknown' end as gender,
+               case when c_custkey % 9 = 0 then 'future_birth_date' when c_custkey % 9 = 1 then 'bad_birth_date' end as error_code, c_custkey = 17 as null_id from customer""",
+    "lab_observation": """
+        select p_partkey as row_id, 'obs-' || p_partkey || '-A1Cresult' as id, case when p_size % 7 <> 0 then cast(p_size as double) end as value, 'mg/dL' as unit,
+               case when p_size % 7 = 0 then 'non_numeric' end as error_code from part""",
+    "vital_range": "select 'systolic_bp' as code, count(*) filter (value < 50 or value > 250) as errors, count(*) filter (value between 50 and 250) as valid from events",
+    "gender_normalise": "select case c_custkey % 5 when 0 then 'male' when 1 then 'female' when 4 then 'other' else 'unknown' end as gender, count(*) as records from customer group by 1",
+    "age_in_years": """
+        select o_orderkey, cast(2024 - year(o_orderdate) - case when (month(o_orderdate), day(o_orderdate)) > (2, 29) then 1 else 0 end as int) as age from orders""",
+    "birth_dates": "select c_custkey as row_id, cast(case when c_custkey % 9 = 0 then '2999-01-01' when c_custkey % 9 = 2 then '1980-03-05' when c_custkey % 9 not in (1, 3) then '1990-12-31' end as date) as birth from customer",
+    "numeric_casts": """
+        select c_custkey, case c_custkey % 6 when 1 then c_custkey + 0.5 when 3 then cast('-inf' as double) end as coerced,
+               cast(case c_custkey % 6 when 1 then c_custkey + 0.5 when 2 then 1000 when 3 then cast('-inf' as double) when 4 then -1 end as double) as strict from customer""",
+    "nan_as_missing": "select count(*) as above from events where event_id % 4 <> 0 and value > 300",
+    "csv_round_trip": """
+        select c_custkey, c_name, case when c_custkey % 7 <> 0 then cast(c_nationkey as bigint) end as c_nationkey, c_acctbal,
+               case when c_custkey % 10 = 0 then null when c_custkey % 10 = 1 then '?' else c_mktsegment end as c_mktsegment, c_custkey % 2 = 0 as even from customer""",
+    "parquet_scan": "select * from supplier",
+    "row_numbers": "select n_nationkey, row_number() over (order by n_nationkey) - 1 as row_id from nation",
+}
