@@ -76,17 +76,34 @@ def _grams(joined: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
 _COUNTS = pa.schema([("word", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
 
+#: Bytes of text whose words, and whose n-grams, are handled at once; n-grams take some 40 bytes of memory each.
+WORD_SLICE, GRAM_SLICE = 12 << 20, 2 << 20
+_ROWS = 200_000
+
+
+def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys, of = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+    return keys, np.bincount(of, np.concatenate([a[1], b[1]]), len(keys)).astype(np.int64)
+
+
 def _count(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in batches:
-            for part in slices(batch.column(0), 16 << 20):
-                _, units, joined = _words(part)
+            for part in slices(batch.column(0), WORD_SLICE):
+                _, units, _ = _words(part)
                 n = np.bincount(units.indices.to_numpy(zero_copy_only=False), minlength=len(units.dictionary))
                 words, n = units.dictionary.filter(pa.array(n > 0)), n[n > 0]
                 words, n = pa.concat_arrays([words, pa.array([END])]), np.append(n, len(part))
-                yield pa.RecordBatch.from_arrays([words, pa.nulls(len(words), pa.int64()), pa.array(n, pa.int64())], schema=_COUNTS)
-                grams, n = np.unique(_grams(joined, order)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(grams), pa.string()), pa.array(grams.astype(np.int64)), pa.array(n, pa.int64())], schema=_COUNTS)
+                for i in range(0, len(words), _ROWS):
+                    some = words.slice(i, _ROWS)
+                    yield pa.RecordBatch.from_arrays([some, pa.nulls(len(some), pa.int64()), pa.array(n[i : i + _ROWS], pa.int64())], schema=_COUNTS)
+                del units, words
+                for piece in slices(part, GRAM_SLICE):
+                    grams = _merged(grams, np.unique(_grams(_words(piece)[2], order)[0], return_counts=True))
+        for i in range(0, len(grams[0]), _ROWS):
+            keys = grams[0][i : i + _ROWS]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(grams[1][i : i + _ROWS], pa.int64())], schema=_COUNTS)
 
     return run
 
@@ -261,7 +278,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
         scorer = _scorer(*model.value)
         for batch in batches:
             at = 0
-            for part in slices(batch.column(3)):
+            for part in slices(batch.column(3), GRAM_SLICE):
                 own = batch.slice(at, len(part))
                 at += len(part)
                 yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), own.column(2), *scorer.score(part).values()], schema=_SCORED)
