@@ -5,8 +5,8 @@ Each class has SIGNATURE minwise tokens. TREES independent trees branch the clas
 two of the signature's coordinates, chosen by the node's path, send a class to two children named
 by its tokens there. At a similarity of 0.75 a pair stays together in one given child with
 probability 0.75, so two children a node keep it in some branch of a tree with probability 0.89 at
-any depth, and in some tree with probability over 0.9998; on the first level alone it shares one of
-eight nodes with probability 1 - 0.25 ** 8.
+any depth, and in some tree with probability 0.9986; on the first level alone it shares one of six
+nodes with probability 1 - 0.25 ** 6.
 
 Small nodes are compared exhaustively. Large nodes are compared with PIVOTS members drawn anew on
 each level. A class that is linked to a pivot is settled: it is in the pivot's component, and what
@@ -29,9 +29,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import ArrayType, LongType
 
 from .common import attach_groups, filter_test, materialise, member_filter, slices, text_or_empty, word_hashes
 
@@ -39,9 +40,9 @@ SHINGLE_WORDS = 5
 #: Linked if 100 * intersection >= LEAST_PERCENT * union.
 LEAST_PERCENT = 75
 SIGNATURE = 128
-TREES = 4
+TREES = 3
 #: A node of up to so many classes is compared exhaustively.
-NODE_ROWS = 24
+NODE_ROWS = 64
 PIVOTS = 4
 LEVELS = 8
 #: A large node ends with at most so many unsettled classes, each compared with all its members; on the last level any number is.
@@ -51,12 +52,16 @@ MEMBER_ROWS = 1024
 LEAST_ESTIMATE = 0.58
 #: Sets that may be broadcast at once to join hot pivots.
 HOT_SETS = 64
+#: Edges that one task unites.
+SMALL_GRAPH = 500_000
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 _S29, _S32 = np.uint64(29), np.uint64(32)
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(0, 1 << 32, SIGNATURE, np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, SIGNATURE, np.uint32)
+#: A tree's root has two children, so there are two of its own minwise hashes a tree.
+_ROOTS = _RNG.integers(0, 1 << 63, 2 * TREES, np.uint64)
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -80,60 +85,98 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
                 yield np.empty(0, np.uint64)
 
 
-def signature(items: np.ndarray) -> np.ndarray:
-    """SIGNATURE minwise tokens of 32 bits."""
+def signature(items: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """SIGNATURE minwise tokens, 16 bits of each kept, and the 64-bit minwise tokens of the roots' children."""
     low = np.full(SIGNATURE, 0xFFFFFFFF, np.uint32)
     small = (items >> _S32).astype(np.uint32) ^ items.astype(np.uint32)
     for i in range(0, len(small), 256):
         low = np.minimum(low, (small[i : i + 256, None] * _A + _B).min(axis=0))
-    return low
+    # the lowest bits of a minimum are as good as random, the highest are nearly all zero
+    roots = [int((mixed := (items ^ r) * _M[1], (mixed ^ (mixed >> _S32)) * _M[3])[1].min()) for r in _ROOTS]
+    return low.astype(np.uint16), roots
 
 
 def _set_id(items: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(items.tobytes())
 
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("sig", pa.binary())])
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("sig", pa.binary()), ("roots", pa.list_(pa.int64()))])
+_SKETCH_SPARK = "doc_id long, n_shingles long, set_id binary, sig binary, roots array<long>"
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >= 1 << 63 else x
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(doc, len(s), _set_id(s), signature(s).tobytes()) if len(s) else (doc, 0, None, None) for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1)))]
+        rows = []
+        for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1))):
+            if not len(s):
+                rows.append((doc, 0, None, None, None))
+                continue
+            sig, roots = signature(s)
+            rows.append((doc, len(s), _set_id(s), sig.tobytes(), [_signed(xxhash.xxh3_64_intdigest(f"{i}:{r}")) for i, r in enumerate(roots)]))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SKETCH)], schema=_SKETCH)
 
 
-_ITEMS = pa.schema([("set_id", pa.binary()), ("items", pa.binary())])
+_WHOLE = pa.schema([("node", pa.int64()), ("sig", pa.binary()), ("words", pa.binary())])
 
 
-def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, set_id, node, sig): those whose set is the one looked for, with their words, compressed."""
+    packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        rows = [(_set_id(s), s.tobytes()) for s in shingle_sets(batch.column(0))]
+        rows = []
+        texts = batch.column(0)
+        for text, s, set_id, node, sig in zip(texts, shingle_sets(texts), *(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            if _set_id(s) == set_id:
+                rows.append((node, sig, packer.compress(b" ".join(text.as_py().encode("utf-8", "surrogatepass").lower().split()))))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ITEMS)], schema=_ITEMS)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _WHOLE)], schema=_WHOLE)
 
 
-def linked(a: bytes, b: bytes) -> bool:
+def full_set(words: bytes) -> np.ndarray:
+    """The shingle set of compressed words."""
+    return next(shingle_sets(pa.array([zstandard.decompress(words).decode("utf-8", "surrogatepass")])))
+
+
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
     """Whether two full sets are as similar as a link needs."""
-    if LEAST_PERCENT * max(len(a), len(b)) > 100 * min(len(a), len(b)):
+    if LEAST_PERCENT * max(len(x), len(y)) > 100 * min(len(x), len(y)):
         return False
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     both = np.concatenate([x, y])
     both.sort(kind="stable")
     common = int((both[1:] == both[:-1]).sum())
     return 100 * common >= LEAST_PERCENT * (len(both) - common)
 
 
-@F.arrow_udf(BooleanType())
-def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array([linked(x.as_py(), y.as_py()) for x, y in zip(a, b)], pa.bool_())
+def _linked_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, words_a, words_b): the pairs that are linked. The sets used last are kept."""
+    recent: dict[int, np.ndarray] = {}
 
+    def of(node: int, words: bytes) -> np.ndarray:
+        if node not in recent:
+            if len(recent) >= 256:
+                recent.clear()
+            recent[node] = full_set(words)
+        return recent[node]
 
-@F.arrow_udf(BooleanType())
-def _alike(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Whether two signatures agree in enough tokens."""
-    x, y = (np.frombuffer(b"".join(z.as_py() for z in c), np.uint32).reshape(-1, SIGNATURE) for c in (a, b))
-    return pa.array((x == y).sum(axis=1) >= LEAST_ESTIMATE * SIGNATURE, pa.bool_())
+    for batch in batches:
+        out = [(a, b) for a, b, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)) if linked(of(a, x.as_py()), of(b, y.as_py()))]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=_PAIRS)
+
+
+@F.arrow_udf(ArrayType(LongType()))
+def _like_pivots(sig: pa.Array, pivots: pa.Array) -> pa.Array:
+    """The pivots whose signatures agree with this one in enough tokens."""
+    out = []
+    for x, row in zip(sig, pivots):
+        own = np.frombuffer(x.as_py(), np.uint16)
+        out.append([q["p"] for q in row.as_py() if (np.frombuffer(q["sig_p"], np.uint16) == own).sum() >= LEAST_ESTIMATE * SIGNATURE])
+    return pa.array(out, pa.list_(pa.int64()))
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -146,7 +189,7 @@ def _node_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def compared() -> Iterator[tuple[int, int]]:
         if len(nodes) < 2:
             return
-        m = np.frombuffer(b"".join(sigs), np.uint32).reshape(-1, SIGNATURE)
+        m = np.frombuffer(b"".join(sigs), np.uint16).reshape(-1, SIGNATURE)
         for i in np.flatnonzero(opens).tolist():
             alike = (m == m[i]).sum(axis=1) >= LEAST_ESTIMATE * SIGNATURE
             for j in np.flatnonzero(alike).tolist():
@@ -173,8 +216,8 @@ def _node_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _token(coordinate: Column) -> Column:
-    """Four bytes of the signature; the coordinate is a column as it depends on the path."""
-    return F.substring(F.col("sig"), coordinate * 4 + 1, F.lit(4))
+    """Two bytes of the signature; the coordinate is a column as it depends on the path."""
+    return F.substring(F.col("sig"), coordinate * 2 + 1, F.lit(2))
 
 
 def _children(path: Column) -> list[Column]:
@@ -186,41 +229,73 @@ def _children(path: Column) -> list[Column]:
     return out
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of all nodes of an edge table (a, b): each round maps every node to its least neighbour.
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over one task's edges; the least node is the root."""
+    parent: dict[int, int] = {}
 
-    Every round at least halves the nodes of a component that still have edges.
+    def find(x: int) -> int:
+        top = x
+        while (up := parent.setdefault(top, top)) != top:
+            top = up
+        while x != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = find(a), find(b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    if parent:
+        nodes = list(parent)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], names=["a", "to"])
+
+
+def components(edges: DataFrame, small: int = SMALL_GRAPH) -> DataFrame:
+    """(node, root) of all nodes of an edge table (a, b).
+
+    While more than `small` edges are left, each round maps every node to its least neighbour and
+    drops the edges within, which at least halves the nodes; what is left then is one task's work.
     """
     edges = materialise(edges.select("a", "b").where("a <> b").distinct(), "edges")
     labels = None
-    while not edges.isEmpty():
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to"), F.count("*").alias("degree")), "least")
-        total = max(1, edges.count())
+    while left := edges.count():
+        if left <= small:
+            least = materialise(edges.repartition(1).mapInArrow(_united, "a long, to long"), "least").withColumn("degree", F.lit(1))
+        else:
+            both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            least = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to"), F.count("*").alias("degree")), "least")
         if labels is None:
             labels = least.select(F.col("a").alias("node"), F.col("to").alias("root"))
         else:
             sizes = labels.groupBy("root").agg(F.count("*").alias("members")).join(least.select(F.col("a").alias("root"), "to"), "root")
-            moved = attach_groups(labels, sizes, "root", "members", max(1, labels.count()))
-            labels = moved.select("node", F.coalesce("to", "root").alias("root"))
+            labels = attach_groups(labels, sizes, "root", "members", max(1, labels.count())).select("node", F.coalesce("to", "root").alias("root"))
         labels = materialise(labels, "labels")
-        one = attach_groups(edges, least, "a", "degree", total).select(F.col("to").alias("x"), F.col("b").alias("a"))
-        two = attach_groups(one, least, "a", "degree", total).select("x", F.col("to").alias("y"))
+        if left <= small:
+            break
+        one = attach_groups(edges, least, "a", "degree", left).select(F.col("to").alias("x"), F.col("b").alias("a"))
+        two = attach_groups(one, least, "a", "degree", left).select("x", F.col("to").alias("y"))
         edges = materialise(two.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
-    if labels is None:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return labels
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")) if labels is None else labels
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the distinct pairs (a, b) whose full sets are similar enough. b's set moves to a's; a hot a is broadcast."""
+    """Those of the distinct pairs (a, b) whose full sets are similar enough.
+
+    Only the sets that the pairs name move: b's to the pairs, and these to a's; a hot end is broadcast.
+    """
     pairs = materialise(pairs, "candidates")
-    total = max(1, pairs.count())
-    left = pairs.groupBy("a").agg(F.count("*").alias("pairs")).join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
-    right = pairs.groupBy("b").agg(F.count("*").alias("pairs_b")).join(sets.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
-    whole = attach_groups(pairs, right, "b", "pairs_b", total, HOT_SETS)
-    whole = attach_groups(whole, left, "a", "pairs", total, HOT_SETS)
-    return materialise(whole.where(_linked("items_a", "items_b")).select("a", "b"), "links")
+    total = pairs.count()
+    if not total:
+        return pairs
+    ends = [pairs.groupBy(F.col(x).alias("node")).agg(F.count("*").alias("pairs")) for x in "ba"]
+    needed, cells = member_filter(ends[0].select("node").unionByName(ends[1].select("node")), "node", 2 * total)
+    some = filter_test(sets.select("node", "words"), "node", needed, cells).where("__maybe").drop("__maybe")
+    whole = pairs
+    for x, end in zip("ba", ends):
+        found = end.join(some, "node").select(F.col("node").alias(x), "pairs", F.col("words").alias(f"words_{x}"))
+        whole = attach_groups(whole, found, x, "pairs", total, HOT_SETS).drop("pairs")
+    return materialise(whole.select("a", "b", "words_a", "words_b").mapInArrow(_linked_pairs, "a long, b long"), "links")
 
 
 def _members(state: DataFrame) -> DataFrame:
@@ -246,34 +321,37 @@ def _rest_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     The members are dealt over cells of about MEMBER_ROWS rows, and a copy of the unsettled ones, in
     parts of about REST_ROWS, goes to each cell; only links leave it.
     """
-    rows = members.join(sets, "node").select("key", "node", "open", "label", "sig", "items", F.ceil(F.col("unsettled") / REST_ROWS).cast("int").alias("f"), F.ceil(F.col("size") / MEMBER_ROWS).cast("int").alias("m"))
+    rows = members.join(sets, "node").select("key", "node", "open", "label", "sig", "words", F.ceil(F.col("unsettled") / REST_ROWS).cast("int").alias("f"), F.ceil(F.col("size") / MEMBER_ROWS).cast("int").alias("m"))
     part, cell = F.pmod(F.xxhash64("node", F.lit("part")), "f").cast("int"), F.pmod(F.xxhash64("node", F.lit("cell")), "m").cast("int")
     every = F.transform(F.sequence(F.lit(0), F.col("f") - 1), lambda x: F.struct(x.alias("f"), cell.alias("m"), F.lit(False).alias("rest")))
     rest = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda x: F.struct(part.alias("f"), x.alias("m"), F.lit(True).alias("rest")))
-    dealt = rows.select("key", "node", "label", "sig", "items", F.explode(F.when(F.col("open"), F.concat(every, rest)).otherwise(every)).alias("to"))
-    dealt = dealt.select(F.xxhash64("key", "to.f", "to.m").alias("cell"), "to.rest", "node", "label", "sig", "items").repartition("cell")
+    dealt = rows.select("key", "node", "label", "sig", "words", F.explode(F.when(F.col("open"), F.concat(every, rest)).otherwise(every)).alias("to"))
+    dealt = dealt.select(F.xxhash64("key", "to.f", "to.m").alias("cell"), "to.rest", "node", "label", "sig", "words").repartition("cell")
     return dealt.sortWithinPartitions("cell", F.col("rest").desc(), "node").mapInArrow(_cell_links, "a long, b long").distinct()
 
 
 def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """By cell first the unsettled classes, then the members: a link of each to every label it is similar enough to."""
-    cell, rest, done = None, [], []
+    cell, rest, done, table = None, [], [], None
     for batch in batches:
         out = []
-        for key, is_rest, node, label, sig, items in zip(*(batch.column(i).to_pylist() for i in range(6))):
+        for key, is_rest, node, label, sig, words in zip(*(batch.column(i).to_pylist() for i in range(6))):
             if key != cell:
                 cell, rest, done, table = key, [], [], None
             if is_rest:
-                rest.append((node, sig, items))
+                rest.append((node, sig, full_set(words)))
                 done.append(set())
                 continue
             if table is None:
-                table = np.frombuffer(b"".join(r[1] for r in rest), np.uint32).reshape(-1, SIGNATURE)
-            alike = (table == np.frombuffer(sig, np.uint32)).sum(axis=1) >= LEAST_ESTIMATE * SIGNATURE
+                table = np.frombuffer(b"".join(r[1] for r in rest), np.uint16).reshape(-1, SIGNATURE)
+            alike = (table == np.frombuffer(sig, np.uint16)).sum(axis=1) >= LEAST_ESTIMATE * SIGNATURE
+            own = None
             for i in np.flatnonzero(alike).tolist():
-                if rest[i][0] != node and label not in done[i] and linked(rest[i][2], items):
-                    done[i].add(label)
-                    out.append((min(node, rest[i][0]), max(node, rest[i][0])))
+                if rest[i][0] != node and label not in done[i]:
+                    own = full_set(words) if own is None else own
+                    if linked(rest[i][2], own):
+                        done[i].add(label)
+                        out.append((min(node, rest[i][0]), max(node, rest[i][0])))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=_PAIRS)
 
@@ -286,9 +364,8 @@ def _pivot_links(members: DataFrame, sets: DataFrame, level: int) -> DataFrame:
     pivots = pivots.groupBy("key", "size").agg(F.collect_list(F.struct("p", "sig_p")).alias("pivots"))  # PIVOTS of a key
     open_ = members.where("open").select("key", "node").join(sets.select("node", "sig"), "node")
     joined = attach_groups(open_, pivots, "key", "size", max(1, members.count()), HOT_SETS)
-    pairs = joined.select("node", "sig", F.explode("pivots").alias("q")).where(F.col("q.p") != F.col("node"))
-    pairs = pairs.where(_alike("sig", F.col("q.sig_p"))).select(F.least("node", F.col("q.p")).alias("a"), F.greatest("node", F.col("q.p")).alias("b")).distinct()
-    return _confirmed(pairs, sets)
+    pairs = joined.select("node", F.explode(_like_pivots("sig", "pivots")).alias("p")).where("p <> node")
+    return _confirmed(pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct(), sets)
 
 
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -310,21 +387,21 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, root) of all classes that are linked with another one."""
     spark = classes.sparkSession
     none = spark.createDataFrame([], "a long, b long")
-    roots = F.array(*(c for t in range(TREES) for c in _children(F.xxhash64(F.lit(f"tree{t}")))))
-    state = materialise(classes.select("node", F.explode(roots).alias("key"), F.lit(True).alias("open")), "state")
+    state = materialise(classes.select("node", F.explode("roots").alias("key"), F.lit(True).alias("open")), "state")
     members = _members(state)
-    inside = materialise(members.select("node").distinct().join(classes, "node"), "inside")
+    inside = materialise(members.select("node").distinct().join(classes.select("node", "set_id", "first_doc", "sig"), "node"), "inside")
     total = inside.count()
     if not total:
         return none.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
-    # the full sets of the classes that share a node with another one, from a second reading of the text
+    # the words of the classes that share a node with another one, from a second reading of the text
     words, cells = member_filter(inside, "first_doc", total)
     first = F.coalesce("doc_id", F.lit(-(1 << 63)))
     wanted = filter_test(docs.select(first.alias("first_doc"), "text"), "first_doc", words, cells).where("__maybe").drop("__maybe")
-    wanted = wanted.join(inside.select("first_doc").distinct(), "first_doc", "left_semi")
-    items = wanted.select("text").mapInArrow(_items, "set_id binary, items binary").groupBy("set_id").agg(F.first("items").alias("items"))
-    sets = materialise(inside.select("node", "set_id", "sig").join(items, "set_id").select("node", "sig", "items"), "sets")
+    sets = wanted.join(inside, "first_doc").select("text", "set_id", "node", "sig").mapInArrow(_whole, "node long, sig binary, words binary")
+    sets = materialise(sets, "sets")
+    if sets.count() != total:  # rows that repeat id and text
+        sets = materialise(sets.groupBy("node").agg(F.first("sig").alias("sig"), F.first("words").alias("words")), "sets")
 
     settled_links, candidates = [], []
     for level in range(1, LEVELS + 1):
@@ -351,8 +428,7 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
         branched = more.join(sets.select("node", "sig"), "node").select("node", "open", F.explode(F.array(*_children(F.col("key")))).alias("key"))
         members = _members(materialise(branched, "state"))
 
-    known = components(_union([none, *settled_links]))
-    pairs = materialise(_across(_union([none, *candidates]).distinct(), known), "pairs")
+    pairs = materialise(_union([none, *candidates]).distinct(), "pairs")
     # first a link to the least neighbour, then what is still not connected
     nearest = pairs.groupBy(F.col("b")).agg(F.min("a").alias("a")).select("a", "b")
     links = _union([none, *settled_links, _confirmed(nearest, sets)])
@@ -364,31 +440,33 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept, set_id."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    sketches = materialise(rows.mapInArrow(_sketch, "doc_id long, n_shingles long, set_id binary, sig binary"), "sketches")
+    sketches = materialise(rows.mapInArrow(_sketch, _SKETCH_SPARK), "sketches")
     total = max(1, sketches.count())
     known = sketches.where("set_id is not null")
-    classes = known.groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count("*").alias("size"), F.first("sig").alias("sig"))
-    classes = classes.select("set_id", "least", F.coalesce("least", F.lit(-(1 << 63))).alias("first_doc"), "size", "sig", F.monotonically_increasing_id().alias("node"))
+    classes = known.groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count("*").alias("size"), F.first("sig").alias("sig"), F.first("roots").alias("roots"))
+    classes = classes.select("set_id", "least", F.coalesce("least", F.lit(-(1 << 63))).alias("first_doc"), "size", "sig", "roots", F.monotonically_increasing_id().alias("node"))
     classes = materialise(classes, "classes")
 
-    roots = materialise(_links(classes.select("node", "set_id", "first_doc", "sig"), rows), "roots")
+    roots = materialise(_links(classes, rows), "roots")
     named = roots.join(classes.select("node", "least"), "node")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
     labelled = attach_groups(roots, names, "root", "members", total).select("node", "component_id")
     of_class = classes.join(labelled, "node", "left").select("set_id", "size", F.coalesce("component_id", "least").alias("component_id"))
-    joined = attach_groups(known.drop("sig"), of_class, "set_id", "size", total).select("doc_id", "n_shingles", "component_id", "set_id")
+    joined = attach_groups(known.drop("sig", "roots"), of_class, "set_id", "size", total).select("doc_id", "n_shingles", "component_id", "set_id")
     empty = sketches.where("set_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "set_id")
     return joined.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def kept_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, one of each component, with all their columns."""
-    gone = materialise(near_duplicates(docs, doc_id, text).where("not kept").select(F.col("doc_id").alias("__gone")), "gone")
-    words, cells = member_filter(gone, "__gone", max(1, gone.count()))
-    tested = filter_test(docs.withColumn("__id", F.col(doc_id).cast("long")), "__id", words, cells)
-    sure = tested.where("not __maybe or __id is null").select(docs.columns)
-    checked = tested.where("__maybe and __id is not null").join(gone, F.col("__id") == F.col("__gone"), "left_anti").select(docs.columns)
-    return sure.unionByName(checked)
+    gone = materialise(near_duplicates(docs, doc_id, text).where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone")), "gone")
+    words, cells = member_filter(gone, "gone", max(1, gone.count()))
+    names = docs.columns
+    own = [f"c{i}" for i in range(len(names))]
+    tested = filter_test(docs.toDF(*own).withColumn("id", F.col(own[names.index(doc_id)]).cast("long")), "id", words, cells)
+    sure = tested.where("not __maybe or id is null").select(own)
+    checked = tested.where("__maybe and id is not null").join(gone, F.col("id") == F.col("gone"), "left_anti").select(own)
+    return sure.unionByName(checked).toDF(*names)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
