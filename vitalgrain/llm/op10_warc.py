@@ -39,8 +39,8 @@ ARCHIVE_BYTES = 16 << 20
 DATE = "2020-01-01T00:00:00Z"
 END = "\r\n\r\n"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
-_START = re.compile(rb"\x1f\x8b\x08|(?:(?<=\n)|\A)WARC/\d\.\d\r\n")
-_VERSION = re.compile(rb"(?:(?<=\n)|\A)WARC/\d\.\d\r\n")
+_START = re.compile(rb"\x1f\x8b\x08|WARC/\d\.\d\r\n")
+_VERSION = re.compile(rb"WARC/\d\.\d\r\n")
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
 

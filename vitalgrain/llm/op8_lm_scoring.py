@@ -77,7 +77,7 @@ _COUNTS = pa.schema([("word", pa.string()), ("gram", pa.int64()), ("n", pa.int64
 
 
 #: Bytes of text whose words, and whose n-grams, are handled at once; n-grams take some 40 bytes of memory each.
-WORD_SLICE, GRAM_SLICE = 12 << 20, 2 << 20
+WORD_SLICE, GRAM_SLICE = 6 << 20, 2 << 20
 _ROWS = 200_000
 
 
@@ -112,7 +112,7 @@ class Table:
     """Open addressing over 64-bit keys, looked up a whole array at a time."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 2.5))))
+        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 1.6))))
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.used = np.zeros(1 << self.bits, bool)
         self.values = np.zeros(1 << self.bits, values.dtype)
@@ -199,8 +199,8 @@ class Ppm:
 class Scorer:
     """Scores of texts with a trie and the counts of the frequent words."""
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int, words: np.ndarray, checks: np.ndarray, word_counts: np.ndarray):
-        self.ppm = Ppm(grams, counts, order)
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int, words: np.ndarray, checks: np.ndarray, word_counts: np.ndarray, ends: int):
+        self.ppm, self.ends = Ppm(grams, counts, order), ends
         self.slot = Table(words, np.arange(len(words), dtype=np.int64))
         # one more row, for words that are not in the head
         self.checks, self.counts = np.append(checks, 0), np.append(word_counts, 0)
@@ -222,7 +222,7 @@ class Scorer:
         tail_upto = np.concatenate([[0], np.cumsum(tail)])
         codes, at = _grams(joined, self.ppm.order)
         logs = np.concatenate([[0.0], np.cumsum(self.ppm.logs(codes))])
-        end = int(self.head([END])[0])
+        end = self.ends
         return {
             "n_tokens": pa.array(np.diff(starts) + 1, pa.int64()),
             "head_known": pa.array(np.diff(known[starts]) + (end > 0), pa.int64()),
@@ -257,7 +257,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
     counts = materialise(partial.groupBy("word", "gram").agg(F.sum("n").alias("n")), "counts")
     words = counts.where("word is not null").select("word", "n")
     grams = counts.where("gram is not null").select("gram", "n")
-    totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
+    totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct"), F.coalesce(F.max(F.when(F.col("word") == END, F.col("n"))), F.lit(0)).alias("ends")).first()
     least_word, least_gram = _threshold(words, head_words), _threshold(grams, max_grams)
 
     # at most head_words and max_grams rows
@@ -271,6 +271,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
             np.array([xxhash.xxh3_64_intdigest(w) for w in names], np.uint64),
             np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64),
             head.column("n").to_numpy(),
+            totals["ends"],
         )
     )
 
