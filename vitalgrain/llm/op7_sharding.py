@@ -87,3 +87,18 @@ def _sql_unit(column: str) -> str:
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("source")
+
+
+ORACLE = f"""
+with tab as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+h as (select doc_id, source, encode(coalesce(text, '')) as raw from documents),
+b as (select doc_id, source, octet_length(raw) + 8 as size, list_transform(regexp_extract_all(hex(raw), '..'), lambda x: cast('0x' || x as bigint)) as b from h),
+c as (select doc_id, size, xor(list_reduce(list_prepend(4294967295::bigint, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) as text_crc32,
+             md5('{SEED}:' || coalesce(cast(doc_id as varchar), 'null')) as key, coalesce('s' || source, '-') as stratum from b, tab),
+r as (select *, row_number() over (partition by stratum order by key, doc_id, size, text_crc32) as rank, count(*) over (partition by stratum) as n from c),
+f as (select *, (rank - (cast('0x' || substr(md5('{SEED}' || stratum), 1, 8) as bigint) + 0.5::double) / 4294967296::double) / n as fraction, count(*) over () as total from r),
+p as (select *, row_number() over (order by fraction, stratum, rank) - 1 as pos from f)
+select doc_id, cast(size as bigint) as size, cast(text_crc32 as bigint) as text_crc32, 'rows' as law, cast(pos * {SHARDS} // total as int) as shard,
+       cast(pos - ((pos * {SHARDS} // total) * total + {SHARDS - 1}) // {SHARDS} as bigint) as slot, cast(null as int) as grown_shard
+from p
+"""

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import op6_exact_dedup as op6
+from . import op7_sharding as op7
 from . import op10_warc as op10
 from .op1_token_counts import op1_token_counts
 from .op2_bpe_codec import op2_bpe_codec
 from .op3_packing import op3_packing
 from .op4_fingerprints import op4_fingerprints
 from .op5_language import op5_language
-from .op7_sharding import op7_sharding
 from .op8_lm_scoring import op8_lm_scoring
 from .op9_near_dedup import op9_near_dedup
 
@@ -24,10 +24,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_language": op5_language,
     "op6_exact_dedup": op6.op6_exact_dedup,
-    "op7_sharding": op7_sharding,
+    "op7_sharding": op7.op7_sharding,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_near_dedup": op9_near_dedup,
     "op10_warc": op10.op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": op6.ORACLE, "op10_warc": op10.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": op6.ORACLE, "op7_sharding": op7.ORACLE, "op10_warc": op10.ORACLE}
