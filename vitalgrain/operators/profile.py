@@ -70,12 +70,12 @@ def top_missing(summary: DataFrame, n: int = 10) -> DataFrame:
     return summary.orderBy(F.desc("missing_count"), "position").limit(n).select("position", "column_name", "missing_count")
 
 
-def numeric_summary(df: DataFrame, exact_distinct: int = EXACT_DISTINCT) -> DataFrame:
+def numeric_summary(df: DataFrame, exact_distinct: int = EXACT_DISTINCT, rows: int | None = None) -> DataFrame:
     """position, column_name, count, mean, std, min, p25, p50, p75, max of each numeric column; NULL and NaN are skipped.
 
     Quartiles interpolate linearly and are exact. Up to `exact_distinct` distinct values they come
     from the same scan as all else; beyond, ranks are found by counting into bins, so that no task
-    holds a column's values.
+    holds a column's values. `rows`, where it is known, may spare the look at the distinct values.
     """
     names = numeric_columns(df)
     spark = df.sparkSession
@@ -83,8 +83,10 @@ def numeric_summary(df: DataFrame, exact_distinct: int = EXACT_DISTINCT) -> Data
     if not names:
         return spark.createDataFrame([], schema)
     value = {n: F.when(~is_missing(df, n), col(n).cast("double")) for n in names}
-    sizes = df.agg(*(F.approx_count_distinct(value[n]).alias(f"d{i}") for i, n in enumerate(names))).first()
-    large = {n for i, n in enumerate(names) if sizes[i] > exact_distinct}
+    large = set()
+    if rows is None or rows > exact_distinct:
+        sizes = df.agg(*(F.approx_count_distinct(value[n]).alias(f"d{i}") for i, n in enumerate(names))).first()
+        large = {n for i, n in enumerate(names) if sizes[i] > exact_distinct}
     aggs = []
     for i, n in enumerate(names):
         v = value[n]
@@ -93,16 +95,16 @@ def numeric_summary(df: DataFrame, exact_distinct: int = EXACT_DISTINCT) -> Data
             aggs.append(F.percentile(v, list(QUARTILES)).alias(f"q{i}"))
     wide = df.agg(*aggs)
     found = {n: binned_percentiles(df.select(value[n].alias("v")), QUARTILES) for n in large}
-    rows = []
+    lines = []
     for i, n in enumerate(names):
         quartiles = [F.lit(x).cast("double") for x in found[n]] if n in large else [F.col(f"q{i}")[k] for k in range(3)]
-        rows.append(
+        lines.append(
             F.struct(
                 F.lit(numeric_position(df, n)).alias("position"), F.lit(n).alias("column_name"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
                 *(q.alias(f"p{int(p * 100)}") for q, p in zip(quartiles, QUARTILES)), F.col(f"hi{i}").alias("max"),
             )
         )
-    return wide.select(F.inline(F.array(*rows))).orderBy("position")
+    return wide.select(F.inline(F.array(*lines))).orderBy("position")
 
 
 def numeric_position(df: DataFrame, name: str) -> int:

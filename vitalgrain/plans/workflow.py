@@ -63,7 +63,7 @@ def run_quality(spark: SparkSession, path: str, settings: Settings, log: logging
         _log_missing(log, (missing[0]["column_name"], missing[0]["missing_ratio"]) if missing else None, settings)
         _show("Missing values", missing[: q.missing.report_top_n_columns], ["column_name", "missing_count", "missing_ratio"])
         if q.numeric_summary.enabled:
-            numeric = [r.asDict() for r in profile.numeric_summary(df).limit(5).collect()]
+            numeric = [r.asDict() for r in profile.numeric_summary(df, rows=rows).limit(5).collect()]
             if not numeric:
                 log.warning("No numeric columns")
             _show("Numbers", numeric, ["column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"])

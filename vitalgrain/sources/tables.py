@@ -6,7 +6,7 @@ import csv
 import io
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,37 +54,42 @@ def read_csv_text(spark: SparkSession, path: str, na_tokens: tuple[str, ...] = N
     return raw.select(*(F.when(too_long, F.raise_error(message)).when(~F.col(f.name).isin(tokens), F.col(f.name)).alias(n) for f, n in zip(fields, names)))
 
 
+_LONG, _WIDE, _DOUBLE, _BOOLEAN, _TEXT = 1, 2, 4, 8, 16
+
+
+def _kind(v: Column) -> Column:
+    """Which of the types, as a bit, is the narrowest that holds a value; 0 for none.
+
+    A cast is tried only on what looks like a number, as one that fails costs an exception.
+    """
+    digits = F.when(F.length(v) <= 18, _LONG).when(v.try_cast("bigint").isNotNull(), _LONG).when(v.try_cast("decimal(20,0)").isNotNull(), _WIDE).otherwise(_DOUBLE)
+    number = F.when(v.rlike(r"^[+-]?\d+$"), digits).when(v.rlike(NUMBER), _DOUBLE).otherwise(_TEXT)
+    boolean = F.when(v.isin("True", "TRUE", "true", "False", "FALSE", "false"), _BOOLEAN).otherwise(_TEXT)
+    return F.when(v.isNull(), 0).when(F.substring(v, 1, 1).isin(*"+-.0123456789iI"), number).otherwise(boolean)
+
+
 def infer_types(text: DataFrame) -> DataFrame:
     """Casts each text column to the narrowest of long, wide integer, double and boolean that holds all its values.
 
-    One aggregate decides for all columns. Dates stay text; a column without any value is double.
+    One aggregate over (column, value) decides for all columns. Dates stay text; a column without
+    any value is double. ValueError if there are no rows.
     """
-    checks = []
-    for i, name in enumerate(text.columns):
-        v = F.trim(col(name))
-        integer = v.rlike(r"^[+-]?\d+$")
-        for kind, test in (
-            ("any", v.isNotNull()),
-            ("long", integer & v.try_cast("bigint").isNotNull()),
-            ("wide", integer & v.try_cast("decimal(20,0)").isNotNull()),
-            ("double", v.rlike(NUMBER)),
-            ("boolean", v.isin("True", "TRUE", "true", "False", "FALSE", "false")),
-        ):
-            agg = F.bool_or(test) if kind == "any" else F.bool_and(F.when(v.isNotNull(), F.coalesce(test, F.lit(False))))
-            checks.append(agg.alias(f"{kind}{i}"))
-    found = text.agg(*checks).first().asDict() if checks else {}
+    cells = F.array(*(F.struct(F.lit(i).alias("i"), F.trim(col(n)).alias("v")) for i, n in enumerate(text.columns)))
+    found = {r["i"]: r["kinds"] for r in text.select(F.inline(cells)).groupBy("i").agg(F.bit_or(_kind(F.col("v"))).alias("kinds")).collect()}
+    if not found:
+        raise ValueError("no rows")
     out = []
     for i, name in enumerate(text.columns):
-        v = F.trim(col(name))
-        if not found[f"any{i}"]:
+        v, kinds = F.trim(col(name)), found[i]
+        if not kinds:
             cast = F.lit(None).cast("double")
-        elif found[f"long{i}"]:
+        elif kinds == _LONG:
             cast = v.cast("bigint")
-        elif found[f"wide{i}"]:
+        elif kinds & ~(_LONG | _WIDE) == 0:
             cast = v.cast("decimal(20,0)")
-        elif found[f"double{i}"]:
+        elif kinds & ~(_LONG | _WIDE | _DOUBLE) == 0:
             cast = F.regexp_replace(v, r"(?i)inf(inity)?$", "Infinity").cast("double")
-        elif found[f"boolean{i}"]:
+        elif kinds == _BOOLEAN:
             cast = F.lower(v).cast("boolean")
         else:
             cast = col(name)
@@ -97,10 +102,8 @@ def read_csv(spark: SparkSession, path: str, na_tokens: tuple[str, ...] = NA_TOK
     text = read_csv_text(spark, path, na_tokens, placeholders)
     try:
         typed = infer_types(text)
-        if text.isEmpty():
-            raise ValueError(f"no rows in {path}")
-    except ValueError:
-        raise
+    except ValueError as e:
+        raise ValueError(f"{e} in {path}") from e
     except Exception as e:
         raise ValueError(f"can't parse {path}: {e}") from e
     return with_row_id(typed) if row_ids else typed
