@@ -48,11 +48,23 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it back: lineage ends here, and a lost executor loses nothing."""
-    path = new_path(df.sparkSession, name)
+#: Rows that a task of a narrow intermediate table writes at least.
+TASK_ROWS = 20_000
+
+
+def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Writes a table to the shared folder and reads it back: lineage ends here, and a lost executor loses nothing.
+
+    `rows`, a bound on the rows of a narrow table, keeps a small one from being written as many tiny files.
+    """
+    spark = df.sparkSession
+    if rows is not None:
+        parts = max(2 * spark.sparkContext.defaultParallelism, rows // TASK_ROWS)
+        if parts < int(spark.conf.get("spark.sql.shuffle.partitions")):
+            df = df.coalesce(parts)
+    path = new_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_or_empty(col: str | Column = "text") -> Column:
@@ -129,6 +141,7 @@ def slices(texts: pa.Array, size: int = 8 << 20) -> Iterator[pa.Array]:
         upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right"))
         yield texts.slice(at, max(1, upto - at))
         at = max(upto, at + 1)
+    pa.default_memory_pool().release_unused()  # workers live on between tasks
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -155,16 +168,16 @@ def member_filter(ids: DataFrame, column: str, total: int, bound: int = FILTER_B
     while cells < min(bound, 16 * total):
         cells *= 2
     hits = ids.select(F.explode(F.array(*filter_cells(column, cells))).alias("cell"))
-    return filter_words(hits), cells
+    return filter_words(hits, 2 * total), cells
 
 
 def filter_cells(column: str, cells: int) -> list[Column]:
     return [F.pmod(F.xxhash64(column, F.lit(i)), F.lit(cells)) + i * cells for i in range(2)]
 
 
-def filter_words(hits: DataFrame) -> DataFrame:
+def filter_words(hits: DataFrame, rows: int | None = None) -> DataFrame:
     words = hits.groupBy(F.shiftright("cell", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits"))
-    return materialise(words, "filter")
+    return materialise(words, "filter", rows)
 
 
 def filter_test(rows: DataFrame, column: str, words: DataFrame, cells: int) -> DataFrame:

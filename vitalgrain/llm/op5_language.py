@@ -17,20 +17,22 @@ same answer; an empty table stays empty; all other columns of `with_language` pa
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import scratch, slices, word_units
+
 #: Documents a language from which the classifier learns.
 SAMPLE_ROWS = 600
 LONGEST_GRAM = 4
-#: What is seen fewer times in the sample counts as unseen.
+#: A word seen fewer times in the sample counts as unseen; its n-grams don't.
 LEAST_COUNT = 2
 UNKNOWN = "und"
 #: Below this score a text is taken for none of the languages.
@@ -78,7 +80,8 @@ class Model:
             total[size][at[lang]] += n
         self.shares: list[dict[str, tuple[float, ...]]] = [{} for _ in range(LONGEST_GRAM + 1)]
         for (size, item), ns in seen.items():
-            logs = [math.log((n + 0.2) / (t + 1)) for n, t in zip(ns, total[size])]
+            # what a language lacks is as rare there as in any other, however much of it was seen
+            logs = [math.log(n / max(t, 1) + 0.2 / max(total[size])) for n, t in zip(ns, total[size])]
             self.shares[size][item] = _shares(logs)
 
     def word(self, word: str) -> tuple[float, ...] | None:
@@ -110,43 +113,43 @@ def _shares(logs: list[float]) -> tuple[float, ...]:
     return tuple(max(x - whole, -12.0) for x in logs)
 
 
-class _Rows(dict):
-    """The row of each unit in a table of sums; the table is emptied between texts once it holds `limit` rows."""
-
-    def __init__(self, model: Model, limit: int):
-        super().__init__()
-        self.model, self.limit = model, limit
-        self.table = np.zeros((limit, 2 * len(model.langs) + 1))
-
-    def __missing__(self, unit: str) -> int:
-        at = len(self)
-        if at == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[at] = self.model.unit(unit)
-        self[unit] = at
-        return at
-
-    def sums(self, units: list[str]) -> np.ndarray:
-        if len(self) >= self.limit:
-            self.clear()
-        at = np.fromiter(map(self.__getitem__, units), np.int64, len(units))
-        return self.table[at].sum(axis=0)
+#: Bytes of text whose distinct units are scored together.
+SLICE_BYTES = 6 << 20
 
 
 class Predictor:
-    def __init__(self, model: Model, limit: int = 300_000):
+    """Predicts many texts at once: each distinct unit of a slice is scored once, and nothing is kept."""
+
+    def __init__(self, model: Model):
         self.model = model
-        self.rows = _Rows(model, limit)
 
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        """The language, and the mean share that it has of the text's words."""
-        units = (text or "").split()
-        n = len(self.model.langs)
-        sums = self.rows.sums(units) if units and n else [0.0]
-        if not sums[-1]:
-            return UNKNOWN, 0.0
-        best = int(np.argmax(sums[:n]))
-        return self.model.langs[best], min(1.0, float(sums[n + best] / sums[-1]))
+    def _sums(self, texts: pa.Array) -> np.ndarray:
+        """The unit sums of each text."""
+        starts, units = word_units(texts)
+        width = 2 * len(self.model.langs) + 1
+        table = np.empty((width, len(units.dictionary)), np.float32)
+        for i, unit in enumerate(units.dictionary.to_pylist()):
+            table[:, i] = self.model.unit(unit)
+        index = units.indices.to_numpy(zero_copy_only=False)
+        out = np.empty((len(texts), width))
+        for i, row in enumerate(table):
+            upto = np.concatenate([[0.0], np.cumsum(row[index], dtype=np.float64)])
+            out[:, i] = upto[starts[1:]] - upto[starts[:-1]]
+        return out
+
+    def __call__(self, texts: pa.Array) -> list[tuple[str, float]]:
+        """The language of each text, and the mean share that it has of the text's words."""
+        langs, n = self.model.langs, len(self.model.langs)
+        if not n:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        out = []
+        for part in slices(pc.fill_null(texts, ""), SLICE_BYTES):
+            sums = self._sums(part)
+            best = sums[:, :n].argmax(axis=1)
+            words = np.rint(sums[:, -1])
+            share = np.minimum(1.0, np.maximum(0.0, sums[np.arange(len(best)), n + best] / np.maximum(words, 1)))
+            out += [(langs[b], float(s)) if w else (UNKNOWN, 0.0) for b, s, w in zip(best.tolist(), share.tolist(), words.tolist())]
+        return out
 
 
 def fold(doc_id: str | Column, folds: int) -> Column:
@@ -163,29 +166,18 @@ def fit(rows: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "
         return Model([])
     share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_rows / n))))
     drawn = known.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).where("text is not null").select("lang", "text")
-    counts = drawn.mapInArrow(_learn, "lang string, size int, item string, n long").groupBy("lang", "size", "item").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+    counts = drawn.mapInArrow(_learn, "lang string, size int, item string, n long").groupBy("lang", "size", "item").agg(F.sum("n").alias("n")).where((F.col("n") >= LEAST_COUNT) | (F.col("size") > 0))
     return Model([tuple(r) for r in counts.collect()])
 
 
-_LAST: dict[str, Predictor] = {}
-
-
-def _predictor(name: str, model: Model) -> Predictor:
-    """Built once in each worker process; only the last model is kept."""
-    if name not in _LAST:
-        _LAST.clear()
-        _LAST[name] = Predictor(model)
-    return _LAST[name]
-
-
 def language(model: Model, spark: SparkSession, text: str | Column = "text") -> Column:
     """struct(lang_pred, score) of a text."""
-    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, model))
+    shared = spark.sparkContext.broadcast(model)
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
     @F.arrow_udf("lang_pred string, score double")
     def predicted(texts: pa.Array) -> pa.Array:
-        predict = _predictor(*shared.value)
-        return pa.array([dict(zip(("lang_pred", "score"), predict(x.as_py()))) for x in texts], kind)
+        langs, scores = zip(*Predictor(shared.value)(texts)) if len(texts) else ((), ())
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], fields=list(kind))
 
     return predicted(F.col(text) if isinstance(text, str) else text)
 
@@ -193,13 +185,22 @@ def language(model: Model, spark: SparkSession, text: str | Column = "text") ->
 def with_language(docs: DataFrame, train: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Adds lang_pred and score; learns from `train`, or else from the documents outside fold 1 of 3."""
     model = fit(train if train is not None else docs.where(fold(doc_id, 3) != 1), doc_id=doc_id, text=text)
-    return docs.withColumn("__l", language(model, docs.sparkSession, text)).withColumns({"lang_pred": F.col("__l.lang_pred"), "score": F.col("__l.score")}).drop("__l")
-
-
-def identified(docs: DataFrame) -> DataFrame:
-    """The rows whose language is recognised, unchanged: not `und`, and a score of MIN_SCORE at least."""
-    found = docs.withColumn("__found", language(fit(docs.where(fold("doc_id", 3) != 1)), docs.sparkSession))
-    return found.where((F.col("__found.lang_pred") != UNKNOWN) & (F.col("__found.score") >= MIN_SCORE)).drop("__found")
+    found = scratch("language", docs.columns)
+    named = {"lang_pred": F.col(f"{found}.lang_pred"), "score": F.col(f"{found}.score")}
+    return docs.withColumn(found, language(model, docs.sparkSession, text)).withColumns(named).drop(found)
+
+
+def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows whose language is recognised, unchanged: not `und`, and a score of MIN_SCORE at least.
+
+    Learns from all rows that have a language; where none has, every text with a letter passes.
+    """
+    found = scratch("language", docs.columns)
+    model = fit(docs, doc_id=doc_id, text=text)
+    if not model.langs:
+        return docs.where(F.col(text).rlike(r"\p{L}"))
+    named = docs.withColumn(found, language(model, docs.sparkSession, text))
+    return named.where((F.col(f"{found}.lang_pred") != UNKNOWN) & (F.col(f"{found}.score") >= MIN_SCORE)).drop(found)
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ def repeat_filter(digests: DataFrame, digest: str, total: int, bound: int = FILT
     while cells < min(bound, CELLS_A_ROW * total):
         cells *= 2
     hits = digests.select(F.explode(F.array(*filter_cells(digest, cells))).alias("cell")).groupBy("cell").agg(F.count("*").alias("hits"))
-    return filter_words(hits.where("hits > 1")), cells
+    return filter_words(hits.where("hits > 1"), 2 * total), cells
 
 
 #: Pass two: adds the boolean `__maybe`, false only where no other row has the same digest.

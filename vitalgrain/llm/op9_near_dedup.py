@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from .common import attach_groups, filter_test, materialise, member_filter, slices, text_or_empty, word_hashes
+from .op6_exact_dedup import repeat_filter
 
 SHINGLE_WORDS = 5
 #: Linked if 100 * intersection >= LEAST_PERCENT * union.
@@ -52,6 +53,8 @@ MEMBER_ROWS = 1024
 LEAST_ESTIMATE = 0.58
 #: Sets that may be broadcast at once to join hot pivots.
 HOT_SETS = 64
+#: Pairs that may be broadcast, 16 bytes each.
+FEW_PAIRS = 200_000
 #: Edges that one task unites.
 SMALL_GRAPH = 500_000
 
@@ -121,20 +124,20 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SKETCH)], schema=_SKETCH)
 
 
-_WHOLE = pa.schema([("node", pa.int64()), ("sig", pa.binary()), ("words", pa.binary())])
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(first_doc, text): the words in place of the text, compressed before they move."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        words = [packer.compress(b" ".join(t.as_py().encode("utf-8", "surrogatepass").lower().split())) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], names=["first_doc", "words"])
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, set_id, node, sig): those whose set is the one looked for, with their words, compressed."""
-    packer = zstandard.ZstdCompressor(level=3)
+    """(words, set_id, node, sig, large): those whose set is the one looked for."""
     for batch in batches:
-        rows = []
-        texts = batch.column(0)
-        for text, s, set_id, node, sig in zip(texts, shingle_sets(texts), *(batch.column(i).to_pylist() for i in (1, 2, 3))):
-            if _set_id(s) == set_id:
-                rows.append((node, sig, packer.compress(b" ".join(text.as_py().encode("utf-8", "surrogatepass").lower().split()))))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _WHOLE)], schema=_WHOLE)
+        right = [_set_id(full_set(w)) == s for w, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        rest = batch.filter(pa.array(right, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([rest.column(i) for i in (2, 3, 0, 4)], names=["node", "sig", "words", "large"])
 
 
 def full_set(words: bytes) -> np.ndarray:
@@ -251,63 +254,68 @@ def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], names=["a", "to"])
 
 
-def components(edges: DataFrame, small: int = SMALL_GRAPH) -> DataFrame:
+def components(edges: DataFrame, small: int = SMALL_GRAPH, rows: int | None = None) -> DataFrame:
     """(node, root) of all nodes of an edge table (a, b).
 
     While more than `small` edges are left, each round maps every node to its least neighbour and
     drops the edges within, which at least halves the nodes; what is left then is one task's work.
     """
-    edges = materialise(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    edges = materialise(edges.select("a", "b").where("a <> b").distinct(), "edges", rows)
     labels = None
     while left := edges.count():
         if left <= small:
             least = materialise(edges.repartition(1).mapInArrow(_united, "a long, to long"), "least").withColumn("degree", F.lit(1))
         else:
             both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            least = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to"), F.count("*").alias("degree")), "least")
+            least = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to"), F.count("*").alias("degree")), "least", 2 * left)
         if labels is None:
             labels = least.select(F.col("a").alias("node"), F.col("to").alias("root"))
         else:
             sizes = labels.groupBy("root").agg(F.count("*").alias("members")).join(least.select(F.col("a").alias("root"), "to"), "root")
             labels = attach_groups(labels, sizes, "root", "members", max(1, labels.count())).select("node", F.coalesce("to", "root").alias("root"))
-        labels = materialise(labels, "labels")
+        labels = materialise(labels, "labels", rows)
         if left <= small:
             break
         one = attach_groups(edges, least, "a", "degree", left).select(F.col("to").alias("x"), F.col("b").alias("a"))
         two = attach_groups(one, least, "a", "degree", left).select("x", F.col("to").alias("y"))
-        edges = materialise(two.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        edges = materialise(two.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges", left)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")) if labels is None else labels
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, rows: int | None = None) -> DataFrame:
     """Those of the distinct pairs (a, b) whose full sets are similar enough.
 
-    Only the sets that the pairs name move: b's to the pairs, and these to a's; a hot end is broadcast.
+    Up to FEW_PAIRS, the pairs are broadcast to the sets, and only the words that they name move.
+    Beyond, these words go to the pairs, b's and then a's; a hot end is broadcast.
     """
-    pairs = materialise(pairs, "candidates")
+    pairs = materialise(pairs, "candidates", rows)
     total = pairs.count()
     if not total:
         return pairs
-    ends = [pairs.groupBy(F.col(x).alias("node")).agg(F.count("*").alias("pairs")) for x in "ba"]
-    needed, cells = member_filter(ends[0].select("node").unionByName(ends[1].select("node")), "node", 2 * total)
-    some = filter_test(sets.select("node", "words"), "node", needed, cells).where("__maybe").drop("__maybe")
-    whole = pairs
-    for x, end in zip("ba", ends):
-        found = end.join(some, "node").select(F.col("node").alias(x), "pairs", F.col("words").alias(f"words_{x}"))
-        whole = attach_groups(whole, found, x, "pairs", total, HOT_SETS).drop("pairs")
-    return materialise(whole.select("a", "b", "words_a", "words_b").mapInArrow(_linked_pairs, "a long, b long"), "links")
-
-
-def _members(state: DataFrame) -> DataFrame:
+    if total <= FEW_PAIRS:
+        ends = [sets.select(F.col("node").alias(x), F.col("words").alias(f"words_{x}")).join(F.broadcast(pairs), x) for x in "ab"]
+        whole = ends[0].join(ends[1], ["a", "b"])
+    else:
+        ends = [pairs.groupBy(F.col(x).alias("node")).agg(F.count("*").alias("pairs")) for x in "ba"]
+        needed, cells = member_filter(ends[0].select("node").unionByName(ends[1].select("node")), "node", 2 * total)
+        some = filter_test(sets.select("node", "words"), "node", needed, cells).where("__maybe").drop("__maybe")
+        whole = pairs
+        for x, end in zip("ba", ends):
+            found = end.join(some, "node").select(F.col("node").alias(x), "pairs", F.col("words").alias(f"words_{x}"))
+            whole = attach_groups(whole, found, x, "pairs", total, HOT_SETS).drop("pairs")
+    return materialise(whole.select("a", "b", "words_a", "words_b").mapInArrow(_linked_pairs, "a long, b long"), "links", 10 * total)
+
+
+def _members(state: DataFrame, rows: int) -> DataFrame:
     """(key, node, open, size, unsettled) of the nodes that still can give a link."""
     xor = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in range(2)]
     keys = state.groupBy("key").agg(F.count("*").alias("size"), F.count_if("open").alias("unsettled"), *xor).where("size > 1 and unsettled > 0")
     # small nodes with the same members need comparing once; large ones go on by paths of their own
     small = keys.where(F.col("size") <= NODE_ROWS).groupBy("size", "unsettled", "x0", "x1").agg(F.min("key").alias("key"))
     large = keys.where(F.col("size") > NODE_ROWS)
-    keys = materialise(small.select("key", "size", "unsettled").unionByName(large.select("key", "size", "unsettled")), "keys")
-    joined = attach_groups(state, keys, "key", "size", max(1, state.count()))
-    return materialise(joined.where("size is not null").select("key", "node", "open", "size", "unsettled"), "members")
+    keys = materialise(small.select("key", "size", "unsettled").unionByName(large.select("key", "size", "unsettled")), "keys", rows)
+    joined = attach_groups(state, keys, "key", "size", max(1, rows))
+    return materialise(joined.where("size is not null").select("key", "node", "open", "size", "unsettled"), "members", rows)
 
 
 def _exhaustive(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -356,16 +364,16 @@ def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=_PAIRS)
 
 
-def _pivot_links(members: DataFrame, sets: DataFrame, level: int) -> DataFrame:
+def _pivot_links(members: DataFrame, sets: DataFrame, level: int, rows: int) -> DataFrame:
     """Confirmed links between the unsettled classes of large nodes and PIVOTS members of each node."""
     order = [F.xxhash64("node", F.lit(f"pivot{level}.{i}")) for i in range(PIVOTS)]
     drawn = members.groupBy("key").agg(F.array_distinct(F.array(*(F.min_by("node", o) for o in order))).alias("pivots"), F.first("size").alias("size"))
     pivots = drawn.select("key", "size", F.explode("pivots").alias("p")).join(sets.select(F.col("node").alias("p"), F.col("sig").alias("sig_p")), "p")
     pivots = pivots.groupBy("key", "size").agg(F.collect_list(F.struct("p", "sig_p")).alias("pivots"))  # PIVOTS of a key
     open_ = members.where("open").select("key", "node").join(sets.select("node", "sig"), "node")
-    joined = attach_groups(open_, pivots, "key", "size", max(1, members.count()), HOT_SETS)
+    joined = attach_groups(open_, pivots, "key", "size", rows, HOT_SETS)
     pairs = joined.select("node", F.explode(_like_pivots("sig", "pivots")).alias("p")).where("p <> node")
-    return _confirmed(pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct(), sets)
+    return _confirmed(pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct(), sets, rows)
 
 
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -383,13 +391,15 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _links(classes: DataFrame, docs: DataFrame, count: int) -> DataFrame:
     """(node, root) of all classes that are linked with another one."""
     spark = classes.sparkSession
     none = spark.createDataFrame([], "a long, b long")
-    state = materialise(classes.select("node", F.explode("roots").alias("key"), F.lit(True).alias("open")), "state")
-    members = _members(state)
-    inside = materialise(members.select("node").distinct().join(classes.select("node", "set_id", "first_doc", "sig"), "node"), "inside")
+    state = materialise(classes.select("node", F.explode("roots").alias("key"), F.lit(True).alias("open")), "state", count * 2 * TREES)
+    rows = state.count()
+    members = _members(state, rows)
+    near = members.groupBy("node").agg((F.max("size") > NODE_ROWS).alias("large"))
+    inside = materialise(near.join(classes.select("node", "set_id", "first_doc", "sig"), "node"), "inside", count)
     total = inside.count()
     if not total:
         return none.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -398,43 +408,48 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     words, cells = member_filter(inside, "first_doc", total)
     first = F.coalesce("doc_id", F.lit(-(1 << 63)))
     wanted = filter_test(docs.select(first.alias("first_doc"), "text"), "first_doc", words, cells).where("__maybe").drop("__maybe")
-    sets = wanted.join(inside, "first_doc").select("text", "set_id", "node", "sig").mapInArrow(_whole, "node long, sig binary, words binary")
-    sets = materialise(sets, "sets")
+    wanted = wanted.mapInArrow(_packed, "first_doc long, words binary")
+    sets = wanted.join(inside, "first_doc").select("words", "set_id", "node", "sig", "large")
+    sets = materialise(sets.mapInArrow(_whole, "node long, sig binary, words binary, large boolean"), "sets")
     if sets.count() != total:  # rows that repeat id and text
-        sets = materialise(sets.groupBy("node").agg(F.first("sig").alias("sig"), F.first("words").alias("words")), "sets")
+        sets = materialise(sets.groupBy("node").agg(*(F.first(c).alias(c) for c in ("sig", "words", "large"))), "sets")
+    sets, sets_large = sets.drop("large"), sets.where("large").drop("large")
 
-    settled_links, candidates = [], []
+    settled_links, small = [], []
     for level in range(1, LEVELS + 1):
-        small = members.where(F.col("size") <= NODE_ROWS)
-        candidates.append(materialise(_exhaustive(small, sets), "pairs"))
+        small.append(members.where(F.col("size") <= NODE_ROWS))
         large = members.where(F.col("size") > NODE_ROWS)
-        if large.isEmpty():
+        rows = large.count()
+        if not rows:
             break
-        links = _pivot_links(large, sets, level)
+        links = _pivot_links(large, sets_large, level, rows)
         settled_links.append(links)
         ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         settled = ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
         now = large.select("key", "node", "open", "size").join(settled, "node", "left")
         now = now.withColumn("open", F.col("open") & F.col("label").isNull()).withColumn("label", F.coalesce("label", "node"))
         left = now.groupBy("key").agg(F.count_if("open").alias("unsettled"), F.count("*").alias("many"))
-        now = materialise(attach_groups(now, left, "key", "many", max(1, large.count())).select("key", "node", "open", "label", "size", "unsettled"), "large")
+        now = attach_groups(now, left, "key", "many", rows).select("key", "node", "open", "label", "size", "unsettled")
+        now = materialise(now, "large", rows)
         last = level == LEVELS
         few = now.where("unsettled > 0" if last else f"unsettled between 1 and {REST_ROWS}")
         if not few.isEmpty():
-            settled_links.append(materialise(_rest_links(few, sets), "links"))
+            settled_links.append(materialise(_rest_links(few, sets_large), "links", rows))
         more = now.where(f"unsettled > {REST_ROWS}")
         if last or more.isEmpty():
             break
-        branched = more.join(sets.select("node", "sig"), "node").select("node", "open", F.explode(F.array(*_children(F.col("key")))).alias("key"))
-        members = _members(materialise(branched, "state"))
+        branched = more.join(sets_large.select("node", "sig"), "node").select("node", "open", F.explode(F.array(*_children(F.col("key")))).alias("key"))
+        state = materialise(branched, "state", 2 * rows)
+        rows = state.count()
+        members = _members(state, rows)
 
-    pairs = materialise(_union([none, *candidates]).distinct(), "pairs")
+    pairs = materialise(_exhaustive(_union(small), sets), "pairs", total * NODE_ROWS // 8)
     # first a link to the least neighbour, then what is still not connected
     nearest = pairs.groupBy(F.col("b")).agg(F.min("a").alias("a")).select("a", "b")
-    links = _union([none, *settled_links, _confirmed(nearest, sets)])
-    known = components(links)
+    links = _union([none, *settled_links, _confirmed(nearest, sets, total)])
+    known = components(links, rows=2 * total)
     rest = _across(pairs.join(nearest, ["a", "b"], "left_anti"), known)
-    return components(links.unionByName(_confirmed(rest, sets)))
+    return components(links.unionByName(_confirmed(rest, sets)), rows=2 * total)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -443,11 +458,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     sketches = materialise(rows.mapInArrow(_sketch, _SKETCH_SPARK), "sketches")
     total = max(1, sketches.count())
     known = sketches.where("set_id is not null")
-    classes = known.groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count("*").alias("size"), F.first("sig").alias("sig"), F.first("roots").alias("roots"))
+    # a set that no other document has is a class as it stands; only the others shuffle
+    tested = filter_test(known, "set_id", *repeat_filter(known, "set_id", total))
+    alone = tested.where("not __maybe").select("set_id", F.col("doc_id").alias("least"), F.lit(1).cast("long").alias("size"), "sig", "roots")
+    several = tested.where("__maybe").groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count("*").alias("size"), F.first("sig").alias("sig"), F.first("roots").alias("roots"))
+    classes = alone.unionByName(several)
     classes = classes.select("set_id", "least", F.coalesce("least", F.lit(-(1 << 63))).alias("first_doc"), "size", "sig", "roots", F.monotonically_increasing_id().alias("node"))
     classes = materialise(classes, "classes")
 
-    roots = materialise(_links(classes, rows), "roots")
+    roots = materialise(_links(classes, rows, total), "roots", total)
     named = roots.join(classes.select("node", "least"), "node")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
     labelled = attach_groups(roots, names, "root", "members", total).select("node", "component_id")
