@@ -28,7 +28,7 @@ _INK = f"[^{WHITE}]"
 #: A piece of this many symbols or more goes to the heap, as the scan for the minimum is quadratic.
 LONG_PIECE = 200
 #: Bytes of text whose distinct words are encoded together.
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 8 << 20
 _NONE = 1 << 60
 
 

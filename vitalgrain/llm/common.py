@@ -133,7 +133,7 @@ def word_units(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
     return starts - starts[0], units.flatten().dictionary_encode()
 
 
-def slices(texts: pa.Array, size: int = 8 << 20) -> Iterator[pa.Array]:
+def slices(texts: pa.Array, size: int = 4 << 20) -> Iterator[pa.Array]:
     """Runs of texts of about `size` bytes, one text at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
