@@ -48,10 +48,12 @@ def read_csv_text(spark: SparkSession, path: str, na_tokens: tuple[str, ...] = N
     schema = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
     raw = spark.read.schema(schema).options(header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, quote='"', escape='"', emptyValue="", nullValue="").csv(path)
     too_long = F.col(_CORRUPT).isNotNull() & (F.size(F.split(F.col(_CORRUPT), _FIELD_END)) > len(names))
-    message = F.concat(F.lit("a row has more fields than the header: "), F.substring(F.col(_CORRUPT), 1, 200))
+    # names a data column too: Spark refuses to read the corrupt records alone
+    message = F.concat(F.lit("a row has more fields than the header: "), F.substring(F.coalesce(_CORRUPT, "c0"), 1, 200))
     tokens = [*na_tokens, *placeholders]
-    # the check sits in every column so that pruning can't remove it
-    return raw.select(*(F.when(too_long, F.raise_error(message)).when(~F.col(f.name).isin(tokens), F.col(f.name)).alias(n) for f, n in zip(fields, names)))
+    # a filter, as pruning can't remove it
+    checked = raw.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(True))
+    return checked.select(*(F.when(~F.col(f.name).isin(tokens), F.col(f.name)).alias(n) for f, n in zip(fields, names)))
 
 
 _LONG, _WIDE, _DOUBLE, _BOOLEAN, _TEXT = 1, 2, 4, 8, 16
