@@ -29,6 +29,8 @@ _INK = f"[^{WHITE}]"
 LONG_PIECE = 200
 #: Bytes of text whose distinct words are encoded together.
 SLICE_BYTES = 8 << 20
+#: Pieces that are merged together, which bounds the arrays.
+BATCH_PIECES = 30_000
 _NONE = 1 << 60
 
 
@@ -314,7 +316,10 @@ class Encoder:
             elif u:
                 flat += [known(p, len(index)) for p in split(u)]
             ends.append(len(flat))
-        pieces = pa.array(self.batch.encode(list(index)), pa.large_binary()).take(pa.array(flat, pa.int64()))
+        distinct = list(index)
+        index.clear()
+        made = [x for i in range(0, len(distinct), BATCH_PIECES) for x in self.batch.encode(distinct[i : i + BATCH_PIECES])]
+        pieces = pa.array(made, pa.large_binary()).take(pa.array(flat, pa.int64()))
         offsets = _offsets(pieces)[np.array(ends, np.int64)]
         return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(units), [None, pa.py_buffer(offsets), pieces.buffers()[2]])
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -50,6 +50,9 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 #: Rows that a task of a narrow intermediate table writes at least.
 TASK_ROWS = 20_000
+#: Documents that a Python worker gets at once while a table is written.
+BATCH_ROWS = 2_000
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
@@ -63,7 +66,12 @@ def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
         if parts < int(spark.conf.get("spark.sql.shuffle.partitions")):
             df = df.coalesce(parts)
     path = new_path(spark, name)
-    df.write.parquet(path)
+    batch = int(spark.conf.get(_BATCH_KEY))
+    spark.conf.set(_BATCH_KEY, min(batch, BATCH_ROWS) if batch > 0 else BATCH_ROWS)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_KEY, batch)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -109,10 +117,6 @@ def scratch(stem: str, taken: list[str]) -> str:
     return name
 
 
-def local_tmp() -> str:
-    return os.environ.get("TMPDIR") or tempfile.gettempdir()
-
-
 def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, hot_groups: int = 1024) -> DataFrame:
     """Left-joins `groups` (one row a key, with its number of rows in `size`) to `rows`, safe under skew.
 
@@ -141,7 +145,20 @@ def slices(texts: pa.Array, size: int = 4 << 20) -> Iterator[pa.Array]:
         upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right"))
         yield texts.slice(at, max(1, upto - at))
         at = max(upto, at + 1)
-    pa.default_memory_pool().release_unused()  # workers live on between tasks
+    _give_back()
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
+
+def _give_back() -> None:
+    """Returns freed memory to the system: workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
