@@ -18,7 +18,17 @@ from vitalgrain.llm.op6_exact_dedup import deduplicate
 from vitalgrain.llm.op9_near_dedup import kept_documents
 
 
+#: Documents that a Python worker gets at once. Workers and executors live through all stages, so what
+#: one stage needs at its peak adds to what the others have left behind.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return identified(docs)
 
 
@@ -27,10 +37,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return kept_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return pack(docs)
 
 

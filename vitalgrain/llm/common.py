@@ -117,13 +117,16 @@ def scratch(stem: str, taken: list[str]) -> str:
     return name
 
 
-def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, hot_groups: int = 1024) -> DataFrame:
+def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, hot_groups: int = 1024, written: bool = False) -> DataFrame:
     """Left-joins `groups` (one row a key, with its number of rows in `size`) to `rows`, safe under skew.
 
     A group with more than total / hot_groups rows is hot; there are at most hot_groups of them, so
-    their few rows are broadcast. All other groups are small enough for an ordinary join.
+    their few rows are broadcast. All other groups are small enough for an ordinary join. Where
+    `groups` is a written table, a look at it may find that none is hot, and one join is enough.
     """
     heavy = F.col(size) > F.lit(total / hot_groups)
+    if written and groups.where(heavy).isEmpty():
+        return rows.join(groups, key, "left")
     hot, cold = groups.where(heavy), groups.where(~heavy)
     many = rows.join(F.broadcast(hot), key, "inner")
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, "left")

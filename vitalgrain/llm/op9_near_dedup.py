@@ -276,8 +276,8 @@ def components(edges: DataFrame, small: int = SMALL_GRAPH, rows: int | None = No
         labels = materialise(labels, "labels", rows)
         if left <= small:
             break
-        one = attach_groups(edges, least, "a", "degree", left).select(F.col("to").alias("x"), F.col("b").alias("a"))
-        two = attach_groups(one, least, "a", "degree", left).select("x", F.col("to").alias("y"))
+        one = attach_groups(edges, least, "a", "degree", left, written=True).select(F.col("to").alias("x"), F.col("b").alias("a"))
+        two = attach_groups(one, least, "a", "degree", left, written=True).select("x", F.col("to").alias("y"))
         edges = materialise(two.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges", left)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")) if labels is None else labels
 
@@ -314,7 +314,7 @@ def _members(state: DataFrame, rows: int) -> DataFrame:
     small = keys.where(F.col("size") <= NODE_ROWS).groupBy("size", "unsettled", "x0", "x1").agg(F.min("key").alias("key"))
     large = keys.where(F.col("size") > NODE_ROWS)
     keys = materialise(small.select("key", "size", "unsettled").unionByName(large.select("key", "size", "unsettled")), "keys", rows)
-    joined = attach_groups(state, keys, "key", "size", max(1, rows))
+    joined = attach_groups(state, keys, "key", "size", max(1, rows), written=True)
     return materialise(joined.where("size is not null").select("key", "node", "open", "size", "unsettled"), "members", rows)
 
 
