@@ -88,6 +88,7 @@ def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 def _count(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _LAST.clear()  # a worker may still hold the model of an earlier run
         grams = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in batches:
             for part in slices(batch.column(0), WORD_SLICE):
@@ -264,9 +265,9 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
     head = words.where(F.col("n") >= least_word).toArrow().combine_chunks()
     trie = grams.where(F.col("n") >= least_gram).toArrow().combine_chunks()
     names = head.column("word").to_pylist()
+    name = uuid.uuid4().hex
     model = spark.sparkContext.broadcast(
         (
-            uuid.uuid4().hex,
             trie.column("gram").to_numpy().astype(np.uint64), trie.column("n").to_numpy(), order,
             np.array([xxhash.xxh3_64_intdigest(w) for w in names], np.uint64),
             np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64),
@@ -276,7 +277,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(*model.value)
+        scorer = _scorer(name, model)
         for batch in batches:
             at = 0
             for part in slices(batch.column(3), GRAM_SLICE):
@@ -300,11 +301,12 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
 _LAST: dict[str, Scorer] = {}
 
 
-def _scorer(name: str, *model) -> Scorer:
-    """Built once in each worker process; only the last model is kept."""
+def _scorer(name: str, model) -> Scorer:
+    """Built once in each worker process; only the last model is kept, and not its broadcast arrays."""
     if name not in _LAST:
         _LAST.clear()
-        _LAST[name] = Scorer(*model)
+        _LAST[name] = Scorer(*model.value)
+        model.__dict__.pop("_value", None)
     return _LAST[name]
 
 
