@@ -247,6 +247,21 @@ def test_large_groups_branch(spark, monkeypatch):
     assert got_components(docs(spark, pairs)) == brute(pairs)
 
 
+def test_lobes_that_a_thin_bridge_connects(spark, monkeypatch):
+    """Two large clusters that meet only between a class near the one and a class near the other."""
+    for name, value in (("NODE_ROWS", 6), ("REST_ROWS", 5), ("MEMBER_ROWS", 8), ("HOT_SETS", 2)):
+        monkeypatch.setattr(op9, name, value)
+    pairs = []
+    for g in range(8):
+        words = [f"g{g}w{i}" for i in range(220)]
+        window = lambda at, *more: " ".join([*words[at : at + 144], *more])
+        texts = [window(0, f"g{g}x{i}") for i in range(20)] + [window(18), window(36)] + [window(54, f"g{g}y{i}") for i in range(20)]
+        pairs += [(100 * g + i, t) for i, t in enumerate(texts)]
+    want = brute(pairs)
+    assert len({c for _, c in want.values()}) == 8
+    assert got_components(docs(spark, pairs)) == want
+
+
 def test_near_edges(spark):
     pairs = [(d, t) for d, t in EDGE if d is not None and (d, t) != (8, "a b")] + [(8, "a b"), (20, "One two"), (21, "one  TWO"), (22, "one two three")]
     assert got_components(docs(spark, pairs)) == brute(pairs)

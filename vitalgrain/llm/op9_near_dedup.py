@@ -9,12 +9,12 @@ any depth, and in some tree with probability 0.9986; on the first level alone it
 nodes with probability 1 - 0.25 ** 6.
 
 Small nodes are compared exhaustively. Large nodes are compared with PIVOTS members drawn anew on
-each level. A class that is linked to a pivot is settled: it is in the pivot's component, and what
-matters is only whether it connects others. A node with few unsettled classes compares those with
-all its members, in cells of bounded size from which only links come, and ends; another one
-branches on. So a group of a third of all rows costs comparisons in proportion to its size. Every
-link is confirmed on the full shingle sets before it counts; candidates between
-classes already connected are left out, as they can't change a component.
+each level. The links of all levels so far are united, and each class carries the label of its
+component; a pair is skipped only if both ends have the same label, as it can't change a component
+then. A node of one label ends. A node with few classes outside its most frequent label compares
+those with all its members, in cells of bounded size from which only links come, and ends; another
+one branches on. So a group of a third of all rows costs comparisons in proportion to its size. Every
+link is confirmed on the full shingle sets before it counts.
 
 Defined cases: null texts, empty texts and texts without words have no shingles, are linked with
 nothing and stay; fewer than five words are one shingle; rows that repeat an id and a text are one
@@ -46,7 +46,7 @@ TREES = 3
 NODE_ROWS = 64
 PIVOTS = 4
 LEVELS = 8
-#: A large node ends with at most so many unsettled classes, each compared with all its members; on the last level any number is.
+#: A large node ends with at most so many classes outside its most frequent label, each compared with all its members; on the last level any number is.
 REST_ROWS = 512
 MEMBER_ROWS = 1024
 #: Pairs whose signatures agree less than this are not looked at: 4.4 standard deviations below 0.75.
@@ -186,32 +186,32 @@ _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _node_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (key, node, open, sig): the like pairs of each key that have an open member."""
-    key, nodes, opens, sigs, out = None, [], [], [], []
+    """Sorted rows (key, node, label, sig): the like pairs of each key that have two labels."""
+    key, nodes, labels, sigs, out = None, [], [], [], []
 
     def compared() -> Iterator[tuple[int, int]]:
         if len(nodes) < 2:
             return
         m = np.frombuffer(b"".join(sigs), np.uint16).reshape(-1, SIGNATURE)
-        for i in np.flatnonzero(opens).tolist():
-            alike = (m == m[i]).sum(axis=1) >= LEAST_ESTIMATE * SIGNATURE
-            for j in np.flatnonzero(alike).tolist():
-                if j != i and (j > i or not opens[j]):
-                    yield min(nodes[i], nodes[j]), max(nodes[i], nodes[j])
+        of = np.array(labels)
+        for i in range(len(nodes) - 1):
+            alike = ((m[i + 1 :] == m[i]).sum(axis=1) >= LEAST_ESTIMATE * SIGNATURE) & (of[i + 1 :] != of[i])
+            for j in (np.flatnonzero(alike) + i + 1).tolist():
+                yield min(nodes[i], nodes[j]), max(nodes[i], nodes[j])
 
     def batch_of(rows: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=_PAIRS)
 
     for batch in batches:
-        for k, node, is_open, sig in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        for k, node, label, sig in zip(*(batch.column(i).to_pylist() for i in range(4))):
             if k != key:
                 out += compared()
-                key, nodes, opens, sigs = k, [], [], []
+                key, nodes, labels, sigs = k, [], [], []
                 if len(out) > 8192:
                     yield batch_of(out)
                     out = []
             nodes.append(node)
-            opens.append(is_open)
+            labels.append(label)
             sigs.append(sig)
     out += compared()
     if out:
@@ -307,26 +307,26 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, rows: int | None = None) -> Da
 
 
 def _members(state: DataFrame, rows: int) -> DataFrame:
-    """(key, node, open, size, unsettled) of the nodes that still can give a link."""
+    """(key, node, label, size) of the nodes that still can give a link: those of more than one label."""
     xor = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in range(2)]
-    keys = state.groupBy("key").agg(F.count("*").alias("size"), F.count_if("open").alias("unsettled"), *xor).where("size > 1 and unsettled > 0")
+    keys = state.groupBy("key").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), *xor).where("low <> high")
     # small nodes with the same members need comparing once; large ones go on by paths of their own
-    small = keys.where(F.col("size") <= NODE_ROWS).groupBy("size", "unsettled", "x0", "x1").agg(F.min("key").alias("key"))
+    small = keys.where(F.col("size") <= NODE_ROWS).groupBy("size", "x0", "x1").agg(F.min("key").alias("key"))
     large = keys.where(F.col("size") > NODE_ROWS)
-    keys = materialise(small.select("key", "size", "unsettled").unionByName(large.select("key", "size", "unsettled")), "keys", rows)
+    keys = materialise(small.select("key", "size").unionByName(large.select("key", "size")), "keys", rows)
     joined = attach_groups(state, keys, "key", "size", max(1, rows), written=True)
-    return materialise(joined.where("size is not null").select("key", "node", "open", "size", "unsettled"), "members", rows)
+    return materialise(joined.where("size is not null").select("key", "node", "label", "size"), "members", rows)
 
 
 def _exhaustive(members: DataFrame, sets: DataFrame) -> DataFrame:
-    rows = members.join(sets.select("node", "sig"), "node").select("key", "node", "open", "sig")
+    rows = members.join(sets.select("node", "sig"), "node").select("key", "node", "label", "sig")
     return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_node_pairs, "a long, b long").distinct()
 
 
 def _rest_links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links of the unsettled classes of large nodes with all members of their node, on their full sets.
+    """Links of the open classes of large nodes with all members of another label, on their full sets.
 
-    The members are dealt over cells of about MEMBER_ROWS rows, and a copy of the unsettled ones, in
+    The members are dealt over cells of about MEMBER_ROWS rows, and a copy of the open ones, in
     parts of about REST_ROWS, goes to each cell; only links leave it.
     """
     rows = members.join(sets, "node").select("key", "node", "open", "label", "sig", "words", F.ceil(F.col("unsettled") / REST_ROWS).cast("int").alias("f"), F.ceil(F.col("size") / MEMBER_ROWS).cast("int").alias("m"))
@@ -339,40 +339,42 @@ def _rest_links(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """By cell first the unsettled classes, then the members: a link of each to every label it is similar enough to."""
-    cell, rest, done, table = None, [], [], None
+    """By cell first the open classes, then the members: a link of each label of theirs to every other one it is similar enough to."""
+    cell, rest, done, table = None, [], set(), None
     for batch in batches:
         out = []
         for key, is_rest, node, label, sig, words in zip(*(batch.column(i).to_pylist() for i in range(6))):
             if key != cell:
-                cell, rest, done, table = key, [], [], None
+                cell, rest, done, table = key, [], set(), None
             if is_rest:
-                rest.append((node, sig, full_set(words)))
-                done.append(set())
+                rest.append((node, sig, full_set(words), label))
                 continue
             if table is None:
                 table = np.frombuffer(b"".join(r[1] for r in rest), np.uint16).reshape(-1, SIGNATURE)
             alike = (table == np.frombuffer(sig, np.uint16)).sum(axis=1) >= LEAST_ESTIMATE * SIGNATURE
             own = None
             for i in np.flatnonzero(alike).tolist():
-                if rest[i][0] != node and label not in done[i]:
+                # one link joins two labels
+                if rest[i][3] != label and (rest[i][3], label) not in done:
                     own = full_set(words) if own is None else own
                     if linked(rest[i][2], own):
-                        done[i].add(label)
+                        done.add((rest[i][3], label))
                         out.append((min(node, rest[i][0]), max(node, rest[i][0])))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=_PAIRS)
 
 
 def _pivot_links(members: DataFrame, sets: DataFrame, level: int, rows: int) -> DataFrame:
-    """Confirmed links between the unsettled classes of large nodes and PIVOTS members of each node."""
+    """Confirmed links between the classes of large nodes and PIVOTS members of each node that have another label."""
     order = [F.xxhash64("node", F.lit(f"pivot{level}.{i}")) for i in range(PIVOTS)]
-    drawn = members.groupBy("key").agg(F.array_distinct(F.array(*(F.min_by("node", o) for o in order))).alias("pivots"), F.first("size").alias("size"))
-    pivots = drawn.select("key", "size", F.explode("pivots").alias("p")).join(sets.select(F.col("node").alias("p"), F.col("sig").alias("sig_p")), "p")
-    pivots = pivots.groupBy("key", "size").agg(F.collect_list(F.struct("p", "sig_p")).alias("pivots"))  # PIVOTS of a key
-    open_ = members.where("open").select("key", "node").join(sets.select("node", "sig"), "node")
-    joined = attach_groups(open_, pivots, "key", "size", rows, HOT_SETS)
-    pairs = joined.select("node", F.explode(_like_pivots("sig", "pivots")).alias("p")).where("p <> node")
+    drawn = members.groupBy("key").agg(F.array_distinct(F.array(*(F.min_by(F.struct("node", "label"), o) for o in order))).alias("pivots"), F.first("size").alias("size"))
+    pivots = drawn.select("key", "size", F.explode("pivots").alias("of")).select("key", "size", F.col("of.node").alias("p"), F.col("of.label").alias("label_p"))
+    pivots = pivots.join(sets.select(F.col("node").alias("p"), F.col("sig").alias("sig_p")), "p")
+    pivots = pivots.groupBy("key", "size").agg(F.collect_list(F.struct("p", "label_p", "sig_p")).alias("pivots"))  # PIVOTS of a key
+    all_ = members.select("key", "node", "label").join(sets.select("node", "sig"), "node")
+    joined = attach_groups(all_, pivots, "key", "size", rows, HOT_SETS)
+    joined = joined.select("node", "sig", F.filter("pivots", lambda q: q["label_p"] != F.col("label")).alias("pivots")).where(F.size("pivots") > 0)
+    pairs = joined.select("node", F.explode(_like_pivots("sig", "pivots")).alias("p"))
     return _confirmed(pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct(), sets, rows)
 
 
@@ -395,7 +397,7 @@ def _links(classes: DataFrame, docs: DataFrame, count: int) -> DataFrame:
     """(node, root) of all classes that are linked with another one."""
     spark = classes.sparkSession
     none = spark.createDataFrame([], "a long, b long")
-    state = materialise(classes.select("node", F.explode("roots").alias("key"), F.lit(True).alias("open")), "state", count * 2 * TREES)
+    state = materialise(classes.select("node", F.explode("roots").alias("key"), F.col("node").alias("label")), "state", count * 2 * TREES)
     rows = state.count()
     members = _members(state, rows)
     near = members.groupBy("node").agg((F.max("size") > NODE_ROWS).alias("large"))
@@ -415,30 +417,30 @@ def _links(classes: DataFrame, docs: DataFrame, count: int) -> DataFrame:
         sets = materialise(sets.groupBy("node").agg(*(F.first(c).alias(c) for c in ("sig", "words", "large"))), "sets")
     sets, sets_large = sets.drop("large"), sets.where("large").drop("large")
 
-    settled_links, small = [], []
+    # known: an edge of each class to the label of its component, by the links so far
+    known, found, small = none, [], []
     for level in range(1, LEVELS + 1):
         small.append(members.where(F.col("size") <= NODE_ROWS))
         large = members.where(F.col("size") > NODE_ROWS)
         rows = large.count()
         if not rows:
             break
-        links = _pivot_links(large, sets_large, level, rows)
-        settled_links.append(links)
-        ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        settled = ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
-        now = large.select("key", "node", "open", "size").join(settled, "node", "left")
-        now = now.withColumn("open", F.col("open") & F.col("label").isNull()).withColumn("label", F.coalesce("label", "node"))
-        left = now.groupBy("key").agg(F.count_if("open").alias("unsettled"), F.count("*").alias("many"))
-        now = attach_groups(now, left, "key", "many", rows).select("key", "node", "open", "label", "size", "unsettled")
-        now = materialise(now, "large", rows)
+        labels = components(_union([known, *found, _pivot_links(large, sets_large, level, rows)]), rows=2 * total)
+        known, found = labels.select(F.col("node").alias("a"), F.col("root").alias("b")), []
+        now = large.select("key", "node", "size").join(labels, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("label"))
+        now = materialise(now, "labelled", rows)
+        shares = now.groupBy("key", "label").agg(F.count("*").alias("n"))
+        main = shares.groupBy("key").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("many")).withColumn("unsettled", F.col("many") - F.col("main.n")).where("unsettled > 0")
+        now = attach_groups(now, materialise(main, "main", rows), "key", "many", rows, written=True).where("unsettled is not null")
+        now = materialise(now.select("key", "node", (F.col("label") != F.col("main.label")).alias("open"), "label", "size", "unsettled"), "large", rows)
         last = level == LEVELS
-        few = now.where("unsettled > 0" if last else f"unsettled between 1 and {REST_ROWS}")
+        few = now if last else now.where(f"unsettled <= {REST_ROWS}")
         if not few.isEmpty():
-            settled_links.append(materialise(_rest_links(few, sets_large), "links", rows))
+            found.append(materialise(_rest_links(few, sets_large), "links", rows))
         more = now.where(f"unsettled > {REST_ROWS}")
         if last or more.isEmpty():
             break
-        branched = more.join(sets_large.select("node", "sig"), "node").select("node", "open", F.explode(F.array(*_children(F.col("key")))).alias("key"))
+        branched = more.join(sets_large.select("node", "sig"), "node").select("node", "label", F.explode(F.array(*_children(F.col("key")))).alias("key"))
         state = materialise(branched, "state", 2 * rows)
         rows = state.count()
         members = _members(state, rows)
@@ -446,7 +448,7 @@ def _links(classes: DataFrame, docs: DataFrame, count: int) -> DataFrame:
     pairs = materialise(_exhaustive(_union(small), sets), "pairs", total * NODE_ROWS // 8)
     # first a link to the least neighbour, then what is still not connected
     nearest = pairs.groupBy(F.col("b")).agg(F.min("a").alias("a")).select("a", "b")
-    links = _union([none, *settled_links, _confirmed(nearest, sets, total)])
+    links = _union([known, *found, _confirmed(nearest, sets, total)])
     known = components(links, rows=2 * total)
     rest = _across(pairs.join(nearest, ["a", "b"], "left_anti"), known)
     return components(links.unionByName(_confirmed(rest, sets)), rows=2 * total)
