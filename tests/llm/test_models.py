@@ -129,6 +129,13 @@ def test_scores_by_definition(spark, order, head):
     check_scores(op8.scores(df, order=order, head_words=head).collect(), ROWS, order)
 
 
+@pytest.mark.parametrize(("order", "most", "rows_at_once"), [(2, 0, 1), (3, 10, 5), (5, 60, 300_000), (6, 20, 7)])
+def test_grams_that_are_not_broadcast_count_in_full(spark, monkeypatch, order, most, rows_at_once):
+    monkeypatch.setattr(op8, "SOLVE_ROWS", rows_at_once)
+    df = spark.createDataFrame(ROWS, "doc_id long, text string")
+    check_scores(op8.scores(df, order=order, max_grams=most).collect(), ROWS, order)
+
+
 def test_scores_edges(spark):
     df = spark.createDataFrame(ROWS, "doc_id long, text string")
     assert op8.scores(df.limit(0)).count() == 0

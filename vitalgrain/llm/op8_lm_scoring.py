@@ -8,10 +8,12 @@ refused by a longer context are excluded from the shorter ones, and below the em
 bytes not excluded are equally likely. A text's score is the sum of log10 over its bytes and end.
 
 Training counts cover every training text. They are summed up in each task and then shuffled by
-n-gram and by word, so what moves grows with the input. The trie that is broadcast holds the
-MAX_GRAMS most frequent longest contexts with their symbols at most: a bound on the model, not on
-the texts it has seen or scores. The unigram base needs the count of any word: the HEAD_WORDS most
-frequent ones are broadcast, and all others of a text are looked up by an exact join.
+n-gram and by word, so what moves grows with the input, and no count is dropped. What the longest
+contexts know of their MAX_GRAMS most frequent symbols is broadcast. All other n-grams of a text are
+looked up by an exact join: they and all counts are dealt by the last SUFFIX bytes of the context, so
+that all contexts of that length or more are whole in one task; the counts of the shorter ones are
+summed over all n-grams and broadcast. The unigram base needs the count of any word: the HEAD_WORDS
+most frequent ones are broadcast, and all others of a text are looked up by an exact join too.
 
 Defined cases: null and empty texts are the end alone; with nothing to learn from all bytes are
 equally likely and every count is 0; null ids count as the empty text in the fold; repeated rows
@@ -27,14 +29,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, slices, text_or_empty, word_units
+from .common import attach_groups, materialise, slices, text_or_empty, word_units
 from .op5_language import fold
 
 ORDER = 5
+#: N-grams that are broadcast; any number of others is joined.
 MAX_GRAMS = 4_000_000
+#: Bytes of a context by which counts are dealt. Shorter contexts have at most 256 ** SUFFIX n-grams, far fewer in texts.
+SUFFIX = 3
 HEAD_WORDS = 400_000
 #: The end of a text; no word holds it.
 END = "\n"
@@ -147,16 +152,20 @@ class Table:
 
 
 class Ppm:
-    """The trie as sorted arrays, a level for each context length, and the log10 of what its longest contexts know."""
+    """The trie as sorted arrays, a level for each context length, and the log10 of what its longest contexts know.
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int = ORDER):
+    Contexts shorter than SUFFIX are summed from `low`, if it is given, and else from the n-grams.
+    """
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int = ORDER, low: tuple[np.ndarray, np.ndarray] | None = None):
         self.order = order
         order_ = np.argsort(grams)
         codes, counts = grams[order_].astype(np.uint64), counts[order_].astype(np.int64)
         self.levels = [(codes, counts)]
         for k in range(order - 1, -1, -1):
-            low, of = np.unique(codes & np.uint64((1 << 8 * (k + 1)) - 1), return_inverse=True)
-            self.levels.append((low, np.bincount(of, counts, len(low)).astype(np.int64)))
+            longer, n = (codes, counts) if low is None or k >= SUFFIX else low
+            shorter, of = np.unique(longer & np.uint64((1 << 8 * (k + 1)) - 1), return_inverse=True)
+            self.levels.append((shorter, np.bincount(of, n, len(shorter)).astype(np.int64)))
         _, context = np.unique(codes >> np.uint64(8), return_inverse=True)
         total = np.bincount(context, counts) if len(codes) else np.empty(0)
         self.known = Table(codes, np.log10((2 * counts - 1) / (2 * total[context])) if len(codes) else np.empty(0))
@@ -198,10 +207,10 @@ class Ppm:
 
 
 class Scorer:
-    """Scores of texts with a trie and the counts of the frequent words."""
+    """Scores of texts with the log10 of the frequent n-grams and the counts of the frequent words."""
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int, words: np.ndarray, checks: np.ndarray, word_counts: np.ndarray, ends: int):
-        self.ppm, self.ends = Ppm(grams, counts, order), ends
+    def __init__(self, grams: np.ndarray, logs: np.ndarray, order: int, words: np.ndarray, checks: np.ndarray, word_counts: np.ndarray, ends: int):
+        self.known, self.order, self.ends = Table(grams, logs), order, ends
         self.slot = Table(words, np.arange(len(words), dtype=np.int64))
         # one more row, for words that are not in the head
         self.checks, self.counts = np.append(checks, 0), np.append(word_counts, 0)
@@ -221,8 +230,11 @@ class Scorer:
         known = np.concatenate([[0], np.cumsum(count > 0)])
         tail = count == 0
         tail_upto = np.concatenate([[0], np.cumsum(tail)])
-        codes, at = _grams(joined, self.ppm.order)
-        logs = np.concatenate([[0.0], np.cumsum(self.ppm.logs(codes))])
+        codes, at = _grams(joined, self.order)
+        logs = self.known.get(codes, np.nan)
+        rare = np.isnan(logs)
+        rare_upto = np.concatenate([[0], np.cumsum(rare)])
+        logs = np.concatenate([[0.0], np.cumsum(np.where(rare, 0.0, logs))])
         end = self.ends
         return {
             "n_tokens": pa.array(np.diff(starts) + 1, pa.int64()),
@@ -230,10 +242,58 @@ class Scorer:
             "head_log": pa.array(np.diff(upto[starts]) + np.log10(end + 1), pa.float64()),
             "score": pa.array(np.diff(logs[at]), pa.float64()),
             "tail": pa.ListArray.from_arrays(pa.array(tail_upto[starts], pa.int32()), units.dictionary.take(pa.array(index[tail]))),
+            "rare": pa.ListArray.from_arrays(pa.array(rare_upto[at], pa.int32()), pa.array(codes[rare].astype(np.int64))),
         }
 
 
-_SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("head_known", pa.int64()), ("head_log", pa.float64()), ("score", pa.float64()), ("tail", pa.list_(pa.string()))])
+_SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("head_known", pa.int64()), ("head_log", pa.float64()), ("score", pa.float64()), ("tail", pa.list_(pa.string())), ("rare", pa.list_(pa.int64()))])
+
+
+_SOLVED = pa.schema([("code", pa.int64()), ("times", pa.int64()), ("log", pa.float64())])
+#: Counts and asked n-grams that are handled at once, and as many more as their last suffix has.
+SOLVE_ROWS = 300_000
+
+
+def _solve(order: int, low):
+    """Rows (suffix, gram, n, times) sorted by suffix, n a count in training, times that of an asked n-gram: log10 of the asked ones."""
+
+    def solved(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        _, grams, n, times = rows
+        asked = times > 0
+        if asked.any():
+            ppm = Ppm(grams[~asked].astype(np.uint64), n[~asked], order, low.value)
+            logs = ppm.logs(grams[asked].astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(grams[asked]), pa.array(times[asked]), pa.array(logs)], schema=_SOLVED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            parts.append(np.stack([c.to_numpy() for c in batch.columns]))
+            size += batch.num_rows
+            if size >= SOLVE_ROWS and parts[0][0, 0] != parts[-1][0, -1]:
+                rows = np.concatenate(parts, axis=1)
+                whole = int(np.searchsorted(rows[0], rows[0, -1]))
+                yield from solved(rows[:, :whole])
+                parts, size = [rows[:, whole:]], rows.shape[1] - whole
+        if size:
+            yield from solved(np.concatenate(parts, axis=1))
+
+    return run
+
+
+def _rare_logs(asked: DataFrame, grams: DataFrame, order: int) -> DataFrame:
+    """(code, times, log) of the distinct n-grams asked for, by the counts of all n-grams."""
+    width = min(SUFFIX, order)
+
+    def last(column: Column) -> Column:
+        return column.bitwiseAND(F.lit((1 << 8 * width) - 1))
+
+    short = grams.groupBy(last(F.col("gram")).alias("gram")).agg(F.sum("n").alias("n")).toArrow()
+    low = asked.sparkSession.sparkContext.broadcast((short.column("gram").to_numpy().astype(np.uint64), short.column("n").to_numpy()))
+    none = F.lit(0).cast("long")
+    rows = grams.select("gram", "n", none.alias("times")).unionByName(asked.select(F.col("code").alias("gram"), none.alias("n"), "times"))
+    rows = rows.select(last(F.shiftright("gram", 8)).alias("suffix"), "gram", "n", "times").repartition("suffix").sortWithinPartitions("suffix")
+    return materialise(rows.mapInArrow(_solve(order, low), "code long, times long, log double"), "rare")
 
 
 def _threshold(counts: DataFrame, most: int) -> int:
@@ -261,14 +321,17 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct"), F.coalesce(F.max(F.when(F.col("word") == END, F.col("n"))), F.lit(0)).alias("ends")).first()
     least_word, least_gram = _threshold(words, head_words), _threshold(grams, max_grams)
 
+    total = F.sum("n").over(Window.partitionBy(F.shiftright("gram", 8)))  # of a context, 256 rows at most
+    shares = grams.select("gram", "n", F.log10((2 * F.col("n") - 1) / (2 * total)).alias("log"))
+
     # at most head_words and max_grams rows
     head = words.where(F.col("n") >= least_word).toArrow().combine_chunks()
-    trie = grams.where(F.col("n") >= least_gram).toArrow().combine_chunks()
+    trie = shares.where(F.col("n") >= least_gram).select("gram", "log").toArrow().combine_chunks()
     names = head.column("word").to_pylist()
     name = uuid.uuid4().hex
     model = spark.sparkContext.broadcast(
         (
-            trie.column("gram").to_numpy().astype(np.uint64), trie.column("n").to_numpy(), order,
+            trie.column("gram").to_numpy().astype(np.uint64), trie.column("log").to_numpy(), order,
             np.array([xxhash.xxh3_64_intdigest(w) for w in names], np.uint64),
             np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64),
             head.column("n").to_numpy(),
@@ -285,16 +348,20 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
                 at += len(part)
                 yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), own.column(2), *scorer.score(part).values()], schema=_SCORED)
 
-    scored = materialise(rows.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_log double, score double, tail array<string>"), "scored")
+    scored = materialise(rows.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_log double, score double, tail array<string>, rare array<long>"), "scored")
+    rare = scored.select("row", F.explode("rare").alias("code"))
+    logs = _rare_logs(rare.groupBy("code").agg(F.count("*").alias("times")), grams, order)
+    asked = logs.agg(F.sum("times")).first()[0] or 1
+    rare = attach_groups(rare, logs, "code", "times", asked, written=True).groupBy("row").agg(F.sum("log").alias("rare_log"))
     rest = scored.select("row", F.explode("tail").alias("word")).join(words.where(F.col("n") < least_word), "word")
     rest = rest.groupBy("row").agg(F.count("*").alias("known"), F.sum(F.log10(F.col("n") + 1)).alias("log"))
     total = F.lit(float(np.log10(totals["tokens"] + totals["distinct"] + 1)))
-    return scored.drop("tail").join(rest, "row", "left").select(
+    return scored.drop("tail", "rare").join(rest, "row", "left").join(rare, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("head_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(totals["tokens"]).cast("long").alias("train_tokens"),
         (F.col("head_log") + F.coalesce("log", F.lit(0.0)) - F.col("n_tokens") * total).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("rare_log", F.lit(0.0))).alias("score"),
     )
 
 
