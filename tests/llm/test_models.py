@@ -50,6 +50,17 @@ def test_language_edges(spark):
     assert [r.lang_pred for r in op5.with_language(spark.createDataFrame([(1, "words", None, "s", 1)], SCHEMA)).collect()] == ["und"]
 
 
+def test_languages_that_were_not_learned_go(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    foreign = F.col("lang") == "de"
+    mixed = df.withColumn("foreign", foreign).withColumn("lang", F.when(~F.col("foreign"), F.col("lang")))
+    own, rest = mixed.where("not foreign"), mixed.where("foreign")
+    kept = op5.identified(mixed)
+    assert rest.count() >= 10
+    assert kept.where("foreign").count() <= 0.1 * rest.count()
+    assert kept.where("not foreign").count() == own.where(r"text rlike '\\p{L}'").count()
+
+
 def test_backoff_goes_from_words_to_shorter_grams():
     model = op5.Model([("a", 0, "known", 9), ("b", 0, "known", 1), ("a", 3, "^xy", 1), ("b", 3, "^xy", 9), ("a", 1, "q", 9), ("b", 1, "q", 1)])
     share = lambda w: [round(math.exp(x), 2) for x in model.word(w)]

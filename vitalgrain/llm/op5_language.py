@@ -37,6 +37,8 @@ LEAST_COUNT = 2
 UNKNOWN = "und"
 #: Below this score a text is taken for none of the languages.
 MIN_SCORE = 0.2
+#: So is a text whose share of words known as words, and two standard deviations at most, is below this part of what its language has.
+MIN_KNOWN = 0.6
 
 _WORD = regex.compile(r"\p{L}+")
 
@@ -78,6 +80,14 @@ class Model:
         for lang, size, item, n in counts:
             seen[size, item][at[lang]] += n
             total[size][at[lang]] += n
+        # a word has one 2-gram more than 1-grams; words that would be unseen but for one text's use don't count
+        words = [max(two - one, known, 1) for two, one, known in zip(total[2], total[1], total[0])]
+        often = [0] * len(self.langs)
+        for (size, _), ns in seen.items():
+            if not size:
+                often = [x + (n if n > LEAST_COUNT else 0) for x, n in zip(often, ns)]
+        #: The share of its words that a text of each language should have among the known ones.
+        self.expected = [x / n for x, n in zip(often, words)]
         self.shares: list[dict[str, tuple[float, ...]]] = [{} for _ in range(LONGEST_GRAM + 1)]
         for (size, item), ns in seen.items():
             # what a language lacks is as rare there as in any other, however much of it was seen
@@ -96,11 +106,12 @@ class Model:
         return None
 
     def unit(self, unit: str) -> list[float]:
-        """Sums over the words of a unit without white space: log shares, then shares, then the words."""
+        """Sums over the words of a unit without white space: log shares, then shares, then the words known as words, then the words."""
         n = len(self.langs)
-        out = [0.0] * (2 * n + 1)
+        out = [0.0] * (2 * n + 2)
         for word in words_of(unit):
             out[-1] += 1
+            out[-2] += word in self.shares[0]
             for i, x in enumerate(self.word(word) or ()):
                 out[i] += x
                 out[n + i] += math.exp(x)
@@ -126,7 +137,7 @@ class Predictor:
     def _sums(self, texts: pa.Array) -> np.ndarray:
         """The unit sums of each text."""
         starts, units = word_units(texts)
-        width = 2 * len(self.model.langs) + 1
+        width = 2 * len(self.model.langs) + 2
         table = np.empty((width, len(units.dictionary)), np.float32)
         for i, unit in enumerate(units.dictionary.to_pylist()):
             table[:, i] = self.model.unit(unit)
@@ -139,16 +150,23 @@ class Predictor:
 
     def __call__(self, texts: pa.Array) -> list[tuple[str, float]]:
         """The language of each text, and the mean share that it has of the text's words."""
+        return [(lang, score) for lang, score, _ in self.found(texts)]
+
+    def found(self, texts: pa.Array) -> list[tuple[str, float, bool]]:
+        """The same, and whether the language is recognised."""
         langs, n = self.model.langs, len(self.model.langs)
         if not n:
-            return [(UNKNOWN, 0.0)] * len(texts)
+            return [(UNKNOWN, 0.0, False)] * len(texts)
+        expected = MIN_KNOWN * np.array(self.model.expected)
         out = []
         for part in slices(pc.fill_null(texts, ""), SLICE_BYTES):
             sums = self._sums(part)
             best = sums[:, :n].argmax(axis=1)
             words = np.rint(sums[:, -1])
             share = np.minimum(1.0, np.maximum(0.0, sums[np.arange(len(best)), n + best] / np.maximum(words, 1)))
-            out += [(langs[b], float(s)) if w else (UNKNOWN, 0.0) for b, s, w in zip(best.tolist(), share.tolist(), words.tolist())]
+            some = np.maximum(words, 1)
+            sure = (share >= MIN_SCORE) & (sums[:, -2] / some + 1 / np.sqrt(some) >= expected[best])
+            out += [(langs[b], float(s), k) if w else (UNKNOWN, 0.0, False) for b, s, k, w in zip(best.tolist(), share.tolist(), sure.tolist(), words.tolist())]
         return out
 
 
@@ -171,13 +189,13 @@ def fit(rows: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "
 
 
 def language(model: Model, spark: SparkSession, text: str | Column = "text") -> Column:
-    """struct(lang_pred, score) of a text."""
+    """struct(lang_pred, score, recognised) of a text."""
     shared = spark.sparkContext.broadcast(model)
-    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
-    @F.arrow_udf("lang_pred string, score double")
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("recognised", pa.bool_())])
+    @F.arrow_udf("lang_pred string, score double, recognised boolean")
     def predicted(texts: pa.Array) -> pa.Array:
-        langs, scores = zip(*Predictor(shared.value)(texts)) if len(texts) else ((), ())
-        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], fields=list(kind))
+        columns = zip(*Predictor(shared.value).found(texts)) if len(texts) else ((), (), ())
+        return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], fields=list(kind))
 
     return predicted(F.col(text) if isinstance(text, str) else text)
 
@@ -191,7 +209,7 @@ def with_language(docs: DataFrame, train: DataFrame | None = None, doc_id: str =
 
 
 def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows whose language is recognised, unchanged: not `und`, and a score of MIN_SCORE at least.
+    """The rows whose language is recognised, unchanged: not `und`, a score of MIN_SCORE at least, and enough words that are known.
 
     Learns from all rows that have a language; where none has, every text with a letter passes.
     """
@@ -200,7 +218,7 @@ def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     if not model.langs:
         return docs.where(F.col(text).rlike(r"\p{L}"))
     named = docs.withColumn(found, language(model, docs.sparkSession, text))
-    return named.where((F.col(f"{found}.lang_pred") != UNKNOWN) & (F.col(f"{found}.score") >= MIN_SCORE)).drop(found)
+    return named.where(F.col(f"{found}.recognised")).drop(found)
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
