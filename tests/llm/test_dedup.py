@@ -279,6 +279,15 @@ def test_kept_documents(spark, sf_dir):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == want
 
 
+def test_kept_documents_are_rows(spark):
+    """Ids that repeat with different texts, and null ids: one row of each component stays."""
+    a, b, c, e = (" ".join(f"{k}{i}" for i in range(60)) for k in "abce")
+    rows = [(1, a), (5, a + " more"), (5, b), (6, b + " more"), (None, c), (None, c + " more"), (None, c.upper()), (7, e), (7, e.upper()), (7, e + " more"), (9, ""), (9, ""), (None, None), (10, "alone")]
+    texts = [r.text for r in op9.kept_documents(docs(spark, rows)).collect()]
+    first = [t.lower().split()[0] if t else "" for t in texts]
+    assert sorted(first) == ["", "", "", "a0", "alone", "b0", "c0", "e0"]
+
+
 @pytest.mark.parametrize("small", [0, 2, 500_000])
 def test_graph_components(spark, small):
     rng = random.Random(2)

@@ -19,7 +19,8 @@ link is confirmed on the full shingle sets before it counts.
 Defined cases: null texts, empty texts and texts without words have no shingles, are linked with
 nothing and stay; fewer than five words are one shingle; rows that repeat an id and a text are one
 class and all of them carry its component; null ids never name a component unless the whole
-component has no other; an empty table stays empty; `kept_documents` returns all columns unchanged.
+component has no other; an empty table stays empty; `kept_documents` decides by row, also where ids
+repeat or are null, keeps one row of each component and returns all columns unchanged.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, BinaryType, LongType
 
 from .common import attach_groups, filter_test, materialise, member_filter, slices, text_or_empty, word_hashes
 from .op6_exact_dedup import repeat_filter
@@ -454,8 +455,8 @@ def _links(classes: DataFrame, docs: DataFrame, count: int) -> DataFrame:
     return components(links.unionByName(_confirmed(rest, sets)), rows=2 * total)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id, kept, set_id."""
+def _labelled(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id, set_id and root, one value a component."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     sketches = materialise(rows.mapInArrow(_sketch, _SKETCH_SPARK), "sketches")
     total = max(1, sketches.count())
@@ -471,23 +472,60 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     roots = materialise(_links(classes, rows, total), "roots", total)
     named = roots.join(classes.select("node", "least"), "node")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
-    labelled = attach_groups(roots, names, "root", "members", total).select("node", "component_id")
-    of_class = classes.join(labelled, "node", "left").select("set_id", "size", F.coalesce("component_id", "least").alias("component_id"))
-    joined = attach_groups(known.drop("sig", "roots"), of_class, "set_id", "size", total).select("doc_id", "n_shingles", "component_id", "set_id")
-    empty = sketches.where("set_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "set_id")
-    return joined.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    labelled = attach_groups(roots, names, "root", "members", total).select("node", "root", "component_id")
+    of_class = classes.join(labelled, "node", "left").select("set_id", "size", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "node").alias("root"))
+    joined = attach_groups(known.drop("sig", "roots"), of_class, "set_id", "size", total).select("doc_id", "n_shingles", "component_id", "set_id", "root")
+    empty = sketches.where("set_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "set_id", F.lit(None).cast("long").alias("root"))
+    return joined.unionByName(empty)
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id, kept, set_id."""
+    rows = _labelled(docs, doc_id, text).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return rows.select("doc_id", "n_shingles", "component_id", "set_id", "kept")
+
+
+@F.arrow_udf(BinaryType())
+def _set_of(texts: pa.Array) -> pa.Array:
+    return pa.array([_set_id(s) if len(s) else None for s in shingle_sets(texts)], pa.binary())
+
+
+def _surplus(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(gone, set_id, stays, single) of the ids and sets with rows to drop: all of them, or all but one if it stays.
+
+    `single` ids have no other row in the whole table, so the id alone decides.
+    """
+    rows = materialise(_labelled(docs, doc_id, text).select("doc_id", "set_id", "root"), "labelled")
+    known = rows.where("set_id is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "set_id")
+    several = known.groupBy("root").agg(F.count("*").alias("rows"), F.min(order).alias("first")).where("rows > 1")
+    several = materialise(several, "several")
+    within = attach_groups(known, several, "root", "rows", max(1, rows.count()), written=True).where("rows is not null")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("set_id") == F.col("first.set_id"))
+    # an id and a set are one class, so all their rows are in one component
+    pairs = within.groupBy(F.col("doc_id").alias("gone"), "set_id").agg(F.max(stays).alias("stays"), F.count("*").alias("copies")).where("not stays or copies > 1")
+    often = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select(F.col("doc_id").alias("gone"), F.lit(True).alias("often"))
+    single = F.col("gone").isNotNull() & F.col("often").isNull()
+    return materialise(pairs.join(often, "gone", "left").select("gone", "set_id", "stays", single.alias("single")), "gone")
 
 
 def kept_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, one of each component, with all their columns."""
-    gone = materialise(near_duplicates(docs, doc_id, text).where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone")), "gone")
+    """The documents that stay, one row of each component, with all their columns; rows without shingles all stay."""
+    gone = _surplus(docs, doc_id, text)
     words, cells = member_filter(gone, "gone", max(1, gone.count()))
     names = docs.columns
     own = [f"c{i}" for i in range(len(names))]
     tested = filter_test(docs.toDF(*own).withColumn("id", F.col(own[names.index(doc_id)]).cast("long")), "id", words, cells)
-    sure = tested.where("not __maybe or id is null").select(own)
-    checked = tested.where("__maybe and id is not null").join(gone, F.col("id") == F.col("gone"), "left_anti").select(own)
-    return sure.unionByName(checked).toDF(*names)
+    out = tested.where("not __maybe").select(own)
+    ids = gone.where("single").select("gone")
+    checked = tested.where("__maybe").join(ids, F.col("id") == F.col("gone"), "left_anti").select(*own, "id")
+    sets = gone.where("not single").select("gone", F.col("set_id").alias("set"), "stays")
+    if not sets.isEmpty():
+        of = checked.withColumn("own_set", _set_of(text_or_empty(own[names.index(text)])))
+        found = of.join(sets, F.col("id").eqNullSafe(F.col("gone")) & (F.col("own_set") == F.col("set")), "left")
+        one = found.where("stays").dropDuplicates(["id", "own_set"])
+        checked = found.where("stays is null").unionByName(one)
+    return out.unionByName(checked.select(own)).toDF(*names)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
