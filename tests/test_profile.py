@@ -1,3 +1,4 @@
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -43,11 +44,27 @@ def test_numeric(spark, mixed):
     assert profile.numeric_summary(spark.createDataFrame([("a",)], "x string")).count() == 0
 
 
-@pytest.mark.parametrize("gather", [10, 50_000])
-def test_binned_percentiles(spark, gather):
-    values = [(i * 7919 % 1000) ** 2 / 3 for i in range(800)] + [5.0] * 200 + [1e12]
-    got = profile.binned_percentiles(spark.createDataFrame([(v,) for v in values], "v double"), (0.0, 0.25, 0.5, 0.75, 0.9, 1.0), gather)
-    assert got == pytest.approx(list(pd.Series(values).quantile([0.0, 0.25, 0.5, 0.75, 0.9, 1.0])))
+@pytest.mark.parametrize(("accuracy", "gather"), [(8, 10), (50, 0), (10_000, 50_000)])
+def test_quartiles_are_exact(spark, monkeypatch, accuracy, gather):
+    """Few and many rounds; ties, infinities, zeros of both signs, and columns that share every scan."""
+    if gather <= 10:
+        monkeypatch.setattr(profile, "BINS", 4)
+    frame = pd.DataFrame({
+        "a": [(i * 7919 % 1000) ** 2 / 3 for i in range(800)] + [5.0] * 200 + [1e12],
+        "ties": [float(i % 3) for i in range(1001)],
+        "one": [7.5] * 1001,
+        "wide": [(-1) ** i * 10.0 ** (i % 300) for i in range(1001)],
+        "zeros": [0.0, -0.0] * 500 + [1.0],
+        "ends": [float("inf")] * 300 + [float("-inf")] * 300 + [float(i) for i in range(401)],
+    })
+    df = spark.createDataFrame(frame).repartition(5)
+    got = {r.column_name: r for r in profile.numeric_summary(df, accuracy, gather).collect()}
+    for name in frame:
+        want = np.sort(frame[name])  # 1001 rows: every quartile is a value
+        assert [got[name].p25, got[name].p50, got[name].p75] == [want[250], want[500], want[750]], name
+    half = profile.numeric_summary(df.where("a < 5").select("a"), accuracy, gather).first()
+    few = frame["a"][frame["a"] < 5]
+    assert [half.p25, half.p50, half.p75] == pytest.approx(list(few.quantile([0.25, 0.5, 0.75])))
 
 
 def test_categorical(spark):

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import col, status_bucket
 
-#: Columns with more distinct values than this get their quartiles by counting into ever finer bins.
-EXACT_DISTINCT = 2_000_000
 QUARTILES = (0.25, 0.5, 0.75)
-_BINS = 4096
+#: Bins of a column's histogram.
+BINS = 4096
+#: Accuracy of the sketches that bracket a rank: 1 / SKETCH of the rows.
+SKETCH = 10_000
+#: Values of all columns' bins that are read whole.
+GATHER = 50_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -70,96 +75,143 @@ def top_missing(summary: DataFrame, n: int = 10) -> DataFrame:
     return summary.orderBy(F.desc("missing_count"), "position").limit(n).select("position", "column_name", "missing_count")
 
 
-def numeric_summary(df: DataFrame, exact_distinct: int = EXACT_DISTINCT, rows: int | None = None) -> DataFrame:
+@dataclass
+class _Rank:
+    """A wanted rank of a column: its value, or the interval that holds it, with the rows below and inside."""
+
+    column: int
+    rank: int
+    inside: int
+    below: int = 0
+    low: float | None = None
+    high: float | None = None
+    low_in: bool = True
+    high_in: bool = True
+    value: float | None = None
+
+    def interior(self, v: Column) -> Column:
+        """The column's values within the interval, else NULL."""
+        if self.low is not None:
+            v = F.when(v >= F.lit(self.low) if self.low_in else v > F.lit(self.low), v)
+        if self.high is not None:
+            v = F.when(v <= F.lit(self.high) if self.high_in else v < F.lit(self.high), v)
+        return v
+
+    def holds(self, v: float) -> bool:
+        over = self.low is None or v > self.low or self.low_in and v == self.low
+        return over and (self.high is None or v < self.high or self.high_in and v == self.high)
+
+    def narrow(self, edges: list[float], below: dict[float, int], upto: dict[float, int]) -> None:
+        """Cuts the interval at edges within it; `below` and `upto` count the column's values under each, without and with its own."""
+        for e in edges:
+            if self.rank < below[e]:
+                self.high, self.high_in, self.inside = e, False, below[e] - self.below
+                return
+            if self.rank < upto[e]:
+                self.value = e
+                return
+            self.low, self.low_in, self.inside, self.below = e, False, self.inside - (upto[e] - self.below), upto[e]
+
+
+def _by_histogram(df: DataFrame, values: list[Column], ranks: list[_Rank], ends: list[tuple[float, float]]) -> None:
+    """One scan over the bins of all columns; only the bins that hold a wanted rank come back."""
+    cells, wanted = [], {}
+    for i, (low, high) in enumerate(ends):
+        own = [r for r in ranks if r.column == i]
+        if low is None or low == high:
+            for r in own:
+                r.value = low
+            continue
+        width = (high - low) / BINS
+        if 0 < width < float("inf"):
+            wanted[i] = own
+            cells.append(F.struct(F.lit(i).alias("i"), F.least(F.floor((values[i] - F.lit(low)) / F.lit(width)), F.lit(BINS - 1)).alias("b"), values[i].alias("v")))
+    if not cells:
+        return
+    bins = df.select(F.inline(F.array(*cells))).where("v is not null").groupBy("i", "b").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    upto = bins.withColumn("upto", F.sum("n").over(Window.partitionBy("i").orderBy("b")))
+    asked = F.create_map(*(x for i, own in wanted.items() for x in (F.lit(i), F.array(*(F.lit(r.rank).cast("long") for r in own)))))
+    hit = F.exists(asked[F.col("i")], lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))
+    for x in upto.where(hit).collect():
+        for r in wanted[x["i"]]:
+            if x["upto"] - x["n"] <= r.rank < x["upto"]:
+                r.low, r.high, r.inside, r.below = x["low"], x["high"], x["n"], x["upto"] - x["n"]
+                r.value = r.low if r.low == r.high else None
+
+
+def _by_sketch(df: DataFrame, values: list[Column], open_: list[_Rank], accuracy: int) -> None:
+    """A sketch of each interval gives two values around the rank, which a second scan proves or corrects by counts."""
+    shares = [[max(0.0, x - 2 / accuracy), min(1.0, x + 2 / accuracy)] for x in ((r.rank - r.below) / r.inside for r in open_)]
+    found = df.agg(*(F.percentile_approx(r.interior(values[r.column]), s, accuracy) for r, s in zip(open_, shares))).first()
+    edges = [sorted(set(x)) for x in found]
+    at = sorted({(r.column, e) for r, own in zip(open_, edges) for e in own})
+    counts = df.agg(*(x for i, e in at for x in (F.count_if(values[i] < F.lit(e)), F.count_if(values[i] <= F.lit(e))))).first()
+    below, upto = ({x: counts[2 * k + d] for k, x in enumerate(at)} for d in (0, 1))
+    for r, own in zip(open_, edges):
+        r.narrow(own, {e: below[r.column, e] for e in own}, {e: upto[r.column, e] for e in own})
+
+
+def _settle(df: DataFrame, values: list[Column], ranks: list[_Rank], ends: list[tuple[float, float]], accuracy: int, gather: int) -> None:
+    """Finds the value of every rank: by bins, then by sketches while too much is left, and the rest is read as (column, value, count)."""
+    _by_histogram(df, values, ranks, ends)
+    while open_ := [r for r in ranks if r.value is None]:
+        if sum({(r.column, r.low, r.high): r.inside for r in open_}.values()) <= gather:
+            break
+        _by_sketch(df, values, open_, accuracy)
+    if not open_:
+        return
+    rows = df.select(*(F.coalesce(*(r.interior(values[i]) for r in open_ if r.column == i)).alias(f"v{i}") for i in sorted({r.column for r in open_})))
+    cells = F.array(*(F.struct(F.lit(int(n[1:])).alias("i"), F.col(n).alias("v")) for n in rows.columns))
+    some = rows.where(F.coalesce(*rows.columns).isNotNull()).select(F.inline(cells)).where("v is not null").groupBy("i", "v").agg(F.count("*").alias("n"))
+    held = sorted((r["i"], r["v"], r["n"]) for r in some.collect())
+    for r in open_:
+        upto = r.below
+        for i, v, n in held:
+            if i == r.column and r.holds(v):
+                upto += n
+                if r.rank < upto:
+                    r.value = v
+                    break
+
+
+def numeric_summary(df: DataFrame, accuracy: int = SKETCH, gather: int = GATHER) -> DataFrame:
     """position, column_name, count, mean, std, min, p25, p50, p75, max of each numeric column; NULL and NaN are skipped.
 
-    Quartiles interpolate linearly and are exact. Up to `exact_distinct` distinct values they come
-    from the same scan as all else; beyond, ranks are found by counting into bins, so that no task
-    holds a column's values. `rows`, where it is known, may spare the look at the distinct values.
+    Quartiles interpolate linearly and are exact. One scan has all moments, the next counts each
+    column's values in bins, and the last reads the few values of the bins that hold a quartile;
+    where a bin holds too many, sketches cut it first. All columns and ranks share these scans, and
+    no task or driver holds more than BINS counts or a sketch a column, and `gather` values.
     """
     names = numeric_columns(df)
     spark = df.sparkSession
     schema = "position int, column_name string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
     if not names:
         return spark.createDataFrame([], schema)
-    value = {n: F.when(~is_missing(df, n), col(n).cast("double")) for n in names}
-    large = set()
-    if rows is None or rows > exact_distinct:
-        sizes = df.agg(*(F.approx_count_distinct(value[n]).alias(f"d{i}") for i, n in enumerate(names))).first()
-        large = {n for i, n in enumerate(names) if sizes[i] > exact_distinct}
-    aggs = []
-    for i, n in enumerate(names):
-        v = value[n]
-        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
-        if n not in large:
-            aggs.append(F.percentile(v, list(QUARTILES)).alias(f"q{i}"))
-    wide = df.agg(*aggs)
-    found = {n: binned_percentiles(df.select(value[n].alias("v")), QUARTILES) for n in large}
-    lines = []
-    for i, n in enumerate(names):
-        quartiles = [F.lit(x).cast("double") for x in found[n]] if n in large else [F.col(f"q{i}")[k] for k in range(3)]
-        lines.append(
-            F.struct(
-                F.lit(numeric_position(df, n)).alias("position"), F.lit(n).alias("column_name"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
-                *(q.alias(f"p{int(p * 100)}") for q, p in zip(quartiles, QUARTILES)), F.col(f"hi{i}").alias("max"),
-            )
-        )
-    return wide.select(F.inline(F.array(*lines))).orderBy("position")
-
-
-def numeric_position(df: DataFrame, name: str) -> int:
-    return df.columns.index(name)
-
-
-def binned_percentiles(values: DataFrame, shares: tuple[float, ...], gather: int = 50_000) -> list[float | None]:
-    """Exact percentiles of the column `v` with linear interpolation, by ever finer histograms.
-
-    Each round counts the rows of the interval that holds a wanted rank into _BINS bins; an
-    interval of at most `gather` distinct values is read whole as (value, count).
-    """
-    known = values.where("v is not null")
-    stats = known.agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    n = stats["n"]
-    if not n:
-        return [None] * len(shares)
-
-    def at_rank(rank: int) -> float:
-        lo, hi, below = stats["lo"], stats["hi"], 0
-        while True:
-            inside = known.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
-            if inside.agg(F.approx_count_distinct("v")).first()[0] <= gather // 2:
-                counts = inside.groupBy("v").agg(F.count("*").alias("k")).orderBy("v").limit(gather + 1).collect()
-                if len(counts) <= gather:
-                    break
-            width = (hi - lo) / _BINS
-            if not 0 < width < float("inf"):
-                width = hi / _BINS - lo / _BINS
-            bins = inside.groupBy(F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(_BINS - 1)).alias("b"))
-            for r in bins.agg(F.count("*").alias("k"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("b").collect():
-                if rank < below + r["k"]:
-                    lo, hi = r["lo"], r["hi"]
-                    break
-                below += r["k"]
-        for r in counts:
-            below += r["k"]
-            if rank < below:
-                return r["v"]
-        raise AssertionError("rank beyond the interval")
-
-    out, seen = [], {}
-    for share in shares:
-        place = share * (n - 1)
-        first, part = int(place), place - int(place)
-        low = seen.setdefault(first, None) if seen.get(first) is not None else at_rank(first)
-        seen[first] = low
-        if part == 0:
-            out.append(low)
-            continue
-        high = seen.get(first + 1)
-        if high is None:
-            high = seen[first + 1] = at_rank(first + 1)
-        out.append(low + (high - low) * part)
-    return out
+    values = [F.when(~is_missing(df, n), col(n).cast("double")) for n in names]
+    found = df.agg(*(x for v in values for x in (F.count(v), F.avg(v), F.stddev_samp(v), F.min(v), F.max(v)))).first()
+    stats = [found[5 * i : 5 * i + 5] for i in range(len(names))]
+    places = {(i, q): q * (s[0] - 1) for i, s in enumerate(stats) if s[0] for q in QUARTILES}
+    ranks = {}
+    for (i, _), place in places.items():
+        for rank in {int(place), min(int(place) + 1, stats[i][0] - 1)}:
+            ranks.setdefault((i, rank), _Rank(i, rank, stats[i][0]))
+    if ranks:
+        _settle(df, values, list(ranks.values()), [tuple(s[3:5]) for s in stats], accuracy, gather)
+
+    def percentile(i: int, q: float) -> float | None:
+        if (i, q) not in places:
+            return None
+        place = places[i, q]
+        low, part = ranks[i, int(place)].value, place - int(place)
+        if not part:
+            return low
+        high = ranks[i, int(place) + 1].value
+        return low if low == high else low + (high - low) * part
+
+    rows = [(df.columns.index(n), n, *s[:4], *(percentile(i, q) for q in QUARTILES), s[4]) for i, (n, s) in enumerate(zip(names, stats))]
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+    lines = (F.struct(*(F.lit(x).cast(kind).alias(name) for x, (name, kind) in zip(r, fields))) for r in rows)
+    return spark.range(1).select(F.inline(F.array(*lines)))
 
 
 def value_counts(df: DataFrame, names: list[str] | None = None) -> DataFrame:
@@ -167,13 +219,15 @@ def value_counts(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     names = categorical_columns(df) if names is None else names
     if not names:
         return df.sparkSession.createDataFrame([], "position int, column_name string, value string, count long")
-    cells = F.array(*(F.struct(F.lit(df.columns.index(n)).alias("position"), F.lit(n).alias("column_name"), col(n).cast("string").alias("value")) for n in names))
-    return df.select(F.inline(cells)).groupBy("position", "column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+    cells = F.array(*(F.struct(F.lit(df.columns.index(n)).alias("position"), col(n).cast("string").alias("value")) for n in names))
+    counts = df.select(F.inline(cells)).groupBy("position", "value").agg(F.count(F.lit(1)).alias("count"))
+    named = F.array(*(F.lit(n) for n in df.columns))[F.col("position")]
+    return counts.select("position", named.alias("column_name"), "value", "count")
 
 
 def categorical_summary(df: DataFrame, top_n: int = 5, names: list[str] | None = None) -> DataFrame:
     """The top_n values of each categorical column: position, column_name, value, count, rank; ties by value, missing last."""
-    by = Window.partitionBy("position", "column_name").orderBy(F.desc("count"), F.col("value").asc_nulls_last())
+    by = Window.partitionBy("position").orderBy(F.desc("count"), F.col("value").asc_nulls_last())
     return value_counts(df, names).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top_n).orderBy("position", "rank")
 
 

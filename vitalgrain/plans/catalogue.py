@@ -6,8 +6,6 @@ injects missing values by a rule that its SQL repeats.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import age_years, missing_normalised, normalised_gender, parsed_birth_date, parsed_float, to_number
 from ..operators import profile, records, rules
+from ..sources.scratch import scratch_path
 from ..sources.tables import ROW_ID, read_csv, read_parquet, with_row_id
 
 
@@ -136,9 +135,9 @@ def numeric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numeric_summary_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same result by the way for columns with very many values."""
+    """The same result with a coarse sketch, so that ranks take several rounds."""
     names = ["p25", "p50", "p75"]
-    rows = profile.numeric_summary(_table(spark, sf_dir, "orders").select("o_totalprice"), exact_distinct=10)
+    rows = profile.numeric_summary(_table(spark, sf_dir, "orders").select("o_totalprice"), accuracy=20, gather=10)
     return rows.select("column_name", "count", *(F.round(n, 4).alias(n) for n in names))
 
 
@@ -261,18 +260,9 @@ def nan_as_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- sources ------------------------------------------------------------------------------------
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A folder that all executors share where a cluster names one."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    path = f"{(named or 'file://' + tempfile.gettempdir()).rstrip('/')}/table-{uuid.uuid4().hex}"
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
-
-
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes customers as CSV with missing tokens and reads them with inferred types."""
-    path = _scratch(spark)
+    path = scratch_path(spark, "csv")
     c = _table(spark, sf_dir, "customer")
     token = F.when(F.col("c_custkey") % 10 == 0, "NA").when(F.col("c_custkey") % 10 == 1, "?").otherwise(F.col("c_mktsegment"))
     out = c.select("c_custkey", "c_name", F.when(F.col("c_custkey") % 7 == 0, "n/a").otherwise(F.col("c_nationkey").cast("string")).alias("c_nationkey"), "c_acctbal", token.alias("c_mktsegment"), (F.col("c_custkey") % 2 == 0).alias("even"))

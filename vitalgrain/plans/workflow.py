@@ -8,14 +8,17 @@ from collections.abc import Callable
 from datetime import datetime
 from pathlib import Path
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Settings
+from ..functions.expressions import col
 from ..operators import profile, records, rules
-from ..sources.tables import ROW_ID, read_table, with_row_id
+from ..sources.tables import ROW_ID, read_table
 from .report import ReportWriter, write_missing_csv
 
+#: Numeric columns that the console profile shows.
+NUMERIC_SHOWN = 5
+
 
 def logger_for(name: str, level: str = "INFO", log_dir: str | Path = "logs") -> logging.Logger:
     """Logs to the console and to a dated file; handlers are added once for each name."""
@@ -52,35 +55,33 @@ def run_quality(spark: SparkSession, path: str, settings: Settings, log: logging
     """Prints the profile of a table. One scan gives overview and missing values, one the numbers, one the categories."""
     log = log or logger_for("vitalgrain", settings.logging.level, settings.logging.log_dir)
     log.info("Reading %s", path)
-    df = read_table(spark, path).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        q = settings.quality
-        missing = [r.asDict() for r in profile.missing_summary(df).collect()]
-        rows = missing[0]["rows"] if missing else 0
-        log.info("%d rows, %d columns", rows, len(df.columns))
-        _show("Overview", [{"rows": rows, "columns": len(df.columns)}], ["rows", "columns"])
-        _show("Columns", [{"column": n, "type": t} for n, t in df.dtypes], ["column", "type"])
-        _log_missing(log, (missing[0]["column_name"], missing[0]["missing_ratio"]) if missing else None, settings)
-        _show("Missing values", missing[: q.missing.report_top_n_columns], ["column_name", "missing_count", "missing_ratio"])
-        if q.numeric_summary.enabled:
-            numeric = [r.asDict() for r in profile.numeric_summary(df, rows=rows).limit(5).collect()]
-            if not numeric:
-                log.warning("No numeric columns")
-            _show("Numbers", numeric, ["column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"])
-        candidates = [r for r in missing if r["missing_ratio"] is not None and r["missing_ratio"] >= q.missing.exclusion_candidate_threshold]
-        for r in candidates:
-            log.warning("Candidate for exclusion: %s (%.2f missing)", r["column_name"], r["missing_ratio"])
-        _show("Candidates for exclusion", candidates, ["column_name", "missing_count", "missing_ratio"])
-        some_missing = {r["column_name"] for r in missing if r["missing_count"]}
-        names = [n for n in profile.categorical_columns(df) if dict(df.dtypes)[n] != "boolean" or n in some_missing]
-        top: dict[str, list[dict]] = defaultdict(list)
-        for r in profile.categorical_summary(df, q.categorical.report_top_n_values, names).collect():
-            top[r["column_name"]].append(r.asDict())
-        for name in names:
-            _show(f"Values of {name}", top[name], ["value", "count"])
-        log.info("Profile complete")
-    finally:
-        df.unpersist()
+    df = read_table(spark, path)  # read again by each scan: a copy of the input is no cheaper than its columns
+    q = settings.quality
+    missing = [r.asDict() for r in profile.missing_summary(df).collect()]
+    rows = missing[0]["rows"] if missing else 0
+    log.info("%d rows, %d columns", rows, len(df.columns))
+    _show("Overview", [{"rows": rows, "columns": len(df.columns)}], ["rows", "columns"])
+    _show("Columns", [{"column": n, "type": t} for n, t in df.dtypes], ["column", "type"])
+    _log_missing(log, (missing[0]["column_name"], missing[0]["missing_ratio"]) if missing else None, settings)
+    _show("Missing values", missing[: q.missing.report_top_n_columns], ["column_name", "missing_count", "missing_ratio"])
+    if q.numeric_summary.enabled:
+        shown = df.select(*(col(n) for n in profile.numeric_columns(df)[:NUMERIC_SHOWN]))
+        numeric = [r.asDict() for r in profile.numeric_summary(shown).collect()]
+        if not numeric:
+            log.warning("No numeric columns")
+        _show("Numbers", numeric, ["column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+    candidates = [r for r in missing if r["missing_ratio"] is not None and r["missing_ratio"] >= q.missing.exclusion_candidate_threshold]
+    for r in candidates:
+        log.warning("Candidate for exclusion: %s (%.2f missing)", r["column_name"], r["missing_ratio"])
+    _show("Candidates for exclusion", candidates, ["column_name", "missing_count", "missing_ratio"])
+    some_missing = {r["column_name"] for r in missing if r["missing_count"]}
+    names = [n for n in profile.categorical_columns(df) if dict(df.dtypes)[n] != "boolean" or n in some_missing]
+    top: dict[str, list[dict]] = defaultdict(list)
+    for r in profile.categorical_summary(df, q.categorical.report_top_n_values, names).collect():
+        top[r["column_name"]].append(r.asDict())
+    for name in names:
+        _show(f"Values of {name}", top[name], ["value", "count"])
+    log.info("Profile complete")
     return 0
 
 
@@ -116,41 +117,38 @@ def run_pipeline(spark: SparkSession, path: str, settings: Settings, output: str
     """Reads, validates, writes missing_summary.csv and the reports, and hands the table to `transform`. A failing report is logged, no more."""
     log = log or logger_for("vitalgrain.pipeline", settings.logging.level, settings.logging.log_dir)
     log.info("Reading %s", path)
-    df = with_row_id(read_table(spark, path)).persist(StorageLevel.MEMORY_AND_DISK)
+    df = read_table(spark, path, row_ids=True)
+    results = validate(df)
+    missing = [r.asDict() for r in results["missing"].collect()]
+    rows = missing[0]["rows"] if missing else 0
+    log.info("%d rows from %s", rows, path)
+    _log_missing(log, (missing[0]["column_name"], missing[0]["missing_ratio"]) if missing else None, settings)
+    findings = [r.asDict() for r in results["findings"].collect()]
+    for f in findings:
+        (log.warning if f["affected_rows"] else log.info)("%s: %s", f["rule"], f["message"])
+    first: dict[str, list] = defaultdict(list)
+    for r in rules.first_violations(results["violations"]).collect():
+        first[r["rule"]].append(r["column_name"] if r["row_id"] is None else r["row_id"])
+    found = results["records"].first().asDict()
+
+    out = Path(output)
+    out.mkdir(parents=True, exist_ok=True)
+    write_missing_csv(missing, out / "missing_summary.csv")
+    cells, gone = rows * len(missing), sum(r["missing_count"] for r in missing)
+    table = [{**r, "missing_pct": 100 * r["missing_ratio"], "status": "HIGH" if r["missing_ratio"] > 0.3 else "MODERATE" if r["missing_ratio"] > 0.1 else "LOW"} for r in missing]
+    top = sorted(missing, key=lambda r: (-r["missing_count"], r["position"]))[:10]
+    writer = ReportWriter(log)
+    html = out / "quality_report.html"
+    try:
+        writer.write_html(html, rows=rows, columns=len(missing), completeness_pct=round((1 - gone / cells) * 100, 2) if cells else None, missing=table, top=top, findings=findings, first=first, records=found)
+    except Exception as e:  # noqa: BLE001
+        log.error("HTML report failed: %s", e)
     try:
-        results = validate(df)
-        missing = [r.asDict() for r in results["missing"].collect()]
-        rows = missing[0]["rows"] if missing else 0
-        log.info("%d rows from %s", rows, path)
-        _log_missing(log, (missing[0]["column_name"], missing[0]["missing_ratio"]) if missing else None, settings)
-        findings = [r.asDict() for r in results["findings"].collect()]
-        for f in findings:
-            (log.warning if f["affected_rows"] else log.info)("%s: %s", f["rule"], f["message"])
-        first: dict[str, list] = defaultdict(list)
-        for r in rules.first_violations(results["violations"]).collect():
-            first[r["rule"]].append(r["column_name"] if r["row_id"] is None else r["row_id"])
-        found = results["records"].first().asDict()
-
-        out = Path(output)
-        out.mkdir(parents=True, exist_ok=True)
-        write_missing_csv(missing, out / "missing_summary.csv")
-        cells, gone = rows * len(missing), sum(r["missing_count"] for r in missing)
-        table = [{**r, "missing_pct": 100 * r["missing_ratio"], "status": "HIGH" if r["missing_ratio"] > 0.3 else "MODERATE" if r["missing_ratio"] > 0.1 else "LOW"} for r in missing]
-        top = sorted(missing, key=lambda r: (-r["missing_count"], r["position"]))[:10]
-        writer = ReportWriter(log)
-        html = out / "quality_report.html"
-        try:
-            writer.write_html(html, rows=rows, columns=len(missing), completeness_pct=round((1 - gone / cells) * 100, 2) if cells else None, missing=table, top=top, findings=findings, first=first, records=found)
-        except Exception as e:  # noqa: BLE001
-            log.error("HTML report failed: %s", e)
-        try:
-            writer.write_pdf(html, out / "quality_report.pdf")
-        except RuntimeError as e:
-            log.warning("PDF report skipped: %s", e)
-        except Exception as e:  # noqa: BLE001
-            log.error("PDF report failed: %s", e)
-        transform(df.drop(ROW_ID))
-        log.info("Pipeline complete")
-    finally:
-        df.unpersist()
+        writer.write_pdf(html, out / "quality_report.pdf")
+    except RuntimeError as e:
+        log.warning("PDF report skipped: %s", e)
+    except Exception as e:  # noqa: BLE001
+        log.error("PDF report failed: %s", e)
+    transform(df.drop(ROW_ID))
+    log.info("Pipeline complete")
     return 0

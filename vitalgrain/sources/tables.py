@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import csv
 import io
+import re
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import NUMBER, col, missing_normalised
+from .scratch import written
 
 # fixed values: texts that count as missing, matched exactly
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 ROW_ID = "row_id"
 _CORRUPT = "__corrupt"
-#: A comma that an even number of quotes follows, so none within a quoted field.
-_FIELD_END = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+#: Lines that a header with quoted line breaks may have.
+HEADER_LINES = 1000
 
 
 def _header(names: list[str]) -> list[str]:
@@ -33,27 +36,59 @@ def _header(names: list[str]) -> list[str]:
     return out
 
 
+@dataclass(frozen=True)
+class CsvText:
+    """A CSV file whose header is known. `broken_lines`: some quoted field holds a line break."""
+
+    spark: SparkSession
+    path: str
+    names: tuple[str, ...]
+    tokens: tuple[str, ...]
+    broken_lines: bool
+
+    @classmethod
+    def of(cls, spark: SparkSession, path: str, na_tokens: tuple[str, ...] = NA_TOKENS, placeholders: tuple[str, ...] = ()) -> CsvText:
+        odd = F.length("value") % 2 != F.length(F.replace("value", F.lit('"'), F.lit(""))) % 2
+        try:
+            lines = spark.read.text(path)
+            first = lines.first()
+            # a record's first line has an odd number of quotes if it goes on in the next
+            broken = first is not None and not lines.where(odd).isEmpty()
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                raise FileNotFoundError(path) from e
+            raise
+        if first is None or not first[0].strip():
+            raise ValueError(f"no data in {path}")
+        head = first[0]
+        if head.count('"') % 2:  # the header itself goes on
+            head = "\n".join(r[0] for r in lines.limit(HEADER_LINES).collect())
+        names = _header(next(csv.reader(io.StringIO(head.lstrip("\ufeff")))))
+        return cls(spark, path, tuple(names), (*na_tokens, *placeholders), broken)
+
+    def rows(self, checked: bool = True) -> DataFrame:
+        """All columns as text, missing tokens as NULL; `checked` fails on a row with more fields than the header.
+
+        Files are split between tasks unless a quoted line break makes that impossible. Rows that
+        need no check are parsed only as far as the columns that are asked for.
+        """
+        fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(self.names))]
+        schema = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())] if checked else fields)
+        rows = self.spark.read.schema(schema).options(header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, quote='"', escape='"', emptyValue="", nullValue="", multiLine=self.broken_lines).csv(self.path)
+        if checked:
+            # quoted fields go first: what is left has a comma for each field but one
+            bare = F.regexp_replace(F.col(_CORRUPT), r'"[^"]*"', "")
+            too_long = F.col(_CORRUPT).isNotNull() & (F.size(F.split(bare, ",")) > len(self.names))
+            # names a data column too: Spark refuses to read the corrupt records alone
+            message = F.concat(F.lit("a row has more fields than the header: "), F.substring(F.coalesce(_CORRUPT, "c0"), 1, 200))
+            # a filter, as pruning can't remove it
+            rows = rows.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(True))
+        return rows.select(*(F.when(~F.col(f.name).isin(*self.tokens), F.col(f.name)).alias(n) for f, n in zip(fields, self.names)))
+
+
 def read_csv_text(spark: SparkSession, path: str, na_tokens: tuple[str, ...] = NA_TOKENS, placeholders: tuple[str, ...] = ()) -> DataFrame:
     """All columns as text, missing tokens as NULL. A row with more fields than the header is an error, a shorter one is filled up."""
-    try:
-        first = spark.read.text(path).first()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(path) from e
-        raise
-    if first is None or not first[0].strip():
-        raise ValueError(f"no data in {path}")
-    names = _header(next(csv.reader(io.StringIO(first[0].lstrip("\ufeff")))))
-    fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]
-    schema = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
-    raw = spark.read.schema(schema).options(header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, quote='"', escape='"', emptyValue="", nullValue="").csv(path)
-    too_long = F.col(_CORRUPT).isNotNull() & (F.size(F.split(F.col(_CORRUPT), _FIELD_END)) > len(names))
-    # names a data column too: Spark refuses to read the corrupt records alone
-    message = F.concat(F.lit("a row has more fields than the header: "), F.substring(F.coalesce(_CORRUPT, "c0"), 1, 200))
-    tokens = [*na_tokens, *placeholders]
-    # a filter, as pruning can't remove it
-    checked = raw.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(True))
-    return checked.select(*(F.when(~F.col(f.name).isin(tokens), F.col(f.name)).alias(n) for f, n in zip(fields, names)))
+    return CsvText.of(spark, path, na_tokens, placeholders).rows()
 
 
 _LONG, _WIDE, _DOUBLE, _BOOLEAN, _TEXT = 1, 2, 4, 8, 16
@@ -70,28 +105,32 @@ def _kind(v: Column) -> Column:
     return F.when(v.isNull(), 0).when(F.substring(v, 1, 1).isin(*"+-.0123456789iI"), number).otherwise(boolean)
 
 
-def infer_types(text: DataFrame) -> DataFrame:
-    """Casts each text column to the narrowest of long, wide integer, double and boolean that holds all its values.
+def value_kinds(text: DataFrame) -> list[int]:
+    """The types that each text column's values need, as bits, from one aggregate over all columns. ValueError if there are no rows."""
+    kinds = F.transform(F.array(*(F.trim(col(n)) for n in text.columns)), _kind)
+    found = text.select(kinds.alias("kinds")).agg(F.count(F.lit(1)), *(F.bit_or(F.col("kinds")[i]) for i in range(len(text.columns)))).first()
+    if not found[0]:
+        raise ValueError("no rows")
+    return list(found[1:])
+
 
-    One aggregate over (column, value) decides for all columns. Dates stay text; a column without
-    any value is double. ValueError if there are no rows.
+def cast_to_kinds(text: DataFrame, kinds: list[int]) -> DataFrame:
+    """Casts each text column to the narrowest of long, wide integer, double and boolean that holds all its kinds.
+
+    Dates stay text; a column without any value is double.
     """
-    cells = F.array(*(F.struct(F.lit(i).alias("i"), F.trim(col(n)).alias("v")) for i, n in enumerate(text.columns)))
-    found = {r["i"]: r["kinds"] for r in text.select(F.inline(cells)).groupBy("i").agg(F.bit_or(_kind(F.col("v"))).alias("kinds")).collect()}
-    if not found:
-        raise ValueError("no rows")
     out = []
-    for i, name in enumerate(text.columns):
-        v, kinds = F.trim(col(name)), found[i]
-        if not kinds:
+    for name, kind in zip(text.columns, kinds):
+        v = F.trim(col(name))
+        if not kind:
             cast = F.lit(None).cast("double")
-        elif kinds == _LONG:
+        elif kind == _LONG:
             cast = v.cast("bigint")
-        elif kinds & ~(_LONG | _WIDE) == 0:
+        elif kind & ~(_LONG | _WIDE) == 0:
             cast = v.cast("decimal(20,0)")
-        elif kinds & ~(_LONG | _WIDE | _DOUBLE) == 0:
+        elif kind & ~(_LONG | _WIDE | _DOUBLE) == 0:
             cast = F.regexp_replace(v, r"(?i)inf(inity)?$", "Infinity").cast("double")
-        elif kinds == _BOOLEAN:
+        elif kind == _BOOLEAN:
             cast = F.lower(v).cast("boolean")
         else:
             cast = col(name)
@@ -99,15 +138,24 @@ def infer_types(text: DataFrame) -> DataFrame:
     return text.select(*out)
 
 
+def infer_types(text: DataFrame) -> DataFrame:
+    """The table with its text columns cast to what their values are."""
+    return cast_to_kinds(text, value_kinds(text))
+
+
 def read_csv(spark: SparkSession, path: str, na_tokens: tuple[str, ...] = NA_TOKENS, placeholders: tuple[str, ...] = (), row_ids: bool = False) -> DataFrame:
-    """A typed table. FileNotFoundError if the path is absent, ValueError if it can't be parsed or has no rows."""
-    text = read_csv_text(spark, path, na_tokens, placeholders)
+    """A typed table. FileNotFoundError if the path is absent, ValueError if it can't be parsed or has no rows.
+
+    The scan that finds the types also checks every row's length, so later scans need not.
+    """
+    text = CsvText.of(spark, path, na_tokens, placeholders)
     try:
-        typed = infer_types(text)
+        kinds = value_kinds(text.rows())
     except ValueError as e:
         raise ValueError(f"{e} in {path}") from e
     except Exception as e:
         raise ValueError(f"can't parse {path}: {e}") from e
+    typed = cast_to_kinds(text.rows(checked=False), kinds)
     return with_row_id(typed) if row_ids else typed
 
 
@@ -135,18 +183,36 @@ def ingest(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     return df, df.count()
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether the plan only reads, filters and projects, so that its partitions are the same each time it runs."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return not re.search("Exchange|AdaptiveSparkPlan|Sample|Coalesce|Union|Limit|InMemory|Scan ExistingRDD", plan) and plan.count("Scan ") == 1
+
+
 def with_row_id(df: DataFrame, name: str = ROW_ID) -> DataFrame:
     """Adds row numbers from 0, dense and in the reading order of the files.
 
-    Counts by partition, one row each, give the offsets; the rows themselves don't move.
+    Counts by partition, one row each, give the offsets; the rows themselves don't move. What is
+    more than a scan may be dealt otherwise when it runs again, so it is written first with its numbers.
     """
-    tagged = df.withColumn("__at", F.monotonically_increasing_id())
-    part = F.shiftright("__at", 33).cast("int")
-    counts = tagged.groupBy(part.alias("__part")).agg(F.count("*").alias("n")).collect()
-    before, rows = 0, []
-    for r in sorted(counts, key=lambda r: r["__part"]):
-        rows.append((r["__part"], before))
-        before += r["n"]
-    offsets = df.sparkSession.createDataFrame(rows, "__part int, __before long")
-    numbered = tagged.withColumn("__part", part).join(F.broadcast(offsets), "__part")
-    return numbered.select(*(col(c) for c in df.columns), (F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
+    scan = _is_scan(df)
+    at, rank, before = (_unused(n, [*df.columns, name]) for n in ("at", "part", "before"))
+    tagged = df.withColumn(at, F.monotonically_increasing_id())
+    if not scan:
+        tagged = written(tagged, "tagged")
+    part = F.shiftright(at, 33).cast("int")
+    counts = tagged.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
+    total, rows = 0, []
+    for r in sorted(counts, key=lambda r: r["part"]):
+        rows.append((r["part"], total))
+        total += r["n"]
+    offsets = df.sparkSession.createDataFrame(rows, f"{rank} int, {before} long")
+    numbered = tagged.withColumn(rank, part).join(F.broadcast(offsets), rank)
+    return numbered.select(*(col(c) for c in df.columns if c != name), (F.col(before) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
+
+
+def _unused(stem: str, taken: list[str]) -> str:
+    name = f"__{stem}"
+    while name in taken:
+        name = f"_{name}"
+    return name
