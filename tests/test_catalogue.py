@@ -1,7 +1,10 @@
 """Every query with SQL gives the rows that DuckDB gives; the contract's functions agree with each other."""
 
 import math
+import subprocess
+import sys
 from decimal import Decimal
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -56,3 +59,8 @@ def test_plans_read_only_what_they_need(spark, sf_dir):
     assert "props" not in plan and plan.count("Scan parquet") == 1
     spikes = catalogue.vital_spike(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert spikes.count("Exchange hashpartitioning") == 1
+
+
+def test_the_rest_works_without_what_only_training_data_needs():
+    code = "import sys; sys.modules.update(xxhash=None, zstandard=None, regex=None); import __spark_entry__ as e; assert 'overview' in e.queries() and 'pipeline' not in e.queries()"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)

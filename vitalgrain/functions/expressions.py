@@ -13,9 +13,20 @@ FLOAT_TEXT = r"^[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d
 GENDERS = ("male", "female", "other", "unknown")
 
 
+def quoted(name: str) -> str:
+    """A column's whole name in SQL, dots and all. Wide tables build SQL text: a Column costs several calls to the JVM."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def literal(text: str) -> str:
+    """A string literal in SQL."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def col(c: str | Column) -> Column:
     """A column by its whole name, dots and all."""
-    return F.col(f"`{c.replace('`', '``')}`") if isinstance(c, str) else c
+    return F.col(quoted(c)) if isinstance(c, str) else c
 
 
 def missing_normalised(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expressions import col, status_bucket
+from ..functions.expressions import literal, quoted, status_bucket
 
 QUARTILES = (0.25, 0.5, 0.75)
 #: Bins of a column's histogram.
@@ -28,22 +28,27 @@ def categorical_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BooleanType))]
 
 
-def is_missing(df: DataFrame, name: str) -> Column:
-    c = col(name)
-    return c.isNull() | F.isnan(c) if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)) else c.isNull()
+def missing_sql(df: DataFrame, name: str) -> str:
+    """SQL that is true where a column's value is missing."""
+    c = quoted(name)
+    return f"({c} is null or isnan({c}))" if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)) else f"({c} is null)"
+
+
+def _named(names: list[str], *more: str) -> str:
+    """One struct for each column: position, column_name and what `more` says of it, `#` being its position."""
+    return ", ".join(f"named_struct('position', {i}, 'column_name', {literal(n)}{''.join(', ' + m.replace('#', str(i)) for m in more)})" for i, n in enumerate(names))
 
 
 def overview(df: DataFrame) -> DataFrame:
     """position, column_name, dtype, rows: one row a column."""
-    columns = F.array(*(F.struct(F.lit(i).alias("position"), F.lit(n).alias("column_name"), F.lit(t).alias("dtype")) for i, (n, t) in enumerate(df.dtypes)))
-    return df.agg(F.count(F.lit(1)).alias("rows")).select(F.inline(columns), "rows")
+    columns = ", ".join(f"named_struct('position', {i}, 'column_name', {literal(n)}, 'dtype', {literal(t)})" for i, (n, t) in enumerate(df.dtypes))
+    return df.agg(F.count(F.lit(1)).alias("rows")).selectExpr(f"inline(array({columns}))", "rows")
 
 
 def missing_summary(df: DataFrame) -> DataFrame:
     """position, column_name, missing_count, missing_ratio, rows; the most missing first, ties by position. One scan for all columns."""
-    counts = df.agg(F.count(F.lit(1)).alias("rows"), *(F.count_if(is_missing(df, n)).alias(f"m{i}") for i, n in enumerate(df.columns)))
-    rows = F.array(*(F.struct(F.lit(i).alias("position"), F.lit(n).alias("column_name"), F.col(f"m{i}").alias("missing_count")) for i, n in enumerate(df.columns)))
-    summary = counts.select("rows", F.inline(rows)).withColumn("missing_ratio", F.try_divide(F.col("missing_count").cast("double"), F.col("rows")))
+    counts = df.agg(F.count(F.lit(1)).alias("rows"), *(F.expr(f"count_if({missing_sql(df, n)}) as m{i}") for i, n in enumerate(df.columns)))
+    summary = counts.selectExpr("rows", f"inline(array({_named(df.columns, "'missing_count', m#")}))").withColumn("missing_ratio", F.try_divide(F.col("missing_count").cast("double"), F.col("rows")))
     return summary.select("position", "column_name", "missing_count", "missing_ratio", "rows").orderBy(F.desc("missing_ratio"), "position")
 
 
@@ -187,8 +192,9 @@ def numeric_summary(df: DataFrame, accuracy: int = SKETCH, gather: int = GATHER)
     schema = "position int, column_name string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
     if not names:
         return spark.createDataFrame([], schema)
-    values = [F.when(~is_missing(df, n), col(n).cast("double")) for n in names]
-    found = df.agg(*(x for v in values for x in (F.count(v), F.avg(v), F.stddev_samp(v), F.min(v), F.max(v)))).first()
+    sql = [f"(case when not {missing_sql(df, n)} then cast({quoted(n)} as double) end)" for n in names]
+    values = [F.expr(v) for v in sql]
+    found = df.agg(*(F.expr(f"{f}({v})") for v in sql for f in ("count", "avg", "stddev_samp", "min", "max"))).first()
     stats = [found[5 * i : 5 * i + 5] for i in range(len(names))]
     places = {(i, q): q * (s[0] - 1) for i, s in enumerate(stats) if s[0] for q in QUARTILES}
     ranks = {}
@@ -219,10 +225,10 @@ def value_counts(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     names = categorical_columns(df) if names is None else names
     if not names:
         return df.sparkSession.createDataFrame([], "position int, column_name string, value string, count long")
-    cells = F.array(*(F.struct(F.lit(df.columns.index(n)).alias("position"), col(n).cast("string").alias("value")) for n in names))
-    counts = df.select(F.inline(cells)).groupBy("position", "value").agg(F.count(F.lit(1)).alias("count"))
-    named = F.array(*(F.lit(n) for n in df.columns))[F.col("position")]
-    return counts.select("position", named.alias("column_name"), "value", "count")
+    cells = ", ".join(f"named_struct('position', {df.columns.index(n)}, 'value', cast({quoted(n)} as string))" for n in names)
+    counts = df.selectExpr(f"inline(array({cells}))").groupBy("position", "value").agg(F.count(F.lit(1)).alias("count"))
+    named = f"array({', '.join(map(literal, df.columns))})[position] as column_name"
+    return counts.selectExpr("position", named, "value", "count")
 
 
 def categorical_summary(df: DataFrame, top_n: int = 5, names: list[str] | None = None) -> DataFrame:

@@ -20,6 +20,7 @@ PATIENT = "patient_nbr"
 LABS = ("max_glu_serum", "A1Cresult")
 LAB_UNIT = "mg/dL"
 VITAL_UNITS = {"systolic_bp": "mmHg", "heart_rate": "bpm", "temperature": "C", "spo2": "%"}
+OBSERVATION_STATUS = "final"
 STATUSES = ("preliminary", "final", "amended", "cancelled")
 # fixed values: parts of a code, and the closed range that the first match asks for
 VITAL_RANGES = (
@@ -52,14 +53,14 @@ def vital_out_of_range(code: Column, value: Column, extended_codes: bool = False
     return out.otherwise(False)
 
 
-def observation_errors(value_of: str = "value") -> dict[str, Column]:
+def observation_errors(value_of: str = "value", subject: str = "subject") -> dict[str, Column]:
     """Constraints on an OBSERVATION struct's columns: required texts, the status, a complete quantity."""
     quantity = F.col(value_of)
     incomplete = quantity.isNotNull() & (quantity["value"].isNull() | quantity["unit"].isNull() | quantity["code"].isNull())
     return {
         "missing_id": F.col("id").isNull(),
         "missing_code": F.col("code").isNull(),
-        "missing_subject": F.col("subject").isNull(),
+        "missing_subject": F.col(subject).isNull(),
         "bad_status": ~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False)),
         "incomplete_quantity": incomplete,
     }
@@ -103,7 +104,14 @@ def observations(df: DataFrame, columns: dict[str, str], prefix: str, patient: s
     error = F.when(F.col("value").isNull(), "non_numeric")
     if ranges:
         error = error.when(vital_out_of_range(F.col("code"), F.col("value"), extended_codes), "out_of_range")
-    return long.select(F.lit(prefix).alias("kind"), "row_id", "code", F.concat(F.lit(f"{prefix}-"), F.col("row_id").cast("string"), F.lit("-"), "code").alias("id"), "subject", "value", "unit", error.alias("error_code"))
+    # the subject of a row without one is the text nan, which is no error
+    typed = long.withColumns({
+        "id": F.concat(F.lit(f"{prefix}-"), F.col("row_id").cast("string"), F.lit("-"), "code"), "status": F.lit(OBSERVATION_STATUS), "range_error": error,
+        "whole": F.coalesce("subject", F.lit("nan")), "quantity": F.when(F.col("value").isNotNull(), F.struct("value", "unit", F.col("unit").alias("code"))),
+    })
+    checked = validate(typed, {"range": F.col("range_error").isNotNull(), **observation_errors("quantity", subject="whole")})
+    found = F.when(F.col("error_code") == "range", F.col("range_error")).otherwise(F.col("error_code"))
+    return checked.select(F.lit(prefix).alias("kind"), "row_id", "code", "id", "subject", "value", "unit", found.alias("error_code"))
 
 
 def lab_observations(df: DataFrame, labs: tuple[str, ...] = LABS, unit: str = LAB_UNIT, patient: str = PATIENT) -> DataFrame:

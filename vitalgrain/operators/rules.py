@@ -212,6 +212,13 @@ def first_violations(violations: DataFrame, n: int = 20) -> DataFrame:
     return violations.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= n).orderBy("rule", "rank")
 
 
+def first_violations_text(violations: DataFrame, n: int = 20) -> DataFrame:
+    """rule and `first`, its n lowest row numbers (or column names) as one text."""
+    shown = F.struct("rank", F.coalesce(F.col(ROW_ID).cast("string"), "column_name").alias("shown"))
+    lists = first_violations(violations, n).groupBy("rule").agg(F.array_sort(F.collect_list(shown)).alias("rows"))  # n at most
+    return lists.select("rule", F.array_join(F.col("rows.shown"), ", ").alias("first"))
+
+
 class RuleRunner:
     """Applies rules in their order; a rule that raises stops the run."""
 

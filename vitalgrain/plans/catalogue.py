@@ -8,13 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import settings_from
 from ..functions.expressions import age_years, missing_normalised, normalised_gender, parsed_birth_date, parsed_float, to_number
 from ..operators import profile, records, rules
 from ..sources.scratch import scratch_path
-from ..sources.tables import ROW_ID, read_csv, read_parquet, with_row_id
+from ..sources.tables import ROW_ID, ingest, read_csv, read_parquet, with_row_id
+
+from . import workflow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +84,8 @@ e as (
   union all select 'vital', k, 'heart_rate', null from r
   union all select 'vital', k, 'temperature', case when k % 12 + 33 < 35 or k % 12 + 33 > 42 then 'out_of_range' end from r where k % 3 <> 0
   union all select 'vital', k, 'spo2', case when k % 6 = 0 then 'non_numeric' when k % 60 + 45 < 50 or k % 60 + 45 > 100 then 'out_of_range' end from r
-)
+),
+d as (select *, case kind when 'patient' then 'Patient' when 'obs' then 'Observation' else 'Vital sign' end || ' row ' || row_id || coalesce(' column ' || code, '') || ': ' || replace(error_code, '_', ' ') as message from e where error_code is not null)
 """
 
 
@@ -203,6 +208,24 @@ def rule_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.RuleRunner(rules.clinical_suite()).run(v).select("ordinal", "rule", "severity", "affected_rows")
 
 
+class _LargeOrders:
+    """A rule of one's own: orders above an amount."""
+
+    name = "large_orders"
+
+    def check(self, df: DataFrame) -> DataFrame:
+        found = df.agg(F.count_if(F.col("o_totalprice") > 200_000).alias("n"))
+        return rules.finding(found, self.name, F.when(F.col("n") == 0, "OK").otherwise("WARNING"), "Large orders", F.col("n"))
+
+
+def custom_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.RuleRunner([_LargeOrders(), rules.AgePlausibility()]).run(_table(spark, sf_dir, "orders"))
+
+
+def first_violations_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.first_violations_text(rules.VitalSpikes().violations(_vital_events(spark, sf_dir)), 20)
+
+
 def first_20_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.first_violations(rules.VitalSpikes().violations(_vital_events(spark, sf_dir)), 20).select("rule", "row_id", "rank")
 
@@ -211,11 +234,36 @@ def first_20_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.summary(records.validated(_records(spark, sf_dir), today=F.lit("2026-01-01").cast("date"))).drop("example")
+    return records.summary(records.validated(_records(spark, sf_dir), today=F.lit("2026-01-01").cast("date")))
 
 
 def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.errors(records.validated(_records(spark, sf_dir), today=F.lit("2026-01-01").cast("date"))).select("kind", "row_id", "code", "error_code")
+    return records.errors(records.validated(_records(spark, sf_dir), today=F.lit("2026-01-01").cast("date"))).select("kind", "row_id", "code", "error_code", "message")
+
+
+def validate_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pipeline's validation finds: missing counts, findings of the suite, record counters."""
+    found = workflow.validate(_records(spark, sf_dir))
+    missing = found["missing"].select(F.lit("missing").alias("part"), F.col("column_name").alias("name"), F.col("missing_count").alias("n"))
+    findings = found["findings"].select(F.lit("finding").alias("part"), F.col("rule").alias("name"), F.col("affected_rows").alias("n"))
+    counters = ["patients_validated", "patient_errors", "observations_validated", "observation_errors"]
+    summed = found["records"].select(F.inline(F.array(*(F.struct(F.lit("records").alias("part"), F.lit(c).alias("name"), F.col(c).alias("n")) for c in counters))))
+    return missing.unionByName(findings).unionByName(summed)
+
+
+def observation_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required fields, the status and the quantity of made-up observations, and a constraint of one's own."""
+    k = F.col("c_custkey")
+    quantity = F.struct(F.col("c_acctbal").alias("value"), F.when(k % 11 != 0, "mg/dL").alias("unit"), F.lit("mg/dL").alias("code"))
+    o = _table(spark, sf_dir, "customer").select(
+        k.alias(ROW_ID), F.when(k % 13 != 0, k.cast("string")).alias("id"), F.when(k % 7 == 0, "draft").when(k % 7 == 1, F.lit(None)).otherwise("final").alias("status"),
+        F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("code"), F.when(k % 5 != 0, "p").alias("subject"), F.when(k % 3 != 0, quantity).alias("value"),
+    )
+    return records.validate(o, {**records.observation_errors(), "negative": F.coalesce(F.col("value.value") < 0, F.lit(False))}).select("row_id", "error_code")
+
+
+def patients_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.patients(_records(spark, sf_dir)).select("row_id", "error_code")
 
 
 def patient_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,6 +318,44 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quoted fields that hold line breaks, commas and quotes."""
+    path = scratch_path(spark, "csv")
+    k = F.col("c_custkey")
+    note = F.when(k % 3 == 0, F.concat(F.lit("one\ntwo, "), "c_name")).when(k % 3 == 1, F.concat(F.lit('"'), "c_name", F.lit('" x'))).otherwise(F.col("c_name"))
+    _table(spark, sf_dir, "customer").select("c_custkey", note.alias("note"), "c_acctbal").write.option("header", True).option("escape", '"').csv(path)
+    return read_csv(spark, path)
+
+
+def csv_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How reading fails: no file, no data, a header alone, a row that is too long."""
+    rows = []
+    for name, text in (("absent", None), ("empty", ""), ("header", "a,b"), ("long", "a,b\n1,2\n1,2,3"), ("short", "a,b\n1")):
+        path = scratch_path(spark, "csv")
+        if text is not None:
+            spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.option("lineSep", "\n").text(path)
+        try:
+            rows.append((name, str(read_csv(spark, path).count())))
+        except (FileNotFoundError, ValueError) as e:
+            rows.append((name, type(e).__name__))
+    return spark.createDataFrame(rows, "name string, outcome string")
+
+
+def yaml_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settings from YAML: what is given, and the defaults of what isn't."""
+    s = settings_from(yaml.safe_load("quality: {missing: {critical_threshold: 0.9}, numeric_summary: {enabled: false}}\nmissing_values: {placeholders: ['?']}"))
+    m = s.quality.missing
+    rows = [("critical", str(m.critical_threshold)), ("warning", str(m.warning_threshold)), ("numeric", str(s.quality.numeric_summary.enabled)), ("placeholders", ",".join(s.missing_values.placeholders)), ("level", s.logging.level)]
+    return spark.createDataFrame(rows, "name string, value string")
+
+
+def ingest_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "csv")
+    _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").write.option("header", True).csv(path)
+    df, n = ingest(spark, path)
+    return df.agg(F.sum("o_orderkey").alias("keys")).withColumn("rows", F.lit(n).cast("long"))
+
+
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/supplier.parquet")
 
@@ -284,9 +370,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         overview, missing_summary, max_ratio_column, exclusion_candidates, completeness, missing_report, chart_top10,
         numeric_summary, numeric_summary_binned, categorical_summary, categorical_cardinality,
-        sex_consistency, age_plausibility, age_violations, age_lab_coherence, vital_spike, vital_spike_signs, missing_threshold_rule, rule_runner, rule_suite, first_20_violations,
-        validation_summary, validation_errors, patient_records, lab_observation, vital_range, gender_normalise, age_in_years, birth_dates, numeric_casts, nan_as_missing,
-        csv_round_trip, parquet_scan, row_numbers,
+        sex_consistency, age_plausibility, age_violations, age_lab_coherence, vital_spike, vital_spike_signs, missing_threshold_rule, rule_runner, rule_suite, first_20_violations, first_violations_text, custom_rule,
+        validation_summary, validation_errors, validate_stage, observation_constraints, patients_today, patient_records, lab_observation, vital_range, gender_normalise, age_in_years, birth_dates, numeric_casts, nan_as_missing,
+        csv_round_trip, csv_line_breaks, csv_errors, yaml_settings, ingest_count, parquet_scan, row_numbers,
     )
 }
 
@@ -337,10 +423,27 @@ ORACLE_SQL: dict[str, str] = {
         union all select 1, 'VitalSignAnomalyRule', 'WARNING', (select count(*) from f where sa or sb or sc)
         union all select 2, 'MissingDataThresholdRule', 'WARNING', cast(n as bigint) from m""",
     "first_20_violations": _SPIKES + "select 'VitalSignAnomalyRule' as rule, row_id, cast(row_number() over (order by row_id) as int) as rank from f where sa or sb or sc order by row_id limit 20",
+    "custom_rule": """
+        select cast(0 as int) as ordinal, 'large_orders' as rule, case when count(*) = 0 then 'OK' else 'WARNING' end as severity, 'Large orders' as message, count(*) as affected_rows, cast(null as bigint) as affected_groups from orders where o_totalprice > 200000
+        union all select 1, 'age_plausibility', 'WARNING', 'Needs the column age', null, null""",
+    "first_violations_text": _SPIKES + "select 'VitalSignAnomalyRule' as rule, string_agg(row_id, ', ' order by row_id) as first from (select row_id from f where sa or sb or sc order by row_id limit 20) having count(*) > 0",
     "validation_summary": _RECORDS + """
         select count(*) filter (kind = 'patient' and error_code is null) as patients_validated, count(*) filter (kind = 'patient' and error_code is not null) as patient_errors,
-               count(*) filter (kind <> 'patient' and error_code is null) as observations_validated, count(*) filter (kind <> 'patient' and error_code is not null) as observation_errors from e""",
-    "validation_errors": _RECORDS + "select kind, row_id, code, error_code from e where error_code is not null",
+               count(*) filter (kind <> 'patient' and error_code is null) as observations_validated, count(*) filter (kind <> 'patient' and error_code is not null) as observation_errors,
+               (select message from d order by case kind when 'patient' then 0 when 'obs' then 1 else 2 end, code nulls first, row_id limit 1) as example from e""",
+    "validation_errors": _RECORDS + "select kind, row_id, code, error_code, message from d",
+    "validate_stage": _RECORDS + """
+        select 'missing' as part, name, n from (
+          select count(*) filter (k = 17) as patient_nbr, count(*) filter (k % 5 = 3) as gender, count(*) filter (k % 9 = 3) as "birthDate", count(*) filter (k % 4 = 3) as max_glu_serum,
+                 0::bigint as systolic_bp, 0::bigint as heart_rate, count(*) filter (k % 3 = 0) as temperature, 0::bigint as spo2 from r) unpivot (n for name in (patient_nbr, gender, "birthDate", max_glu_serum, systolic_bp, heart_rate, temperature, spo2))
+        union all select 'finding', 'ClinicalCoherenceRule', 0 union all select 'finding', 'VitalSignAnomalyRule', 0 union all select 'finding', 'MissingDataThresholdRule', 2
+        union all select 'records', name, n from (
+          select count(*) filter (kind = 'patient' and error_code is null) as patients_validated, count(*) filter (kind = 'patient' and error_code is not null) as patient_errors,
+                 count(*) filter (kind <> 'patient' and error_code is null) as observations_validated, count(*) filter (kind <> 'patient' and error_code is not null) as observation_errors from e) unpivot (n for name in (patients_validated, patient_errors, observations_validated, observation_errors))""",
+    "observation_constraints": """
+        select c_custkey as row_id, case when c_custkey % 13 = 0 then 'missing_id' when c_mktsegment = 'MACHINERY' then 'missing_code' when c_custkey % 5 = 0 then 'missing_subject'
+               when c_custkey % 7 in (0, 1) then 'bad_status' when c_custkey % 3 <> 0 and c_custkey % 11 = 0 then 'incomplete_quantity' when c_custkey % 3 <> 0 and c_acctbal < 0 then 'negative' end as error_code from customer""",
+    "patients_today": "select c_custkey as row_id, case when c_custkey % 9 = 0 and date '2999-01-01' > current_date then 'future_birth_date' when c_custkey % 9 = 1 then 'bad_birth_date' end as error_code from customer",
     "patient_records": """
         select c_custkey as row_id, cast(nullif(c_custkey, 17) as varchar) as id, case c_custkey % 5 when 0 then 'male' when 1 then 'female' when 4 then 'other' else 'unknown' end as gender,
                case when c_custkey % 9 = 0 then 'future_birth_date' when c_custkey % 9 = 1 then 'bad_birth_date' end as error_code, c_custkey = 17 as null_id from customer""",
@@ -359,6 +462,11 @@ ORACLE_SQL: dict[str, str] = {
     "csv_round_trip": """
         select c_custkey, c_name, case when c_custkey % 7 <> 0 then cast(c_nationkey as bigint) end as c_nationkey, c_acctbal,
                case when c_custkey % 10 = 0 then null when c_custkey % 10 = 1 then '?' else c_mktsegment end as c_mktsegment, c_custkey % 2 = 0 as even from customer""",
+    "csv_line_breaks": """
+        select c_custkey, case c_custkey % 3 when 0 then 'one' || chr(10) || 'two, ' || c_name when 1 then '"' || c_name || '" x' else c_name end as note, c_acctbal from customer""",
+    "csv_errors": "select * from (values ('absent', 'FileNotFoundError'), ('empty', 'ValueError'), ('header', 'ValueError'), ('long', 'ValueError'), ('short', '1')) as v(name, outcome)",
+    "yaml_settings": "select * from (values ('critical', '0.9'), ('warning', '0.0'), ('numeric', 'False'), ('placeholders', '?'), ('level', 'INFO')) as v(name, value)",
+    "ingest_count": "select cast(sum(o_orderkey) as bigint) as keys, count(*) as rows from orders",
     "parquet_scan": "select * from supplier",
     "row_numbers": "select n_nationkey, row_number() over (order by n_nationkey) - 1 as row_id from nation",
 }

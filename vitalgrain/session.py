@@ -14,6 +14,8 @@ def session(app: str = "vitalgrain", **options: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # generated methods of more bytes than this are never compiled by the JVM, so plain evaluation is faster
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in options.items():
         builder = builder.config(key.replace("_", "."), value)

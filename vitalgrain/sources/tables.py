@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expressions import NUMBER, col, missing_normalised
+from ..functions.expressions import NUMBER, col, literal, missing_normalised, quoted
 from .scratch import written
 
 # fixed values: texts that count as missing, matched exactly
@@ -83,7 +83,8 @@ class CsvText:
             message = F.concat(F.lit("a row has more fields than the header: "), F.substring(F.coalesce(_CORRUPT, "c0"), 1, 200))
             # a filter, as pruning can't remove it
             rows = rows.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(True))
-        return rows.select(*(F.when(~F.col(f.name).isin(*self.tokens), F.col(f.name)).alias(n) for f, n in zip(fields, self.names)))
+        tokens = ", ".join(map(literal, self.tokens))
+        return rows.selectExpr(*(f"case when {f.name} not in ({tokens}) then {f.name} end as {quoted(n)}" for f, n in zip(fields, self.names)))
 
 
 def read_csv_text(spark: SparkSession, path: str, na_tokens: tuple[str, ...] = NA_TOKENS, placeholders: tuple[str, ...] = ()) -> DataFrame:
@@ -107,8 +108,9 @@ def _kind(v: Column) -> Column:
 
 def value_kinds(text: DataFrame) -> list[int]:
     """The types that each text column's values need, as bits, from one aggregate over all columns. ValueError if there are no rows."""
-    kinds = F.transform(F.array(*(F.trim(col(n)) for n in text.columns)), _kind)
-    found = text.select(kinds.alias("kinds")).agg(F.count(F.lit(1)), *(F.bit_or(F.col("kinds")[i]) for i in range(len(text.columns)))).first()
+    trimmed = F.expr(f"array({', '.join(f'trim({quoted(n)})' for n in text.columns)})")
+    kinds = text.select(F.transform(trimmed, _kind).alias("kinds"))
+    found = kinds.agg(F.count(F.lit(1)), *(F.expr(f"bit_or(kinds[{i}])") for i in range(len(text.columns)))).first()
     if not found[0]:
         raise ValueError("no rows")
     return list(found[1:])
@@ -121,21 +123,22 @@ def cast_to_kinds(text: DataFrame, kinds: list[int]) -> DataFrame:
     """
     out = []
     for name, kind in zip(text.columns, kinds):
-        v = F.trim(col(name))
+        c = quoted(name)
+        v = f"trim({c})"
         if not kind:
-            cast = F.lit(None).cast("double")
+            cast = "cast(null as double)"
         elif kind == _LONG:
-            cast = v.cast("bigint")
+            cast = f"cast({v} as bigint)"
         elif kind & ~(_LONG | _WIDE) == 0:
-            cast = v.cast("decimal(20,0)")
+            cast = f"cast({v} as decimal(20,0))"
         elif kind & ~(_LONG | _WIDE | _DOUBLE) == 0:
-            cast = F.regexp_replace(v, r"(?i)inf(inity)?$", "Infinity").cast("double")
+            cast = f"cast(regexp_replace({v}, '(?i)inf(inity)?$', 'Infinity') as double)"
         elif kind == _BOOLEAN:
-            cast = F.lower(v).cast("boolean")
+            cast = f"cast(lower({v}) as boolean)"
         else:
-            cast = col(name)
-        out.append(cast.alias(name))
-    return text.select(*out)
+            cast = c
+        out.append(f"{cast} as {c}")
+    return text.selectExpr(*out)
 
 
 def infer_types(text: DataFrame) -> DataFrame:
