@@ -6,9 +6,14 @@ page_id is the response and the others are revisits that refer to it. Spark's te
 the files, with the two line ends that close a record as its separator, so they lie in any store
 that Spark writes to and a lost executor's files are written again.
 
+An archive is closed by the running sum of its bytes, so many large pages together make many
+archives; only a single page may exceed the target.
+
 Reading: a record counts if its header parses, its block has the stated length, the two line ends
 follow and both digests agree. Where a check fails the reader looks for the next gzip member or
-version line that starts a valid record, goes on there, and logs the bytes between as a gap.
+version line that starts a valid record, goes on there, and logs the bytes between as a gap:
+`quarantined` writes all gaps to a table beside the archives and warns of them in the log. A revisit
+whose response was lost in a gap has a null size.
 
 Defined cases: a null page is an empty payload; pages that repeat id and payload of the response
 are responses too; a null page_id never outranks another, and among null ids only all are
@@ -20,6 +25,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import logging
 import re
 import zlib
 from base64 import b32decode, b32encode
@@ -27,14 +33,16 @@ from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import attach_groups, materialise, new_path, text_or_empty
+from ..sources.scratch import scratch_path
+from .common import attach_groups, materialise, text_or_empty
 from .op6_exact_dedup import possibly_repeated, repeat_filter
 
 LEAST_PAYLOAD = 1000
-#: Payload bytes of an archive in the mean; the reader holds one archive at a time.
+#: Payload bytes after which the next record begins another archive; the reader holds one archive at a time.
 ARCHIVE_BYTES = 16 << 20
 DATE = "2020-01-01T00:00:00Z"
 END = "\r\n\r\n"
@@ -167,19 +175,37 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
         yield Gap(bad, len(data) - bad, reason)
 
 
-def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            rows = zip(*(batch.column(c).slice(i, 256).to_pylist() for c in range(5)))
-            yield pa.RecordBatch.from_arrays([pa.array([record_text(*r) for r in rows], pa.string())], names=["value"])
+def _written(archive_bytes: int):
+    """Rows (value): whole archives, without the line ends that close the last record."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[str] = []
+        size = 0
+
+        def archive() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([END.join(held)], pa.string())], names=["value"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                value = record_text(*(batch.column(c)[i].as_py() for c in range(5)))
+                more = len(value.encode("utf-8", "surrogatepass")) + len(END)
+                if held and size + more > archive_bytes:
+                    yield archive()
+                    held, size = [], 0
+                held.append(value)
+                size += more
+        if held:
+            yield archive()
+
+    return run
 
 
-def assigned(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST_PAYLOAD) -> tuple[DataFrame, int]:
-    """page_id, url, html, sha, refers_to of each page, and the mean payload of a page."""
+def assigned(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST_PAYLOAD) -> DataFrame:
+    """page_id, url, html, sha, refers_to of each page."""
     body = text_or_empty(html)
     whole = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), body.alias("html"), F.unhex(F.sha1(body.cast("binary"))).alias("sha"))
     narrow = materialise(whole.select("page_id", "sha", F.octet_length("html").alias("size")), "payloads")
-    stats = narrow.agg(F.count("*").alias("n"), F.avg("size").alias("mean"), F.count_if(F.col("size") >= least).alias("large")).first()
+    stats = narrow.agg(F.count("*").alias("n"), F.count_if(F.col("size") >= least).alias("large")).first()
     large = narrow.where(F.col("size") >= least)
     words, cells = repeat_filter(large, "sha", stats["large"])
     groups = possibly_repeated(large, "sha", words, cells).where("__maybe").groupBy("sha").agg(F.count("*").alias("copies"), F.max("page_id").alias("response")).where("copies > 1")
@@ -190,15 +216,13 @@ def assigned(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     columns = ["page_id", "url", "html", "sha"]
     several = joined.select(*columns, F.when(~first, F.col("response")).alias("refers_to"))
     alone = tested.where("not __maybe").select(*columns, F.lit(None).cast("long").alias("refers_to"))
-    return alone.unionByName(several), int(stats["mean"] or 0)
+    return alone.unionByName(several)
 
 
 def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES, **columns: str) -> None:
-    """Writes one record a page; each file is an archive of about archive_bytes."""
-    rows, mean = assigned(pages, **columns)
-    records = rows.mapInArrow(_written, "value string")
-    each = max(1, archive_bytes // (mean + 600))
-    records.write.option("lineSep", END).option("maxRecordsPerFile", each).text(path)
+    """Writes one record a page; each file is an archive of archive_bytes at most, or one record."""
+    archives = assigned(pages, **columns).mapInArrow(_written(archive_bytes), "value string")
+    archives.write.option("lineSep", END).option("maxRecordsPerFile", 1).text(path)
 
 
 _READ = pa.schema([("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("reason", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
@@ -243,10 +267,24 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     return files.mapInArrow(run, _READ_SPARK)
 
 
+_LOG = logging.getLogger(__name__)
+
+
+def quarantined(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The records and the gaps (archive, offset, length, reason) of one reading, written as a table each; gaps are logged too."""
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    read = materialise(records.select("archive", "offset", "length", "reason", *columns), "records")
+    gaps = read.where("reason is not null").select("archive", "offset", "length", "reason")
+    lost = gaps.groupBy("reason").agg(F.count("*").alias("gaps"), F.sum("length").alias("bytes")).collect()  # a row a reason
+    for r in lost:
+        _LOG.warning("quarantined %d gaps of %d bytes: %s", r["gaps"], r["bytes"], r["reason"])
+    return read.where("reason is null").select(columns), materialise(gaps, "gaps") if lost else gaps
+
+
 def resolved(records: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to; a revisit has the size of what it refers to."""
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    found = materialise(records.where("reason is null").select(columns), "records")
+    found, _ = quarantined(records)
     total = max(found.count(), 1)
     revisits = found.where("record_type = 'revisit'").drop("payload_bytes")
     wanted = revisits.groupBy(F.col("refers_to").alias("to")).agg(F.count("*").alias("copies"))
@@ -257,7 +295,7 @@ def resolved(records: DataFrame) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_path(spark, "archives")
+    path = scratch_path(spark, "archives")
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     return resolved(read_archives(spark, path))
 
