@@ -3,51 +3,20 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch_path
+
 #: Word separators of every contract: the space and the five ASCII controls from tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 
-_OWN_DIR: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables that the cluster names in spark.checkpoint.dir.
-
-    Only where the setting is absent (tests on one machine) a folder of our own is made.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not _OWN_DIR:
-        _OWN_DIR.append("file://" + tempfile.mkdtemp(prefix="vitalgrain-"))
-    return _OWN_DIR[0]
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, deleted when the application ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Deletes an intermediate table that no later step reads."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 #: Rows that a task of a narrow intermediate table writes at least.
 TASK_ROWS = 20_000
 #: Documents that a Python worker gets at once while a table is written.
@@ -65,7 +34,7 @@ def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
         parts = max(2 * spark.sparkContext.defaultParallelism, rows // TASK_ROWS)
         if parts < int(spark.conf.get("spark.sql.shuffle.partitions")):
             df = df.coalesce(parts)
-    path = new_path(spark, name)
+    path = scratch_path(spark, name)
     batch = int(spark.conf.get(_BATCH_KEY))
     spark.conf.set(_BATCH_KEY, min(batch, BATCH_ROWS) if batch > 0 else BATCH_ROWS)
     try:
@@ -88,14 +57,17 @@ class RecentCache(dict):
     """A dict that computes what it lacks and holds at most two generations of `limit` entries.
 
     Rare words fill a plain cache without end; here the older generation goes as a whole,
-    and what is asked for again moves to the younger one.
+    and what is asked for again moves to the younger one. Keys longer than `longest` are computed
+    each time, so that texts without white space can't fill the memory.
     """
 
-    def __init__(self, compute: Callable, limit: int = 250_000):
+    def __init__(self, compute: Callable, limit: int = 250_000, longest: int = 64):
         super().__init__()
-        self.compute, self.limit, self.old = compute, limit, {}
+        self.compute, self.limit, self.longest, self.old = compute, limit, longest, {}
 
     def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.compute(key)
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)

@@ -1,6 +1,7 @@
 """Language identification by words first, with character n-grams behind them.
 
-A known word gives its log frequency in each language; an unseen word falls back to its n-grams of
+A known word gives its log frequency in each language, which is its share of all words seen in that
+language plus 0.2 of one occurrence among the most words seen in any; an unseen word falls back to its n-grams of
 four characters, and if none of them is known to those of three, two and one. Each word's
 scores are turned into log shares over the languages, and the shares add up over the whole text.
 
@@ -72,7 +73,7 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Log shares of each known word and n-gram over the languages, in their sorted order."""
 
-    def __init__(self, counts: list[tuple[str, int, str, int]]):
+    def __init__(self, counts: list[tuple[str, int, str, int]], least_count: int = LEAST_COUNT):
         self.langs = sorted({lang for lang, *_ in counts})
         at = {lang: i for i, lang in enumerate(self.langs)}
         total: dict[int, list[int]] = defaultdict(lambda: [0] * len(self.langs))
@@ -85,7 +86,7 @@ class Model:
         often = [0] * len(self.langs)
         for (size, _), ns in seen.items():
             if not size:
-                often = [x + (n if n > LEAST_COUNT else 0) for x, n in zip(often, ns)]
+                often = [x + (n if n > least_count else 0) for x, n in zip(often, ns)]
         #: The share of its words that a text of each language should have among the known ones.
         self.expected = [x / n for x, n in zip(often, words)]
         self.shares: list[dict[str, tuple[float, ...]]] = [{} for _ in range(LONGEST_GRAM + 1)]
@@ -176,16 +177,16 @@ def fold(doc_id: str | Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
-def fit(rows: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Learns from a bounded sample of the rows that have a language and a text."""
+def fit(rows: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "doc_id", sample_rows: int = SAMPLE_ROWS, least_count: int = LEAST_COUNT) -> Model:
+    """Learns from a bounded sample of the rows that have a language and a text; words seen less than `least_count` times there stay unseen."""
     known = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(doc_id).alias("id")).where("lang is not null and trim(lang) != ''")
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model([])
     share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_rows / n))))
     drawn = known.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).where("text is not null").select("lang", "text")
-    counts = drawn.mapInArrow(_learn, "lang string, size int, item string, n long").groupBy("lang", "size", "item").agg(F.sum("n").alias("n")).where((F.col("n") >= LEAST_COUNT) | (F.col("size") > 0))
-    return Model([tuple(r) for r in counts.collect()])
+    counts = drawn.mapInArrow(_learn, "lang string, size int, item string, n long").groupBy("lang", "size", "item").agg(F.sum("n").alias("n")).where((F.col("n") >= least_count) | (F.col("size") > 0))
+    return Model([tuple(r) for r in counts.collect()], least_count)
 
 
 def language(model: Model, spark: SparkSession, text: str | Column = "text") -> Column:

@@ -7,8 +7,8 @@ the mixture of the whole. Both ranks are exact and made in two levels: rows are
 (source, key bucket) and by fraction bucket, the counts are summed up, and only the rows of one
 bucket are sorted together. A hot source thus falls into as many buckets as its share asks for.
 
-Defined cases: a null text has no bytes; a null source is a stratum of its own; null ids share one
-key and follow their size and checksum; repeated rows are placed once each; an empty table stays
+Defined cases: a null text has no bytes; a null source is a stratum of its own; null ids get their
+key from size and checksum, so they spread too; repeated rows are placed once each; an empty table stays
 empty. `shards` keeps every further column unless it has a result's name.
 """
 
@@ -33,16 +33,9 @@ def _unit(digest: Column) -> Column:
 def shards(docs: DataFrame, count: int = SHARDS, seed: str = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """doc_id, source, size, text_crc32, law, shard, slot, grown_shard."""
     name = F.col(source).cast("string")
-    rows = materialise(
-        docs.select(
-            F.col(doc_id).alias("doc_id"),
-            name.alias("source"),
-            (n_bytes(text) + 8).alias("size"),
-            F.crc32(text_or_empty(text).cast("binary")).alias("text_crc32"),
-            F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))).cast("binary")).alias("key"),
-        ),
-        "shard-rows",
-    )
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), name.alias("source"), (n_bytes(text) + 8).alias("size"), F.crc32(text_or_empty(text).cast("binary")).alias("text_crc32"))
+    own = F.coalesce(F.col("doc_id").cast("string"), F.concat_ws(":", F.lit("null"), "size", "text_crc32"))
+    rows = materialise(narrow.withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), own).cast("binary"))), "shard-rows")
     total = rows.count()
     buckets = max(64, total // BUCKET_ROWS)
 
@@ -93,8 +86,8 @@ ORACLE = f"""
 with tab as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
 h as (select doc_id, source, encode(coalesce(text, '')) as raw from documents),
 b as (select doc_id, source, octet_length(raw) + 8 as size, list_transform(regexp_extract_all(hex(raw), '..'), lambda x: cast('0x' || x as bigint)) as b from h),
-c as (select doc_id, size, xor(list_reduce(list_prepend(4294967295::bigint, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) as text_crc32,
-             md5('{SEED}:' || coalesce(cast(doc_id as varchar), 'null')) as key, coalesce('s' || source, '-') as stratum from b, tab),
+c as (select *, md5('{SEED}:' || coalesce(cast(doc_id as varchar), 'null:' || size || ':' || text_crc32)) as key, stratum
+      from (select doc_id, size, xor(list_reduce(list_prepend(4294967295::bigint, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) as text_crc32, coalesce('s' || source, '-') as stratum from b, tab)),
 r as (select *, row_number() over (partition by stratum order by key, doc_id, size, text_crc32) as rank, count(*) over (partition by stratum) as n from c),
 f as (select *, (rank - (cast('0x' || substr(md5('{SEED}' || stratum), 1, 8) as bigint) + 0.5::double) / 4294967296::double) / n as fraction, count(*) over () as total from r),
 p as (select *, row_number() over (order by fraction, stratum, rank) - 1 as pos from f)

@@ -241,12 +241,22 @@ class Scorer:
             "head_known": pa.array(np.diff(known[starts]) + (end > 0), pa.int64()),
             "head_log": pa.array(np.diff(upto[starts]) + np.log10(end + 1), pa.float64()),
             "score": pa.array(np.diff(logs[at]), pa.float64()),
-            "tail": pa.ListArray.from_arrays(pa.array(tail_upto[starts], pa.int32()), units.dictionary.take(pa.array(index[tail]))),
+            "tail": self._once(np.repeat(np.arange(len(starts) - 1), np.diff(tail_upto[starts])), index[tail], units.dictionary, len(starts) - 1),
             "rare": pa.ListArray.from_arrays(pa.array(rare_upto[at], pa.int32()), pa.array(codes[rare].astype(np.int64))),
         }
 
 
-_SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("head_known", pa.int64()), ("head_log", pa.float64()), ("score", pa.float64()), ("tail", pa.list_(pa.string())), ("rare", pa.list_(pa.int64()))])
+    @staticmethod
+    def _once(row: np.ndarray, index: np.ndarray, words: pa.Array, n: int) -> pa.ListArray:
+        """Each text's distinct words, and how often it has them."""
+        width = max(1, len(words))
+        both, times = np.unique(row * width + index, return_counts=True)
+        ends = np.searchsorted(both // width, np.arange(n + 1))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([words.take(pa.array(both % width)), pa.array(times, pa.int64())], ["word", "times"]))
+
+
+_TAIL = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))
+_SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("head_known", pa.int64()), ("head_log", pa.float64()), ("score", pa.float64()), ("tail", _TAIL), ("rare", pa.list_(pa.int64()))])
 
 
 _SOLVED = pa.schema([("code", pa.int64()), ("times", pa.int64()), ("log", pa.float64())])
@@ -348,13 +358,18 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
                 at += len(part)
                 yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), own.column(2), *scorer.score(part).values()], schema=_SCORED)
 
-    scored = materialise(rows.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_log double, score double, tail array<string>, rare array<long>"), "scored")
+    scored = materialise(rows.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_log double, score double, tail array<struct<word:string,times:long>>, rare array<long>"), "scored")
     rare = scored.select("row", F.explode("rare").alias("code"))
     logs = _rare_logs(rare.groupBy("code").agg(F.count("*").alias("times")), grams, order)
     asked = logs.agg(F.sum("times")).first()[0] or 1
     rare = attach_groups(rare, logs, "code", "times", asked, written=True).groupBy("row").agg(F.sum("log").alias("rare_log"))
-    rest = scored.select("row", F.explode("tail").alias("word")).join(words.where(F.col("n") < least_word), "word")
-    rest = rest.groupBy("row").agg(F.count("*").alias("known"), F.sum(F.log10(F.col("n") + 1)).alias("log"))
+    tail = scored.select("row", F.inline("tail"))
+    texts = tail.groupBy("word").agg(F.count("*").alias("texts"))
+    # also the words that training lacks: one of them may be in a third of all texts
+    found = materialise(texts.join(words.where(F.col("n") < least_word), "word", "left"), "tail-words")
+    uses = found.agg(F.sum("texts")).first()[0] or 1
+    rest = attach_groups(tail, found, "word", "texts", uses, written=True).where("n is not null")
+    rest = rest.groupBy("row").agg(F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("log"))
     total = F.lit(float(np.log10(totals["tokens"] + totals["distinct"] + 1)))
     return scored.drop("tail", "rare").join(rest, "row", "left").join(rare, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
