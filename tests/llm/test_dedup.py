@@ -1,11 +1,13 @@
 """Exact and near duplicates, sharding and fingerprints against brute force."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +110,14 @@ def test_sharding_edges(spark):
     assert op7.shards(docs(spark, [])).count() == 0
 
 
+def test_sharding_of_null_ids_spreads(spark):
+    df = spark.createDataFrame([(None, f"text {i}", None, "s", 1) for i in range(400)], SCHEMA)
+    rows = op7.shards(df, 4).collect()
+    check_shards(rows, 4, [f"text {i}" for i in range(400)])
+    plan = op7.shards(df, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_sharding_equals_plain_windows(spark, sf_dir):
     """The two-level ranks are those of one sort a source and one over all."""
     df = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source").collect()
@@ -156,6 +166,57 @@ def test_fingerprint_edges(spark):
     assert len({r.fingerprint for r in both}) == 1
 
 
+def check_ring(got, pairs):
+    """Each row's edited text takes its end from the row after it: by falling id, null last, ties in one fixed order."""
+    sha = lambda t, after: hashlib.sha256((t[: len(t) - len(t) // 2] + after[: len(t) // 2]).encode()).hexdigest()
+    ids = sorted({d for d, _ in pairs if d is not None}, reverse=True) + [None] * any(d is None for d, _ in pairs)
+    of = {d: Counter(t or "" for e, t in pairs if e == d) for d in ids}
+    found = {}
+    for r in got:
+        found.setdefault(r.doc_id, []).append((r.n_chars, r.edited_sha256))
+    assert {d: len(x) for d, x in found.items()} == {d: sum(x.values()) for d, x in of.items()}
+    for i, d in enumerate(ids):
+        # a chain through the rows of this id, whose last one goes on with some row of the next id
+        nexts = set(of[d]) | set(of[ids[(i + 1) % len(ids)]])
+        possible = {(len(t), sha(t, n)): t for t in of[d] for n in nexts}
+        assert Counter(possible[x] for x in found[d]) == of[d]
+        if len(of[d]) == 1 and len(of[ids[(i + 1) % len(ids)]]) == 1 and of[d].total() == 1:
+            t, n = next(iter(of[d])), next(iter(of[ids[(i + 1) % len(ids)]]))
+            assert found[d] == [(len(t), sha(t, n))]
+
+
+def test_fingerprints_of_repeated_and_null_ids(spark):
+    """A third of all rows has one id, a third none; their buckets are cut by the text."""
+    rng = random.Random(3)
+    word = lambda i: " ".join(f"{rng.choice('abcdef')}{i}{k}" for k in range(6))
+    pairs = [(50, word(i)) for i in range(150)] + [(None, word(1000 + i)) for i in range(150)] + [(i, word(2000 + i)) for i in range(150) if i != 50]
+    df = docs(spark, pairs).withColumns({"bucket": F.lit(1), "top": F.lit(2), "above": F.lit(3), "copy": F.lit(4), "order": F.lit(5)})
+    got = op4.edited_fingerprints(df).collect()
+    check_ring(got, pairs)
+    again = op4.edited_fingerprints(df.repartition(7)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    dealt = Counter(r[0] for r in op4.edited_fingerprints(df).select(F.spark_partition_id()).collect())
+    assert len(dealt) == 4 and max(dealt.values()) < 300
+    check_ring(op4.edited_fingerprints(docs(spark, EDGE)).collect(), EDGE)
+
+
+def test_simhash_by_definition():
+    """Votes of each distinct triple of words, one bit at a time."""
+    simhash = op4.SimHash()
+    for t in ("a b c d a b c", "one", "x y", "", "w " * 40 + "v"):
+        votes = [0.0] * op4.BITS
+        terms, counts = simhash.terms(t)
+        words = t.split()
+        grams = Counter(tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))) if words else Counter()
+        assert sorted(counts.tolist()) == sorted(grams.values())
+        for term, n in zip(terms, counts):
+            raw = b"".join(int(op4._mixed(np.array([term]), k)[0]).to_bytes(8, "little") for k in (2, 4))
+            for b in range(op4.BITS):
+                votes[b] += (1 + math.log(n)) * (1 if raw[b // 8] >> (7 - b % 8) & 1 else -1)
+        want = sum((v > 1e-3) << (op4.BITS - 1 - b) for b, v in enumerate(votes))
+        assert int(simhash.of(t).hex(), 16) == want
+
+
 def test_within_radius(spark):
     rng = random.Random(5)
     prints = [rng.getrandbits(128) for _ in range(60)]

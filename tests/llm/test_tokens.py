@@ -90,6 +90,21 @@ def test_codec(spark):
     assert docs(spark, []).select(op2_bpe_codec.round_trip("text")).count() == 0
 
 
+def test_codec_query(spark, sf_dir):
+    rows = {r.doc_id: r for r in op2_bpe_codec.op2_bpe_codec(spark, sf_dir).collect()}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        want, got = ids(BYTE, r.text), rows[r.doc_id]
+        assert (got.n_tokens, got.ids_sha256) == (len(want), hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in want)).hexdigest())
+        assert got.decoded_sha256 == hashlib.sha256(LIBRARY[BYTE].decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_long_units_are_not_kept():
+    counter = bpe.TokenCounter(WORD)
+    texts = ["".join(random.Random(i).choices("abcdef", k=400)) for i in range(30)]
+    assert [counter.count(t) for t in texts] == [len(ids(WORD, t)) for t in texts]
+    assert not counter.unit and not counter.piece
+
+
 def check_packing(pieces, texts, capacity=2048):
     """Every id lies in one piece, sequences have no gaps and no more than the capacity."""
     of_doc, of_seq = {}, {}

@@ -5,12 +5,13 @@ bit is set where the sum is positive. Equal texts have equal fingerprints, and t
 bits of two fingerprints falls with the angle between the texts' term vectors.
 
 The neighbour query needs every document beside the next lower id. Rows go once into buckets of the
-id's range; the one row that a bucket needs from the bucket below is sent along as a copy, so the
-text shuffles once and no window spans the table.
+id's range, those of an id that many rows have (null, too) into buckets of their text's hash; the one
+row that a bucket needs from the bucket below is sent along as a copy, so the text shuffles once and
+no window spans the table.
 
 Defined cases: null or empty texts have no terms and the fingerprint 0; texts of fewer than three
 words are one term; null ids follow the smallest id; rows that repeat an id follow each other by
-text; the only document of a table is its own neighbour; an empty table gives no rows; further
+the text's hash if some id has the rows of several buckets or is null, and else by text; the only document of a table is its own neighbour; an empty table gives no rows; further
 columns are not carried.
 """
 
@@ -163,25 +164,36 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     buckets = 8 * parts
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     quantiles = F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 10 * buckets)
-    # one number a bucket
-    bounds = np.unique(np.array(rows.agg(quantiles.alias("q")).first()["q"] or [], np.int64))
-
-    @F.arrow_udf("int")
-    def bucket_of(ids: pa.Array) -> pa.Array:
-        known = np.searchsorted(bounds, ids.fill_null(0).to_numpy(zero_copy_only=False), "left") + 1
-        return pa.array(np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, known), pa.int32())
-
-    ids = rows.select("doc_id", bucket_of("doc_id").alias("bucket"))
-    # a row a bucket: its largest id, which the next bucket above that has rows needs as a copy
-    tops = sorted((r["bucket"], r["top"]) for r in ids.groupBy("bucket").agg(F.max("doc_id").alias("top")).collect())
-    above = [(b, top, tops[(i + 1) % len(tops)][0]) for i, (b, top) in enumerate(tops)]
-    table = spark.createDataFrame(above, "bucket int, top long, above int")
-    placed = rows.withColumn("bucket", bucket_of("doc_id")).join(F.broadcast(table), "bucket")
+    # one number a bucket; an id with the rows of several is there several times
+    found = rows.agg(quantiles.alias("q"), F.count("*").alias("rows"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
+    bounds, spans = np.unique(np.array(found["q"] or [], np.int64), return_counts=True)
+    null_span = -(-found["nulls"] * buckets // max(1, found["rows"]))
+    spans = np.append(np.where(spans > 1, spans, 0), 0)
+    width = int(max(spans.max(), null_span)) + 1
+    # rows of such an id, and of null, are cut by the hash of their text
+    order = F.shiftrightunsigned(F.xxhash64("text"), 1) if width > 1 else F.lit(0).cast("long")
+
+    @F.arrow_udf("long")
+    def bucket_of(ids: pa.Array, order: pa.Array) -> pa.Array:
+        known, none = ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False)
+        at = np.searchsorted(bounds, known, "left")
+        own = np.append(bounds, 0)[at] == known
+        span = np.where(none, null_span, np.where(own, spans[at], 0))
+        part = span - (span * (order.to_numpy() >> 32) >> 31)  # from span down to 1, as the hash grows
+        return pa.array(np.where(none, 0, at + 1) * width + part)
+
+    placed = rows.withColumn("order", order).withColumn("bucket", bucket_of("doc_id", "order"))
+    # a row a bucket: its first one, which the next bucket above that has rows needs as a copy
+    first = F.max(F.struct("doc_id", F.bitwise_not("order").alias("order")))
+    tops = sorted((r["bucket"], r["top"]["doc_id"], ~r["top"]["order"]) for r in placed.groupBy("bucket").agg(first.alias("top")).collect())
+    above = [(*top, tops[(i + 1) % len(tops)][0]) for i, top in enumerate(tops)]
+    table = spark.createDataFrame(above, "bucket long, top long, top_order long, above long")
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("copy"))
     copy = F.struct(F.col("above").alias("bucket"), F.lit(True).alias("copy"))
-    sent = placed.select("doc_id", "text", F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("top")), F.array(own, copy)).otherwise(F.array(own))).alias("to"))
-    dealt = sent.select("to.bucket", "to.copy", "doc_id", "text").repartition(parts, "bucket")
-    ordered = dealt.sortWithinPartitions("bucket", "copy", F.col("doc_id").desc_nulls_last(), "text")
+    is_first = F.col("doc_id").eqNullSafe(F.col("top")) & (F.col("order") == F.col("top_order"))
+    sent = placed.join(F.broadcast(table), "bucket").select("doc_id", "order", "text", F.explode(F.when(is_first, F.array(own, copy)).otherwise(F.array(own))).alias("to"))
+    dealt = sent.select("to.bucket", "to.copy", "doc_id", "text", "order").repartition(parts, "bucket")
+    ordered = dealt.sortWithinPartitions("bucket", "copy", F.col("doc_id").desc_nulls_last(), "order", "text")
     return ordered.mapInArrow(_neighbours, _OUT_SPARK)
 
 
