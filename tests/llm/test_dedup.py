@@ -73,6 +73,16 @@ def test_a_full_filter_changes_nothing(spark, sf_dir):
         assert repeated <= maybe
 
 
+def test_ranges_of_digests_change_nothing(spark, sf_dir):
+    """Filters of 256 cells: many ranges, each with one of its own."""
+    df = docs(spark, EDGE).unionByName(spark.read.parquet(f"{sf_dir}/documents.parquet").select(*docs(spark, []).columns).limit(150))
+    digests = df.select("doc_id", op6._sha("text").alias("sha"), F.lit(0).alias("row"))
+    assert len(op6._ranges(digests, digests.count(), 256)) > 3
+    assert Counter(op6.duplicate_groups(df, bound=256).drop("kept").collect()) == Counter(op6.duplicate_groups(df).drop("kept").collect())
+    assert Counter(r.text_sha256 for r in op6.duplicate_groups(df, bound=256).where("kept").collect()).most_common(1)[0][1] == 1
+    assert Counter(op6.deduplicate(df, bound=256).collect()) == Counter(op6.deduplicate(df).collect())
+
+
 def test_exact_plan_is_native(spark, sf_dir):
     plan = op6.op6_exact_dedup(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

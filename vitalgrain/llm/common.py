@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
@@ -150,12 +150,23 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return starts.astype(np.int64), each[index]
 
 
-#: Bound of each filter table's cells; a 64-bit word of them is broadcast only if one of its cells is set.
-FILTER_BITS = 1 << 26
+#: Share of the smaller of driver and executor memory that the two tables of a filter may take when broadcast.
+FILTER_SHARE = 16
 
 
-def member_filter(ids: DataFrame, column: str, total: int, bound: int = FILTER_BITS) -> tuple[DataFrame, int]:
+def filter_bits(spark: SparkSession) -> int:
+    """Bound of each filter table's cells. A 64-bit word of them is broadcast only if one of its cells is set, and takes some 64 bytes then."""
+    context = spark.sparkContext
+    jvm = context._jvm
+    own = jvm.Runtime.getRuntime().maxMemory()
+    heap = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(context.getConf().get("spark.executor.memory", "1g"))
+    local = context.master == "local" or context.master.startswith("local[")
+    return 1 << max(10, (own if local else min(own, heap)) // (2 * FILTER_SHARE)).bit_length()
+
+
+def member_filter(ids: DataFrame, column: str, total: int, bound: int | None = None) -> tuple[DataFrame, int]:
     """A Bloom filter of the ids as (word, bits), two cells an id; at most 2 * bound cells."""
+    bound = bound or filter_bits(ids.sparkSession)
     cells = 1 << 10
     while cells < min(bound, 16 * total):
         cells *= 2
