@@ -61,6 +61,15 @@ def test_languages_that_were_not_learned_go(spark, sf_dir):
     assert kept.where("not foreign").count() == own.where(r"text rlike '\\p{L}'").count()
 
 
+def test_repeated_words_are_no_other_language():
+    counts = [("a", 0, w, 100) for w in ("uno", "dos", "tres")] + [("a", n, g, 100) for w in ("uno", "dos", "tres") for n in (1, 2, 3, 4) for g in op5.grams_of(w, n)]
+    found = op5.Predictor(op5.Model(counts)).found
+    assert op5.distinct_words("a A b b") == 2 and op5.distinct_words("") == 1
+    foreign = " ".join("tu" + a + b for a in "abcdefgh" for b in "abcdefgh")
+    texts = ["unos " * 500, foreign, "uno dos tres " * 30, "", "12 34"]
+    assert [sure for *_, sure in found(pa.array(texts))] == [True, False, True, False, False]
+
+
 TOY = [("a", 0, "known", 9), ("b", 0, "known", 1), ("a", 0, "more", 1), ("b", 0, "other", 19), ("a", 3, "^xy", 1), ("b", 3, "^xy", 9), ("a", 3, "zzz", 9), ("b", 3, "yyy", 1), ("a", 1, "q", 9), ("b", 1, "q", 1), ("a", 1, "r", 1), ("b", 1, "r", 9)]
 
 

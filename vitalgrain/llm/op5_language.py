@@ -39,6 +39,7 @@ UNKNOWN = "und"
 #: Below this score a text is taken for none of the languages.
 MIN_SCORE = 0.2
 #: So is a text whose share of words known as words, and two standard deviations at most, is below this part of what its language has.
+#: The deviation is that of a text's distinct words: one word repeated is no sign of another language.
 MIN_KNOWN = 0.6
 
 _WORD = regex.compile(r"\p{L}+")
@@ -48,6 +49,11 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def distinct_words(text: str) -> int:
+    """The words that say something new about a text's language; 1 at least."""
+    return max(1, len(set(words_of(text))))
+
+
 def grams_of(word: str, n: int) -> list[str]:
     marked = f"^{word}$" if n > 1 else word
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
@@ -166,7 +172,9 @@ class Predictor:
             words = np.rint(sums[:, -1])
             share = np.minimum(1.0, np.maximum(0.0, sums[np.arange(len(best)), n + best] / np.maximum(words, 1)))
             some = np.maximum(words, 1)
-            sure = (share >= MIN_SCORE) & (sums[:, -2] / some + 1 / np.sqrt(some) >= expected[best])
+            known, sure = sums[:, -2] / some, share >= MIN_SCORE
+            for i in np.flatnonzero(sure & (known + 1 / np.sqrt(some) < expected[best])).tolist():
+                sure[i] = known[i] + 1 / math.sqrt(distinct_words(part[i].as_py())) >= expected[best[i]]
             out += [(langs[b], float(s), k) if w else (UNKNOWN, 0.0, False) for b, s, k, w in zip(best.tolist(), share.tolist(), sure.tolist(), words.tolist())]
         return out
 
