@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -333,6 +334,56 @@ def test_lobes_that_a_thin_bridge_connects(spark, monkeypatch):
     assert got_components(docs(spark, pairs)) == want
 
 
+def node_join_rows(spark, after):
+    """Rows made by all inner joins on the node alone, in the executions after `after`; and the last execution."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    found, last = 0, after
+    executions = store.executionsList()
+    for i in range(executions.size()):
+        at = executions.apply(i).executionId()
+        if at <= after:
+            continue
+        last = max(last, at)
+        values, nodes = store.executionMetrics(at), store.planGraph(at).allNodes()
+        for j in range(nodes.size()):
+            node = nodes.apply(j)
+            if re.search(r"Join \[node#\d+L?\], \[node#\d+L?\], Inner", node.desc()):
+                of = {(m := node.metrics().apply(k)).name(): m.accumulatorId() for k in range(node.metrics().size())}
+                value = values.get(of["number of output rows"])
+                found += int(value.get().replace(",", "")) if value.isDefined() else 0
+    return found, last
+
+
+def test_a_level_joins_its_members_with_their_signatures_once(spark, monkeypatch):
+    for name, value in (("NODE_ROWS", 6), ("REST_ROWS", 5), ("MEMBER_ROWS", 8), ("HOT_SETS", 2), ("LEVELS", 3)):
+        monkeypatch.setattr(op9, name, value)
+    counts = Counter()
+
+    def counted(name, count):
+        made = getattr(op9, name)
+
+        def wrapped(first, *more):
+            out = made(first, *more)
+            counts.update(count(first, out))
+            return out
+
+        monkeypatch.setattr(op9, name, wrapped)
+
+    counted("_members", lambda state, out: {"large": out.where(f"size > {op9.NODE_ROWS}").count(), "small": out.where(f"size <= {op9.NODE_ROWS}").count(), "levels": 1})
+    counted("_rest_links", lambda few, out: {"rest": few.count()})
+    rng = random.Random(5)
+    vocabulary = [f"v{i}" for i in range(400)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    pairs = [(i, " ".join(passage + [rng.choice(vocabulary) for _ in range(40)])) for i in range(60)]
+    pairs += [(200 + i, " ".join(edited(rng, passage * 2, 0.01))) for i in range(30)]
+    before = node_join_rows(spark, -1)[1]
+    assert got_components(docs(spark, pairs)) == brute(pairs)
+    rows = node_join_rows(spark, before)[0]
+    assert counts["levels"] == 3
+    # and each class twice: for its words, and for the name of its component
+    assert 0 < rows <= counts["large"] + counts["rest"] + counts["small"] + 2 * len(pairs), (rows, counts)
+
+
 def test_near_edges(spark):
     pairs = [(d, t) for d, t in EDGE if d is not None and (d, t) != (8, "a b")] + [(8, "a b"), (20, "One two"), (21, "one  TWO"), (22, "one two three")]
     assert got_components(docs(spark, pairs)) == brute(pairs)

@@ -365,15 +365,20 @@ def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=_PAIRS)
 
 
+def _signed_members(members: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
+    """The members of large nodes with their signatures and the keys of their children: a level's one join of the two, as a written table."""
+    joined = members.join(sets.select("node", "sig"), "node")
+    return materialise(joined.select("key", "node", "label", "size", "sig", F.array(*_children(F.col("key"))).alias("children")), "signed", rows)
+
+
 def _pivot_links(members: DataFrame, sets: DataFrame, level: int, rows: int) -> DataFrame:
-    """Confirmed links between the classes of large nodes and PIVOTS members of each node that have another label."""
+    """Confirmed links between the classes of large nodes (with their signatures) and PIVOTS members of each node that have another label."""
     order = [F.xxhash64("node", F.lit(f"pivot{level}.{i}")) for i in range(PIVOTS)]
     drawn = members.groupBy("key").agg(F.array_distinct(F.array(*(F.min_by(F.struct("node", "label"), o) for o in order))).alias("pivots"), F.first("size").alias("size"))
     pivots = drawn.select("key", "size", F.explode("pivots").alias("of")).select("key", "size", F.col("of.node").alias("p"), F.col("of.label").alias("label_p"))
     pivots = pivots.join(sets.select(F.col("node").alias("p"), F.col("sig").alias("sig_p")), "p")
     pivots = pivots.groupBy("key", "size").agg(F.collect_list(F.struct("p", "label_p", "sig_p")).alias("pivots"))  # PIVOTS of a key
-    all_ = members.select("key", "node", "label").join(sets.select("node", "sig"), "node")
-    joined = attach_groups(all_, pivots, "key", "size", rows, HOT_SETS)
+    joined = attach_groups(members.select("key", "node", "label", "sig"), pivots, "key", "size", rows, HOT_SETS)
     joined = joined.select("node", "sig", F.filter("pivots", lambda q: q["label_p"] != F.col("label")).alias("pivots")).where(F.size("pivots") > 0)
     pairs = joined.select("node", F.explode(_like_pivots("sig", "pivots")).alias("p"))
     return _confirmed(pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct(), sets, rows)
@@ -426,14 +431,15 @@ def _links(classes: DataFrame, docs: DataFrame, count: int) -> DataFrame:
         rows = large.count()
         if not rows:
             break
+        large = _signed_members(large, sets_large, rows)
         labels = components(_union([known, *found, _pivot_links(large, sets_large, level, rows)]), rows=2 * total)
         known, found = labels.select(F.col("node").alias("a"), F.col("root").alias("b")), []
-        now = large.select("key", "node", "size").join(labels, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("label"))
+        now = large.select("key", "node", "size", "children").join(labels, "node", "left").select("key", "node", "size", "children", F.coalesce("root", "node").alias("label"))
         now = materialise(now, "labelled", rows)
         shares = now.groupBy("key", "label").agg(F.count("*").alias("n"))
         main = shares.groupBy("key").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("many")).withColumn("unsettled", F.col("many") - F.col("main.n")).where("unsettled > 0")
         now = attach_groups(now, materialise(main, "main", rows), "key", "many", rows, written=True).where("unsettled is not null")
-        now = materialise(now.select("key", "node", (F.col("label") != F.col("main.label")).alias("open"), "label", "size", "unsettled"), "large", rows)
+        now = materialise(now.select("key", "node", (F.col("label") != F.col("main.label")).alias("open"), "label", "size", "unsettled", "children"), "large", rows)
         last = level == LEVELS
         few = now if last else now.where(f"unsettled <= {REST_ROWS}")
         if not few.isEmpty():
@@ -441,7 +447,7 @@ def _links(classes: DataFrame, docs: DataFrame, count: int) -> DataFrame:
         more = now.where(f"unsettled > {REST_ROWS}")
         if last or more.isEmpty():
             break
-        branched = more.join(sets_large.select("node", "sig"), "node").select("node", "label", F.explode(F.array(*_children(F.col("key")))).alias("key"))
+        branched = more.select("node", "label", F.explode("children").alias("key"))
         state = materialise(branched, "state", 2 * rows)
         rows = state.count()
         members = _members(state, rows)
