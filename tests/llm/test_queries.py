@@ -17,6 +17,9 @@ COLUMNS = {
     "op8_lm_scoring": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"},
     "op9_near_dedup": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op10_warc": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
+    "op11_embedding_dedup": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
+    "op12_spelling": {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"},
+    "op13_lexical_search": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
 }
 
 
@@ -34,7 +37,7 @@ def test_columns(spark, sf_dir, name):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.sql(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
     df = queries.QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)

@@ -24,10 +24,11 @@ BATCH_ROWS = 2_000
 _BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, rows: int | None = None, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """Writes a table to the shared folder and reads it back: lineage ends here, and a lost executor loses nothing.
 
     `rows`, a bound on the rows of a narrow table, keeps a small one from being written as many tiny files.
+    `batch_rows` bounds the rows that a Python worker gets at once.
     """
     spark = df.sparkSession
     if rows is not None:
@@ -36,7 +37,7 @@ def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
             df = df.coalesce(parts)
     path = scratch_path(spark, name)
     batch = int(spark.conf.get(_BATCH_KEY))
-    spark.conf.set(_BATCH_KEY, min(batch, BATCH_ROWS) if batch > 0 else BATCH_ROWS)
+    spark.conf.set(_BATCH_KEY, min(batch, batch_rows) if batch > 0 else batch_rows)
     try:
         df.write.parquet(path)
     finally:

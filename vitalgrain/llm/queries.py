@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from . import op6_exact_dedup as op6
 from . import op7_sharding as op7
 from . import op10_warc as op10
+from . import op11_embedding_dedup as op11
+from . import op12_spelling as op12
+from . import op13_lexical_search as op13
 from .op1_token_counts import op1_token_counts
 from .op2_bpe_codec import op2_bpe_codec
 from .op3_packing import op3_packing
@@ -28,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_near_dedup": op9_near_dedup,
     "op10_warc": op10.op10_warc,
+    "op11_embedding_dedup": op11.op11_embedding_dedup,
+    "op12_spelling": op12.op12_spelling,
+    "op13_lexical_search": op13.op13_lexical_search,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": op6.ORACLE, "op7_sharding": op7.ORACLE, "op10_warc": op10.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": op6.ORACLE, "op7_sharding": op7.ORACLE, "op10_warc": op10.ORACLE, "op11_embedding_dedup": op11.ORACLE, "op12_spelling": op12.ORACLE, "op13_lexical_search": op13.ORACLE}
