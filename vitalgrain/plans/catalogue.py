@@ -6,13 +6,12 @@ injects missing values by a rule that its SQL repeats.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import yaml
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import settings_from
 from ..functions.expressions import age_years, missing_normalised, normalised_gender, parsed_birth_date, parsed_float, to_number
 from ..operators import profile, records, rules
 from ..sources.scratch import scratch_path
@@ -327,13 +326,40 @@ def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+def _text_files(lines: DataFrame, head: str) -> str:
+    """Files of the rows (k, value) in the order of k, each of them with the header."""
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([head])], names=["value"])
+        yield from batches
+
+    path = scratch_path(lines.sparkSession, "csv")
+    lines.repartitionByRange("k").sortWithinPartitions("k").select("value").mapInArrow(headed, "value string").write.option("lineSep", "\n").text(path)
+    return path
+
+
+def csv_inner_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text with inner quotes, text after a closing quote and CRLF within quotes, numbered in the order of the files."""
+    k = F.col("o_orderkey")
+    note = F.when(k % 5 == 0, F.concat(F.lit('5" '), "o_orderpriority")).when(k % 5 == 1, F.concat(F.lit('"a,""b"" '), "o_orderstatus", F.lit('"c'))).when(k % 5 == 2, F.concat(F.lit('"one\r\ntwo,'), "o_orderstatus", F.lit('\n"'))).when(k % 5 == 3, F.col("o_orderpriority")).otherwise(F.lit(""))
+    line = F.concat(k.cast("string"), F.lit(","), note, F.lit(","), F.col("o_custkey").cast("string"), F.when(k % 2 == 0, "\r").otherwise(""))
+    path = _text_files(_table(spark, sf_dir, "orders").select(k.alias("k"), line.alias("value")), "o_orderkey,note,o_custkey")
+    return read_csv(spark, path, row_ids=True)
+
+
 def csv_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How reading fails: no file, no data, a header alone, a row that is too long."""
+    """How reading a table of customers fails once a line is damaged: a row that is too long, with quotes and without, a quote that stays open, no file, no rows."""
+    c = _table(spark, sf_dir, "customer")
+    k, last = F.col("c_custkey"), c.agg(F.max("c_custkey")).first()[0]
+    whole = F.concat(k.cast("string"), F.lit(',"'), "c_name", F.lit('"'))
+    damage = {
+        "whole": whole, "short": F.when(k == last, k.cast("string")).otherwise(whole), "long": F.when(k == last, F.concat(whole, F.lit(",1"))).otherwise(whole),
+        "long_quotes": F.when(k == last, F.lit('5" x,6" y,7')).otherwise(whole), "open": F.when(k == last, F.lit('1,"x')).otherwise(whole),
+    }
     rows = []
-    for name, text in (("absent", None), ("empty", ""), ("header", "a,b"), ("long", "a,b\n1,2\n1,2,3"), ("short", "a,b\n1")):
-        path = scratch_path(spark, "csv")
-        if text is not None:
-            spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.option("lineSep", "\n").text(path)
+    for name, line in {**damage, "header": None, "absent": None}.items():
+        lines = c.select(k.alias("k"), (whole if line is None else line).alias("value"))
+        path = scratch_path(spark, "csv") if name == "absent" else _text_files(lines.limit(0) if name == "header" else lines, "c_custkey,c_name")
         try:
             rows.append((name, str(read_csv(spark, path).count())))
         except (FileNotFoundError, ValueError) as e:
@@ -341,14 +367,6 @@ def csv_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "name string, outcome string")
 
 
-def yaml_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Settings from YAML: what is given, and the defaults of what isn't."""
-    s = settings_from(yaml.safe_load("quality: {missing: {critical_threshold: 0.9}, numeric_summary: {enabled: false}}\nmissing_values: {placeholders: ['?']}"))
-    m = s.quality.missing
-    rows = [("critical", str(m.critical_threshold)), ("warning", str(m.warning_threshold)), ("numeric", str(s.quality.numeric_summary.enabled)), ("placeholders", ",".join(s.missing_values.placeholders)), ("level", s.logging.level)]
-    return spark.createDataFrame(rows, "name string, value string")
-
-
 def ingest_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").write.option("header", True).csv(path)
@@ -356,6 +374,14 @@ def ingest_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.agg(F.sum("o_orderkey").alias("keys")).withColumn("rows", F.lit(n).cast("long"))
 
 
+def row_numbers_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in files of very different sizes, numbered by the order of the files' names."""
+    path = scratch_path(spark, "csv")
+    size = F.floor(F.log2(F.col("o_orderkey") + 1)).cast("int")
+    _table(spark, sf_dir, "orders").select("o_orderkey", size.alias("size")).repartitionByRange(16, "size").sortWithinPartitions("o_orderkey").drop("size").write.option("header", True).csv(path)
+    return read_csv(spark, path, row_ids=True)
+
+
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/supplier.parquet")
 
@@ -372,7 +398,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         numeric_summary, numeric_summary_binned, categorical_summary, categorical_cardinality,
         sex_consistency, age_plausibility, age_violations, age_lab_coherence, vital_spike, vital_spike_signs, missing_threshold_rule, rule_runner, rule_suite, first_20_violations, first_violations_text, custom_rule,
         validation_summary, validation_errors, validate_stage, observation_constraints, patients_today, patient_records, lab_observation, vital_range, gender_normalise, age_in_years, birth_dates, numeric_casts, nan_as_missing,
-        csv_round_trip, csv_line_breaks, csv_errors, yaml_settings, ingest_count, parquet_scan, row_numbers,
+        csv_round_trip, csv_line_breaks, csv_inner_quotes, csv_errors, ingest_count, parquet_scan, row_numbers, row_numbers_files,
     )
 }
 
@@ -464,9 +490,14 @@ ORACLE_SQL: dict[str, str] = {
                case when c_custkey % 10 = 0 then null when c_custkey % 10 = 1 then '?' else c_mktsegment end as c_mktsegment, c_custkey % 2 = 0 as even from customer""",
     "csv_line_breaks": """
         select c_custkey, case c_custkey % 3 when 0 then 'one' || chr(10) || 'two, ' || c_name when 1 then '"' || c_name || '" x' else c_name end as note, c_acctbal from customer""",
-    "csv_errors": "select * from (values ('absent', 'FileNotFoundError'), ('empty', 'ValueError'), ('header', 'ValueError'), ('long', 'ValueError'), ('short', '1')) as v(name, outcome)",
-    "yaml_settings": "select * from (values ('critical', '0.9'), ('warning', '0.0'), ('numeric', 'False'), ('placeholders', '?'), ('level', 'INFO')) as v(name, value)",
+    "csv_inner_quotes": """
+        select o_orderkey, case o_orderkey % 5 when 0 then '5" ' || o_orderpriority when 1 then 'a,"b" ' || o_orderstatus || 'c' when 2 then 'one' || chr(13) || chr(10) || 'two,' || o_orderstatus || chr(10) when 3 then o_orderpriority end as note,
+               o_custkey, row_number() over (order by o_orderkey) - 1 as row_id from orders""",
+    "csv_errors": """
+        select name, coalesce(outcome, n) as outcome from (select cast(count(*) as varchar) as n from customer),
+        (values ('whole', null), ('short', null), ('long', 'ValueError'), ('long_quotes', 'ValueError'), ('open', 'ValueError'), ('header', 'ValueError'), ('absent', 'FileNotFoundError')) as v(name, outcome)""",
     "ingest_count": "select cast(sum(o_orderkey) as bigint) as keys, count(*) as rows from orders",
     "parquet_scan": "select * from supplier",
+    "row_numbers_files": "select o_orderkey, row_number() over (order by o_orderkey) - 1 as row_id from orders",
     "row_numbers": "select n_nationkey, row_number() over (order by n_nationkey) - 1 as row_id from nation",
 }

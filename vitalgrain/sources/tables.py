@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import csv
-import io
 import re
 from dataclasses import dataclass
 
@@ -13,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import NUMBER, col, literal, missing_normalised, quoted
+from . import csvrecords
 from .scratch import written
 
 # fixed values: texts that count as missing, matched exactly
@@ -38,53 +37,70 @@ def _header(names: list[str]) -> list[str]:
 
 @dataclass(frozen=True)
 class CsvText:
-    """A CSV file whose header is known. `broken_lines`: some quoted field holds a line break."""
+    """A CSV file whose header is known. `ranges`: how its ranges begin and end, where lines alone don't tell the records."""
 
     spark: SparkSession
     path: str
     names: tuple[str, ...]
     tokens: tuple[str, ...]
-    broken_lines: bool
+    ranges: list[csvrecords.Range] | None
 
     @classmethod
     def of(cls, spark: SparkSession, path: str, na_tokens: tuple[str, ...] = NA_TOKENS, placeholders: tuple[str, ...] = ()) -> CsvText:
-        odd = F.length("value") % 2 != F.length(F.replace("value", F.lit('"'), F.lit(""))) % 2
         try:
-            lines = spark.read.text(path)
-            first = lines.first()
-            # a record's first line has an odd number of quotes if it goes on in the next
-            broken = first is not None and not lines.where(odd).isEmpty()
+            plain = spark.read.text(path).where(~csvrecords.plain_line()).isEmpty()
+            head = csvrecords.header_of(spark, path, HEADER_LINES)
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 raise FileNotFoundError(path) from e
             raise
-        if first is None or not first[0].strip():
+        if head is None:
             raise ValueError(f"no data in {path}")
-        head = first[0]
-        if head.count('"') % 2:  # the header itself goes on
-            head = "\n".join(r[0] for r in lines.limit(HEADER_LINES).collect())
-        names = _header(next(csv.reader(io.StringIO(head.lstrip("\ufeff")))))
-        return cls(spark, path, tuple(names), (*na_tokens, *placeholders), broken)
+        return cls(spark, path, tuple(_header(head)), (*na_tokens, *placeholders), None if plain else csvrecords.ranges_of(spark, path))
 
-    def rows(self, checked: bool = True) -> DataFrame:
+    def rows(self, checked: bool = True, numbered: bool = False) -> DataFrame:
         """All columns as text, missing tokens as NULL; `checked` fails on a row with more fields than the header.
 
-        Files are split between tasks unless a quoted line break makes that impossible. Rows that
-        need no check are parsed only as far as the columns that are asked for.
+        Files are split between tasks. Lines whose quotes the JVM's reader understands are parsed by it, and
+        where they need no check only as far as the columns that are asked for; a file with other lines is
+        cut into records by `csvrecords`. `numbered` adds row numbers in the order of paths and places.
         """
+        rows = self._lines(checked) if self.ranges is None else self._records(checked)
+        tokens = ", ".join(map(literal, self.tokens))
+        # a column of that name gives way
+        names = {i: n for i, n in enumerate(self.names) if not (numbered and n == ROW_ID)}
+        cells = [f"case when c{i} not in ({tokens}) then c{i} end as {quoted(n)}" for i, n in names.items()]
+        if not numbered:
+            return rows.selectExpr(*cells)
+        return with_row_id(rows.selectExpr(*cells)) if self.ranges is None else rows.selectExpr(*cells, f"__id as {ROW_ID}")
+
+    def _lines(self, checked: bool) -> DataFrame:
         fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(self.names))]
         schema = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())] if checked else fields)
-        rows = self.spark.read.schema(schema).options(header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, quote='"', escape='"', emptyValue="", nullValue="", multiLine=self.broken_lines).csv(self.path)
+        rows = self.spark.read.schema(schema).options(header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, quote='"', escape='"', emptyValue="", nullValue="").csv(self.path)
         if checked:
-            # quoted fields go first: what is left has a comma for each field but one
-            bare = F.regexp_replace(F.col(_CORRUPT), r'"[^"]*"', "")
-            too_long = F.col(_CORRUPT).isNotNull() & (F.size(F.split(bare, ",")) > len(self.names))
+            too_long = F.col(_CORRUPT).isNotNull() & (csvrecords.count_fields(_CORRUPT) > len(self.names))
             # names a data column too: Spark refuses to read the corrupt records alone
-            message = F.concat(F.lit("a row has more fields than the header: "), F.substring(F.coalesce(_CORRUPT, "c0"), 1, 200))
-            # a filter, as pruning can't remove it
-            rows = rows.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(True))
-        tokens = ", ".join(map(literal, self.tokens))
-        return rows.selectExpr(*(f"case when {f.name} not in ({tokens}) then {f.name} end as {quoted(n)}" for f, n in zip(fields, self.names)))
+            rows = rows.where(_refused(too_long, F.coalesce(_CORRUPT, "c0")))
+        return rows
+
+    def _records(self, checked: bool) -> DataFrame:
+        before, total = [], 0
+        for r in self.ranges:
+            before.append((r.path, r.start, total))
+            total += r.records
+        rows = csvrecords.records(self.spark, self.path, self.ranges)
+        if checked:
+            rows = rows.where(_refused(F.size("fields") > len(self.names), F.array_join("fields", ",")))
+        offsets = F.broadcast(self.spark.createDataFrame(before, "path string, start long, before long"))
+        cells = (F.get("fields", F.lit(i)).alias(f"c{i}") for i in range(len(self.names)))
+        return rows.join(offsets, ["path", "start"]).select((F.col("before") + F.col("seq")).alias("__id"), *cells)
+
+
+def _refused(too_long: Column, record: Column) -> Column:
+    """A filter that fails on a record that is too long; pruning can't remove a filter."""
+    message = F.concat(F.lit("a row has more fields than the header: "), F.substring(record, 1, 200))
+    return F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(True)
 
 
 def read_csv_text(spark: SparkSession, path: str, na_tokens: tuple[str, ...] = NA_TOKENS, placeholders: tuple[str, ...] = ()) -> DataFrame:
@@ -119,7 +135,7 @@ def value_kinds(text: DataFrame) -> list[int]:
 def cast_to_kinds(text: DataFrame, kinds: list[int]) -> DataFrame:
     """Casts each text column to the narrowest of long, wide integer, double and boolean that holds all its kinds.
 
-    Dates stay text; a column without any value is double.
+    Dates stay text; a column without any value is double; columns beyond those of `kinds` stay.
     """
     out = []
     for name, kind in zip(text.columns, kinds):
@@ -138,7 +154,7 @@ def cast_to_kinds(text: DataFrame, kinds: list[int]) -> DataFrame:
         else:
             cast = c
         out.append(f"{cast} as {c}")
-    return text.selectExpr(*out)
+    return text.selectExpr(*out, *map(quoted, text.columns[len(kinds) :]))
 
 
 def infer_types(text: DataFrame) -> DataFrame:
@@ -158,8 +174,9 @@ def read_csv(spark: SparkSession, path: str, na_tokens: tuple[str, ...] = NA_TOK
         raise ValueError(f"{e} in {path}") from e
     except Exception as e:
         raise ValueError(f"can't parse {path}: {e}") from e
-    typed = cast_to_kinds(text.rows(checked=False), kinds)
-    return with_row_id(typed) if row_ids else typed
+    rows = text.rows(checked=False, numbered=row_ids)
+    by_name = dict(zip(text.names, kinds))
+    return cast_to_kinds(rows, [by_name[n] for n in text.names if n in rows.columns and not (row_ids and n == ROW_ID)])
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -189,29 +206,37 @@ def ingest(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
 def _is_scan(df: DataFrame) -> bool:
     """Whether the plan only reads, filters and projects, so that its partitions are the same each time it runs."""
     plan = df._jdf.queryExecution().executedPlan().toString()
-    return not re.search("Exchange|AdaptiveSparkPlan|Sample|Coalesce|Union|Limit|InMemory|Scan ExistingRDD", plan) and plan.count("Scan ") == 1
+    nodes = re.findall(r"^[\s:+\-*()\d]*([A-Za-z]+)", plan, re.MULTILINE)
+    return set(nodes) <= {"Project", "Filter", "ColumnarToRow", "FileScan"} and nodes.count("FileScan") == 1
 
 
 def with_row_id(df: DataFrame, name: str = ROW_ID) -> DataFrame:
-    """Adds row numbers from 0, dense and in the reading order of the files.
+    """Adds row numbers from 0, dense, in the order of the files' paths and of the rows in them.
 
-    Counts by partition, one row each, give the offsets; the rows themselves don't move. What is
-    more than a scan may be dealt otherwise when it runs again, so it is written first with its numbers.
+    Counts by file range, one row each, give the offsets; the rows themselves don't move. What is
+    more than a scan may be dealt otherwise when it runs again, so it is written first, and numbered in
+    the order of its partitions.
     """
+    at, path, start, before, first = (_unused(n, [*df.columns, name]) for n in ("at", "path", "start", "before", "first"))
     scan = _is_scan(df)
-    at, rank, before = (_unused(n, [*df.columns, name]) for n in ("at", "part", "before"))
-    tagged = df.withColumn(at, F.monotonically_increasing_id())
+    if scan:
+        try:
+            file = df.metadataColumn("_metadata")
+            tagged = df.select("*", F.monotonically_increasing_id().alias(at), file["file_path"].alias(path), file["file_block_start"].alias(start))
+        except AnalysisException:  # a scan of something else than files
+            scan = False
     if not scan:
-        tagged = written(tagged, "tagged")
-    part = F.shiftright(at, 33).cast("int")
-    counts = tagged.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
+        tagged = written(df.withColumn(at, F.monotonically_increasing_id()), "tagged")
+        tagged = tagged.select("*", F.lit("").alias(path), F.shiftright(at, 33).alias(start))
+    # a task may read several ranges, one after the other
+    ranges = tagged.groupBy(path, start).agg(F.count("*").alias("n"), F.min(at).alias(first)).collect()
     total, rows = 0, []
-    for r in sorted(counts, key=lambda r: r["part"]):
-        rows.append((r["part"], total))
+    for r in sorted(ranges, key=lambda r: (r[path], r[start])):
+        rows.append((r[path], r[start], r[first], total))
         total += r["n"]
-    offsets = df.sparkSession.createDataFrame(rows, f"{rank} int, {before} long")
-    numbered = tagged.withColumn(rank, part).join(F.broadcast(offsets), rank)
-    return numbered.select(*(col(c) for c in df.columns if c != name), (F.col(before) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
+    offsets = df.sparkSession.createDataFrame(rows, f"{path} string, {start} long, {first} long, {before} long")
+    numbered = tagged.join(F.broadcast(offsets), [path, start])
+    return numbered.select(*(col(c) for c in df.columns if c != name), (F.col(before) + F.col(at) - F.col(first)).alias(name))
 
 
 def _unused(stem: str, taken: list[str]) -> str:
