@@ -46,10 +46,10 @@ def test_first_matching_code_wins(spark):
 
 def test_summary(spark):
     df = frame(spark, [(1, "male", "2999-01-01", "x"), (2, "male", None, "60")], "patient_nbr long, gender string, birthDate string, spo2 string")
-    s = records.summary(records.validated(df, today=F.lit("2026-01-01").cast("date"))).first()
+    s = records.summary(df, today=F.lit("2026-01-01").cast("date")).first()
     assert (s.patients_validated, s.patient_errors, s.observations_validated, s.observation_errors) == (1, 1, 1, 1)
     assert s.example == "Patient row 0: future birth date"
-    none = records.summary(records.validated(df.select(ROW_ID))).first()
+    none = records.summary(df.select(ROW_ID)).first()
     assert none.patients_validated == 0 and none.example is None
 
 
@@ -57,3 +57,17 @@ def test_struct_constraints(spark):
     rows = [("o1", "final", "c", "s", (1.0, "u", "c"), None), (None, "final", "c", "s", None, None), ("o2", "done", "c", "s", None, None), ("o3", "final", "c", "s", (1.0, None, "c"), None)]
     df = spark.createDataFrame(rows, records.OBSERVATION)
     assert [r.error_code for r in records.validate(df, records.observation_errors()).collect()] == [None, "missing_id", "bad_status", "incomplete_quantity"]
+
+
+def test_one_scan_for_all_records(spark, sf_dir):
+    """The counters agree with the long table, and neither reads the input twice."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    k = F.col("c_custkey")
+    df = c.select(k.alias(ROW_ID), k.alias("patient_nbr"), F.lit("male").alias("gender"), F.when(k % 3 == 0, "2020-02-30").alias("birthDate"), F.when(k % 2 == 0, "x").alias("A1Cresult"), (k % 400).cast("double").alias("systolic_bp"), F.when(k % 7 != 0, "99").alias("spo2"))
+    long, short = records.validated(df), records.summary(df)
+    for frame_ in (long, records.errors(long), short):
+        assert frame_._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    s, rows = short.first(), long.collect()
+    assert s.patients_validated == sum(r.kind == "patient" and r.error_code is None for r in rows) and s.patient_errors == sum(r.kind == "patient" and r.error_code is not None for r in rows)
+    assert s.observations_validated == sum(r.kind != "patient" and r.error_code is None for r in rows) and s.observation_errors == sum(r.kind != "patient" and r.error_code is not None for r in rows)
+    assert s.example == records.errors(long).orderBy("ordinal").first().message

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +99,57 @@ def test_first_violations(spark):
     df = frame(spark, [(200,)] * 30, "age long")
     rows = rules.first_violations(rules.AgePlausibility().violations(df), 20).collect()
     assert [r.row_id for r in rows] == list(range(20))
+
+
+def readings(seed, patients, rows, hot):
+    rng = random.Random(seed)
+    out = []
+    for _ in range(rows):
+        patient = 0 if rng.random() < hot else rng.choice([None, *range(1, patients)])
+        sign = lambda: rng.choice([None, 0.0, 10.0, 16.0, -4.0, float("nan"), 25.0])
+        out.append((patient, rng.choice([None, *"abcdefgh"]), sign(), sign()))
+    return out
+
+
+@pytest.fixture
+def many_tasks(spark):
+    """Small partitions are not put together, so that readings cross tasks."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("timed", [True, False])
+def test_hot_patients_are_dealt_over_tasks(spark, timed, many_tasks):
+    df = frame(spark, readings(4, 30, 1500, 0.4), "patient_id long, timestamp string, systolic_bp double, spo2 double")
+    df = df if timed else df.drop("timestamp")
+    order = lambda rows: sorted(tuple(r) for r in rows)
+    want = order(rules.VitalSpikes().spikes(df).collect())
+    for limit in (20, 100, 0):
+        assert order(rules.VitalSpikes(hot_rows=limit).spikes(df).collect()) == want
+    assert any(r[1] for r in want)
+
+
+def test_a_third_of_all_readings_in_one_patient(spark, many_tasks):
+    """No task has more than a fraction of the hot patient's rows, and pairs across tasks are not lost."""
+    n = 4000
+    df = spark.range(n).select(F.col("id").alias(ROW_ID), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).alias("patient_id"), F.when(F.col("id") % 6 == 0, 100.0).otherwise(200.0).alias("heart_rate"))
+    values = df.where("patient_id = 7").select(F.col("patient_id").alias("patient"), ROW_ID, F.col("heart_rate").alias("v0"))
+    dealt = rules._carried(values, [F.col(ROW_ID)], 1)
+    largest = max(r["n"] for r in dealt.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect())
+    assert dealt.count() == 1334 and largest < 1334 / 2
+    assert rules.VitalSpikes(hot_rows=500).check(df).first().affected_rows == sum(1 for i in range(1, 1334) if i % 2 == 1)
+
+
+def test_one_scan_for_measured_rules(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias(ROW_ID), (F.col("event_id") % 130).alias("age"), F.col("value").cast("string").alias("glucose"), (F.col("event_id") % 5).cast("string").alias("creatinine"))
+    suite = [rules.AgeLabCoherence(), rules.AgePlausibility(), rules.MissingThresholds(ignored=(ROW_ID,))]
+    found = rules.RuleRunner(suite).run(df)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert [tuple(r)[1:] for r in found.collect()] == [tuple(r.check(df).first()) for r in suite]
+    marks = rules.all_violations(suite[:2], df)
+    assert marks._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    both = rules.AgeLabCoherence().violations(df).unionByName(rules.AgePlausibility().violations(df))
+    assert sorted(map(repr, marks.collect())) == sorted(map(repr, both.collect())) != []

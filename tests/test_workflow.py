@@ -81,3 +81,17 @@ def test_stream(spark, sf_dir, tmp_path):
     missing_counts_stream(spark, str(tmp_path / "in"), e.schema, str(tmp_path / "counts"), str(tmp_path / "chk")).awaitTermination(60)
     columns = ["position", "column_name", "missing_count", "missing_ratio", "rows"]
     assert missing_summary_so_far(spark, str(tmp_path / "counts")).select(columns).collect() == profile.missing_summary(e).select(columns).collect()
+
+
+def test_one_scan_for_all_that_is_counted(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    k = F.col("c_custkey")
+    df = c.select(k.alias("row_id"), k.alias("patient_nbr"), F.lit("male").alias("gender"), (k % 130).alias("age"), F.lit("400").alias("glucose"), F.when(k % 2 == 0, "x").alias("A1Cresult"), (k % 400).cast("double").alias("systolic_bp"))
+    row = workflow.measured_row(df)[0]
+    plan = row._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and row.count() == 1
+    found = workflow.validate(df)
+    assert found["missing"].count() == 6 and {r.rule: r.affected_rows > 0 for r in found["findings"].collect()} == {"ClinicalCoherenceRule": True, "VitalSignAnomalyRule": False, "MissingDataThresholdRule": False}
+    assert found["records"].first().patients_validated == c.count()

@@ -47,8 +47,17 @@ def overview(df: DataFrame) -> DataFrame:
 
 def missing_summary(df: DataFrame) -> DataFrame:
     """position, column_name, missing_count, missing_ratio, rows; the most missing first, ties by position. One scan for all columns."""
-    counts = df.agg(F.count(F.lit(1)).alias("rows"), *(F.expr(f"count_if({missing_sql(df, n)}) as m{i}") for i, n in enumerate(df.columns)))
-    summary = counts.selectExpr("rows", f"inline(array({_named(df.columns, "'missing_count', m#")}))").withColumn("missing_ratio", F.try_divide(F.col("missing_count").cast("double"), F.col("rows")))
+    return missing_rows(df.agg(*(c.alias(n) for n, c in missing_measures(df).items())), df.columns)
+
+
+def missing_measures(df: DataFrame) -> dict[str, Column]:
+    """`rows`, and the missing values of each column as m and its position."""
+    return {"rows": F.count(F.lit(1)), **{f"m{i}": F.expr(f"count_if({missing_sql(df, n)})") for i, n in enumerate(df.columns)}}
+
+
+def missing_rows(counts: DataFrame, names: list[str]) -> DataFrame:
+    """The summary of the named columns, from the row of missing_measures."""
+    summary = counts.selectExpr("rows", f"inline(array({_named(names, "'missing_count', m#")}))").withColumn("missing_ratio", F.try_divide(F.col("missing_count").cast("double"), F.col("rows")))
     return summary.select("position", "column_name", "missing_count", "missing_ratio", "rows").orderBy(F.desc("missing_ratio"), "position")
 
 

@@ -1,22 +1,31 @@
 """Clinical rules: a small protocol, five rules, a runner and a suite.
 
 A rule gives its finding as a one-row table (rule, severity, message, affected_rows, ...) and, where
-it marks rows or columns, its violations as a long table (rule, row_id, column_name). Both are lazy
-and read only the columns they need.
+it marks rows or columns, its violations as a long table (rule, row_id, column_name). Both read only
+the columns they need.
+
+Rules may be given in parts that are put together: `measures` are aggregates of the table from which a
+finding is `concluded`, and `marks` are predicates on a row. The runner reads the table once for the
+measures of all rules that have them, and once for all marks; any other rule is asked by itself.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Protocol, runtime_checkable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import col, outside, percent_change, to_number
+from ..sources.scratch import written
 from ..sources.tables import ROW_ID
 from . import profile
 
@@ -36,10 +45,44 @@ class Rule(Protocol):
         ...
 
 
+@runtime_checkable
+class MeasuredRule(Rule, Protocol):
+    """A rule whose finding follows from aggregates of the whole table."""
+
+    def measures(self, df: DataFrame) -> dict[str, Column]:
+        """Aggregates by name; none if columns that the rule needs are absent."""
+        ...
+
+    def concluded(self, df: DataFrame, found: Mapping[str, Column]) -> Column:
+        """The finding as a struct, given the aggregates' values as columns."""
+        ...
+
+
+def finding_of(rule: str, severity: str | Column, message: str | Column, rows: Column | None = None, groups: Column | None = None) -> Column:
+    """A finding as a struct."""
+    as_col = lambda x: F.lit(x) if isinstance(x, str) or x is None else x
+    return F.struct(F.lit(rule).alias("rule"), as_col(severity).alias("severity"), as_col(message).alias("message"), as_col(rows).cast("long").alias("affected_rows"), as_col(groups).cast("long").alias("affected_groups"))
+
+
+def measured(df: DataFrame, parts: Mapping[str, Mapping[str, Column]]) -> DataFrame:
+    """One row with the aggregates of all parts, one scan for all of them; a part's names get its own name before them."""
+    columns = [c.alias(f"{part}.{name}") for part, named in parts.items() for name, c in named.items()]
+    return df.agg(*columns) if columns else df.sparkSession.range(1)
+
+
+def part_of(named: Iterable[str], part: str) -> dict[str, Column]:
+    """The columns that hold a part's aggregates in the row of `measured`."""
+    return {n: col(f"{part}.{n}") for n in named}
+
+
+def _checked(rule: MeasuredRule, df: DataFrame) -> DataFrame:
+    own = rule.measures(df)
+    return measured(df, {"own": own}).select(rule.concluded(df, part_of(own, "own")).alias("finding")).select("finding.*")
+
+
 def finding(df: DataFrame, rule: str, severity: str | Column, message: str | Column, rows: Column | None = None, groups: Column | None = None) -> DataFrame:
     """A finding from a one-row table."""
-    as_col = lambda x: F.lit(x) if isinstance(x, str) or x is None else x
-    return df.select(F.lit(rule).alias("rule"), as_col(severity).alias("severity"), as_col(message).alias("message"), as_col(rows).cast("long").alias("affected_rows"), as_col(groups).cast("long").alias("affected_groups"))
+    return df.select(finding_of(rule, severity, message, rows, groups).alias("finding")).select("finding.*")
 
 
 def _one(df: DataFrame) -> DataFrame:
@@ -97,17 +140,33 @@ class AgePlausibility:
     high: float = 120
     name: str = "age_plausibility"
 
+    def marks(self, df: DataFrame) -> list[tuple[Column, str | None]]:
+        return [] if lacks(df, self.age) else [(outside(strict_number(df, self.age), self.low, self.high), self.age)]
+
     def violations(self, df: DataFrame) -> DataFrame:
-        if lacks(df, self.age):
-            return no_violations(df)
-        return df.where(outside(strict_number(df, self.age), self.low, self.high)).select(F.lit(self.name).alias("rule"), F.col(ROW_ID), F.lit(self.age).alias("column_name"))
+        return marked_rows([self], df)
+
+    def measures(self, df: DataFrame) -> dict[str, Column]:
+        return {"n": F.count_if(mark) for mark, _ in self.marks(df)}
+
+    def concluded(self, df: DataFrame, found: Mapping[str, Column]) -> Column:
+        if not found:
+            return finding_of(self.name, "WARNING", f"Needs the column {self.age}")
+        none = found["n"] == 0
+        return finding_of(self.name, F.when(none, "OK").otherwise("WARNING"), F.when(none, "All ages are plausible").otherwise("Some ages are implausible"), found["n"])
 
     def check(self, df: DataFrame) -> DataFrame:
-        if lacks(df, self.age):
-            return finding(_one(df), self.name, "WARNING", f"Needs the column {self.age}")
-        found = df.agg(F.count_if(outside(strict_number(df, self.age), self.low, self.high)).alias("n"))
-        none = F.col("n") == 0
-        return finding(found, self.name, F.when(none, "OK").otherwise("WARNING"), F.when(none, "All ages are plausible").otherwise("Some ages are implausible"), F.col("n"))
+        return _checked(self, df)
+
+
+def marked_rows(rules: Iterable[Rule], df: DataFrame) -> DataFrame:
+    """The violations of rules with marks, one scan for all of them."""
+    marks = [(rule.name, mark, name) for rule in rules for mark, name in rule.marks(df)]
+    if not marks:
+        return no_violations(df)
+    hits = F.array(*(F.when(mark, F.struct(F.lit(rule).alias("rule"), F.lit(name).cast("string").alias("column_name"))) for rule, mark, name in marks))
+    some = df.where(reduce(lambda a, b: a | b, (mark for _, mark, _ in marks)))
+    return some.select(F.col(ROW_ID), F.inline(F.filter(hits, lambda h: h.isNotNull()))).select("rule", ROW_ID, "column_name")
 
 
 def marked(df: DataFrame, rule: str, violations: DataFrame, what: str) -> DataFrame:
@@ -137,12 +196,72 @@ class AgeLabCoherence:
             either |= (strict_number(df, self.age) >= self.elderly_from) & (number(df, self.creatinine) > self.creatinine_above)
         return F.coalesce(either, F.lit(False))
 
+    def marks(self, df: DataFrame) -> list[tuple[Column, str | None]]:
+        return [(self.predicate(df), None)]
+
     def violations(self, df: DataFrame) -> DataFrame:
-        return df.where(self.predicate(df)).select(F.lit(self.name).alias("rule"), F.col(ROW_ID), F.lit(None).cast("string").alias("column_name"))
+        return marked_rows([self], df)
+
+    def measures(self, df: DataFrame) -> dict[str, Column]:
+        return {"n": F.count_if(self.predicate(df))}
+
+    def concluded(self, df: DataFrame, found: Mapping[str, Column]) -> Column:
+        return finding_of(self.name, "WARNING", F.concat(found["n"].cast("string"), F.lit(" rows where age and lab value don't agree")), found["n"])
 
     def check(self, df: DataFrame) -> DataFrame:
-        found = df.agg(F.count_if(self.predicate(df)).alias("n"))
-        return finding(found, self.name, "WARNING", F.concat(F.col("n").cast("string"), F.lit(" rows where age and lab value don't agree")), F.col("n"))
+        return _checked(self, df)
+
+
+#: There are at most so many hot patients.
+HOT_PATIENTS = 1024
+
+
+def _previous(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted readings (key, row_id, values) with the values of the reading before, if it is the same patient's.
+
+    `part` is the task. The first reading has `place` 1, as its predecessor is in another task, and the last one
+    is there once more, with `place` 2, for the first one of the next.
+    """
+    task = TaskContext.get().partitionId()
+    last: list | None = None
+
+    def with_place(batch: pa.RecordBatch, before: list[pa.Array], places: np.ndarray) -> pa.RecordBatch:
+        signs = len(before)
+        names = [*batch.schema.names, *(f"p{i}" for i in range(signs)), "part", "place"]
+        return pa.RecordBatch.from_arrays([*batch.columns, *before, pa.array(np.full(batch.num_rows, task, np.int32)), pa.array(places)], names=names)
+
+    tail = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, values = batch.column(0), batch.columns[2:]
+        keys = pa.concat_arrays([pa.array([last[0] if last else None], pa.string()), key.slice(0, len(key) - 1)])
+        same = pc.fill_null(pc.equal(key, keys), False)
+        moved = [pa.concat_arrays([pa.array([last[2 + i] if last else None], pa.float64()), v.slice(0, len(v) - 1)]) for i, v in enumerate(values)]
+        before = [pc.if_else(same, m, pa.scalar(None, pa.float64())) for m in moved]
+        places = np.zeros(batch.num_rows, np.int32)
+        places[0] = last is None
+        yield with_place(batch, before, places)
+        tail = batch.slice(batch.num_rows - 1)
+        last = [c[0].as_py() for c in tail.columns]
+    if tail is not None:
+        yield with_place(tail, [pa.nulls(1, pa.float64())] * (tail.num_columns - 2), np.array([2], np.int32))
+
+
+def _carried(values: DataFrame, order: list[Column], signs: int) -> DataFrame:
+    """row_id, values and those of the reading before; the readings of a patient are dealt over tasks by time."""
+    columns = [f"v{i}" for i in range(signs)]
+    sorting = [F.col("patient"), *order]
+    dealt = values.repartitionByRange(*sorting).sortWithinPartitions(*sorting)
+    dealt = dealt.select(F.col("patient").cast("string").alias("key"), ROW_ID, *columns)
+    kinds = ", ".join(f"{c}{i} double" for c in "vp" for i in range(signs))
+    pairs = written(dealt.mapInArrow(_previous, f"key string, {ROW_ID} long, {kinds}, part int, place int"), "readings")
+    # a task's last reading, and the next one's first: two rows a task
+    by = Window.orderBy("part", "place")
+    edges = pairs.where("place > 0")
+    carried = edges.select("place", ROW_ID, *columns, *(F.when(F.lag("key").over(by) == F.col("key"), F.lag(c).over(by)).alias(f"p{i}") for i, c in enumerate(columns))).where("place = 1")
+    names = [ROW_ID, *columns, *(f"p{i}" for i in range(signs))]
+    return pairs.where("place = 0").select(names).unionByName(carried.select(names))
 
 
 @dataclass(frozen=True)
@@ -151,6 +270,10 @@ class VitalSpikes:
 
     All signs share one window, so one shuffle and one sort. A missing reading breaks the pair on
     both of its sides, and a previous value of zero gives no percentage.
+
+    A patient with more than `hot_rows` readings (and more than one in 1024 of all, so there are at most
+    1024 of them) is no single task: these patients' readings are range-partitioned by patient, time and
+    row, each task compares its own, and each task's last reading, one row, goes to the next one's first.
     """
 
     patient: str = "patient_id"
@@ -158,17 +281,33 @@ class VitalSpikes:
     vitals: tuple[str, ...] = VITALS
     threshold_pct: float = 50.0
     name: str = "VitalSignAnomalyRule"
+    hot_rows: int = 1_000_000
 
     def spikes(self, df: DataFrame) -> DataFrame:
         """row_id and one boolean a sign."""
         present = [v for v in self.vitals if v in df.columns]
-        order = [F.col(ROW_ID)]
-        if self.time in df.columns:
-            order.insert(0, col(self.time).asc_nulls_last())
-        by = Window.partitionBy("__patient").orderBy(*order)
-        values = df.where(col(self.patient).isNotNull()).select(col(self.patient).alias("__patient"), F.col(ROW_ID), *([col(self.time)] if self.time in df.columns else []), *(number(df, v).alias(f"__{v}") for v in present))
-        flags = (F.coalesce(percent_change(F.col(f"__{v}"), F.lag(f"__{v}").over(by)) > self.threshold_pct, F.lit(False)).alias(v) for v in present)
-        return values.select(ROW_ID, *flags)
+        timed = [col(self.time).alias("time")] if self.time in df.columns else []
+        values = df.where(col(self.patient).isNotNull()).select(col(self.patient).alias("patient"), F.col(ROW_ID), *timed, *(number(df, v).alias(f"v{i}") for i, v in enumerate(present)))
+        order = [*([F.col("time").asc_nulls_last()] if timed else []), F.col(ROW_ID)]
+        hot = self._hot(values)
+        if hot is None:
+            pairs = self._windowed(values, order, len(present))
+        else:
+            pairs = self._windowed(values.join(hot, "patient", "left_anti"), order, len(present)).unionByName(_carried(values.join(hot, "patient", "left_semi"), order, len(present)))
+        flags = (F.coalesce(percent_change(F.col(f"v{i}"), F.col(f"p{i}")) > self.threshold_pct, F.lit(False)).alias(v) for i, v in enumerate(present))
+        return pairs.select(ROW_ID, *flags)
+
+    def _hot(self, values: DataFrame) -> DataFrame | None:
+        """The patients with too many readings for one task, if any."""
+        counts = values.groupBy("patient").agg(F.count(F.lit(1)).alias("n"))
+        found = counts.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+        least = max(self.hot_rows, (found["rows"] or 0) // HOT_PATIENTS)
+        return F.broadcast(counts.where(F.col("n") > least).select("patient")) if (found["most"] or 0) > least else None
+
+    @staticmethod
+    def _windowed(values: DataFrame, order: list[Column], signs: int) -> DataFrame:
+        by = Window.partitionBy("patient").orderBy(*order)
+        return values.select(ROW_ID, *(F.col(f"v{i}") for i in range(signs)), *(F.lag(f"v{i}").over(by).alias(f"p{i}") for i in range(signs)))
 
     def violations(self, df: DataFrame) -> DataFrame:
         present = [v for v in self.vitals if v in df.columns]
@@ -191,10 +330,27 @@ class MissingThresholds:
     )
     otherwise: float = 50.0
     name: str = "MissingDataThresholdRule"
+    #: Columns that are not looked at, such as a row number that was added.
+    ignored: tuple[str, ...] = ()
+
+    def _limit(self, name: str) -> float:
+        return float(self.thresholds.get(name, self.otherwise))
+
+    def _view(self, df: DataFrame) -> DataFrame:
+        return df.select(*(col(n) for n in df.columns if n not in self.ignored))
+
+    def measures(self, df: DataFrame) -> dict[str, Column]:
+        return profile.missing_measures(self._view(df))
+
+    def concluded(self, df: DataFrame, found: Mapping[str, Column]) -> Column:
+        over = (F.coalesce(F.try_divide(found[f"m{i}"].cast("double"), found["rows"]) * 100 > self._limit(n), F.lit(False)).cast("long") for i, n in enumerate(self._view(df).columns))
+        n = reduce(lambda a, b: a + b, over, F.lit(0).cast("long"))
+        return finding_of(self.name, "WARNING", F.concat(n.cast("string"), F.lit(" columns with too many missing values")), n)
 
     def details(self, df: DataFrame) -> DataFrame:
         """position, column_name, missing_pct, threshold_pct, exceeds of each column, in the table's order."""
-        limits = F.create_map(*(F.lit(x) for n in df.columns for x in (n, float(self.thresholds.get(n, self.otherwise)))))
+        df = self._view(df)
+        limits = F.create_map(*(F.lit(x) for n in df.columns for x in (n, self._limit(n))))
         percent = F.col("missing_ratio") * 100
         rows = profile.missing_summary(df).withColumn("threshold_pct", limits[F.col("column_name")])
         return rows.select("position", "column_name", F.bround(percent, 2).alias("missing_pct"), "threshold_pct", (percent > F.col("threshold_pct")).alias("exceeds")).orderBy("position")
@@ -203,7 +359,7 @@ class MissingThresholds:
         return self.details(df).where("exceeds").select(F.lit(self.name).alias("rule"), F.lit(None).cast("long").alias(ROW_ID), "column_name")
 
     def check(self, df: DataFrame) -> DataFrame:
-        return marked(df, self.name, self.violations(df), "columns with too many missing values")
+        return _checked(self, df)
 
 
 def first_violations(violations: DataFrame, n: int = 20) -> DataFrame:
@@ -225,13 +381,26 @@ class RuleRunner:
     def __init__(self, rules: Iterable[Rule]):
         self.rules = list(rules)
 
-    def run(self, df: DataFrame) -> DataFrame:
-        """A finding a rule, with its place in `ordinal`."""
+    def run(self, df: DataFrame, row: DataFrame | None = None) -> DataFrame:
+        """A finding a rule, with its place in `ordinal`. `row` has the rules' measures, if they are known already."""
         if not self.rules:
             return df.sparkSession.createDataFrame([], f"ordinal int, {FINDING}")
-        found = [r.check(df).select(F.lit(i).alias("ordinal"), "*") for i, r in enumerate(self.rules)]
+        together = {i: r for i, r in enumerate(self.rules) if isinstance(r, MeasuredRule)}
+        found = [r.check(df).select(F.lit(i).alias("ordinal"), "*") for i, r in enumerate(self.rules) if i not in together]
+        if together:
+            parts = self.measures(df)
+            found.append(self.concluded(df, measured(df, parts) if row is None else row, parts))
         return reduce(DataFrame.unionByName, found).orderBy("ordinal")
 
+    def measures(self, df: DataFrame) -> dict[str, dict[str, Column]]:
+        """The aggregates of the rules that have some, by the rule's place."""
+        return {f"rule{i}": r.measures(df) for i, r in enumerate(self.rules) if isinstance(r, MeasuredRule)}
+
+    def concluded(self, df: DataFrame, row: DataFrame, parts: Mapping[str, Mapping[str, Column]]) -> DataFrame:
+        """The findings of those rules, from the row of their aggregates."""
+        lines = (F.struct(F.lit(i).alias("ordinal"), r.concluded(df, part_of(parts[f"rule{i}"], f"rule{i}")).alias("finding")) for i, r in enumerate(self.rules) if isinstance(r, MeasuredRule))
+        return row.select(F.inline(F.array(*lines))).select("ordinal", "finding.*")
+
 
 def clinical_suite(thresholds: MissingThresholds | None = None) -> list[Rule]:
     """The rules of the pipeline: coherence, spikes, missing values."""
@@ -240,5 +409,6 @@ def clinical_suite(thresholds: MissingThresholds | None = None) -> list[Rule]:
 
 def all_violations(rules: Iterable[Rule], df: DataFrame) -> DataFrame:
     """The violations of all rules that mark rows or columns."""
-    found = [r.violations(df) for r in rules if hasattr(r, "violations")]
-    return reduce(DataFrame.unionByName, found, no_violations(df))
+    rules = list(rules)
+    found = [r.violations(df) for r in rules if hasattr(r, "violations") and not hasattr(r, "marks")]
+    return reduce(DataFrame.unionByName, found, marked_rows([r for r in rules if hasattr(r, "marks")], df))

@@ -88,6 +88,16 @@ d as (select *, case kind when 'patient' then 'Patient' when 'obs' then 'Observa
 """
 
 
+def _clinic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records, with the columns that the clinical rules need: nations as patients whose readings go by a time that repeats."""
+    k = F.col("c_custkey")
+    more = _table(spark, sf_dir, "customer").select(
+        k.alias(ROW_ID), F.nullif("c_nationkey", F.lit(7)).alias("patient_id"), (k % 13).alias("timestamp"), (k % 100).alias("age"),
+        F.when(k % 8 == 0, "n/a").otherwise((F.col("c_acctbal") / 10).cast("string")).alias("glucose"), (k % 4).cast("string").alias("creatinine"),
+    )
+    return _records(spark, sf_dir).join(more, ROW_ID)
+
+
 def _labs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as patients: age, glucose and creatinine, the latter two as text."""
     p = _table(spark, sf_dir, "part")
@@ -233,7 +243,7 @@ def first_20_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.summary(records.validated(_records(spark, sf_dir), today=F.lit("2026-01-01").cast("date")))
+    return records.summary(_records(spark, sf_dir), today=F.lit("2026-01-01").cast("date"))
 
 
 def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +252,7 @@ def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validate_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the pipeline's validation finds: missing counts, findings of the suite, record counters."""
-    found = workflow.validate(_records(spark, sf_dir))
+    found = workflow.validate(_clinic(spark, sf_dir))
     missing = found["missing"].select(F.lit("missing").alias("part"), F.col("column_name").alias("name"), F.col("missing_count").alias("n"))
     findings = found["findings"].select(F.lit("finding").alias("part"), F.col("rule").alias("name"), F.col("affected_rows").alias("n"))
     counters = ["patients_validated", "patient_errors", "observations_validated", "observation_errors"]
@@ -459,10 +469,17 @@ ORACLE_SQL: dict[str, str] = {
                (select message from d order by case kind when 'patient' then 0 when 'obs' then 1 else 2 end, code nulls first, row_id limit 1) as example from e""",
     "validation_errors": _RECORDS + "select kind, row_id, code, error_code, message from d",
     "validate_stage": _RECORDS + """
-        select 'missing' as part, name, n from (
-          select count(*) filter (k = 17) as patient_nbr, count(*) filter (k % 5 = 3) as gender, count(*) filter (k % 9 = 3) as "birthDate", count(*) filter (k % 4 = 3) as max_glu_serum,
-                 0::bigint as systolic_bp, 0::bigint as heart_rate, count(*) filter (k % 3 = 0) as temperature, 0::bigint as spo2 from r) unpivot (n for name in (patient_nbr, gender, "birthDate", max_glu_serum, systolic_bp, heart_rate, temperature, spo2))
-        union all select 'finding', 'ClinicalCoherenceRule', 0 union all select 'finding', 'VitalSignAnomalyRule', 0 union all select 'finding', 'MissingDataThresholdRule', 2
+        , v as (select c_custkey as k, nullif(c_nationkey, 7) as p, c_custkey % 13 as t, c_acctbal as a, cast(c_custkey % 900 as double) as b, case when c_custkey % 3 <> 0 then cast(c_custkey % 12 + 33 as double) end as c, case when c_custkey % 6 <> 0 then cast(c_custkey % 60 + 45 as double) end as s from customer),
+        l as (select k, a, b, c, s, lag(a) over w as pa, lag(b) over w as pb, lag(c) over w as pc, lag(s) over w as ps from v where p is not null window w as (partition by p order by t, k)),
+        spikes as (select count(*) as n from l where (pa <> 0 and abs((a - pa) / pa) * 100 > 50) or (pb <> 0 and abs((b - pb) / pb) * 100 > 50) or abs((c - pc) / pc) * 100 > 50 or abs((s - ps) / ps) * 100 > 50),
+        lacking as (
+          select count(*) filter (k = 17) as patient_nbr, count(*) filter (k % 5 = 3) as gender, count(*) filter (k % 9 = 3) as "birthDate", count(*) filter (k % 4 = 3) as max_glu_serum, 0::bigint as systolic_bp, 0::bigint as heart_rate,
+                 count(*) filter (k % 3 = 0) as temperature, 0::bigint as spo2, (select count(*) from customer where c_nationkey = 7) as patient_id, 0::bigint as timestamp, 0::bigint as age, 0::bigint as glucose, 0::bigint as creatinine from r),
+        m as (from lacking unpivot (n for name in (patient_nbr, gender, "birthDate", max_glu_serum, systolic_bp, heart_rate, temperature, spo2, patient_id, timestamp, age, glucose, creatinine)))
+        select 'missing' as part, name, n from m
+        union all select 'finding', 'ClinicalCoherenceRule', (select count(*) from customer where (c_custkey % 100 < 12 and c_custkey % 8 <> 0 and c_acctbal / 10 > 300) or (c_custkey % 100 >= 65 and c_custkey % 4 > 2))
+        union all select 'finding', 'VitalSignAnomalyRule', n from spikes
+        union all select 'finding', 'MissingDataThresholdRule', (select count(*) from m, (select count(*) as rows from r) where n * 100.0 / rows > case name when 'patient_id' then 0 when 'age' then 5 when 'gender' then 10 when 'glucose' then 20 when 'creatinine' then 20 when 'systolic_bp' then 30 when 'heart_rate' then 30 when 'temperature' then 30 when 'spo2' then 30 else 50 end)
         union all select 'records', name, n from (
           select count(*) filter (kind = 'patient' and error_code is null) as patients_validated, count(*) filter (kind = 'patient' and error_code is not null) as patient_errors,
                  count(*) filter (kind <> 'patient' and error_code is null) as observations_validated, count(*) filter (kind <> 'patient' and error_code is not null) as observation_errors from e) unpivot (n for name in (patients_validated, patient_errors, observations_validated, observation_errors))""",

@@ -85,34 +85,33 @@ def run_quality(spark: SparkSession, path: str, settings: Settings, log: logging
     return 0
 
 
-def validate(df: DataFrame) -> dict[str, DataFrame | list]:
-    """The results of the validation, still lazy: missing, findings, violations, records. `df` has row numbers."""
-    suite = rules.clinical_suite()
-    data = df.drop(ROW_ID)
+def measured_row(df: DataFrame) -> tuple[DataFrame, rules.RuleRunner, dict, list[records.Cell]]:
+    """One row with all that the validation counts by itself: missing values, the measures of the rules, the counters of the records. One scan."""
+    runner = rules.RuleRunner(rules.clinical_suite(rules.MissingThresholds(ignored=(ROW_ID,))))
+    cells = records.record_cells(df)
+    parts = {"missing": profile.missing_measures(df.drop(ROW_ID)), "records": records.summary_measures(cells), **runner.measures(df)}
+    return rules.measured(df, parts), runner, parts, cells
+
+
+def validate(df: DataFrame) -> dict[str, DataFrame]:
+    """The results of the validation: missing, findings, violations, records. `df` has row numbers.
+
+    All aggregates are one scan, which runs here; rules that need the table in another order run by
+    themselves, and violations are lazy.
+    """
+    spark = df.sparkSession
+    row, runner, parts, cells = measured_row(df)
+    known = spark.createDataFrame([row.first()], row.schema)
+    names = [n for n in df.columns if n != ROW_ID]
+    missing = known.select(*(c.alias(n) for n, c in rules.part_of(parts["missing"], "missing").items()))
     return {
-        "missing": profile.missing_summary(data),
-        "findings": rules.RuleRunner([_without_row_id(r) for r in suite]).run(df),
-        "violations": rules.all_violations([_without_row_id(r) for r in suite], df),
-        "records": records.summary(records.validated(df)),
+        "missing": profile.missing_rows(missing, names),
+        "findings": runner.run(df, known),
+        "violations": rules.all_violations(runner.rules, df),
+        "records": records.summary_of(known, cells, rules.part_of(parts["records"], "records")),
     }
 
 
-class _without_row_id:  # noqa: N801
-    """A rule that looks at columns must not see the row number that we added."""
-
-    def __init__(self, rule: rules.Rule):
-        self.rule, self.name = rule, rule.name
-
-    def _view(self, df: DataFrame) -> DataFrame:
-        return df.drop(ROW_ID) if isinstance(self.rule, rules.MissingThresholds) else df
-
-    def check(self, df: DataFrame) -> DataFrame:
-        return self.rule.check(self._view(df))
-
-    def violations(self, df: DataFrame) -> DataFrame:
-        return self.rule.violations(self._view(df))
-
-
 def run_pipeline(spark: SparkSession, path: str, settings: Settings, output: str | Path, log: logging.Logger | None = None, transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> int:
     """Reads, validates, writes missing_summary.csv and the reports, and hands the table to `transform`. A failing report is logged, no more."""
     log = log or logger_for("vitalgrain.pipeline", settings.logging.level, settings.logging.log_dir)
