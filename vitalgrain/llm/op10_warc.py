@@ -282,15 +282,19 @@ def quarantined(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to; a revisit has the size of what it refers to."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to; a revisit has the size of the response that it refers to.
+
+    Page ids may repeat with different payloads, so page and digest together name the response.
+    """
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     found, _ = quarantined(records)
     total = max(found.count(), 1)
     revisits = found.where("record_type = 'revisit'").drop("payload_bytes")
-    wanted = revisits.groupBy(F.col("refers_to").alias("to")).agg(F.count("*").alias("copies"))
-    sizes = found.where("record_type = 'response'").select(F.col("page_id").alias("to"), "payload_bytes").join(wanted, "to").groupBy("to", "copies").agg(F.first("payload_bytes").alias("payload_bytes"))
+    named = lambda page: F.concat_ws(":", "payload_digest", F.col(page).cast("string"))
+    wanted = revisits.groupBy(named("refers_to").alias("to")).agg(F.count("*").alias("copies"))
+    sizes = found.where("record_type = 'response'").select(named("page_id").alias("to"), "payload_bytes").join(wanted, "to").groupBy("to", "copies").agg(F.first("payload_bytes").alias("payload_bytes"))
     sizes = materialise(sizes, "referred")
-    filled = attach_groups(revisits.withColumn("to", F.col("refers_to")), sizes, "to", "copies", total)
+    filled = attach_groups(revisits.withColumn("to", named("refers_to")), sizes, "to", "copies", total)
     return found.where("record_type = 'response'").select(columns).unionByName(filled.select(columns))
 
 
