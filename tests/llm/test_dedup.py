@@ -211,6 +211,20 @@ def test_fingerprints_of_repeated_and_null_ids(spark):
     check_ring(op4.edited_fingerprints(docs(spark, EDGE)).collect(), EDGE)
 
 
+def test_fingerprints_do_not_depend_on_partitions(spark):
+    """Rows that repeat an id have one order, whether an id spans buckets or not."""
+    rows = [(i, f"text {i} of some words") for i in range(50)] + [(2, f"copy {i} of id two") for i in range(3)] + [(7, "seven again"), (7, "seven once more")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for parts in ("1", "4", "211"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got.append(sorted(map(repr, op4.edited_fingerprints(docs(spark, rows)).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1] == got[2]
+
+
 def test_simhash_by_definition():
     """Votes of each distinct triple of words, one bit at a time."""
     simhash = op4.SimHash()

@@ -11,8 +11,8 @@ no window spans the table.
 
 Defined cases: null or empty texts have no terms and the fingerprint 0; texts of fewer than three
 words are one term; null ids follow the smallest id; rows that repeat an id follow each other by
-the text's hash if some id has the rows of several buckets or is null, and else by text; the only document of a table is its own neighbour; an empty table gives no rows; further
-columns are not carried.
+the text's hash, and by text where hashes are equal, whatever the number of partitions; the only
+document of a table is its own neighbour; an empty table gives no rows; further columns are not carried.
 """
 
 from __future__ import annotations
@@ -170,8 +170,9 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     null_span = -(-found["nulls"] * buckets // max(1, found["rows"]))
     spans = np.append(np.where(spans > 1, spans, 0), 0)
     width = int(max(spans.max(), null_span)) + 1
-    # rows of such an id, and of null, are cut by the hash of their text
-    order = F.shiftrightunsigned(F.xxhash64("text"), 1) if width > 1 else F.lit(0).cast("long")
+    # rows that repeat an id follow each other by the hash of their text, and where an id spans buckets, it is cut by that
+    by_text = F.shiftrightunsigned(F.xxhash64("text"), 1)
+    order = by_text if width > 1 else F.lit(0).cast("long")
 
     @F.arrow_udf("long")
     def bucket_of(ids: pa.Array, order: pa.Array) -> pa.Array:
@@ -192,7 +193,7 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     copy = F.struct(F.col("above").alias("bucket"), F.lit(True).alias("copy"))
     is_first = F.col("doc_id").eqNullSafe(F.col("top")) & (F.col("order") == F.col("top_order"))
     sent = placed.join(F.broadcast(table), "bucket").select("doc_id", "order", "text", F.explode(F.when(is_first, F.array(own, copy)).otherwise(F.array(own))).alias("to"))
-    dealt = sent.select("to.bucket", "to.copy", "doc_id", "text", "order").repartition(parts, "bucket")
+    dealt = sent.select("to.bucket", "to.copy", "doc_id", "text", by_text.alias("order")).repartition(parts, "bucket")
     ordered = dealt.sortWithinPartitions("bucket", "copy", F.col("doc_id").desc_nulls_last(), "order", "text")
     return ordered.mapInArrow(_neighbours, _OUT_SPARK)
 
