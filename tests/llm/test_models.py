@@ -50,6 +50,16 @@ def test_language_edges(spark):
     assert [r.lang_pred for r in op5.with_language(spark.createDataFrame([(1, "words", None, "s", 1)], SCHEMA)).collect()] == ["und"]
 
 
+def test_languages_are_learned_whatever_the_ids(spark):
+    """Null ids, and few of them, don't decide the sample alone, and its size keeps near its bound."""
+    from vitalgrain.llm import op5_language as op5
+
+    for ids in ("cast(null as long)", "id % 3"):
+        rows = spark.range(20_000).selectExpr(f"{ids} as doc_id", "case when id % 2 = 0 then concat('the house and the garden number ', id) else concat('das haus und der garten nummer ', id) end as text", "case when id % 2 = 0 then 'en' else 'de' end as lang")
+        model = op5.fit(rows, sample_rows=500)
+        assert sorted(model.langs) == ["de", "en"]
+
+
 def test_languages_that_were_not_learned_go(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     foreign = F.col("lang") == "de"
@@ -284,6 +294,17 @@ def test_archives(spark, tmp_path):
     assert {r.url for r in rows.where("page_id = 6").collect()} == {"http://a/%206%0D%0AX:%20y"}
 
 
+def test_revisits_of_a_page_id_with_two_payloads(spark, tmp_path):
+    """Each revisit has the size and digest of its own payload."""
+    a, b = "a" * 1000, "b" * 2500
+    pages = spark.createDataFrame([(5, "u", a), (5, "u", b), (3, "u", a), (4, "u", b), (5, "u", b), (2, "u", "short")], "page_id long, url string, html string")
+    op10.write_archives(pages, str(tmp_path / "w"))
+    got = sorted((r.page_id, r.record_type, r.payload_bytes, r.payload_digest, r.refers_to) for r in op10.resolved(op10.read_archives(spark, str(tmp_path / "w"))).collect())
+    sha = lambda t: hashlib.sha1(t.encode()).hexdigest()
+    want = [(2, "response", 5, sha("short"), None), (3, "revisit", 1000, sha(a), 5), (4, "revisit", 2500, sha(b), 5), (5, "response", 1000, sha(a), None), (5, "response", 2500, sha(b), None), (5, "response", 2500, sha(b), None)]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
 def test_archives_of_nothing(spark, tmp_path):
     path = f"file://{tmp_path}/w"
     op10.write_archives(pages(spark, []), path)

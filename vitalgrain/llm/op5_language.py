@@ -192,7 +192,9 @@ def fit(rows: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "
     if not sizes:
         return Model([])
     share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_rows / n))))
-    drawn = known.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).where("text is not null").select("lang", "text")
+    # ids may be null or repeat, so the text decides too
+    place = F.pmod(F.xxhash64("id", "text", F.lit("sample")), F.lit(1 << 52)).cast("double")
+    drawn = known.where(place < share[F.col("lang")] * float(1 << 52)).where("text is not null").select("lang", "text")
     counts = drawn.mapInArrow(_learn, "lang string, size int, item string, n long").groupBy("lang", "size", "item").agg(F.sum("n").alias("n")).where((F.col("n") >= least_count) | (F.col("size") > 0))
     return Model([tuple(r) for r in counts.collect()], least_count)
 
