@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -127,28 +128,62 @@ class _Rank:
             self.low, self.low_in, self.inside, self.below = e, False, self.inside - (upto[e] - self.below), upto[e]
 
 
-def _by_histogram(df: DataFrame, values: list[Column], ranks: list[_Rank], ends: list[tuple[float, float]]) -> None:
-    """One scan over the bins of all columns; only the bins that hold a wanted rank come back."""
-    cells, wanted = [], {}
-    for i, (low, high) in enumerate(ends):
+@dataclass
+class Moments:
+    """What the first scan finds of a numeric column."""
+
+    count: int
+    mean: float | None
+    std: float | None
+    low: float | None
+    high: float | None
+
+
+_MOMENTS = ("count", "avg", "stddev_samp", "min", "max")
+
+
+def moment_measures(value: str) -> list[str]:
+    """SQL aggregates for Moments of a SQL expression, a double or NULL."""
+    return [f"{f}({value})" for f in _MOMENTS]
+
+
+def moments_from(found: Sequence) -> list[Moments]:
+    return [Moments(*found[i : i + len(_MOMENTS)]) for i in range(0, len(found), len(_MOMENTS))]
+
+
+def _binned(values: list[Column], ranks: list[_Rank], stats: list[Moments]) -> list[Column]:
+    """A cell (i, b, s, v) of each column with ranks that are not known yet."""
+    cells = []
+    for i, m in enumerate(stats):
         own = [r for r in ranks if r.column == i]
-        if low is None or low == high:
+        if own and m.low == m.high:
             for r in own:
-                r.value = low
-            continue
-        width = (high - low) / BINS
-        if 0 < width < float("inf"):
-            wanted[i] = own
-            cells.append(F.struct(F.lit(i).alias("i"), F.least(F.floor((values[i] - F.lit(low)) / F.lit(width)), F.lit(BINS - 1)).alias("b"), values[i].alias("v")))
-    if not cells:
-        return
-    bins = df.select(F.inline(F.array(*cells))).where("v is not null").groupBy("i", "b").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-    upto = bins.withColumn("upto", F.sum("n").over(Window.partitionBy("i").orderBy("b")))
-    asked = F.create_map(*(x for i, own in wanted.items() for x in (F.lit(i), F.array(*(F.lit(r.rank).cast("long") for r in own)))))
-    hit = F.exists(asked[F.col("i")], lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))
-    for x in upto.where(hit).collect():
-        for r in wanted[x["i"]]:
-            if x["upto"] - x["n"] <= r.rank < x["upto"]:
+                r.value = m.low
+        elif own and 0 < (width := (m.high - m.low) / BINS) < float("inf"):
+            bin_ = F.least(F.floor((values[i] - F.lit(m.low)) / F.lit(width)), F.lit(BINS - 1))
+            cells.append(F.struct(F.lit(i).alias("i"), bin_.cast("long").alias("b"), F.lit(None).cast("string").alias("s"), values[i].alias("v")))
+    return cells
+
+
+def _grouped(df: DataFrame, cells: list[Column]) -> DataFrame:
+    """(i, b, s, n, low, high, g) of the cells; `g` is i, but a filter on it stays above the grouping, so that branches share it."""
+    return df.select(F.inline(F.array(*cells))).where("v is not null or i < 0").groupBy("i", "b", "s").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.max("i").alias("g"))
+
+
+def _bins_of_ranks(grouped: DataFrame, ranks: list[_Rank]) -> DataFrame:
+    """Only the bins that hold a wanted rank, with the rows up to their end in `upto`."""
+    upto = grouped.where("g >= 0").withColumn("upto", F.sum("n").over(Window.partitionBy("i").orderBy("b")))
+    wanted: dict[int, list[int]] = {}
+    for r in ranks:
+        wanted.setdefault(r.column, []).append(r.rank)
+    asked = F.create_map(*(x for i, own in wanted.items() for x in (F.lit(i), F.array(*(F.lit(r).cast("long") for r in own)))))
+    return upto.where(F.exists(asked[F.col("i")], lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n"))))
+
+
+def _narrow(ranks: list[_Rank], bins: list) -> None:
+    for x in bins:
+        for r in ranks:
+            if r.column == x["i"] and r.value is None and x["upto"] - x["n"] <= r.rank < x["upto"]:
                 r.low, r.high, r.inside, r.below = x["low"], x["high"], x["n"], x["upto"] - x["n"]
                 r.value = r.low if r.low == r.high else None
 
@@ -165,9 +200,8 @@ def _by_sketch(df: DataFrame, values: list[Column], open_: list[_Rank], accuracy
         r.narrow(own, {e: below[r.column, e] for e in own}, {e: upto[r.column, e] for e in own})
 
 
-def _settle(df: DataFrame, values: list[Column], ranks: list[_Rank], ends: list[tuple[float, float]], accuracy: int, gather: int) -> None:
-    """Finds the value of every rank: by bins, then by sketches while too much is left, and the rest is read as (column, value, count)."""
-    _by_histogram(df, values, ranks, ends)
+def _settle(df: DataFrame, values: list[Column], ranks: list[_Rank], accuracy: int, gather: int) -> None:
+    """Finds the value of the ranks that the bins left open: by sketches while too much is left, and the rest is read as (column, value, count)."""
     while open_ := [r for r in ranks if r.value is None]:
         if sum({(r.column, r.low, r.high): r.inside for r in open_}.values()) <= gather:
             break
@@ -188,45 +222,87 @@ def _settle(df: DataFrame, values: list[Column], ranks: list[_Rank], ends: list[
                     break
 
 
-def numeric_summary(df: DataFrame, accuracy: int = SKETCH, gather: int = GATHER) -> DataFrame:
-    """position, column_name, count, mean, std, min, p25, p50, p75, max of each numeric column; NULL and NaN are skipped.
+def number_sql(df: DataFrame, names: list[str]) -> list[str]:
+    """SQL values of numeric columns as doubles, missing ones NULL."""
+    return [f"(case when not {missing_sql(df, n)} then cast({quoted(n)} as double) end)" for n in names]
 
-    Quartiles interpolate linearly and are exact. One scan has all moments, the next counts each
-    column's values in bins, and the last reads the few values of the bins that hold a quartile;
-    where a bin holds too many, sketches cut it first. All columns and ranks share these scans, and
-    no task or driver holds more than BINS counts or a sketch a column, and `gather` values.
-    """
-    names = numeric_columns(df)
-    spark = df.sparkSession
-    schema = "position int, column_name string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
-    if not names:
-        return spark.createDataFrame([], schema)
-    sql = [f"(case when not {missing_sql(df, n)} then cast({quoted(n)} as double) end)" for n in names]
-    values = [F.expr(v) for v in sql]
-    found = df.agg(*(F.expr(f"{f}({v})") for v in sql for f in ("count", "avg", "stddev_samp", "min", "max"))).first()
-    stats = [found[5 * i : 5 * i + 5] for i in range(len(names))]
-    places = {(i, q): q * (s[0] - 1) for i, s in enumerate(stats) if s[0] for q in QUARTILES}
+
+def _wanted(stats: list[Moments]) -> dict[tuple[int, int], _Rank]:
+    """The ranks on both sides of each quartile, by column and rank."""
     ranks = {}
-    for (i, _), place in places.items():
-        for rank in {int(place), min(int(place) + 1, stats[i][0] - 1)}:
-            ranks.setdefault((i, rank), _Rank(i, rank, stats[i][0]))
-    if ranks:
-        _settle(df, values, list(ranks.values()), [tuple(s[3:5]) for s in stats], accuracy, gather)
+    for i, m in enumerate(stats):
+        for q in QUARTILES if m.count else ():
+            for rank in {int(q * (m.count - 1)), min(int(q * (m.count - 1)) + 1, m.count - 1)}:
+                ranks.setdefault((i, rank), _Rank(i, rank, m.count))
+    return ranks
+
+
+_NUMERIC = "position int, column_name string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
+
+
+def _numeric_rows(df: DataFrame, names: list[str], stats: list[Moments], ranks: dict[tuple[int, int], _Rank]) -> list[tuple]:
+    """The summary's rows; quartiles lie linearly between the values of two ranks."""
 
     def percentile(i: int, q: float) -> float | None:
-        if (i, q) not in places:
+        if not stats[i].count:
             return None
-        place = places[i, q]
+        place = q * (stats[i].count - 1)
         low, part = ranks[i, int(place)].value, place - int(place)
         if not part:
             return low
         high = ranks[i, int(place) + 1].value
         return low if low == high else low + (high - low) * part
 
-    rows = [(df.columns.index(n), n, *s[:4], *(percentile(i, q) for q in QUARTILES), s[4]) for i, (n, s) in enumerate(zip(names, stats))]
-    fields = [f.strip().split(" ") for f in schema.split(",")]
+    return [(df.columns.index(n), n, m.count, m.mean, m.std, m.low, *(percentile(i, q) for q in QUARTILES), m.high) for i, (n, m) in enumerate(zip(names, stats))]
+
+
+def numeric_summary(df: DataFrame, accuracy: int = SKETCH, gather: int = GATHER) -> DataFrame:
+    """position, column_name, count, mean, std, min, p25, p50, p75, max of each numeric column; NULL and NaN are skipped.
+
+    Quartiles interpolate linearly and are exact. One scan has all moments, the next counts each
+    column's values in bins; a bin of one value ends the search. Where one holds more, a last scan reads its
+    few values, and where it holds too many, sketches cut it first. All columns and ranks share these scans,
+    and no task or driver holds more than BINS counts or a sketch a column, and `gather` values.
+    """
+    names = numeric_columns(df)
+    if not names:
+        return df.sparkSession.createDataFrame([], _NUMERIC)
+    sql = number_sql(df, names)
+    found = df.agg(*(F.expr(m) for v in sql for m in moment_measures(v))).first()
+    rows, _ = summaries(df, names, moments_from(found), accuracy=accuracy, gather=gather)
+    fields = [f.strip().split(" ") for f in _NUMERIC.split(",")]
     lines = (F.struct(*(F.lit(x).cast(kind).alias(name) for x, (name, kind) in zip(r, fields))) for r in rows)
-    return spark.range(1).select(F.inline(F.array(*lines)))
+    return df.sparkSession.range(1).select(F.inline(F.array(*lines)))
+
+
+def summaries(df: DataFrame, numbers: list[str], stats: list[Moments], categories: list[str] = (), top_n: int = 5, accuracy: int = SKETCH, gather: int = GATHER) -> tuple[list[tuple], list[tuple]]:
+    """The rows of numeric_summary of the columns whose moments are given, and of categorical_summary: (position, column_name, value, count, rank).
+
+    Bins and value counts are one grouping of one scan.
+    """
+    ranks = _wanted(stats)
+    values = [F.expr(v) for v in number_sql(df, numbers)]
+    cells = _binned(values, list(ranks.values()), stats)
+    named = {df.columns.index(n): n for n in categories}
+    texts = [F.struct(F.lit(-1 - i).alias("i"), F.lit(0).cast("long").alias("b"), F.expr(f"cast({quoted(n)} as string)").alias("s"), F.lit(None).cast("double").alias("v")) for i, n in named.items()]
+    top = []
+    if cells or texts:
+        grouped = _grouped(df, [*cells, *texts])
+        parts = []
+        columns = ["i", "b", "s", "n", "low", "high"]
+        open_ = [r for r in ranks.values() if r.value is None]
+        if cells:
+            parts.append(_bins_of_ranks(grouped, open_).select(*columns, "upto"))
+        if texts:
+            by = Window.partitionBy("i").orderBy(F.desc("n"), F.col("s").asc_nulls_last())
+            parts.append(grouped.where("g < 0").withColumn("upto", F.row_number().over(by)).where(F.col("upto") <= top_n).select(*columns, F.col("upto").cast("long")))
+        rows = (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).collect()
+        _narrow(open_, [r for r in rows if r["i"] >= 0])
+        top = sorted((-1 - r["i"], named[-1 - r["i"]], r["s"], r["n"], r["upto"]) for r in rows if r["i"] < 0 and r["s"] is not None)
+        top += [(-1 - r["i"], named[-1 - r["i"]], None, r["n"], r["upto"]) for r in rows if r["i"] < 0 and r["s"] is None]
+        top.sort(key=lambda r: (r[0], r[4]))
+    _settle(df, values, list(ranks.values()), accuracy, gather)
+    return _numeric_rows(df, numbers, stats, ranks), top
 
 
 def value_counts(df: DataFrame, names: list[str] | None = None) -> DataFrame:

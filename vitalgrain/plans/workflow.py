@@ -9,11 +9,12 @@ from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import Settings
-from ..functions.expressions import col
+from ..functions.expressions import quoted
 from ..operators import profile, records, rules
-from ..sources.tables import ROW_ID, read_table
+from ..sources.tables import ROW_ID, CsvText, is_parquet, number_text, parsed, read_table, typed
 from .report import ReportWriter, write_missing_csv
 
 #: Numeric columns that the console profile shows.
@@ -51,34 +52,63 @@ def _show(title: str, rows: list[dict], names: list[str]) -> None:
         print("\t".join("" if r[n] is None else str(r[n]) for n in names))
 
 
+def _moments(df: DataFrame, names: list[str]) -> dict[str, profile.Moments]:
+    found = df.agg(*(F.expr(m) for v in profile.number_sql(df, names) for m in profile.moment_measures(v))).first() if names else []
+    return dict(zip(names, profile.moments_from(found)))
+
+
+def _first_scan(spark: SparkSession, path: str) -> tuple[DataFrame, int, list[int], dict[str, profile.Moments]]:
+    """The table, its rows, the missing values of each column and the moments of the numeric columns that are shown.
+
+    For CSV all of it comes with the types; the first records tell which columns to take the moments of,
+    and if they mislead, the moments are another scan.
+    """
+    if is_parquet(path):
+        df = read_table(spark, path)
+        counts = df.agg(*profile.missing_measures(df).values()).first()
+        return df, counts[0], list(counts[1:]), _moments(df, profile.numeric_columns(df)[:NUMERIC_SHOWN])
+    text = CsvText.of(spark, path)
+    guessed = text.likely_numbers()[:NUMERIC_SHOWN]
+
+    def measures(rows: DataFrame) -> list[str]:
+        return [*(f"count({quoted(n)})" for n in rows.columns), *(m for n in guessed for m in profile.moment_measures(number_text(rows, n)))]
+
+    rows, kinds, found = parsed(text, measures)
+    df = typed(text, kinds)
+    known = dict(zip(guessed, profile.moments_from(found[len(df.columns) :])))
+    shown = profile.numeric_columns(df)[:NUMERIC_SHOWN]
+    moments = {**known, **_moments(df, [n for n in shown if n not in known])}
+    return df, rows, [rows - n for n in found[: len(df.columns)]], {n: moments[n] for n in shown}
+
+
 def run_quality(spark: SparkSession, path: str, settings: Settings, log: logging.Logger | None = None) -> int:
-    """Prints the profile of a table. One scan gives overview and missing values, one the numbers, one the categories."""
+    """Prints the profile of a table. One scan gives types, missing values and moments, the next quartiles and categories."""
     log = log or logger_for("vitalgrain", settings.logging.level, settings.logging.log_dir)
     log.info("Reading %s", path)
-    df = read_table(spark, path)  # read again by each scan: a copy of the input is no cheaper than its columns
+    df, rows, gone, moments = _first_scan(spark, path)
     q = settings.quality
-    missing = [r.asDict() for r in profile.missing_summary(df).collect()]
-    rows = missing[0]["rows"] if missing else 0
+    missing = sorted(({"position": i, "column_name": n, "missing_count": m, "missing_ratio": m / rows if rows else None, "rows": rows} for i, (n, m) in enumerate(zip(df.columns, gone))), key=lambda r: (-(r["missing_ratio"] or 0), r["position"]))
     log.info("%d rows, %d columns", rows, len(df.columns))
     _show("Overview", [{"rows": rows, "columns": len(df.columns)}], ["rows", "columns"])
     _show("Columns", [{"column": n, "type": t} for n, t in df.dtypes], ["column", "type"])
     _log_missing(log, (missing[0]["column_name"], missing[0]["missing_ratio"]) if missing else None, settings)
     _show("Missing values", missing[: q.missing.report_top_n_columns], ["column_name", "missing_count", "missing_ratio"])
+    some_missing = {r["column_name"] for r in missing if r["missing_count"]}
+    names = [n for n in profile.categorical_columns(df) if dict(df.dtypes)[n] != "boolean" or n in some_missing]
+    numeric = list(moments) if q.numeric_summary.enabled else []
+    numbers, values = profile.summaries(df, numeric, [moments[n] for n in numeric], names, q.categorical.report_top_n_values)
     if q.numeric_summary.enabled:
-        shown = df.select(*(col(n) for n in profile.numeric_columns(df)[:NUMERIC_SHOWN]))
-        numeric = [r.asDict() for r in profile.numeric_summary(shown).collect()]
         if not numeric:
             log.warning("No numeric columns")
-        _show("Numbers", numeric, ["column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+        shown = ["column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+        _show("Numbers", [dict(zip(shown, r[1:])) for r in numbers], shown)
     candidates = [r for r in missing if r["missing_ratio"] is not None and r["missing_ratio"] >= q.missing.exclusion_candidate_threshold]
     for r in candidates:
         log.warning("Candidate for exclusion: %s (%.2f missing)", r["column_name"], r["missing_ratio"])
     _show("Candidates for exclusion", candidates, ["column_name", "missing_count", "missing_ratio"])
-    some_missing = {r["column_name"] for r in missing if r["missing_count"]}
-    names = [n for n in profile.categorical_columns(df) if dict(df.dtypes)[n] != "boolean" or n in some_missing]
     top: dict[str, list[dict]] = defaultdict(list)
-    for r in profile.categorical_summary(df, q.categorical.report_top_n_values, names).collect():
-        top[r["column_name"]].append(r.asDict())
+    for _, name, value, count, _ in values:
+        top[name].append({"value": value, "count": count})
     for name in names:
         _show(f"Values of {name}", top[name], ["value", "count"])
     log.info("Profile complete")

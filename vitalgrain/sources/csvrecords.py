@@ -246,18 +246,18 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], fields], names=["path", "start", "seq", "fields"])
 
 
-def header_of(spark: SparkSession, path: str, most: int) -> list[str] | None:
-    """The fields of the first record, which may have up to `most` lines; None if there is none."""
+def head_of(spark: SparkSession, path: str, most: int) -> list[list[str]]:
+    """The fields of the first records, the header being the first, within `most` lines. ValueError if the header takes more."""
+    out: list[list[str]] = []
     held, is_open = [], False
-    for r in spark.read.option("lineSep", "\n").text(path).limit(most).collect():
-        for text, end in _parts(r[0].lstrip(_MARK) if not held else r[0]):
+    for at, r in enumerate(spark.read.option("lineSep", "\n").text(path).limit(most).collect()):
+        for text, end in _parts(r[0] if at else r[0].lstrip(_MARK)):
             is_open = is_open_after(text, is_open)
             held += [text, end]
             if not is_open:
-                record = "".join(held[:-1])
+                record, held = "".join(held[:-1]), []
                 if record.strip(" \t"):
-                    return fields_of(record)
-                held = []
-    if is_open:
-        raise ValueError(f"the header of {path} has more than {most} lines")
-    return None
+                    out.append(fields_of(record))
+    if is_open and not out:
+        raise ValueError(f"the header of {path} has more than {most} lines, or a quoted field that is not closed")
+    return out

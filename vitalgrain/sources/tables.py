@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -37,26 +38,39 @@ def _header(names: list[str]) -> list[str]:
 
 @dataclass(frozen=True)
 class CsvText:
-    """A CSV file whose header is known. `ranges`: how its ranges begin and end, where lines alone don't tell the records."""
+    """A CSV file whose header is known, with its first records in `head`.
+
+    `ranges`: how the file's ranges begin and end, where lines alone don't tell the records.
+    """
 
     spark: SparkSession
     path: str
     names: tuple[str, ...]
     tokens: tuple[str, ...]
     ranges: list[csvrecords.Range] | None
+    head: list[list[str]]
 
     @classmethod
     def of(cls, spark: SparkSession, path: str, na_tokens: tuple[str, ...] = NA_TOKENS, placeholders: tuple[str, ...] = ()) -> CsvText:
         try:
             plain = spark.read.text(path).where(~csvrecords.plain_line()).isEmpty()
-            head = csvrecords.header_of(spark, path, HEADER_LINES)
+            head = csvrecords.head_of(spark, path, HEADER_LINES)
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 raise FileNotFoundError(path) from e
             raise
-        if head is None:
+        if not head:
             raise ValueError(f"no data in {path}")
-        return cls(spark, path, tuple(_header(head)), (*na_tokens, *placeholders), None if plain else csvrecords.ranges_of(spark, path))
+        return cls(spark, path, tuple(_header(head[0])), (*na_tokens, *placeholders), None if plain else csvrecords.ranges_of(spark, path), head[1:])
+
+    def likely_numbers(self) -> list[str]:
+        """The columns whose first values are numbers: a guess, to be checked by their kinds."""
+        out = []
+        for i, name in enumerate(self.names):
+            some = [r[i].strip() for r in self.head if i < len(r) and r[i] not in self.tokens]
+            if some and all(re.match(NUMBER, v) for v in some):
+                out.append(name)
+        return out
 
     def rows(self, checked: bool = True, numbered: bool = False) -> DataFrame:
         """All columns as text, missing tokens as NULL; `checked` fails on a row with more fields than the header.
@@ -109,6 +123,7 @@ def read_csv_text(spark: SparkSession, path: str, na_tokens: tuple[str, ...] = N
 
 
 _LONG, _WIDE, _DOUBLE, _BOOLEAN, _TEXT = 1, 2, 4, 8, 16
+_KINDS = "__kinds"
 
 
 def _kind(v: Column) -> Column:
@@ -122,14 +137,25 @@ def _kind(v: Column) -> Column:
     return F.when(v.isNull(), 0).when(F.substring(v, 1, 1).isin(*"+-.0123456789iI"), number).otherwise(boolean)
 
 
-def value_kinds(text: DataFrame) -> list[int]:
-    """The types that each text column's values need, as bits, from one aggregate over all columns. ValueError if there are no rows."""
+def number_text(text: DataFrame, name: str) -> str:
+    """SQL value of a text column where measured_kinds finds a number, else NULL."""
+    return f"(case when ({_KINDS}[{text.columns.index(name)}] & {_LONG | _WIDE | _DOUBLE}) <> 0 then cast(trim({quoted(name)}) as double) end)"
+
+
+def measured_kinds(text: DataFrame, measures: list[str]) -> tuple[int, list[int], list]:
+    """Rows, the types that each text column's values need, as bits, and the given SQL aggregates, from one scan. ValueError if there are no rows."""
     trimmed = F.expr(f"array({', '.join(f'trim({quoted(n)})' for n in text.columns)})")
-    kinds = text.select(F.transform(trimmed, _kind).alias("kinds"))
-    found = kinds.agg(F.count(F.lit(1)), *(F.expr(f"bit_or(kinds[{i}])") for i in range(len(text.columns)))).first()
+    kinds = text.select("*", F.transform(trimmed, _kind).alias(_KINDS))
+    n = len(text.columns)
+    found = kinds.agg(F.count(F.lit(1)), *(F.expr(f"bit_or({_KINDS}[{i}])") for i in range(n)), *map(F.expr, measures)).first()
     if not found[0]:
         raise ValueError("no rows")
-    return list(found[1:])
+    return found[0], list(found[1 : n + 1]), list(found[n + 1 :])
+
+
+def value_kinds(text: DataFrame) -> list[int]:
+    """The types that each text column's values need, as bits, from one aggregate over all columns. ValueError if there are no rows."""
+    return measured_kinds(text, [])[1]
 
 
 def cast_to_kinds(text: DataFrame, kinds: list[int]) -> DataFrame:
@@ -168,12 +194,22 @@ def read_csv(spark: SparkSession, path: str, na_tokens: tuple[str, ...] = NA_TOK
     The scan that finds the types also checks every row's length, so later scans need not.
     """
     text = CsvText.of(spark, path, na_tokens, placeholders)
+    return typed(text, parsed(text)[1], row_ids)
+
+
+def parsed(text: CsvText, measures: Callable[[DataFrame], list[str]] = lambda rows: []) -> tuple[int, list[int], list]:
+    """The first scan of a CSV file: measured_kinds, and every row's length is checked. ValueError if it can't be parsed or has no rows."""
+    rows = text.rows()
     try:
-        kinds = value_kinds(text.rows())
+        return measured_kinds(rows, measures(rows))
     except ValueError as e:
-        raise ValueError(f"{e} in {path}") from e
+        raise ValueError(f"{e} in {text.path}") from e
     except Exception as e:
-        raise ValueError(f"can't parse {path}: {e}") from e
+        raise ValueError(f"can't parse {text.path}: {e}") from e
+
+
+def typed(text: CsvText, kinds: list[int], row_ids: bool = False) -> DataFrame:
+    """The table with the types that the first scan has found."""
     rows = text.rows(checked=False, numbered=row_ids)
     by_name = dict(zip(text.names, kinds))
     return cast_to_kinds(rows, [by_name[n] for n in text.names if n in rows.columns and not (row_ids and n == ROW_ID)])
@@ -189,9 +225,13 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
+def is_parquet(path: str) -> bool:
+    return path.rstrip("/").endswith(".parquet")
+
+
 def read_table(spark: SparkSession, path: str, row_ids: bool = False) -> DataFrame:
     """Parquet by its suffix, else CSV."""
-    if path.rstrip("/").endswith(".parquet"):
+    if is_parquet(path):
         table = read_parquet(spark, path)
         return with_row_id(table) if row_ids else table
     return read_csv(spark, path, row_ids=row_ids)
