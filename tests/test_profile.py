@@ -83,3 +83,18 @@ def test_odd_column_names(spark):
     df = spark.createDataFrame([(1, None)], "`a.b` int, `c d``e` string")
     assert [r.column_name for r in profile.missing_summary(df).collect()] == ["c d`e", "a.b"]
     assert profile.numeric_summary(df).first().column_name == "a.b"
+
+
+def test_footers_tell_what_is_missing(spark, tmp_path):
+    """No page of a text or integer column is read, NaN counts as missing, and files of several row groups and none are one table."""
+    rows = [(i, None if i % 3 else "x", float("nan") if i % 5 == 0 else None if i % 7 == 0 else 1.5, None, i % 2 == 0, [1] if i % 4 else None) for i in range(1000)]
+    df = spark.createDataFrame(rows, "i long, s string, `d.x` double, n int, b boolean, a array<int>")
+    path = str(tmp_path / "t.parquet")
+    df.repartition(3).write.option("parquet.block.size", 1024).parquet(path)
+    df.limit(0).write.mode("append").parquet(path)
+    assert profile.missing_summary_of_parquet(spark, path).collect() == profile.missing_summary(df).collect()
+    plan = profile.footer_counts(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(i), COUNT(s), COUNT(n), COUNT(b)]" in plan
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+    read = profile.missing_summary_of_parquet(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet [d.x" in read and "s#" not in read[read.index("FileScan") :].split("Batched")[0]

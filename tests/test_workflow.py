@@ -95,3 +95,48 @@ def test_one_scan_for_all_that_is_counted(spark, sf_dir):
     found = workflow.validate(df)
     assert found["missing"].count() == 6 and {r.rule: r.affected_rows > 0 for r in found["findings"].collect()} == {"ClinicalCoherenceRule": True, "VitalSignAnomalyRule": False, "MissingDataThresholdRule": False}
     assert found["records"].first().patients_validated == c.count()
+
+
+def test_results_are_whole_and_single(spark, tmp_path, monkeypatch):
+    """Written again they are replaced; a run that is killed before its commit changes nothing, and leaves nothing after the next."""
+    from vitalgrain.sources import results
+
+    path = str(tmp_path / "r")
+    with pytest.raises(FileNotFoundError):
+        results.read_results(spark, path, "t")
+
+    def table(n):
+        return {"t": spark.range(n).selectExpr("id % 2 as part", "id")}
+
+    def rows():
+        return sorted(r.id for r in results.read_results(spark, path, "t").collect())
+
+    for n in (5, 3):
+        results.write_results(table(n), path, {"t": "part"})
+        assert rows() == list(range(n)) and results.read_results(spark, path, "t").columns == ["part", "id"]
+    with monkeypatch.context() as m:
+        m.setattr(results, "_commit", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            results.write_results(table(9), path, {"t": "part"})
+    assert rows() == [0, 1, 2] and len([p for p in (tmp_path / "r").iterdir() if p.name.startswith("run-")]) == 2
+    results.write_results(table(4), path, {"t": "part"})
+    assert rows() == [0, 1, 2, 3] and len([p for p in (tmp_path / "r").iterdir() if p.name.startswith("run-")]) == 1
+    results.write_results(table(0), path)
+    assert rows() == []
+
+
+def test_pipeline_keeps_all_violations(spark, tmp_path):
+    from vitalgrain.sources.results import read_results
+
+    p = tmp_path / "t.csv"
+    p.write_text("patient_nbr,gender,age,creatinine,spo2\n" + "".join(f"{i},male,70,9,{i}\n" for i in range(50)))
+    at = str(tmp_path / "results")
+    assert workflow.run_pipeline(spark, str(p), Settings(), tmp_path / "out", logging.getLogger("t"), results_path=at) == 0
+    found = read_results(spark, at, "violations")
+    assert found.where("rule = 'ClinicalCoherenceRule'").count() == 50 and read_results(spark, at, "errors").where("kind = 'vital'").count() == 50
+
+
+def test_quality_of_parquet(spark, sf_dir, capsys):
+    assert workflow.run_quality(spark, f"{sf_dir}/customer.parquet", Settings(), logging.getLogger("t")) == 0
+    out = capsys.readouterr().out
+    assert "c_mktsegment\tstring" in out and "Values of c_mktsegment" in out and "c_acctbal\t0\t0.0" in out

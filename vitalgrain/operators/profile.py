@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +62,40 @@ def missing_rows(counts: DataFrame, names: list[str]) -> DataFrame:
     return summary.select("position", "column_name", "missing_count", "missing_ratio", "rows").orderBy(F.desc("missing_ratio"), "position")
 
 
+_V1, _PUSH = "spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown"
+
+
+def footer_counts(spark: SparkSession, path: str) -> DataFrame:
+    """One row for a Parquet table: `rows`, and the values of each column that are not NULL as v and its position, from the files' footers."""
+    before = {k: spark.conf.get(k) for k in (_V1, _PUSH)}
+    spark.conf.set(_V1, ",".join(x for x in before[_V1].split(",") if x.strip().lower() != "parquet"))
+    spark.conf.set(_PUSH, "true")
+    try:
+        df = spark.read.parquet(path)
+        counts = df.agg(F.count(F.lit(1)).alias("rows"), *(F.expr(f"count({quoted(n)}) as v{i}") for i, n in enumerate(df.columns) if _in_footer(df, n)))
+        counts._jdf.queryExecution().executedPlan()  # planned under these settings, it keeps its plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return counts
+
+
+def _in_footer(df: DataFrame, name: str) -> bool:
+    """Whether a column's footers tell its missing values: not those of nested columns, and not NaN."""
+    return not isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType, T.ArrayType, T.MapType, T.StructType))
+
+
+def missing_summary_of_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """missing_summary of a Parquet table: texts, integers, dates and booleans are counted in the footers, and only the other columns are read."""
+    df = spark.read.parquet(path)
+    known = footer_counts(spark, path)
+    read = [(i, n) for i, n in enumerate(df.columns) if not _in_footer(df, n)]
+    footers = known.select("rows", *((F.col("rows") - F.col(f"v{i}")).alias(f"m{i}") for i, n in enumerate(df.columns) if _in_footer(df, n)))
+    if read:
+        footers = footers.crossJoin(df.agg(*(F.expr(f"count_if({missing_sql(df, n)}) as m{i}") for i, n in read)))  # two rows, one each
+    return missing_rows(footers, df.columns)
+
+
 def worst_column(summary: DataFrame) -> DataFrame:
     """The highest ratio and the first column that has it."""
     key = F.struct("missing_ratio", -F.col("position"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import age_years, missing_normalised, normalised_gender, parsed_birth_date, parsed_float, to_number
 from ..operators import profile, records, rules
+from ..sources.results import read_results, write_results
 from ..sources.scratch import scratch_path
 from ..sources.tables import ROW_ID, ingest, read_csv, read_parquet, with_row_id
 
@@ -122,6 +123,14 @@ def missing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("position", "column_name", "missing_count", F.round("missing_ratio", 6).alias("missing_ratio"))
 
 
+def missing_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing values of a written table: footers tell those of all columns but the floating one."""
+    path = scratch_path(spark, "gappy")
+    e = _table(spark, sf_dir, "events")
+    _gappy_events(spark, sf_dir).join(e.limit(0).select(F.col("event_id").alias("none")), F.lit(False), "left").write.parquet(path)
+    return profile.missing_summary_of_parquet(spark, path).select("position", "column_name", "missing_count", "rows")
+
+
 def max_ratio_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.worst_column(profile.missing_summary(_gappy_events(spark, sf_dir))).select("column_name", F.round("missing_ratio", 6).alias("missing_ratio"))
 
@@ -260,6 +269,17 @@ def validate_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing.unionByName(findings).unionByName(summed)
 
 
+def results_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All violations and errors of the records, written twice and read back: table, part, row_id, what."""
+    path = scratch_path(spark, "results")
+    df = _clinic(spark, sf_dir)
+    tables = {"violations": rules.all_violations([rules.AgePlausibility(high=90), rules.AgeLabCoherence()], df), "errors": records.errors(records.validated(df, today=F.lit("2026-01-01").cast("date"))).drop("ordinal")}
+    for _ in range(2):
+        write_results(tables, path, {"violations": "rule", "errors": "kind"})
+    marked = read_results(spark, path, "violations").select(F.lit("violations").alias("table"), F.col("rule").alias("part"), "row_id", F.col("column_name").alias("what"))
+    return marked.unionByName(read_results(spark, path, "errors").select(F.lit("errors").alias("table"), F.col("kind").alias("part"), "row_id", F.col("message").alias("what")))
+
+
 def observation_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Required fields, the status and the quantity of made-up observations, and a constraint of one's own."""
     k = F.col("c_custkey")
@@ -404,10 +424,10 @@ def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        overview, missing_summary, max_ratio_column, exclusion_candidates, completeness, missing_report, chart_top10,
+        overview, missing_summary, missing_footers, max_ratio_column, exclusion_candidates, completeness, missing_report, chart_top10,
         numeric_summary, numeric_summary_binned, categorical_summary, categorical_cardinality,
         sex_consistency, age_plausibility, age_violations, age_lab_coherence, vital_spike, vital_spike_signs, missing_threshold_rule, rule_runner, rule_suite, first_20_violations, first_violations_text, custom_rule,
-        validation_summary, validation_errors, validate_stage, observation_constraints, patients_today, patient_records, lab_observation, vital_range, gender_normalise, age_in_years, birth_dates, numeric_casts, nan_as_missing,
+        validation_summary, validation_errors, validate_stage, results_read_back, observation_constraints, patients_today, patient_records, lab_observation, vital_range, gender_normalise, age_in_years, birth_dates, numeric_casts, nan_as_missing,
         csv_round_trip, csv_line_breaks, csv_inner_quotes, csv_errors, ingest_count, parquet_scan, row_numbers, row_numbers_files,
     )
 }
@@ -417,6 +437,7 @@ ORACLE_SQL: dict[str, str] = {
         select * from (values (0, 'c_custkey', 'bigint'), (1, 'c_name', 'string'), (2, 'c_nationkey', 'int'), (3, 'c_acctbal', 'double'), (4, 'c_mktsegment', 'string')) as v(position, column_name, dtype),
         (select count(*) as rows from customer) as n""",
     "missing_summary": _GAPPY + "select position, column_name, missing_count, round(cast(missing_count as double) / n, 6) as missing_ratio from m",
+    "missing_footers": _GAPPY + "select position, column_name, missing_count, n as rows from m union all select 3, 'none', count(*), count(*) from events",
     "max_ratio_column": _GAPPY + "select column_name, round(cast(missing_count as double) / n, 6) as missing_ratio from m order by missing_count desc, position limit 1",
     "exclusion_candidates": _GAPPY + "select column_name, missing_count from m where cast(missing_count as double) / n >= 0.3",
     "completeness": _GAPPY + "select round_even((1 - cast(sum(missing_count) as double) / cast(sum(n) as double)) * 100, 2) as completeness_pct from m",
@@ -483,6 +504,10 @@ ORACLE_SQL: dict[str, str] = {
         union all select 'records', name, n from (
           select count(*) filter (kind = 'patient' and error_code is null) as patients_validated, count(*) filter (kind = 'patient' and error_code is not null) as patient_errors,
                  count(*) filter (kind <> 'patient' and error_code is null) as observations_validated, count(*) filter (kind <> 'patient' and error_code is not null) as observation_errors from e) unpivot (n for name in (patients_validated, patient_errors, observations_validated, observation_errors))""",
+    "results_read_back": _RECORDS + """
+        select 'violations' as table, 'age_plausibility' as part, c_custkey as row_id, 'age' as what from customer where c_custkey % 100 > 90
+        union all select 'violations', 'ClinicalCoherenceRule', c_custkey, null from customer where (c_custkey % 100 < 12 and c_custkey % 8 <> 0 and c_acctbal / 10 > 300) or (c_custkey % 100 >= 65 and c_custkey % 4 > 2)
+        union all select 'errors', kind, row_id, message from d""",
     "observation_constraints": """
         select c_custkey as row_id, case when c_custkey % 13 = 0 then 'missing_id' when c_mktsegment = 'MACHINERY' then 'missing_code' when c_custkey % 5 = 0 then 'missing_subject'
                when c_custkey % 7 in (0, 1) then 'bad_status' when c_custkey % 3 <> 0 and c_custkey % 11 = 0 then 'incomplete_quantity' when c_custkey % 3 <> 0 and c_acctbal < 0 then 'negative' end as error_code from customer""",

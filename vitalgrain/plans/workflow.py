@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions.expressions import quoted
 from ..operators import profile, records, rules
+from ..sources.results import read_results, write_results
 from ..sources.tables import ROW_ID, CsvText, is_parquet, number_text, parsed, read_table, typed
 from .report import ReportWriter, write_missing_csv
 
@@ -65,8 +66,8 @@ def _first_scan(spark: SparkSession, path: str) -> tuple[DataFrame, int, list[in
     """
     if is_parquet(path):
         df = read_table(spark, path)
-        counts = df.agg(*profile.missing_measures(df).values()).first()
-        return df, counts[0], list(counts[1:]), _moments(df, profile.numeric_columns(df)[:NUMERIC_SHOWN])
+        missing = profile.missing_summary_of_parquet(spark, path).orderBy("position").collect()
+        return df, missing[0]["rows"] if missing else 0, [r["missing_count"] for r in missing], _moments(df, profile.numeric_columns(df)[:NUMERIC_SHOWN])
     text = CsvText.of(spark, path)
     guessed = text.likely_numbers()[:NUMERIC_SHOWN]
 
@@ -124,10 +125,10 @@ def measured_row(df: DataFrame) -> tuple[DataFrame, rules.RuleRunner, dict, list
 
 
 def validate(df: DataFrame) -> dict[str, DataFrame]:
-    """The results of the validation: missing, findings, violations, records. `df` has row numbers.
+    """The results of the validation: missing, findings, violations, errors, records. `df` has row numbers.
 
     All aggregates are one scan, which runs here; rules that need the table in another order run by
-    themselves, and violations are lazy.
+    themselves, and violations and errors are lazy.
     """
     spark = df.sparkSession
     row, runner, parts, cells = measured_row(df)
@@ -138,12 +139,17 @@ def validate(df: DataFrame) -> dict[str, DataFrame]:
         "missing": profile.missing_rows(missing, names),
         "findings": runner.run(df, known),
         "violations": rules.all_violations(runner.rules, df),
+        "errors": records.errors(records.validated(df)).drop("ordinal"),
         "records": records.summary_of(known, cells, rules.part_of(parts["records"], "records")),
     }
 
 
-def run_pipeline(spark: SparkSession, path: str, settings: Settings, output: str | Path, log: logging.Logger | None = None, transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> int:
-    """Reads, validates, writes missing_summary.csv and the reports, and hands the table to `transform`. A failing report is logged, no more."""
+def run_pipeline(spark: SparkSession, path: str, settings: Settings, output: str | Path, log: logging.Logger | None = None, transform: Callable[[DataFrame], DataFrame] = lambda df: df, results_path: str | None = None) -> int:
+    """Reads, validates, writes missing_summary.csv and the reports, and hands the table to `transform`. A failing report is logged, no more.
+
+    All violations, by rule, and all records' errors, by kind, go to `results_path`, a folder that the
+    cluster shares; a later run replaces them as a whole.
+    """
     log = log or logger_for("vitalgrain.pipeline", settings.logging.level, settings.logging.log_dir)
     log.info("Reading %s", path)
     df = read_table(spark, path, row_ids=True)
@@ -155,21 +161,26 @@ def run_pipeline(spark: SparkSession, path: str, settings: Settings, output: str
     findings = [r.asDict() for r in results["findings"].collect()]
     for f in findings:
         (log.warning if f["affected_rows"] else log.info)("%s: %s", f["rule"], f["message"])
+    violations = results["violations"]
+    if results_path:
+        write_results({"violations": violations, "errors": results["errors"]}, results_path, {"violations": "rule", "errors": "kind"})
+        log.info("Violations and errors in %s", results_path)
+        violations = read_results(spark, results_path, "violations")
     first: dict[str, list] = defaultdict(list)
-    for r in rules.first_violations(results["violations"]).collect():
+    for r in rules.first_violations(violations).collect():
         first[r["rule"]].append(r["column_name"] if r["row_id"] is None else r["row_id"])
     found = results["records"].first().asDict()
 
     out = Path(output)
     out.mkdir(parents=True, exist_ok=True)
     write_missing_csv(missing, out / "missing_summary.csv")
-    cells, gone = rows * len(missing), sum(r["missing_count"] for r in missing)
-    table = [{**r, "missing_pct": 100 * r["missing_ratio"], "status": "HIGH" if r["missing_ratio"] > 0.3 else "MODERATE" if r["missing_ratio"] > 0.1 else "LOW"} for r in missing]
-    top = sorted(missing, key=lambda r: (-r["missing_count"], r["position"]))[:10]
+    table = [r.asDict() for r in profile.missing_report(results["missing"]).collect()]
+    percent = profile.completeness(results["missing"]).first()[0]
+    top = [r.asDict() for r in profile.top_missing(results["missing"]).collect()]
     writer = ReportWriter(log)
     html = out / "quality_report.html"
     try:
-        writer.write_html(html, rows=rows, columns=len(missing), completeness_pct=round((1 - gone / cells) * 100, 2) if cells else None, missing=table, top=top, findings=findings, first=first, records=found)
+        writer.write_html(html, rows=rows, columns=len(missing), completeness_pct=percent, missing=table, top=top, findings=findings, first=first, records=found)
     except Exception as e:  # noqa: BLE001
         log.error("HTML report failed: %s", e)
     try:
