@@ -153,3 +153,14 @@ def test_one_scan_for_measured_rules(spark, sf_dir):
     assert marks._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
     both = rules.AgeLabCoherence().violations(df).unionByName(rules.AgePlausibility().violations(df))
     assert sorted(map(repr, marks.collect())) == sorted(map(repr, both.collect())) != []
+
+
+def test_outliers(spark):
+    rows = [(float(x), "7", str(x)) for x in [*range(1, 21), 100, -60]] + [(None, "7", "x"), (float("nan"), "8", None)]
+    df = frame(spark, rows, "v double, same string, t string")
+    assert [(r.row_id, r.column_name) for r in rules.IqrOutliers().violations(df).orderBy(ROW_ID).collect()] == [(20, "v"), (21, "v")]
+    every = rules.IqrOutliers(numeric_only=False).violations(df).collect()
+    assert sorted((r.row_id, r.column_name) for r in every) == [(20, "t"), (20, "v"), (21, "t"), (21, "v"), (23, "same")]
+    assert rules.IqrOutliers(100).check(df).first().affected_rows == 0
+    assert rules.IqrOutliers().check(df.select(ROW_ID, "t")).first().affected_rows == 0
+    assert rules.IqrOutliers().violations(df.limit(0)).count() == 0

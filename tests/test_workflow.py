@@ -140,3 +140,19 @@ def test_quality_of_parquet(spark, sf_dir, capsys):
     assert workflow.run_quality(spark, f"{sf_dir}/customer.parquet", Settings(), logging.getLogger("t")) == 0
     out = capsys.readouterr().out
     assert "c_mktsegment\tstring" in out and "Values of c_mktsegment" in out and "c_acctbal\t0\t0.0" in out
+
+
+def test_settings_of_outliers_have_an_effect(spark, tmp_path):
+    from vitalgrain.sources.results import read_results
+
+    p = tmp_path / "t.csv"
+    p.write_text("k,v\n" + "".join(f"{i},{10 + i % 5}\n" for i in range(40)) + "40,17\n")
+    found = []
+    for multiplier in (1.5, 9.0):
+        at = str(tmp_path / str(multiplier))
+        settings = settings_from({"outliers": {"iqr_multiplier": multiplier}})
+        assert workflow.run_pipeline(spark, str(p), settings, tmp_path / "out", logging.getLogger("t"), results_path=at, outliers=True) == 0
+        found.append([(r.row_id, r.column_name) for r in read_results(spark, at, "violations").where("rule = 'IqrOutlierRule'").collect()])
+    assert found == [[(40, "v")], []]
+    with pytest.raises(ValueError, match="method"):
+        workflow.outlier_rule(settings_from({"outliers": {"method": "z"}}))

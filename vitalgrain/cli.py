@@ -22,6 +22,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--config", help=f"YAML settings; {DEFAULT_CONFIG} if it exists")
     pipeline.add_argument("--output", default="./output", help="folder for the reports")
     pipeline.add_argument("--results", help="shared folder for all violations and errors")
+    pipeline.add_argument("--outliers", action="store_true", help="also mark values outside the fences that the settings describe")
     return out
 
 
@@ -37,4 +38,4 @@ def main(argv: list[str] | None = None) -> int:
     spark = session()
     if args.command == "quality":
         return run_quality(spark, args.data, settings)
-    return run_pipeline(spark, args.data, settings, args.output, results_path=args.results)
+    return run_pipeline(spark, args.data, settings, args.output, results_path=args.results, outliers=args.outliers)

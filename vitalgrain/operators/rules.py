@@ -362,6 +362,49 @@ class MissingThresholds:
         return _checked(self, df)
 
 
+@dataclass(frozen=True)
+class IqrOutliers:
+    """Values further from the quartiles than a multiple of the distance between them.
+
+    The quartiles are exact and come from the table's own scans, which run when marks or measures are
+    asked for; the fences then are a predicate on a row like any other. Columns whose quartiles are equal
+    have fences too: any other value is outside. `numeric_only` leaves out texts that hold numbers.
+    """
+
+    multiplier: float = 1.5
+    numeric_only: bool = True
+    #: Columns that are not looked at, such as ids.
+    ignored: tuple[str, ...] = (ROW_ID,)
+    name: str = "IqrOutlierRule"
+
+    def fences(self, df: DataFrame) -> dict[str, tuple[float, float]]:
+        """Lowest and highest value within the fences of each column that has values."""
+        some = profile.numeric_columns(df) if self.numeric_only else [*profile.numeric_columns(df), *(f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType))]
+        numbers = df.select(*(number(df, n).alias(n) for n in df.columns if n in some and n not in self.ignored))
+        out = {}
+        for r in profile.numeric_summary(numbers).collect():
+            if r["p25"] is not None:
+                reach = self.multiplier * (r["p75"] - r["p25"])
+                out[r["column_name"]] = (r["p25"] - reach, r["p75"] + reach)
+        return out
+
+    def marks(self, df: DataFrame) -> list[tuple[Column, str | None]]:
+        return [(outside(number(df, n), *ends), n) for n, ends in self.fences(df).items()]
+
+    def violations(self, df: DataFrame) -> DataFrame:
+        return marked_rows([self], df)
+
+    def measures(self, df: DataFrame) -> dict[str, Column]:
+        return {f"n{i}": F.count_if(mark) for i, (mark, _) in enumerate(self.marks(df))}
+
+    def concluded(self, df: DataFrame, found: Mapping[str, Column]) -> Column:
+        n = reduce(lambda a, b: a + b, found.values(), F.lit(0).cast("long"))
+        return finding_of(self.name, "WARNING", F.concat(n.cast("string"), F.lit(" values outside the fences of their columns")), n)
+
+    def check(self, df: DataFrame) -> DataFrame:
+        return _checked(self, df)
+
+
 def first_violations(violations: DataFrame, n: int = 20) -> DataFrame:
     """The n lowest row numbers (or column names) of each rule."""
     by = Window.partitionBy("rule").orderBy(F.col(ROW_ID).asc_nulls_last(), "column_name")

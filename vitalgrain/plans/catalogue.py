@@ -226,6 +226,12 @@ def rule_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.RuleRunner(rules.clinical_suite()).run(v).select("ordinal", "rule", "severity", "affected_rows")
 
 
+def iqr_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values outside the fences of their columns, one of them numbers as text."""
+    e = _table(spark, sf_dir, "events").select(F.col("event_id").alias(ROW_ID), "value", F.when(F.col("event_id") % 9 != 0, F.pow(F.col("event_id") % 31, F.lit(3)).cast("string")).alias("cubes"))
+    return rules.IqrOutliers(1.0, numeric_only=False).violations(e)
+
+
 class _LargeOrders:
     """A rule of one's own: orders above an amount."""
 
@@ -426,7 +432,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         overview, missing_summary, missing_footers, max_ratio_column, exclusion_candidates, completeness, missing_report, chart_top10,
         numeric_summary, numeric_summary_binned, categorical_summary, categorical_cardinality,
-        sex_consistency, age_plausibility, age_violations, age_lab_coherence, vital_spike, vital_spike_signs, missing_threshold_rule, rule_runner, rule_suite, first_20_violations, first_violations_text, custom_rule,
+        sex_consistency, age_plausibility, age_violations, age_lab_coherence, vital_spike, vital_spike_signs, missing_threshold_rule, iqr_outliers, rule_runner, rule_suite, first_20_violations, first_violations_text, custom_rule,
         validation_summary, validation_errors, validate_stage, results_read_back, observation_constraints, patients_today, patient_records, lab_observation, vital_range, gender_normalise, age_in_years, birth_dates, numeric_casts, nan_as_missing,
         csv_round_trip, csv_line_breaks, csv_inner_quotes, csv_errors, ingest_count, parquet_scan, row_numbers, row_numbers_files,
     )
@@ -469,6 +475,10 @@ ORACLE_SQL: dict[str, str] = {
     "missing_threshold_rule": _GAPPY + """
         , p as (select *, cast(missing_count as double) / n * 100 as pct, case when column_name = 'user_id' then 50.0 else 30.0 end as t from m)
         select column_name, round_even(pct, 2) as missing_pct, cast(t as double) as threshold_pct, pct > t as exceeds from p""",
+    "iqr_outliers": """
+        with v as (select event_id as row_id, 'value' as column_name, value as x from events union all select event_id, 'cubes', case when event_id % 9 <> 0 then cast(power(event_id % 31, 3) as double) end from events),
+        q as (select column_name, quantile_cont(x, 0.25) as a, quantile_cont(x, 0.75) as b from v group by 1)
+        select 'IqrOutlierRule' as rule, row_id, column_name from v join q using (column_name) where x < a - 1.0 * (b - a) or x > b + 1.0 * (b - a)""",
     "rule_runner": """
         with c as (select count(distinct o_orderstatus) as k from orders where o_custkey is not null group by o_custkey having count(distinct o_orderstatus) > 1)
         select cast(0 as int) as ordinal, 'patient_sex_consistency' as rule, case when count(*) = 0 then 'OK' else 'ERROR' end as severity, cast(coalesce(sum(k), 0) as bigint) as affected_rows, count(*) as affected_groups from c

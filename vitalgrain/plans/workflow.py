@@ -116,22 +116,30 @@ def run_quality(spark: SparkSession, path: str, settings: Settings, log: logging
     return 0
 
 
-def measured_row(df: DataFrame) -> tuple[DataFrame, rules.RuleRunner, dict, list[records.Cell]]:
+def outlier_rule(settings: Settings) -> rules.IqrOutliers:
+    """The rule that the settings under `outliers` ask for. ValueError if they name a method that is not known."""
+    given = settings.outliers
+    if given.method != "iqr":
+        raise ValueError(f"unknown method of outliers: {given.method}")
+    return rules.IqrOutliers(given.iqr_multiplier, given.numeric_only)
+
+
+def measured_row(df: DataFrame, more: tuple[rules.Rule, ...] = ()) -> tuple[DataFrame, rules.RuleRunner, dict, list[records.Cell]]:
     """One row with all that the validation counts by itself: missing values, the measures of the rules, the counters of the records. One scan."""
-    runner = rules.RuleRunner(rules.clinical_suite(rules.MissingThresholds(ignored=(ROW_ID,))))
+    runner = rules.RuleRunner([*rules.clinical_suite(rules.MissingThresholds(ignored=(ROW_ID,))), *more])
     cells = records.record_cells(df)
     parts = {"missing": profile.missing_measures(df.drop(ROW_ID)), "records": records.summary_measures(cells), **runner.measures(df)}
     return rules.measured(df, parts), runner, parts, cells
 
 
-def validate(df: DataFrame) -> dict[str, DataFrame]:
-    """The results of the validation: missing, findings, violations, errors, records. `df` has row numbers.
+def validate(df: DataFrame, more: tuple[rules.Rule, ...] = ()) -> dict[str, DataFrame]:
+    """The results of the validation: missing, findings, violations, errors, records. `df` has row numbers; `more` follows the suite's rules.
 
     All aggregates are one scan, which runs here; rules that need the table in another order run by
     themselves, and violations and errors are lazy.
     """
     spark = df.sparkSession
-    row, runner, parts, cells = measured_row(df)
+    row, runner, parts, cells = measured_row(df, more)
     known = spark.createDataFrame([row.first()], row.schema)
     names = [n for n in df.columns if n != ROW_ID]
     missing = known.select(*(c.alias(n) for n, c in rules.part_of(parts["missing"], "missing").items()))
@@ -144,16 +152,16 @@ def validate(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def run_pipeline(spark: SparkSession, path: str, settings: Settings, output: str | Path, log: logging.Logger | None = None, transform: Callable[[DataFrame], DataFrame] = lambda df: df, results_path: str | None = None) -> int:
+def run_pipeline(spark: SparkSession, path: str, settings: Settings, output: str | Path, log: logging.Logger | None = None, transform: Callable[[DataFrame], DataFrame] = lambda df: df, results_path: str | None = None, outliers: bool = False) -> int:
     """Reads, validates, writes missing_summary.csv and the reports, and hands the table to `transform`. A failing report is logged, no more.
 
     All violations, by rule, and all records' errors, by kind, go to `results_path`, a folder that the
-    cluster shares; a later run replaces them as a whole.
+    cluster shares; a later run replaces them as a whole. `outliers` adds the rule that the settings describe.
     """
     log = log or logger_for("vitalgrain.pipeline", settings.logging.level, settings.logging.log_dir)
     log.info("Reading %s", path)
     df = read_table(spark, path, row_ids=True)
-    results = validate(df)
+    results = validate(df, (outlier_rule(settings),) if outliers else ())
     missing = [r.asDict() for r in results["missing"].collect()]
     rows = missing[0]["rows"] if missing else 0
     log.info("%d rows from %s", rows, path)
