@@ -227,6 +227,30 @@ def test_grams_that_are_not_broadcast_count_in_full(spark, monkeypatch, order, m
     check_scores(op8.scores(df, order=order, max_grams=most).collect(), ROWS, order)
 
 
+def test_long_words_are_joined(spark):
+    rows = [*ROWS, *((d, f"{'long' * 20}  the {'x' * 5000}") for d in range(20, 32)), (32, "y" * 64), (33, "z" * 65)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check_scores(op8.scores(df, order=3).collect(), rows, 3)
+
+
+@pytest.mark.parametrize("held", [1, 40, 4_000_000])
+def test_a_task_holds_a_bounded_number_of_counts(monkeypatch, held):
+    monkeypatch.setattr(op8, "HELD_GRAMS", held)
+    monkeypatch.setattr(op8, "GRAM_SLICE", 30)
+    texts = ["the cat sat", "", "éa" * 20, "the cat ran", "the cat sat"] * 3
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 4])], ["text"]) for i in range(0, len(texts), 4)]
+    found = Counter()
+    for batch in op8._count(2)(iter(batches)):
+        for r in batch.to_pylist():
+            if r["gram"] is not None:
+                found[r["gram"]] += r["n"]
+    want = Counter()
+    for text in texts:
+        line = b"\n\n" + text.encode() + b"\n"
+        want.update(int.from_bytes(line[i : i + 3], "big") for i in range(len(line) - 2))
+    assert found == want
+
+
 def test_scores_edges(spark):
     df = spark.createDataFrame(ROWS, "doc_id long, text string")
     assert op8.scores(df.limit(0)).count() == 0

@@ -7,13 +7,13 @@ the probability (2c - 1) / 2T, and the escape to the next shorter context D / 2T
 refused by a longer context are excluded from the shorter ones, and below the empty context all
 bytes not excluded are equally likely. A text's score is the sum of log10 over its bytes and end.
 
-Training counts cover every training text. They are summed up in each task and then shuffled by
-n-gram and by word, so what moves grows with the input, and no count is dropped. What the longest
-contexts know of their MAX_GRAMS most frequent symbols is broadcast. All other n-grams of a text are
+Training counts cover every training text. They are summed up in each task, which hands on what it
+holds whenever that is too much, and then shuffled by n-gram and by word, so what moves grows with the
+input, and no count is dropped. What the longest contexts know of their MAX_GRAMS most frequent symbols is broadcast. All other n-grams of a text are
 looked up by an exact join: they and all counts are dealt by the last SUFFIX bytes of the context, so
 that all contexts of that length or more are whole in one task; the counts of the shorter ones are
 summed over all n-grams and broadcast. The unigram base needs the count of any word: the HEAD_WORDS
-most frequent ones are broadcast, and all others of a text are looked up by an exact join too.
+most frequent ones of up to HEAD_BYTES bytes are broadcast, and all others of a text are looked up by an exact join too.
 
 Defined cases: null and empty texts are the end alone; with nothing to learn from all bytes are
 equally likely and every count is 0; null ids count as the empty text in the fold; repeated rows
@@ -40,7 +40,7 @@ ORDER = 5
 MAX_GRAMS = 4_000_000
 #: Bytes of a context by which counts are dealt. Shorter contexts have at most 256 ** SUFFIX n-grams, far fewer in texts.
 SUFFIX = 3
-HEAD_WORDS = 400_000
+HEAD_WORDS, HEAD_BYTES = 400_000, 64
 #: The end of a text; no word holds it.
 END = "\n"
 
@@ -84,17 +84,50 @@ _COUNTS = pa.schema([("word", pa.string()), ("gram", pa.int64()), ("n", pa.int64
 #: Bytes of text whose words, and whose n-grams, are handled at once; n-grams take some 40 bytes of memory each.
 WORD_SLICE, GRAM_SLICE = 6 << 20, 2 << 20
 _ROWS = 200_000
-
-
-def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    keys, of = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
-    return keys, np.bincount(of, np.concatenate([a[1], b[1]]), len(keys)).astype(np.int64)
+#: Counts of n-grams that a task holds; it hands them on, to be summed up after the shuffle, where half of them are distinct.
+HELD_GRAMS = 4_000_000
+
+
+class _Sums:
+    """Counts of n-grams, of which no more than a bounded number is held."""
+
+    def __init__(self):
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.keys.append(keys)
+        self.counts.append(counts)
+        self.size += len(keys)
+        if self.size >= HELD_GRAMS:
+            self._merge()
+            if self.size >= HELD_GRAMS // 2:
+                yield from self.rows()
+
+    def _merge(self) -> None:
+        if len(self.keys) > 1:
+            keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+            by = np.argsort(keys)
+            keys, counts = keys[by], counts[by]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            self.keys, self.counts, self.size = [keys[first]], [np.add.reduceat(counts, first)], len(first)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """All that is held; nothing is after that."""
+        if self.size:
+            self._merge()
+            (keys,), (counts,) = self.keys, self.counts
+            self.__init__()
+            for i in range(0, len(keys), _ROWS):
+                some = keys[i : i + _ROWS].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.string()), pa.array(some), pa.array(counts[i : i + _ROWS], pa.int64())], schema=_COUNTS)
 
 
 def _count(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _LAST.clear()  # a worker may still hold the model of an earlier run
-        grams = np.empty(0, np.uint64), np.empty(0, np.int64)
+        sums = _Sums()
         for batch in batches:
             for part in slices(batch.column(0), WORD_SLICE):
                 _, units, _ = _words(part)
@@ -106,10 +139,8 @@ def _count(order: int):
                     yield pa.RecordBatch.from_arrays([some, pa.nulls(len(some), pa.int64()), pa.array(n[i : i + _ROWS], pa.int64())], schema=_COUNTS)
                 del units, words
                 for piece in slices(part, GRAM_SLICE):
-                    grams = _merged(grams, np.unique(_grams(_words(piece)[2], order)[0], return_counts=True))
-        for i in range(0, len(grams[0]), _ROWS):
-            keys = grams[0][i : i + _ROWS]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(grams[1][i : i + _ROWS], pa.int64())], schema=_COUNTS)
+                    yield from sums.add(*np.unique(_grams(_words(piece)[2], order)[0], return_counts=True))
+        yield from sums.rows()
 
     return run
 
@@ -329,13 +360,15 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
     words = counts.where("word is not null").select("word", "n")
     grams = counts.where("gram is not null").select("gram", "n")
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct"), F.coalesce(F.max(F.when(F.col("word") == END, F.col("n"))), F.lit(0)).alias("ends")).first()
-    least_word, least_gram = _threshold(words, head_words), _threshold(grams, max_grams)
+    short = F.octet_length("word") <= HEAD_BYTES  # others may be whole documents
+    least_word, least_gram = _threshold(words.where(short), head_words), _threshold(grams, max_grams)
+    in_head = short & (F.col("n") >= least_word)
 
     total = F.sum("n").over(Window.partitionBy(F.shiftright("gram", 8)))  # of a context, 256 rows at most
     shares = grams.select("gram", "n", F.log10((2 * F.col("n") - 1) / (2 * total)).alias("log"))
 
     # at most head_words and max_grams rows
-    head = words.where(F.col("n") >= least_word).toArrow().combine_chunks()
+    head = words.where(in_head).toArrow().combine_chunks()
     trie = shares.where(F.col("n") >= least_gram).select("gram", "log").toArrow().combine_chunks()
     names = head.column("word").to_pylist()
     name = uuid.uuid4().hex
@@ -366,7 +399,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
     tail = scored.select("row", F.inline("tail"))
     texts = tail.groupBy("word").agg(F.count("*").alias("texts"))
     # also the words that training lacks: one of them may be in a third of all texts
-    found = materialise(texts.join(words.where(F.col("n") < least_word), "word", "left"), "tail-words")
+    found = materialise(texts.join(words.where(~in_head), "word", "left"), "tail-words")
     uses = found.agg(F.sum("texts")).first()[0] or 1
     rest = attach_groups(tail, found, "word", "texts", uses, written=True).where("n is not null")
     rest = rest.groupBy("row").agg(F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("log"))
