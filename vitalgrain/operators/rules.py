@@ -294,7 +294,11 @@ class VitalSpikes:
             pairs = self._windowed(values, order, len(present))
         else:
             pairs = self._windowed(values.join(hot, "patient", "left_anti"), order, len(present)).unionByName(_carried(values.join(hot, "patient", "left_semi"), order, len(present)))
-        flags = (F.coalesce(percent_change(F.col(f"v{i}"), F.col(f"p{i}")) > self.threshold_pct, F.lit(False)).alias(v) for i, v in enumerate(present))
+        return self.flagged(pairs, present)
+
+    def flagged(self, pairs: DataFrame, signs: list[str]) -> DataFrame:
+        """row_id and one boolean a sign, from pairs of readings: v0, v1, ... and those before, p0, p1, ..."""
+        flags = (F.coalesce(percent_change(F.col(f"v{i}"), F.col(f"p{i}")) > self.threshold_pct, F.lit(False)).alias(v) for i, v in enumerate(signs))
         return pairs.select(ROW_ID, *flags)
 
     def _hot(self, values: DataFrame) -> DataFrame | None:

@@ -7,6 +7,7 @@ injects missing values by a rule that its SQL repeats.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import datetime, timedelta
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from ..operators import profile, records, rules
 from ..sources.results import read_results, write_results
 from ..sources.scratch import scratch_path
 from ..sources.tables import ROW_ID, ingest, read_csv, read_parquet, with_row_id
+from ..streaming.spikes import write_spikes
 
 from . import workflow
 
@@ -207,6 +209,25 @@ def vital_spike(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.VitalSpikes().violations(_vital_events(spark, sf_dir)).select("row_id")
 
 
+def vital_spike_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same spikes from a stream that is stopped and goes on three times. An eighth of the readings come after the next third of the time."""
+    path, out, state = (scratch_path(spark, name) for name in ("readings", "spikes", "state"))
+    e = _vital_events(spark, sf_dir)
+    first, last = e.agg(F.min("timestamp"), F.max("timestamp")).first()
+    third = max((last - first) / 3, timedelta(seconds=1)) if last else timedelta(seconds=1)
+    edges = [(first or datetime(2000, 1, 1)) + third * i for i in (1, 2)]
+    part = sum((F.col("timestamp") >= edge).cast("int") for edge in edges) + (F.col(ROW_ID) % 8 == 0).cast("int")
+    # a time without a patient closes the stream
+    end = (last or datetime(2000, 1, 1)) + third * 3
+    closing = spark.range(1).select(F.lit(None).cast("long").alias(ROW_ID), F.lit(end).cast(e.schema["timestamp"].dataType).alias("timestamp"))
+    arrivals = [e.where(part == 0), e.where(part == 1), e.where(part == 2), e.where((part == 3) | part.isNull()), e.limit(0).unionByName(closing, allowMissingColumns=True)]
+    for i, rows in enumerate(arrivals):
+        rows.write.parquet(f"{path}/{i}")
+        stream = spark.readStream.schema(e.schema).parquet(f"{path}/*")
+        write_spikes(stream, out, state, f"{int(third.total_seconds()) + 1} seconds").awaitTermination()
+    return spark.read.schema(f"{ROW_ID} long").parquet(out)
+
+
 def vital_spike_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.VitalSpikes().spikes(_vital_events(spark, sf_dir)).select("row_id", "systolic_bp", "heart_rate", "temperature")
 
@@ -432,7 +453,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         overview, missing_summary, missing_footers, max_ratio_column, exclusion_candidates, completeness, missing_report, chart_top10,
         numeric_summary, numeric_summary_binned, categorical_summary, categorical_cardinality,
-        sex_consistency, age_plausibility, age_violations, age_lab_coherence, vital_spike, vital_spike_signs, missing_threshold_rule, iqr_outliers, rule_runner, rule_suite, first_20_violations, first_violations_text, custom_rule,
+        sex_consistency, age_plausibility, age_violations, age_lab_coherence, vital_spike, vital_spike_stream, vital_spike_signs, missing_threshold_rule, iqr_outliers, rule_runner, rule_suite, first_20_violations, first_violations_text, custom_rule,
         validation_summary, validation_errors, validate_stage, results_read_back, observation_constraints, patients_today, patient_records, lab_observation, vital_range, gender_normalise, age_in_years, birth_dates, numeric_casts, nan_as_missing,
         csv_round_trip, csv_line_breaks, csv_inner_quotes, csv_errors, ingest_count, parquet_scan, row_numbers, row_numbers_files,
     )
@@ -471,6 +492,7 @@ ORACLE_SQL: dict[str, str] = {
     "age_violations": "select 'age_plausibility' as rule, c_custkey as row_id, 'age' as column_name from customer where c_acctbal < 0 or c_acctbal > 9000",
     "age_lab_coherence": _COHERENCE,
     "vital_spike": _SPIKES + "select row_id from f where sa or sb or sc",
+    "vital_spike_stream": _SPIKES + "select row_id from f where sa or sb or sc",
     "vital_spike_signs": _SPIKES + "select row_id, sa as systolic_bp, sb as heart_rate, sc as temperature from f",
     "missing_threshold_rule": _GAPPY + """
         , p as (select *, cast(missing_count as double) / n * 100 as pct, case when column_name = 'user_id' then 50.0 else 30.0 end as t from m)
