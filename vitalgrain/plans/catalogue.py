@@ -210,21 +210,19 @@ def vital_spike(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vital_spike_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same spikes from a stream that is stopped and goes on three times. An eighth of the readings come after the next third of the time."""
+    """The same spikes from a stream that is stopped and goes on. An eighth of the first half's readings come with the second half."""
     path, out, state = (scratch_path(spark, name) for name in ("readings", "spikes", "state"))
     e = _vital_events(spark, sf_dir)
     first, last = e.agg(F.min("timestamp"), F.max("timestamp")).first()
-    third = max((last - first) / 3, timedelta(seconds=1)) if last else timedelta(seconds=1)
-    edges = [(first or datetime(2000, 1, 1)) + third * i for i in (1, 2)]
-    part = sum((F.col("timestamp") >= edge).cast("int") for edge in edges) + (F.col(ROW_ID) % 8 == 0).cast("int")
+    first, last = first or datetime(2000, 1, 1), last or datetime(2000, 1, 1)
+    half = max((last - first) / 2, timedelta(seconds=1))
+    early = F.coalesce((F.col("timestamp") < first + half) & (F.col(ROW_ID) % 8 != 0), F.lit(False))
     # a time without a patient closes the stream
-    end = (last or datetime(2000, 1, 1)) + third * 3
-    closing = spark.range(1).select(F.lit(None).cast("long").alias(ROW_ID), F.lit(end).cast(e.schema["timestamp"].dataType).alias("timestamp"))
-    arrivals = [e.where(part == 0), e.where(part == 1), e.where(part == 2), e.where((part == 3) | part.isNull()), e.limit(0).unionByName(closing, allowMissingColumns=True)]
-    for i, rows in enumerate(arrivals):
+    closing = spark.range(1).select(F.lit(None).cast("long").alias(ROW_ID), F.lit(last + 2 * half).cast(e.schema["timestamp"].dataType).alias("timestamp"))
+    for i, rows in enumerate([e.where(early), e.where(~early).unionByName(closing, allowMissingColumns=True)]):
         rows.write.parquet(f"{path}/{i}")
         stream = spark.readStream.schema(e.schema).parquet(f"{path}/*")
-        write_spikes(stream, out, state, f"{int(third.total_seconds()) + 1} seconds").awaitTermination()
+        write_spikes(stream, out, state, f"{int(half.total_seconds()) + 1} seconds").awaitTermination()
     return spark.read.schema(f"{ROW_ID} long").parquet(out)
 
 
