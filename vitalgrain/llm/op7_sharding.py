@@ -9,7 +9,8 @@ bucket are sorted together. A hot source thus falls into as many buckets as its
 
 Defined cases: a null text has no bytes; a null source is a stratum of its own; null ids get their
 key from size and checksum, so they spread too; repeated rows are placed once each; an empty table stays
-empty. `shards` keeps every further column unless it has a result's name.
+empty. Other columns and the text are not carried: a table is written as shards by joining the result
+to it by doc_id, where ids are unique.
 """
 
 from __future__ import annotations
