@@ -11,6 +11,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from vitalgrain.llm import op4_fingerprints as op4
@@ -398,6 +399,47 @@ def test_a_level_joins_its_members_with_their_signatures_once(spark, monkeypatch
     assert 0 < rows <= counts["large"] + counts["rest"] + counts["small"] + 2 * len(pairs), (rows, counts)
 
 
+def test_unlinked_texts_of_one_passage_leave_the_branching(spark, monkeypatch):
+    """Similarity 0.70 everywhere: nothing is linked, and no second level is made. Some larger links stay."""
+    for name, value in (("NODE_ROWS", 6), ("REST_ROWS", 5), ("MEMBER_ROWS", 8), ("HOT_SETS", 2)):
+        monkeypatch.setattr(op9, name, value)
+    levels, made = [], op9._members
+    monkeypatch.setattr(op9, "_members", lambda state, rows: levels.append(rows) or made(state, rows))
+    passage = [f"p{i}" for i in range(60)]
+    pairs = [(i, " ".join(passage + [f"a{i}x{j}" for j in range(12)])) for i in range(120)]
+    assert got_components(docs(spark, pairs)) == brute(pairs)
+    assert levels == [6 * 120]
+    # texts with few words of their own are linked with those of up to 12; those of more are linked with none of these
+    rng = random.Random(3)
+    pairs = [(i, " ".join([f"a{i}x{j}" for j in range(rng.randint(4, 26))] + passage)) for i in range(120)]
+    want = brute(pairs)
+    assert 10 < len({c for _, c in want.values()}) < 110
+    assert got_components(docs(spark, pairs)) == want
+
+
+def test_prefixes_find_every_link():
+    """Of each linked pair, the first common shingle is in both prefixes, in the smaller set's first part and below both caps."""
+    rng = random.Random(4)
+    counts = np.array([rng.randrange(5) for _ in range(op9.COUNT_CELLS)])
+    for _ in range(300):
+        base = [f"w{i}" for i in range(rng.randint(5, 60))]
+        texts = [" ".join(edited(rng, base, rng.choice([0, 0.02, 0.05])) + [f"e{k}" for _ in range(rng.randint(0, 8))]) for k in range(2)]
+        x, y = sorted(op9.shingle_sets(pa.array(texts)), key=len)
+        if not op9.linked(x, y):
+            continue
+        packer = zstandard.ZstdCompressor()
+        batch = pa.RecordBatch.from_pydict({"node": [0, 1], "label": [0, 1], "words": [packer.compress(t.encode()) for t in texts]})
+        rows = {}
+        for out in op9._prefixes(counts)([batch]):
+            for r in out.to_pylist():
+                rows.setdefault(r["size"] if len(x) != len(y) else r["node"], []).append(r)
+        small, large = (rows[k] for k in (sorted(rows)))
+        at = {r["token"]: r for r in large}
+        first = next(r for r in small if r["token"] in at)
+        other = at[first["token"]]
+        assert first["first"] and other["size"] <= first["cap"] and first["size"] <= other["cap"]
+
+
 def test_near_edges(spark):
     pairs = [(d, t) for d, t in EDGE if d is not None and (d, t) != (8, "a b")] + [(8, "a b"), (20, "One two"), (21, "one  TWO"), (22, "one two three")]
     assert got_components(docs(spark, pairs)) == brute(pairs)

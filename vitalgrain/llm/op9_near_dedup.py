@@ -50,6 +50,8 @@ LEVELS = 8
 #: A large node ends with at most so many classes outside its most frequent label, each compared with all its members; on the last level any number is.
 REST_ROWS = 512
 MEMBER_ROWS = 1024
+#: Cells that the shingles of large nodes are counted in, to order them by frequency.
+COUNT_CELLS = 1 << 16
 #: Pairs whose signatures agree less than this are not looked at: 4.4 standard deviations below 0.75.
 LEAST_ESTIMATE = 0.58
 #: Sets that may be broadcast at once to join hot pivots.
@@ -365,6 +367,77 @@ def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=_PAIRS)
 
 
+def _cell_of(items: np.ndarray) -> np.ndarray:
+    return (items % np.uint64(COUNT_CELLS)).astype(np.int64)
+
+
+def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cell, n): how many shingles of a task's sets fall on each cell."""
+    counts = np.zeros(COUNT_CELLS, np.int64)
+    for batch in batches:
+        for words in batch.column(0).to_pylist():
+            np.add.at(counts, _cell_of(full_set(words)), 1)
+    hit = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int64()), pa.array(counts[hit], pa.int64())], names=["cell", "n"])
+
+
+_PREFIX_SPARK = "token long, node long, label long, size long, cap long, first boolean"
+
+
+def _prefixes(counts: np.ndarray):
+    """Maps (node, label, words) to the rarest shingles of each set, one of which any set that it is linked with shares.
+
+    `first` marks those that are enough where the other set is no smaller, and `cap` is the largest
+    set that can be linked with this one if the shingle is the first that both have.
+    """
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, label, words in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                items = full_set(words)
+                n = len(items)
+                upto = n - -(-LEAST_PERCENT * n // 100) + 1
+                of_larger = n - -(-2 * LEAST_PERCENT * n // (100 + LEAST_PERCENT)) + 1
+                order = np.lexsort((items, counts[_cell_of(items)]))[:upto]
+                at = np.arange(upto)
+                cap = (100 + LEAST_PERCENT) * (n - at) // LEAST_PERCENT - n
+                same = [np.full(upto, x, np.int64) for x in (node, label, n)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (items[order].view(np.int64), *same, cap, at < of_larger)], names=["token", "node", "label", "size", "cap", "first"])
+
+    return prefixes
+
+
+def _linkable(members: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
+    """Those rows of large nodes whose class may be linked with a class of another label among them, sizes counted anew.
+
+    Lossless: of a pair that is linked, the first shingle that both sets have lies in the first part
+    of the smaller one's prefix and in the larger one's, and each is at most as large as the other's cap there.
+    """
+    whole = members.select("node", "label").distinct().join(sets.select("node", "words"), "node")
+    whole = materialise(whole.select("node", "label", "words"), "whole")
+    counts = np.zeros(COUNT_CELLS, np.int64)
+    for cell, n in whole.select("words").mapInArrow(_cell_counts, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # COUNT_CELLS rows at most
+        counts[cell] = n
+    prefixes = materialise(whole.mapInArrow(_prefixes(counts), _PREFIX_SPARK), "prefixes")
+    of = {"": F.lit(True), "first_": F.col("first")}
+    bounds = [f(F.when(w, F.col(c))).alias(f"{p}{a}") for p, w in of.items() for f, c, a in ((F.min, "label", "low"), (F.max, "label", "high"), (F.min, "size", "least"), (F.max, "cap", "most"))]
+    # a shingle in no set's first part, or of one label, makes no pair
+    tokens = prefixes.groupBy("token").agg(F.count("*").alias("times"), *bounds).where("low <> high and first_low is not null")
+    tokens = materialise(tokens, "tokens")
+    total = max(1, prefixes.count())
+    joined = attach_groups(prefixes, tokens, "token", "times", total, written=True).where("times is not null")
+
+    def partner(p: str) -> Column:
+        other = (F.col(f"{p}low") != F.col("label")) | (F.col(f"{p}high") != F.col("label"))
+        return other & (F.col(f"{p}least") <= F.col("cap")) & (F.col(f"{p}most") >= F.col("size"))
+
+    left = materialise(joined.where((F.col("first") & partner("")) | partner("first_")).select("node").distinct(), "linkable", rows)
+    rest = materialise(members.drop("size", "unsettled").join(left, "node", "left_semi"), "linkable", rows)
+    sizes = rest.groupBy("key").agg(F.count("*").alias("size"), F.count_if("open").alias("unsettled")).where("unsettled > 0")
+    counted = attach_groups(rest, materialise(sizes, "sizes", rows), "key", "size", rows, written=True)
+    return materialise(counted.where("unsettled is not null").select(members.columns), "large", rows)
+
+
 def _signed_members(members: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
     """The members of large nodes with their signatures and the keys of their children: a level's one join of the two, as a written table."""
     joined = members.join(sets.select("node", "sig"), "node")
@@ -441,10 +514,12 @@ def _links(classes: DataFrame, docs: DataFrame, count: int) -> DataFrame:
         now = attach_groups(now, materialise(main, "main", rows), "key", "many", rows, written=True).where("unsettled is not null")
         now = materialise(now.select("key", "node", (F.col("label") != F.col("main.label")).alias("open"), "label", "size", "unsettled", "children"), "large", rows)
         last = level == LEVELS
-        few = now if last else now.where(f"unsettled <= {REST_ROWS}")
+        few, more = now.where(f"unsettled <= {REST_ROWS}"), now.where(f"unsettled > {REST_ROWS}")
+        if not more.isEmpty():
+            more = _linkable(more, sets_large, rows)
+            few, more = few.unionByName(more if last else more.where(f"unsettled <= {REST_ROWS}")), more.where(f"unsettled > {REST_ROWS}")
         if not few.isEmpty():
             found.append(materialise(_rest_links(few, sets_large), "links", rows))
-        more = now.where(f"unsettled > {REST_ROWS}")
         if last or more.isEmpty():
             break
         branched = more.select("node", "label", F.explode("children").alias("key"))
