@@ -372,6 +372,7 @@ def node_join_rows(spark, after):
 def test_a_level_joins_its_members_with_their_signatures_once(spark, monkeypatch):
     for name, value in (("NODE_ROWS", 6), ("REST_ROWS", 5), ("MEMBER_ROWS", 8), ("HOT_SETS", 2), ("LEVELS", 3)):
         monkeypatch.setattr(op9, name, value)
+    monkeypatch.setattr(op9, "_linkable", lambda members, sets, rows: members)  # these classes would leave on the first level
     counts = Counter()
 
     def counted(name, count):
