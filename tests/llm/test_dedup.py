@@ -441,6 +441,57 @@ def test_prefixes_find_every_link():
         assert first["first"] and other["size"] <= first["cap"] and first["size"] <= other["cap"]
 
 
+def test_the_filter_keeps_every_shared_shingle():
+    """Over several tasks, batches and flushes: all tokens of two sets stay, also in a full filter; of the others most go in a wide one."""
+    rng = np.random.default_rng(6)
+    shared = rng.integers(0, 1 << 63, 300, np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(shared, 6, replace=False), rng.integers(1 << 63, (1 << 64) - 1, 20, np.uint64)])) for _ in range(400)]
+    times = Counter(x for s in sets for x in s.tolist())
+    alone = sum(n == 1 for n in times.values())
+    for marks, most in ((op9.BLOCK_MARKS, 0.2), (4 * op9.BLOCK_MARKS, 0.06)):
+        found = {}
+        for task in range(4):
+            own = [s.tobytes() for s in sets[task::4]]
+            batches = [pa.RecordBatch.from_pydict({"tokens": own[i : i + 30]}) for i in range(0, len(own), 30)]
+            for out in op9._marked(marks)(batches):
+                for r in out.to_pylist():
+                    found.setdefault(r["block"], []).append(r)
+        bits = np.zeros((marks // op9.BLOCK_MARKS, op9.BLOCK_MARKS // 8), np.uint8)
+        for block, rows in found.items():
+            (r,) = op9._hit_twice(pa.Table.from_pylist(rows)).to_pylist()
+            bits[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+        batch = pa.RecordBatch.from_pydict({"node": range(400), "label": range(400), "size": [100] * 400, "tokens": [s.tobytes() for s in sets]})
+        kept = [(r["node"], r["token"] % (1 << 64)) for out in op9._shared(bits.reshape(-1))([batch]) for r in out.to_pylist()]
+        assert len(kept) == len(set(kept))
+        assert {(i, x) for i, s in enumerate(sets) for x in s.tolist() if times[x] > 1} <= set(kept)
+        assert sum(times[x] == 1 for _, x in kept) < most * alone
+
+
+def prefix_rows(monkeypatch):
+    """The rows of each table of prefixes that is written from here on."""
+    rows, written = [], op9.materialise
+
+    def counted(df, name, *more, **options):
+        out = written(df, name, *more, **options)
+        if name == "prefixes":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(op9, "materialise", counted)
+    return rows
+
+
+def test_shingles_of_one_text_make_no_rows(spark, monkeypatch):
+    """Similarity 0.70 everywhere: of the 18 rarest shingles of a text 12 are its own, and only 6 can be another's."""
+    for name, value in (("NODE_ROWS", 6), ("REST_ROWS", 5), ("MEMBER_ROWS", 8), ("HOT_SETS", 2)):
+        monkeypatch.setattr(op9, name, value)
+    rows = prefix_rows(monkeypatch)
+    passage = [f"p{i}" for i in range(60)]
+    pairs = [(i, " ".join(passage + [f"a{i}x{j}" for j in range(12)])) for i in range(120)]
+    assert got_components(docs(spark, pairs)) == brute(pairs)
+    assert len(rows) == 1 and 6 * 120 <= rows[0] <= 7 * 120, rows
+
+
 def test_near_edges(spark):
     pairs = [(d, t) for d, t in EDGE if d is not None and (d, t) != (8, "a b")] + [(8, "a b"), (20, "One two"), (21, "one  TWO"), (22, "one two three")]
     assert got_components(docs(spark, pairs)) == brute(pairs)

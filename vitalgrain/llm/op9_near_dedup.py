@@ -52,6 +52,11 @@ REST_ROWS = 512
 MEMBER_ROWS = 1024
 #: Cells that the shingles of large nodes are counted in, to order them by frequency.
 COUNT_CELLS = 1 << 16
+#: Bits of the filter of shingles that two sets have, 8 for a shingle at best; BLOCK_MARKS of them are put together by one task.
+MARKS = 1 << 26
+BLOCK_MARKS = 1 << 16
+#: Bytes of shingles that a task holds at once while it marks them.
+MARKED_BYTES = 1 << 23
 #: Pairs whose signatures agree less than this are not looked at: 4.4 standard deviations below 0.75.
 LEAST_ESTIMATE = 0.58
 #: Sets that may be broadcast at once to join hot pivots.
@@ -381,30 +386,105 @@ def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int64()), pa.array(counts[hit], pa.int64())], names=["cell", "n"])
 
 
+_RAREST_SPARK = "node long, label long, size long, tokens binary"
+
+
+def _rarest(counts: np.ndarray):
+    """Maps (node, label, words) to the rarest shingles of each set, the rarest first, one of which any set that it is linked with shares."""
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, tokens = [], []
+            for words in batch.column(2).to_pylist():
+                items = full_set(words)
+                n = len(items)
+                upto = n - -(-LEAST_PERCENT * n // 100) + 1
+                sizes.append(n)
+                tokens.append(items[np.lexsort((items, counts[_cell_of(items)]))[:upto]].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(tokens, pa.binary())], names=["node", "label", "size", "tokens"])
+
+    return rarest
+
+
+def _mark_of(tokens: np.ndarray, marks: int) -> np.ndarray:
+    return ((tokens * _M[1]) >> np.uint64(65 - marks.bit_length())).astype(np.uint32)
+
+
+def _marked(marks: int):
+    """Maps tokens to (block, places): the marks that some sets' tokens fall on, twice if several do."""
+
+    def blocks(held: list[bytes]) -> pa.RecordBatch:
+        at, times = np.unique(_mark_of(np.frombuffer(b"".join(held), np.uint64), marks), return_counts=True)
+        at = np.repeat(at, np.minimum(times, 2))
+        block, starts = np.unique(at // BLOCK_MARKS, return_index=True)
+        places = [x.astype(np.uint16).tobytes() for x in np.split(at % BLOCK_MARKS, starts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(places, pa.binary())], names=["block", "places"])
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for tokens in batch.column(0).to_pylist():
+                held.append(tokens)
+                size += len(tokens)
+                if size >= MARKED_BYTES:
+                    yield blocks(held)
+                    held, size = [], 0
+        if held:
+            yield blocks(held)
+
+    return marked
+
+
+def _hit_twice(rows: pa.Table) -> pa.Table:
+    """(block, bits) of one block: a bit for each mark that two sets or more fall on."""
+    hits = np.zeros(BLOCK_MARKS, np.int64)
+    for places in rows.column("places").to_pylist():
+        hits += np.bincount(np.frombuffer(places, np.uint16), minlength=BLOCK_MARKS)
+    return pa.table({"block": rows.column("block")[:1], "bits": pa.array([np.packbits(hits > 1).tobytes()], pa.binary())})
+
+
 _PREFIX_SPARK = "token long, node long, label long, size long, cap long, first boolean"
 
 
-def _prefixes(counts: np.ndarray):
-    """Maps (node, label, words) to the rarest shingles of each set, one of which any set that it is linked with shares.
+def _shared(bits: np.ndarray | None):
+    """Maps the rarest shingles to a row each, without those whose mark says that no other set has them among its rarest.
 
     `first` marks those that are enough where the other set is no smaller, and `cap` is the largest
     set that can be linked with this one if the shingle is the first that both have.
     """
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, label, words in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                items = full_set(words)
-                n = len(items)
-                upto = n - -(-LEAST_PERCENT * n // 100) + 1
+            for node, label, n, tokens in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                items = np.frombuffer(tokens, np.uint64)
                 of_larger = n - -(-2 * LEAST_PERCENT * n // (100 + LEAST_PERCENT)) + 1
-                order = np.lexsort((items, counts[_cell_of(items)]))[:upto]
-                at = np.arange(upto)
+                at = np.arange(len(items))
+                if bits is not None:
+                    mark = _mark_of(items, 8 * len(bits))
+                    at = np.flatnonzero(bits[mark >> 3] >> (7 - (mark & 7)).astype(np.uint8) & 1)
                 cap = (100 + LEAST_PERCENT) * (n - at) // LEAST_PERCENT - n
-                same = [np.full(upto, x, np.int64) for x in (node, label, n)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (items[order].view(np.int64), *same, cap, at < of_larger)], names=["token", "node", "label", "size", "cap", "first"])
+                same = [np.full(len(at), x, np.int64) for x in (node, label, n)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (items[at].view(np.int64), *same, cap, at < of_larger)], names=["token", "node", "label", "size", "cap", "first"])
+
+    return shared
+
+
+def _prefixes(counts: np.ndarray, bits: np.ndarray | None = None):
+    """Maps (node, label, words) to a row for each of the rarest shingles, in one step: what `_linkable` does in two, with a table between."""
+    return lambda batches: _shared(bits)(_rarest(counts)(batches))
+
 
-    return prefixes
+def _repeated_marks(rarest: DataFrame) -> np.ndarray:
+    """A bit for each mark that tokens of two sets or more fall on, in at most MARKS bits."""
+    total = rarest.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
+    marks = BLOCK_MARKS
+    while marks < min(MARKS, total):  # 8 marks a token
+        marks *= 2
+    bits = np.zeros((marks // BLOCK_MARKS, BLOCK_MARKS // 8), np.uint8)
+    hit = rarest.select("tokens").mapInArrow(_marked(marks), "block long, places binary")
+    for block, twice in hit.groupBy("block").applyInArrow(_hit_twice, "block long, bits binary").collect():  # MARKS bits at most
+        bits[block] = np.frombuffer(twice, np.uint8)
+    return bits.reshape(-1)
 
 
 def _linkable(members: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
@@ -412,13 +492,16 @@ def _linkable(members: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
 
     Lossless: of a pair that is linked, the first shingle that both sets have lies in the first part
     of the smaller one's prefix and in the larger one's, and each is at most as large as the other's cap there.
+    So a shingle that one set alone has in its prefix is not needed; the filter leaves most of these out, and never another one.
     """
     whole = members.select("node", "label").distinct().join(sets.select("node", "words"), "node")
     whole = materialise(whole.select("node", "label", "words"), "whole")
     counts = np.zeros(COUNT_CELLS, np.int64)
     for cell, n in whole.select("words").mapInArrow(_cell_counts, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # COUNT_CELLS rows at most
         counts[cell] = n
-    prefixes = materialise(whole.mapInArrow(_prefixes(counts), _PREFIX_SPARK), "prefixes")
+    rarest = materialise(whole.mapInArrow(_rarest(counts), _RAREST_SPARK), "rarest")
+    # most of the rarest shingles are of one set alone and make no pair, so they don't become rows
+    prefixes = materialise(rarest.mapInArrow(_shared(_repeated_marks(rarest)), _PREFIX_SPARK), "prefixes")
     of = {"": F.lit(True), "first_": F.col("first")}
     bounds = [f(F.when(w, F.col(c))).alias(f"{p}{a}") for p, w in of.items() for f, c, a in ((F.min, "label", "low"), (F.max, "label", "high"), (F.min, "size", "least"), (F.max, "cap", "most"))]
     # a shingle in no set's first part, or of one label, makes no pair
