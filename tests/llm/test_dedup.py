@@ -14,6 +14,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from vitalgrain.llm import op4_fingerprints as op4
 from vitalgrain.llm import op6_exact_dedup as op6
 from vitalgrain.llm import op7_sharding as op7
@@ -492,6 +493,22 @@ def test_shingles_of_one_text_make_no_rows(spark, monkeypatch):
     assert len(rows) == 1 and 6 * 120 <= rows[0] <= 7 * 120, rows
 
 
+def test_the_pipelines_near_copies_make_few_rows(spark, monkeypatch):
+    """The stage keeps all of these texts, as none is linked, and the shingles of one text alone make no rows."""
+    for name, value in (("NODE_ROWS", 6), ("REST_ROWS", 5), ("MEMBER_ROWS", 8), ("HOT_SETS", 2)):
+        monkeypatch.setattr(op9, name, value)
+    rows = prefix_rows(monkeypatch)
+    passage = [f"p{i}" for i in range(60)]
+    df = docs(spark, [(i, " ".join(passage + [f"a{i}x{j}" for j in range(12)])) for i in range(100)])
+    before = spark.conf.get(corpus_pipeline._BATCH_KEY)
+    try:
+        kept = corpus_pipeline.near_dedup(spark, df, "")
+        assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == list(range(100))
+    finally:
+        spark.conf.set(corpus_pipeline._BATCH_KEY, before)
+    assert len(rows) == 1 and 6 * 100 <= rows[0] <= 7 * 100, rows
+
+
 def test_near_edges(spark):
     pairs = [(d, t) for d, t in EDGE if d is not None and (d, t) != (8, "a b")] + [(8, "a b"), (20, "One two"), (21, "one  TWO"), (22, "one two three")]
     assert got_components(docs(spark, pairs)) == brute(pairs)
